@@ -112,3 +112,61 @@ def intraday_points(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((k.cast("double") - F.lit(50.0)) / F.lit(10.0)).alias("price_fluctuation_pct"),
         F.lit(SOURCE_INTRADAY).alias("source_jsonl"),
     )
+
+
+# The end-of-data marker line number of a trailer record.
+TRAILER_LINE_NO = 9223372036854775807
+
+
+def _price13(x: Column) -> Column:
+    return F.lpad(F.round(x * 100).cast("bigint").cast("string"), 13, "0")
+
+
+def hist_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Historical fixed-width files rendered from ``orders``:
+    (file_name, line_no, line), one file per order year.
+
+    Each order gives one ``01`` record (trade date = first day of its quarter,
+    ticker from the customer, prices from the total); pending orders add a
+    truncated line and urgent fulfilled orders a record of unknown type; every
+    file gets a ``00`` header and a ``99`` trailer with its record count.
+    """
+    o = read_test_table(spark, sf_dir, "orders")
+    tp = F.col("o_totalprice")
+    year = F.year("o_orderdate").cast("string")
+    td = F.to_date(F.date_trunc("quarter", "o_orderdate"))
+    cust = F.col("o_custkey").cast("string")
+    rec = F.concat(
+        F.lit("01"), F.date_format(td, "yyyyMMdd"), F.lit("02"),
+        F.rpad(F.concat(F.lit("S"), F.lpad(cust, 10, "0")), 12, " "),
+        F.lit("010"),
+        F.rpad(F.concat(F.lit("CUST"), cust), 12, " "),
+        F.rpad(F.col("o_orderstatus"), 10, " "),
+        F.lit("   "), F.lit("R$  "),
+        _price13(tp), _price13(tp + 100), _price13(tp - 100), _price13(tp),
+        _price13(tp + 50), _price13(tp + 49), _price13(tp + 51),
+        F.lpad(F.dayofmonth("o_orderdate").cast("string"), 5, "0"),
+        F.lpad(F.col("o_orderkey").cast("string"), 18, "0"),
+        F.lpad((F.round(tp * 100).cast("bigint") * 10).cast("string"), 18, "0"),
+        F.lit("0" * 13), F.lit(" "),
+        F.when(F.col("o_orderstatus") == "O", F.lit("99991231")).otherwise(F.lit("00000000")),
+        F.lit("0000001"), F.lit("0" * 13),
+        F.concat(F.lit("BRS"), F.lpad(cust, 9, "0")),
+        F.lit("100"),
+    )
+    file_name = F.concat(F.lit("COTAHIST_A"), year, F.lit(".TXT"))
+    base = o.select(
+        file_name.alias("file_name"), year.alias("year"), F.col("o_orderkey"),
+        F.col("o_orderstatus"), F.col("o_orderpriority"), rec.alias("rec"))
+    records = base.select("file_name", (F.col("o_orderkey") * 2 + 1).alias("line_no"), F.col("rec").alias("line"))
+    extras = base.where((F.col("o_orderstatus") == "P") | ((F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "1-URGENT"))).select(
+        "file_name", (F.col("o_orderkey") * 2 + 2).alias("line_no"),
+        F.when(F.col("o_orderstatus") == "P", F.substring("rec", 1, 200))
+        .otherwise(F.concat(F.lit("02"), F.substring("rec", 3, 243))).alias("line"))
+    per_file = base.groupBy("file_name", "year").agg(F.count(F.lit(1)).alias("n"))
+    stamp = F.concat(F.lit("COTAHIST."), F.col("year"), F.lit("BOVESPA "), F.col("year"), F.lit("1231"))
+    headers = per_file.select("file_name", F.lit(0).cast("bigint").alias("line_no"),
+                             F.rpad(F.concat(F.lit("00"), stamp), 245, " ").alias("line"))
+    trailers = per_file.select("file_name", F.lit(TRAILER_LINE_NO).cast("bigint").alias("line_no"),
+                              F.rpad(F.concat(F.lit("99"), stamp, F.lpad(F.col("n").cast("string"), 11, "0")), 245, " ").alias("line"))
+    return records.unionByName(extras).unionByName(headers).unionByName(trailers)
