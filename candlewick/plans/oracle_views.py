@@ -74,8 +74,8 @@ DAILY_VIEWS = ",\n".join([V_UNIT, V_BARS, V_DAILY])
 ALL_MARKET_VIEWS = ",\n".join([V_ASSETS, V_UNIT, V_BARS, V_DAILY, V_INTRADAY])
 
 
-def with_views(views: str, body: str) -> str:
-    return f"WITH {views}\n{body}"
+def with_views(views: str, body: str, recursive: bool = False) -> str:
+    return f"WITH {'RECURSIVE ' if recursive else ''}{views}\n{body}"
 
 
 def _price13(x: str) -> str:
