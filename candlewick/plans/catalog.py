@@ -30,4 +30,4 @@ def register(name: str, oracle: str | None):
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from candlewick.plans import q_analytics, q_candles, q_hist, q_reads  # noqa: F401
+    from candlewick.plans import q_analytics, q_candles, q_hist, q_landing, q_reads  # noqa: F401

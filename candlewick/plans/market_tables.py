@@ -82,13 +82,15 @@ def daily_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.max_by("px", "seq").alias("last_price"),
         F.min("px").alias("min_price"),
         F.max("px").alias("max_price"),
-        half_up(F.avg("px"), 6).alias("avg_price"),
+        # Exact: sum of integer micro-units, rounded half-up by integer division.
+        F.sum(F.round(F.col("px") * 1_000_000).cast("bigint")).alias("_sum_micro"),
         half_up(F.sum("notional"), 2).alias("financial_volume"),
         F.count(F.lit(1)).alias("trade_count"),
     )
+    avg_price = F.expr("(2 * _sum_micro + trade_count) div (2 * trade_count)") / F.lit(1_000_000.0)
     prev = F.lag("last_price").over(Window.partitionBy("ticker").orderBy("trade_date"))
     return bars.select(
-        "ticker", "trade_date", "open_price", "last_price", "min_price", "max_price", "avg_price",
+        "ticker", "trade_date", "open_price", "last_price", "min_price", "max_price", avg_price.alias("avg_price"),
         half_up((F.col("last_price") - prev) / prev * 100, 4).alias("variation_pct"),
         "financial_volume", "trade_count",
         F.lit(SOURCE_DAILY).alias("source_file_name"),

@@ -45,7 +45,7 @@ V_BARS = f"""v_bars AS (
          arg_max(px, (l_orderkey, l_linenumber, l_partkey, notional)) AS last_price,
          min(px) AS min_price,
          max(px) AS max_price,
-         {half_up('avg(px)', 6)} AS avg_price,
+         (2 * sum(CAST(round(px * 1000000) AS BIGINT)) + count(*)) // (2 * count(*)) / CAST(1000000 AS DOUBLE) AS avg_price,
          {half_up('sum(notional)', 2)} AS financial_volume,
          count(*) AS trade_count
   FROM v_unit GROUP BY ticker, trade_date)"""
