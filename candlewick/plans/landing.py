@@ -100,3 +100,82 @@ def landed_flat_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.when(F.col("trade_count") >= 2, F.to_json(F.struct(F.array(flat).alias("results")))).otherwise(F.to_json(flat))
     return bars.select(F.col("ticker").alias("requested_ticker"), body.alias("body"), F.lit(200).alias("http_status"),
                        F.col("trade_date").alias("load_date"))
+
+
+# Headers of the rendered files (long labels / short codes).
+TRADES_HEADER = ("Instrumento financeiro;Data do negócio;Preço de abertura;Preço mínimo;Preço máximo;"
+                 "Preço médio;Preço de fechamento;Oscilação;Volume financeiro;Quantidade de negócios")
+REGISTER_HEADER = "TckrSymb;NmOfc;ISIN;Sgmt;DtRfrn"
+TRADES_PREAMBLE = "Negocios consolidados do pregao"
+JUNK_TRADE_LINE = ";01/01/1998;1;1;1;1;12..3;;abc;1"
+
+
+def _br(c) -> F.Column:
+    return F.replace(F.col(c).cast("string"), F.lit("."), F.lit(","))
+
+
+def trades_file_name(day) -> F.Column:
+    return F.concat(F.lit("negocios_consolidados_"), F.date_format(F.trunc(day, "MM"), "yyyyMMdd"), F.lit(".csv"))
+
+
+def trade_line_no(day, ticker) -> F.Column:
+    key = F.substring(ticker, 2, 10).cast("bigint")
+    return F.datediff(day, F.lit("1990-01-01").cast("date")).cast("bigint") * F.lit(10_000_000) + key * 2
+
+
+def raw_trade_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly ``;`` trade files rendered from the daily bars: preamble, long
+    header, pt-BR numbers (volume with thousands grouping), lower-case padded
+    tickers, blank minimum for single-trade days, a later corrected duplicate
+    of days with >= 3 trades and one junk line per file.
+    (file_name, line_no, line)"""
+    b = M.daily_bars(spark, sf_dir)
+    vol = F.translate(F.format_number("financial_volume", 2), ",.", ".,")
+
+    def line(last):
+        return F.concat_ws(";",
+                           F.concat(F.lit("  "), F.lower("ticker"), F.lit(" ")),
+                           F.date_format("trade_date", "dd/MM/yyyy"),
+                           _br("open_price"),
+                           F.when(F.col("trade_count") == 1, F.lit("")).otherwise(_br("min_price")),
+                           _br("max_price"), _br("avg_price"), last,
+                           F.coalesce(_br("variation_pct"), F.lit("")),
+                           vol, F.col("trade_count").cast("string"))
+
+    fname = trades_file_name(F.col("trade_date"))
+    ln = trade_line_no(F.col("trade_date"), F.col("ticker"))
+    rows = b.select(fname.alias("file_name"), ln.alias("line_no"), line(_br("last_price")).alias("line"))
+    dups = b.where(F.col("trade_count") >= 3).select(
+        fname.alias("file_name"), (ln + 1).alias("line_no"),
+        line(F.replace((F.col("last_price") + 1).cast("string"), F.lit("."), F.lit(","))).alias("line"))
+    files = b.select(fname.alias("file_name")).distinct()
+    extra = files.select("file_name", F.explode(F.array(
+        F.struct(F.lit(-3).cast("bigint").alias("line_no"), F.lit(TRADES_PREAMBLE).alias("line")),
+        F.struct(F.lit(-2).cast("bigint").alias("line_no"), F.lit("").alias("line")),
+        F.struct(F.lit(-1).cast("bigint").alias("line_no"), F.lit(TRADES_HEADER).alias("line")),
+        F.struct(F.lit(0).cast("bigint").alias("line_no"), F.lit(JUNK_TRADE_LINE).alias("line")),
+    )).alias("x")).select("file_name", "x.line_no", "x.line")
+    return rows.unionByName(dups).unionByName(extra)
+
+
+def raw_register_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Register files (one per segment) rendered from the asset table:
+    short-code header, lower-case padded tickers and ISINs, a later duplicate
+    of every asset with a negative balance and one line without ticker."""
+    a = M.dim_assets(spark, sf_dir)
+    fname = F.concat(F.lit("cadastro_"), F.lower(F.regexp_replace("segment", "[^A-Za-z0-9]", "_")), F.lit(".csv"))
+    key = F.substring("ticker", 2, 10).cast("bigint")
+
+    def line(name):
+        return F.concat_ws(";", F.concat(F.lit(" "), F.lower("ticker"), F.lit(" ")), name, F.lower("isin"),
+                           F.col("segment"), F.date_format("source_file_date", "yyyy-MM-dd"))
+
+    rows = a.select(fname.alias("file_name"), (key * 2 + 10).alias("line_no"), line(F.col("asset_name")).alias("line"))
+    dups = a.where(F.col("acct_balance") < 0).select(fname.alias("file_name"), (key * 2 + 11).alias("line_no"),
+                                                     line(F.lit("DUPLICATE")).alias("line"))
+    files = a.select(fname.alias("file_name")).distinct()
+    extra = files.select("file_name", F.explode(F.array(
+        F.struct(F.lit(0).cast("bigint").alias("line_no"), F.lit(REGISTER_HEADER).alias("line")),
+        F.struct(F.lit(1).cast("bigint").alias("line_no"), F.lit(";no ticker;;;2001-12-31").alias("line")),
+    )).alias("x")).select("file_name", "x.line_no", "x.line")
+    return rows.unionByName(dups).unionByName(extra)
