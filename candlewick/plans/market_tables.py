@@ -172,3 +172,41 @@ def hist_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     trailers = per_file.select("file_name", F.lit(TRAILER_LINE_NO).cast("bigint").alias("line_no"),
                               F.rpad(F.concat(F.lit("99"), stamp, F.lpad(F.col("n").cast("string"), 11, "0")), 245, " ").alias("line"))
     return records.unionByName(extras).unionByName(headers).unionByName(trailers)
+
+
+# Reference date of the universe queries.
+UNIVERSE_REFERENCE_DATE = "1998-06-01"
+
+
+def universe_register(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Instrument register with the structural columns of the universe filter,
+    rendered from supplier, nation and each supplier's first/last ship date;
+    plus one footer ("noise") row per nation."""
+    s = read_test_table(spark, sf_dir, "supplier")
+    n = read_test_table(spark, sf_dir, "nation")
+    span = read_test_table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(
+        F.min("l_shipdate").alias("first_ship"), F.max("l_shipdate").alias("last_ship"))
+    j = s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey, "left").join(span, s.s_suppkey == span.l_suppkey, "left")
+    rows = j.select(
+        F.col("s_suppkey").alias("line_no"),
+        F.concat(F.lit(" "), F.lower(ticker_of("s_suppkey")), F.lit(" ")).alias("ticker"),
+        F.when(F.col("n_regionkey") == 0, F.lit("Derivatives")).otherwise(F.lit("Cash")).alias("segment"),
+        F.when(F.col("s_acctbal") < 0, F.lit("OPTIONS")).otherwise(F.lit("EQUITY-CASH")).alias("market"),
+        F.when(F.col("n_regionkey") == 4, F.lit("Units")).otherwise(F.lit("Shares")).alias("category"),
+        F.coalesce(F.date_format("first_ship", "dd/MM/yyyy"), F.lit("")).alias("start_date"),
+        F.when(F.col("s_acctbal") < 1000, F.date_format("last_ship", "dd/MM/yyyy")).otherwise(F.lit("")).alias("end_date"),
+    )
+    noise = n.select((F.lit(-1) - F.col("n_nationkey")).cast("bigint").alias("line_no"),
+                     F.concat(F.lit("TOTAL "), F.col("n_name")).alias("ticker"), F.lit("Cash").alias("segment"),
+                     F.lit("EQUITY-CASH").alias("market"), F.lit("Shares").alias("category"),
+                     F.lit("").alias("start_date"), F.lit("").alias("end_date"))
+    return rows.unionByName(noise)
+
+
+def activity_rows(spark: SparkSession, sf_dir: str, day: str = UNIVERSE_REFERENCE_DATE) -> DataFrame:
+    """Consolidated-trades rows of the 30 days up to ``day`` as text:
+    single-trade days carry the ``-`` placeholder instead of a close price."""
+    d = F.lit(day).cast("date")
+    b = daily_bars(spark, sf_dir).where((F.col("trade_date") <= d) & (F.col("trade_date") > F.date_sub(d, 30)))
+    return b.select(F.lower("ticker").alias("ticker"), F.col("trade_count").cast("string").alias("trade_count"),
+                    F.when(F.col("trade_count") == 1, F.lit("-")).otherwise(F.col("last_price").cast("string")).alias("last_price"))
