@@ -100,7 +100,8 @@ def within_session(ts, *, tz: str = SESSION_TZ, open_hhmm: str = SESSION_OPEN, c
     end = minutes(close_hhmm) + pad_after
     if end <= start:
         raise ValueError("session end must be after start")
-    local = F.from_utc_timestamp((F.col(ts) if isinstance(ts, str) else ts).cast("timestamp"), tz)
+    # UTC wall clock -> exchange wall clock, independent of the session zone.
+    local = F.convert_timezone(F.lit("UTC"), F.lit(tz), (F.col(ts) if isinstance(ts, str) else ts).cast("timestamp_ntz"))
     clock = F.date_format(local, "HH:mm:ss.SSSSSS")
     lo = f"{start // 60:02d}:{start % 60:02d}:00.000000"
     hi = f"{end // 60:02d}:{end % 60:02d}:00.000000"

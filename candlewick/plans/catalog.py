@@ -21,7 +21,15 @@ def register(name: str, oracle: str | None):
     def deco(fn: QueryFn) -> QueryFn:
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
-        QUERIES[name] = fn
+
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # Market times are UTC wall-clock values: pin the session zone.
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf_dir)
+
+        run.__name__ = fn.__name__
+        run.__doc__ = fn.__doc__
+        QUERIES[name] = run
         if oracle is not None:
             ORACLES[name] = oracle
         return fn
@@ -30,4 +38,4 @@ def register(name: str, oracle: str | None):
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from candlewick.plans import q_analytics, q_candles, q_files, q_hist, q_landing, q_reads, q_universe  # noqa: F401
+    from candlewick.plans import q_analytics, q_candles, q_files, q_hist, q_landing, q_reads, q_tables, q_universe  # noqa: F401

@@ -55,9 +55,12 @@ def dim_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def unit_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every lineitem as one trade of a ticker on a day at unit price."""
+def unit_trades(spark: SparkSession, sf_dir: str, where=None) -> DataFrame:
+    """Every lineitem as one trade of a ticker on a day at unit price
+    (``where``: optional lineitem predicate that splits the data into batches)."""
     li = read_test_table(spark, sf_dir, "lineitem")
+    if where is not None:
+        li = li.where(where)
     return li.select(
         ticker_of("l_suppkey").alias("ticker"),
         F.to_date("l_shipdate").alias("trade_date"),
@@ -69,14 +72,14 @@ def unit_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def daily_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+def daily_bars(spark: SparkSession, sf_dir: str, where=None) -> DataFrame:
     """Daily trades table (open, last, min, max, avg, variation, volume, count).
 
     One partial/final hash aggregate on (ticker, trade_date); the variation
     needs the previous day's last price, a window per ticker whose size is
     bounded by the number of calendar days, not by the data volume.
     """
-    t = unit_trades(spark, sf_dir)
+    t = unit_trades(spark, sf_dir, where)
     bars = t.groupBy("ticker", "trade_date").agg(
         F.min_by("px", "seq").alias("open_price"),
         F.max_by("px", "seq").alias("last_price"),

@@ -183,3 +183,13 @@ hist AS (
     FROM hist_rows) x WHERE rn = 1)"""
 
 HIST_VIEWS = ",\n".join([V_HIST_LINES, V_HIST_ROWS])
+
+
+def daily_views_for(suffix: str, where: str) -> str:
+    """The daily views over a predicate-selected part of lineitem, renamed
+    with ``suffix`` (v_unit_x, v_bars_x, v_prev_x, v_daily_x)."""
+    text = ",\n".join([V_UNIT, V_BARS, V_DAILY.split(",\nv_quotes AS")[0]])
+    text = text.replace("FROM lineitem)", f"FROM lineitem WHERE {where})")
+    for name in ("v_unit", "v_bars", "v_prev", "v_daily"):
+        text = text.replace(name, f"{name}_{suffix}")
+    return text
