@@ -38,4 +38,4 @@ def register(name: str, oracle: str | None):
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from candlewick.plans import q_analytics, q_candles, q_files, q_hist, q_landing, q_reads, q_tables, q_universe  # noqa: F401
+    from candlewick.plans import q_analytics, q_candles, q_files, q_hist, q_landing, q_reads, q_stream, q_tables, q_universe  # noqa: F401

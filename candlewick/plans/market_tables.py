@@ -107,7 +107,12 @@ def daily_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def intraday_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Intraday points (ticker, quoted_at unique): one per event."""
-    ev = read_test_table(spark, sf_dir, "events")
+    return points_from_events(read_test_table(spark, sf_dir, "events"))
+
+
+def points_from_events(ev: DataFrame, with_order: bool = False) -> DataFrame:
+    """The intraday-point projection of an events frame (batch or stream);
+    ``with_order`` keeps ``event_id`` as the arrival order."""
     k = F.get_json_object("props", "$.k").try_cast("int")
     return ev.select(
         ticker_of("user_id").alias("ticker"),
@@ -116,6 +121,7 @@ def intraday_points(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value").alias("close_price"),
         ((k.cast("double") - F.lit(50.0)) / F.lit(10.0)).alias("price_fluctuation_pct"),
         F.lit(SOURCE_INTRADAY).alias("source_jsonl"),
+        *([F.col("event_id")] if with_order else []),
     )
 
 
