@@ -88,7 +88,15 @@ def digits_scaled(c, digits_precision: int, divisor: int, out_type: str) -> Colu
     """
     t = F.trim(_c(c))
     as_dec = t.try_cast(f"decimal({max(digits_precision, 1)},0)")
-    value = as_dec if divisor == 1 else as_dec / F.lit(divisor).cast("decimal(10,0)")
+    if divisor == 1:
+        value = as_dec
+    else:
+        # Multiply by an exact 10^-k: stays on the 64-bit decimal fast path,
+        # where a decimal division widens to a 38-digit BigDecimal result.
+        k = len(str(divisor)) - 1
+        if divisor != 10 ** k:
+            raise ValueError("divisor must be a power of ten")
+        value = as_dec * F.lit(f"0.{'0' * (k - 1)}1").cast(f"decimal({k},{k})")
     return F.when(t.rlike(r"^[0-9]+$"), value.cast(out_type))
 
 

@@ -10,6 +10,7 @@ from candlewick.functions.headers import INSTRUMENT_COLUMN_MAP, TRADE_COLUMN_MAP
 from candlewick.functions.numbers import load_number, locale_number
 from candlewick.operators import quality as Q
 from candlewick.plans import landing as LD
+from candlewick.plans import market_tables as M
 from candlewick.plans import transforms as TR
 from candlewick.plans.catalog import register
 from candlewick.plans.oracle_views import DAILY_VIEWS, V_ASSETS, with_views
@@ -23,8 +24,12 @@ _FILE = "'negocios_consolidados_' || strftime(date_trunc('month', trade_date), '
 _LINE_NO = "(CAST(datediff('day', DATE '1990-01-01', trade_date) AS BIGINT) * 10000000 + CAST(substr(ticker, 2, 10) AS BIGINT) * 2)"
 
 
+def _trade_lines(spark, sf_dir):
+    return M.materialize(spark, LD.raw_trade_lines(spark, sf_dir))
+
+
 def mapped_trades(spark, sf_dir):
-    headers, data = D.normalize_lines(LD.raw_trade_lines(spark, sf_dir), "trades")
+    headers, data = D.normalize_lines(_trade_lines(spark, sf_dir), "trades")
     return D.mapped_columns(data, D.header_positions(headers, TRADE_COLUMN_MAP), TRADE_TARGETS)
 
 
@@ -33,7 +38,7 @@ SELECT DISTINCT {_FILE} AS file_name, CAST(-1 AS BIGINT) AS header_line_no, ';'
        TRUE AS token_detected, TRUE AS valid
 FROM v_daily"""))
 def csv_headers(spark, sf_dir):
-    headers, _ = D.normalize_lines(LD.raw_trade_lines(spark, sf_dir), "trades")
+    headers, _ = D.normalize_lines(_trade_lines(spark, sf_dir), "trades")
     return headers.drop("header")
 
 
@@ -120,6 +125,6 @@ def locale_profile(spark, sf_dir):
 @register("register_transform", with_views(V_ASSETS, """
 SELECT ticker, asset_name, isin, segment, CAST(NULL AS VARCHAR) AS instrument_type, source_file_date FROM v_assets"""))
 def register_transform(spark, sf_dir):
-    headers, data = D.normalize_lines(LD.raw_register_lines(spark, sf_dir), "instruments", min_fields=4)
+    headers, data = D.normalize_lines(M.materialize(spark, LD.raw_register_lines(spark, sf_dir)), "instruments", min_fields=4)
     m = D.mapped_columns(data, D.header_positions(headers, INSTRUMENT_COLUMN_MAP), REGISTER_TARGETS)
     return TR.transform_instruments(m)

@@ -17,14 +17,18 @@ HIST_COLS = ("file_name, line_no, trade_date, ticker, codneg, cod_bdi, tp_merc,
 PAGE_START, PAGE_END = "1997-01-01", "1998-12-31"
 
 
+def _lines(spark, sf_dir):
+    return M.materialize(spark, M.hist_lines(spark, sf_dir))
+
+
 def historical(spark, sf_dir):
     """The historical table: parsed records, last row per natural key."""
-    return FW.dedupe_last(FW.parse_lines(M.hist_lines(spark, sf_dir)))
+    return FW.dedupe_last(FW.parse_lines(_lines(spark, sf_dir)))
 
 
 @register("fixed_width_parse", with_views(HIST_VIEWS, f"SELECT {HIST_COLS} FROM hist_rows"))
 def fixed_width_parse(spark, sf_dir):
-    return FW.parse_lines(M.hist_lines(spark, sf_dir))
+    return FW.parse_lines(_lines(spark, sf_dir))
 
 
 @register("hist_dedupe_last", with_views(HIST_VIEWS, f"SELECT {HIST_COLS} FROM hist"))
@@ -52,7 +56,7 @@ SELECT b.file_name, lines_read, header_rows, trailer_rows, quote_rows, skipped_w
        CAST(coalesce(in_file_duplicate_keys, 0) AS BIGINT) AS in_file_duplicate_keys
 FROM base b LEFT JOIN dup d ON b.file_name = d.file_name"""))
 def fixed_width_stats(spark, sf_dir):
-    return FW.parse_stats(M.hist_lines(spark, sf_dir))
+    return FW.parse_stats(_lines(spark, sf_dir))
 
 
 _HP = r"^00COTAHIST\.(\d{4})BOVESPA (\d{8})"
@@ -76,7 +80,7 @@ SELECT file_name,
        (CASE WHEN regexp_matches(t, '{_TP}') THEN TRY_CAST(regexp_extract(t, '{_TP}', 3) AS BIGINT) END) = quote_records AS count_matches
 FROM m"""))
 def hist_meta(spark, sf_dir):
-    return FW.file_metadata(M.hist_lines(spark, sf_dir))
+    return FW.file_metadata(_lines(spark, sf_dir))
 
 
 _PAGE_COLS = HIST_COLS.replace("last_price", "last_price AS close_price")
