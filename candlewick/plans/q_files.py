@@ -128,3 +128,16 @@ def register_transform(spark, sf_dir):
     headers, data = D.normalize_lines(M.materialize(spark, LD.raw_register_lines(spark, sf_dir)), "instruments", min_fields=4)
     m = D.mapped_columns(data, D.header_positions(headers, INSTRUMENT_COLUMN_MAP), REGISTER_TARGETS)
     return TR.transform_instruments(m)
+
+
+@register("backfill_status", with_views(DAILY_VIEWS, f"""
+, files AS (SELECT DISTINCT CAST(date_trunc('month', trade_date) AS DATE) AS day, {_FILE} AS path FROM v_daily),
+days AS (SELECT CAST(d AS DATE) AS day FROM generate_series(DATE '1998-01-01', DATE '1998-03-31', INTERVAL 1 DAY) t(d))
+SELECT days.day, CASE WHEN files.path IS NOT NULL THEN 'ok' ELSE 'skipped' END AS status, files.path
+FROM days LEFT JOIN files ON days.day = files.day"""))
+def backfill_status_q(spark, sf_dir):
+    from candlewick.sources.manifest import backfill_status
+
+    files = _trade_lines(spark, sf_dir).select(F.col("file_name").alias("name")).distinct() \
+        .withColumn("path", F.col("name"))
+    return backfill_status(spark, files, "1998-01-01", "1998-03-31")
