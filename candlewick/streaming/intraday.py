@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from candlewick.operators import candles as C
 from candlewick.operators.latest import latest_per_key
 from candlewick.operators.universe import within_session
-from candlewick.session import scratch_path
+from candlewick.session import ensure_checkpoint_dir, scratch_path
 from candlewick.sinks import merge as MG
 
 
@@ -103,6 +103,7 @@ def latest_stream(points: DataFrame, table: str, *, checkpoint: str, trigger_onc
             merged = latest_per_key(current.unionByName(batch.select(*current.columns)), "quoted_at")
         else:
             merged = batch
+        ensure_checkpoint_dir(spark)
         merged.checkpoint(eager=True).write.mode("overwrite").parquet(table)
 
     return _run(latest.writeStream.outputMode("update").foreachBatch(write), checkpoint, trigger_once)
