@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import common, quality, secrets, sharding
+from candlewick.llm import common, quality, secrets, sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -89,3 +89,10 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document among 40 equal shards, and its shard among 41."""
     placed = sharding.assign(common.table(spark, sf_dir, "documents"), [1.0] * 40, [1.0] * 41)
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+@register("op8_simhash_trie")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    found = simhash.near_duplicates(common.table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "fingerprint", "component_id")
