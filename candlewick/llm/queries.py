@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import common, quality, secrets, sharding, simhash
+from candlewick.llm import common, dac, packing, quality, secrets, sharding, simhash, token_ids
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -96,3 +96,18 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     found = simhash.near_duplicates(common.table(spark, sf_dir, "documents"))
     return found.select("doc_id", "fingerprint", "component_id")
+
+
+@register("op5_best_fit_packing")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every piece of every document in sequences of 4096 ids."""
+    found = packing.pieces(common.table(spark, sf_dir, "documents"), token_ids.word_bpe_path())
+    return packing.pack(found).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@register("op6_dac_token_files")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the ids of every document as addressable codes and read the files back."""
+    path = common.shared_path(spark, "dac")
+    dac.write(common.table(spark, sf_dir, "documents"), path, token_ids.word_bpe_path())
+    return dac.read(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
