@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import common, dac, packing, quality, secrets, sharding, simhash, token_ids
+from candlewick.llm import common, dac, packing, quality, secrets, sharding, simhash, token_ids, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -111,3 +111,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = common.shared_path(spark, "dac")
     dac.write(common.table(spark, sf_dir, "documents"), path, token_ids.word_bpe_path())
     return dac.read(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@register("op10_collision_counting")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and near-duplicate component of every vector."""
+    return vectors.near_duplicates(common.table(spark, sf_dir, "embeddings"))

@@ -240,7 +240,8 @@ def near_duplicates(df: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_B
     roots = components(edges)
     named = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     named = common.cut(named)
-    heads = named.groupBy("root").agg(F.min("first").alias("head"))
+    # Cut, so that the join below has an exchange on both sides and Spark can split a hot root.
+    heads = common.cut(named.groupBy("root").agg(F.min("first").alias("head")))
     names = named.join(heads, "root").select("fp", "head")
     return fps.join(names, "fp").select(
         "doc_id", "text_key", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("head.doc_id").alias("component_id"),
