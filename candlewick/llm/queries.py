@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import common, dac, packing, quality, secrets, sharding, simhash, token_ids, vectors
+from candlewick.llm import common, dac, main_text, packing, quality, secrets, sharding, simhash, token_ids, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -117,3 +117,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and near-duplicate component of every vector."""
     return vectors.near_duplicates(common.table(spark, sf_dir, "embeddings"))
+
+
+@register("op9_template_removal")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return main_text.extract(common.table(spark, sf_dir, "pages"))
