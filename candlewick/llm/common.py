@@ -35,6 +35,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Like ``cut`` for large tables: a compressed table in the shared folder."""
+    path = shared_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

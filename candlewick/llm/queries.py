@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import common, dac, main_text, packing, quality, secrets, sharding, simhash, token_ids, vectors
+from candlewick.llm import common, dac, main_text, packing, quality, secrets, sharding, simhash, substrings, token_ids, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -123,3 +123,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return main_text.extract(common.table(spark, sf_dir, "pages"))
+
+
+@register("op3_prefix_doubling")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document loses to strings of 50 bytes that an earlier document holds."""
+    return substrings.report(common.table(spark, sf_dir, "documents"))
