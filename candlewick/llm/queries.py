@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import common, dac, main_text, packing, quality, secrets, sharding, simhash, substrings, token_ids, vectors
+from candlewick.llm import common, dac, main_text, packing, quality, secrets, segmentations, sharding, simhash, substrings, token_ids, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -129,3 +129,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What every document loses to strings of 50 bytes that an earlier document holds."""
     return substrings.report(common.table(spark, sf_dir, "documents"))
+
+
+@register("op1_gumbel_segmentations")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampled segmentations of every document, decoded again."""
+    return segmentations.segment(common.table(spark, sf_dir, "documents"), segmentations.piece_model_path())
