@@ -4,9 +4,11 @@ Pieces (a document's ids and an end id, cut only past the capacity) are dealt
 by hash to groups of about ``GROUP`` pieces.  A group is packed by best-fit
 decreasing, and dual feasible functions give a lower bound for its number of
 bins: where both agree the group is certified optimal and done.  Groups with a
-gap keep their completely full bins and exchange the documents of the others:
-those pieces are dealt anew among the gap groups and packed again, until no
-group has a gap, one group holds all that is left, or ``ROUNDS`` is reached.
+gap keep their completely full bins and exchange the documents of the others.
+A certified group may still end on a loose bin, and many groups on as many, so
+bins under ``LOOSE`` of the capacity are exchanged too.  The exchanged pieces
+are dealt anew and packed again, until none are left, one group holds them all,
+or ``ROUNDS`` is reached.
 
 Ids never move: a worker cuts and checksums a text where it reads it, and only
 piece rows (a few numbers each) are shuffled.  Groups are bounded by ``GROUP``
@@ -28,6 +30,7 @@ from candlewick.llm import common, token_ids
 CAPACITY = 4096
 GROUP = 20_000
 ROUNDS = 4
+LOOSE = 0.95
 
 
 def pieces(df: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = token_ids.END_ID, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
@@ -120,7 +123,9 @@ def _packer(turn: int, capacity: int):
         bins, offsets = best_fit_decreasing(lengths, capacity)
         used = np.bincount(bins, weights=lengths)
         base = (turn << 56) + (int(part["__part"].iloc[0]) << 24)
-        return part.assign(sequence_id=base + bins, offset=offsets, certified=len(used) == lower_bound(lengths, capacity), __full=used[bins] == capacity)
+        certified = len(used) == lower_bound(lengths, capacity)
+        settled = used >= (LOOSE * capacity if certified else capacity)
+        return part.assign(sequence_id=base + bins, offset=offsets, certified=certified, __settled=settled[bins])
 
     return best
 
@@ -133,7 +138,7 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, group: int = GROUP, rounds:
     """
     names = rows.columns
     todo = common.cut(rows.withColumn("__uid", F.monotonically_increasing_id()))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in todo.schema), "__part int, sequence_id long, `offset` long, certified boolean, __full boolean"])
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in todo.schema), "__part int, sequence_id long, `offset` long, certified boolean, __settled boolean"])
     done = []
     for turn in range(rounds):
         n = todo.count()
@@ -144,9 +149,8 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, group: int = GROUP, rounds:
         if turn == rounds - 1 or groups == 1:
             done.append(packed)
             break
-        settled = F.col("certified") | F.col("__full")
-        done.append(packed.where(settled))
-        todo = packed.where(~settled).select(*names, "__uid")
+        done.append(packed.where("__settled"))
+        todo = packed.where("not __settled").select(*names, "__uid")
         if todo.isEmpty():
             break
     out = done[0]
