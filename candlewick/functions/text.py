@@ -91,7 +91,8 @@ def lookup_key(c) -> Column:
 
 
 def header_key(c) -> Column:
-    """C1 as a data expression: accents stripped, whitespace collapsed,
-    punctuation removed, lower case."""
-    s = F.regexp_replace(F.trim(strip_accents(_c(c))), r"\s+", " ")
-    return F.lower(F.trim(F.regexp_replace(s, r"[^\p{L}\p{N}_ ]", "")))
+    """C1 as a data expression: accents stripped, punctuation removed, words
+    joined by one space, lower case."""
+    words = F.split(F.lower(strip_accents(_c(c))), r"[\s\u00A0\u0085]+")
+    kept = F.transform(words, lambda w: F.regexp_replace(w, r"[^\p{L}\p{N}_]", ""))
+    return F.array_join(F.filter(kept, lambda w: w != ""), " ")

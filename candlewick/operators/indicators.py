@@ -26,8 +26,6 @@ from candlewick.functions.numbers import half_up
 # Accepted indicators and period bounds.
 INDICATORS = ("SMA", "EMA", "RSI")
 PERIOD_MIN, PERIOD_MAX = 2, 200
-# Ratio used when the average loss is zero and the average gain is not (RSI -> 100).
-RS_ZERO_LOSS = 1e9
 MICRO = 1_000_000
 
 _OUT_SCHEMA = "ticker string, trade_date date, value double"
@@ -63,57 +61,36 @@ def sma(closes: DataFrame, period: int) -> DataFrame:
     return closes.select("ticker", "trade_date", F.when(n >= period, rounded).alias("value"))
 
 
-def _ema_values(x: np.ndarray, period: int) -> np.ndarray:
-    out = np.full(len(x), np.nan)
-    if len(x) < period:
-        return out
-    alpha = 2.0 / (period + 1)
-    keep = 1.0 - alpha
-    xm = np.round(x * MICRO).astype(np.int64)
-    e = float(xm[:period].sum()) / float(period * MICRO)
-    out[period - 1] = e
-    for i in range(period, len(x)):
-        e = alpha * x[i] + keep * e
-        out[i] = e
-    return out
-
-
-def _rs_to_rsi(ag: float, al: float) -> float:
-    if al == 0.0:
-        rs = 1.0 if ag == 0.0 else RS_ZERO_LOSS
-    else:
-        rs = ag / al
-    return 100.0 - 100.0 / (1.0 + rs)
-
-
-def _rsi_values(x: np.ndarray, period: int) -> np.ndarray:
-    out = np.full(len(x), np.nan)
-    if len(x) < period + 1:
-        return out
-    xm = np.round(x * MICRO).astype(np.int64)
-    d = np.diff(xm)
-    gains = np.where(d > 0, d, 0)
-    losses = np.where(d < 0, -d, 0)
-    p = float(period)
-    p1 = float(period - 1)
-    ag = float(gains[:period].sum()) / p
-    al = float(losses[:period].sum()) / p
-    out[period] = _rs_to_rsi(ag, al)
-    for j in range(period, len(d)):
-        ag = (ag * p1 + float(gains[j])) / p
-        al = (al * p1 + float(losses[j])) / p
-        out[j + 1] = _rs_to_rsi(ag, al)
-    return out
-
-
-def _recurrence(closes: DataFrame, period: int, fn) -> DataFrame:
-    def per_ticker(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("trade_date", kind="stable")
-        vals = fn(pdf["close"].to_numpy(dtype=float), period)
-        return pd.DataFrame({"ticker": pdf["ticker"].to_numpy(), "trade_date": pdf["trade_date"].to_numpy(),
-                             "value": vals})
-
-    raw = closes.select("ticker", "trade_date", "close").groupBy("ticker").applyInPandas(per_ticker, _OUT_SCHEMA)
+def _smoothed(micros: np.ndarray, period: int, alpha: float) -> np.ndarray:
+    """Exponential mean of micro-units that starts from the plain mean of the
+    first ``period`` values; one entry per value from that point on."""
+    seeded = np.append(micros[:period].sum() / period, micros[period:])
+    return pd.Series(seeded).ewm(alpha=alpha, adjust=False).mean().to_numpy()
+
+
+def _ema_column(micros: np.ndarray, period: int) -> np.ndarray:
+    return _smoothed(micros, period, 2.0 / (period + 1)) / MICRO
+
+
+def _rsi_column(micros: np.ndarray, period: int) -> np.ndarray:
+    """Share of the smoothed rises in all smoothed moves, in percent; 50 where nothing moved."""
+    move = np.diff(micros)
+    up, down = (_smoothed(side, period, 1.0 / period) for side in (move.clip(min=0), (-move).clip(min=0)))
+    both = up + down
+    return np.divide(100.0 * up, both, out=np.full(len(both), 50.0), where=both > 0)
+
+
+def _per_ticker(closes: DataFrame, column, lead: int) -> DataFrame:
+    """Apply ``column`` to each ticker's series; the first ``lead`` rows have no value."""
+
+    def series(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("trade_date", kind="stable", ignore_index=True)
+        value = np.full(len(pdf), np.nan)
+        if len(pdf) > lead:
+            value[lead:] = column(np.rint(pdf["close"].to_numpy(float) * MICRO).astype(np.int64))
+        return pdf[["ticker", "trade_date"]].assign(value=value)
+
+    raw = closes.select("ticker", "trade_date", "close").groupBy("ticker").applyInPandas(series, _OUT_SCHEMA)
     v = F.col("value")
     return raw.select("ticker", "trade_date", F.when(~F.isnan(v), half_up(v, 4)).alias("value"))
 
@@ -122,14 +99,14 @@ def ema(closes: DataFrame, period: int) -> DataFrame:
     """alpha = 2/(p+1), seeded with the mean of the first ``p`` closes at
     index p-1; state not rounded, outputs rounded to 4 decimals."""
     check_period(period)
-    return _recurrence(closes, period, _ema_values)
+    return _per_ticker(closes, lambda m: _ema_column(m, period), period - 1)
 
 
 def rsi(closes: DataFrame, period: int) -> DataFrame:
     """Wilder RSI; first averages are plain means of the first ``p``
     gains / losses, then (prev * (p-1) + x) / p."""
     check_period(period)
-    return _recurrence(closes, period, _rsi_values)
+    return _per_ticker(closes, lambda m: _rsi_column(m, period), period)
 
 
 def indicator_series(quotes: DataFrame, indicator: str, period: int, *, start=None, end=None,

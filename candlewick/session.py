@@ -2,8 +2,9 @@
 
 Cluster jobs must keep durable intermediate state (checkpoints, staged table
 versions, streaming checkpoints) in the shared folder named by
-``spark.checkpoint.dir``.  That setting is read from the session; a private
-folder is only chosen when it is unset (local tests).
+``spark.checkpoint.dir``.  That setting is read from the session.  A session
+without it is an error, unless driver and executors are one local process,
+which gets a private folder.
 """
 
 from __future__ import annotations
@@ -35,8 +36,6 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "can
         builder = builder.config(k, v)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = builder.config("spark.driver.memory", os.environ.get("CANDLEWICK_DRIVER_MEMORY", "8g"))
-    # Local runs have no shared folder configured: give them a private one.
-    builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="candlewick-ckpt-"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -44,15 +43,19 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "can
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a private one only if unset."""
+    """The shared checkpoint folder of the session."""
     sc = spark.sparkContext
-    current = sc.getConf().get("spark.checkpoint.dir", None)
+    folder = sc.getConf().get("spark.checkpoint.dir", None)
+    current = sc.getCheckpointDir()  # a fresh subfolder of what was set, or None
+    if not folder and current:
+        folder = os.path.dirname(current)
+    if not folder:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="candlewick-ckpt-")
     if not current:
-        resolved = sc.getCheckpointDir()
-        current = os.path.dirname(resolved) if resolved else tempfile.mkdtemp(prefix="candlewick-ckpt-")
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(current)
-    return current
+        sc.setCheckpointDir(folder)
+    return folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
