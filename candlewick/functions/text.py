@@ -27,10 +27,15 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def strip(c) -> Column:
+    """Without white space of any kind (tabs, no-break spaces, ...) at either end."""
+    return F.regexp_replace(_c(c).cast("string"), r"(?U)^\s+|\s+$", "")
+
+
 def trim_strings(df: DataFrame) -> DataFrame:
     """Trim every string column, keep the others as they are."""
     return df.select(*[
-        F.trim(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`")
+        strip(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`")
         for f in df.schema.fields
     ])
 
@@ -41,20 +46,19 @@ def upper_string(c) -> Column:
 
 
 def blank_to_null(c) -> Column:
-    s = F.trim(_c(c).cast("string"))
+    s = strip(c)
     return F.when(s != "", s)
 
 
 def clip(c, n: int) -> Column:
     """Trim, keep at most ``n`` characters, empty -> null (C17)."""
-    s = F.substring(F.trim(_c(c).cast("string")), 1, n)
+    s = F.substring(strip(c), 1, n)
     return F.when(s != "", s)
 
 
 def ticker_from(*cols) -> Column:
     """C4: first non-empty of the candidate ticker columns, trimmed, upper."""
-    cands = [F.when(F.trim(_c(c).cast("string")) != "", F.trim(_c(c).cast("string"))) for c in cols]
-    return F.upper(F.coalesce(*cands))
+    return F.upper(F.coalesce(*[blank_to_null(c) for c in cols]))
 
 
 def sanitize_asset_columns(df: DataFrame) -> DataFrame:
@@ -87,7 +91,7 @@ def strip_accents(c) -> Column:
 
 def lookup_key(c) -> Column:
     """C26 register lookup key: lower, trim, accents stripped, punctuation kept."""
-    return F.lower(F.trim(strip_accents(_c(c))))
+    return F.lower(strip(strip_accents(_c(c))))
 
 
 def header_key(c) -> Column:

@@ -18,9 +18,11 @@ SAMPLE_INVALID = 3
 
 def validate_frame(df: DataFrame, *, required_columns: list[str], key_columns: list[str],
                    min_rows: int = 1, max_rows: int | None = None, enforce_unique_keys: bool = True,
-                   scope: str = "file_name") -> DataFrame:
+                   scope: str = "file_name", scopes: DataFrame | None = None) -> DataFrame:
     """A9 + U1: per ``scope`` value (e.g. file): row count bounds, blank keys,
-    duplicate keys, and missing required columns."""
+    duplicate keys, and missing required columns.  ``scopes`` lists every scope
+    value (a manifest): those without rows then count as 0 rows instead of
+    being absent."""
     missing = missing_columns(df.columns, required_columns)
     present_keys = [k for k in key_columns if k in df.columns]
     blank = F.lit(False)
@@ -32,6 +34,8 @@ def validate_frame(df: DataFrame, *, required_columns: list[str], key_columns: l
         F.count_distinct(F.struct(*[F.col(k) for k in present_keys])).alias("distinct_keys") if present_keys
         else F.lit(0).alias("distinct_keys"),
     )
+    if scopes is not None:
+        g = scopes.select(scope).distinct().join(g, scope, "left").fillna(0, ["rows", "blank_keys", "distinct_keys"])
     dup = F.col("rows") - F.col("distinct_keys")
     checks = F.array(
         F.struct(F.lit("min_rows").alias("rule"), (F.col("rows") >= min_rows).alias("ok"),
@@ -51,9 +55,10 @@ def validate_frame(df: DataFrame, *, required_columns: list[str], key_columns: l
 
 
 def raise_on_failure(checks: DataFrame) -> None:
-    bad = checks.where(~F.col("ok")).limit(20).collect()
+    """Error with the number of failed checks and, by rule, how many scopes failed and one of them."""
+    bad = checks.where(~F.col("ok")).groupBy("rule").agg(F.count(F.lit(1)).alias("n"), F.min("scope").alias("scope"), F.min_by("detail", "scope").alias("detail")).orderBy("rule").collect()
     if bad:
-        raise ValueError("validation failed: " + "; ".join(f"{r.scope}:{r.rule}={r.detail}" for r in bad))
+        raise ValueError(f"{sum(r.n for r in bad)} validation checks failed: " + "; ".join(f"{r.rule}: {r.n}, such as {r.scope} ({r.detail})" for r in bad))
 
 
 def locale_profile(df: DataFrame, columns: list[str], scope: str = "file_name") -> DataFrame:

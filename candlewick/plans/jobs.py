@@ -21,7 +21,9 @@ from candlewick.sinks import writers as WR
 from candlewick.sources import delimited as D
 from candlewick.sources import fixed_width as FW
 from candlewick.sources import jsonl as JS
-from candlewick.sources.manifest import historical_file_set
+from candlewick.session import ensure_checkpoint_dir
+from candlewick.sources.lines import scan_any
+from candlewick.sources.manifest import backfill_status, historical_file_set, manifest
 
 TRADE_TARGETS = ["ticker", "trade_date", "open_price", "min_price", "max_price", "avg_price", "last_price",
                  "variation_pct", "financial_volume", "trade_count"]
@@ -32,47 +34,55 @@ def _t(root: str, name: str) -> str:
     return os.path.join(root, name)
 
 
-def text_lines(spark: SparkSession, paths) -> DataFrame:
-    """(file_name, line_no, line) of text files, in file order."""
-    df = spark.read.text(paths if isinstance(paths, str) else list(paths))
-    return df.select(F.col("_metadata.file_name").alias("file_name"),
-                     (F.col("_metadata.file_block_start") * F.lit(1 << 20) + F.monotonically_increasing_id()).alias("line_no"),
-                     F.col("value").alias("line"))
-
-
 def _ledgered(spark, ledger, pipeline, fn, *, source_file=None, source_date=None):
     run = LG.start_run(spark, ledger, pipeline, source_file=source_file, source_date=source_date)
     try:
         n = fn()
     except Exception as e:
-        LG.finish_run(spark, ledger, run, pipeline, status="FAILED", rows_failed=1, message=str(e)[:2000])
+        LG.finish_run(spark, ledger, run, pipeline, status="FAILED", rows_failed=1, message=str(e))
         raise
     LG.finish_run(spark, ledger, run, pipeline, status="SUCCESS", rows_inserted=n)
     return n
 
 
+def read_register(spark: SparkSession, paths) -> DataFrame:
+    """Register files (plain or zipped) as mapped string columns."""
+    return D.load_files(scan_any(spark, paths), "instruments", INSTRUMENT_COLUMN_MAP, REGISTER_TARGETS, min_fields=4, min_columns=4)
+
+
+def read_trades(spark: SparkSession, paths, target_date=None) -> DataFrame:
+    """Trades or daily-quote files (plain or zipped) as mapped string columns
+    (S3, C13): rows of a file without a date column get ``target_date``, else
+    the date in the file's name."""
+    return D.load_files(scan_any(spark, paths), "trades", TRADE_COLUMN_MAP, TRADE_TARGETS, fallback={"trade_date": TR.undated(target_date)})
+
+
 def load_register_and_trades(spark: SparkSession, register_paths, trades_paths, tables_root: str, *,
                              target_date=None, load_ts=None) -> int:
-    """Register -> assets (K1) and trades -> daily trades (K2).  Both
-    batches are staged (checkpointed) first; zero rows is an error; tables are
-    written only after both stage successfully."""
+    """Register -> assets (K1) and trades -> daily trades (K2).
+
+    Both batches are staged first.  The register must have rows; no trades
+    files, or none with rows, is no error.  Trades are merged before the
+    register is published, so a failure leaves the register as it was; the
+    merge of trades is idempotent, so the next run completes the load.
+    """
     ledger = _t(tables_root, "_runs")
 
     def work():
-        h, d = D.normalize_lines(text_lines(spark, register_paths), "instruments", min_fields=4)
-        reg = TR.transform_instruments(D.mapped_columns(d, D.header_positions(h, INSTRUMENT_COLUMN_MAP), REGISTER_TARGETS))
-        h2, d2 = D.normalize_lines(text_lines(spark, trades_paths), "trades")
-        trades = TR.transform_trades(D.mapped_columns(d2, D.header_positions(h2, TRADE_COLUMN_MAP), TRADE_TARGETS), target_date)
+        ensure_checkpoint_dir(spark)
+        reg = TR.transform_instruments(read_register(spark, register_paths))
         reg = reg.withColumn("updated_at", F.current_timestamp().cast("timestamp_ntz") if load_ts is None
                              else F.lit(load_ts).cast("timestamp_ntz")).checkpoint(eager=True)
-        trades = trades.checkpoint(eager=True)
-        if reg.isEmpty() or trades.isEmpty():
-            raise ValueError("register or trades produced zero rows")
-        n = MG.upsert_unpartitioned(spark, reg, _t(tables_root, "dim_assets"), ["ticker"],
-                                    update=["asset_name", "isin", "segment", "instrument_type", "source_file_date", "updated_at"],
-                                    preserve={"is_active": F.lit(True), "created_at": F.col("updated_at")})
-        n += MG.upsert_partitions(spark, trades, _t(tables_root, "fact_daily_trades"), ["ticker", "trade_date"],
-                                  partition_col="trade_date", update=[c for c in trades.columns if c not in ("ticker", "trade_date")])
+        if reg.isEmpty():
+            raise ValueError("the register produced zero rows")
+        n = 0
+        if trades_paths:
+            trades = TR.transform_trades(read_trades(spark, trades_paths, target_date)).withColumnRenamed("last_price", "close_price")  # C25
+            n += MG.upsert_partitions(spark, trades, _t(tables_root, "fact_daily_trades"), ["ticker", "trade_date"],
+                                      partition_col="trade_date", update=[c for c in trades.columns if c not in ("ticker", "trade_date")])
+        n += MG.upsert_unpartitioned(spark, reg, _t(tables_root, "dim_assets"), ["ticker"],
+                                     update=["asset_name", "isin", "segment", "instrument_type", "source_file_date", "updated_at"],
+                                     preserve={"is_active": F.lit(True), "created_at": F.col("updated_at")})
         return n
 
     return _ledgered(spark, ledger, "instruments_and_trades", work, source_date=target_date)
@@ -81,8 +91,7 @@ def load_register_and_trades(spark: SparkSession, register_paths, trades_paths,
 def load_daily_quotes(spark: SparkSession, quotes_paths, tables_root: str, *, target_date=None) -> int:
     """Daily quotes (K3); zero rows is only a warning (returns 0)."""
     def work():
-        h, d = D.normalize_lines(text_lines(spark, quotes_paths), "trades")
-        q = TR.transform_daily_quotes(D.mapped_columns(d, D.header_positions(h, TRADE_COLUMN_MAP), TRADE_TARGETS), target_date)
+        q = TR.transform_daily_quotes(read_trades(spark, quotes_paths, target_date))
         return MG.upsert_partitions(spark, q, _t(tables_root, "fact_daily_quotes"), ["ticker", "trade_date"],
                                     partition_col="trade_date", update=[c for c in q.columns if c not in ("ticker", "trade_date")])
 
@@ -93,28 +102,29 @@ def load_intraday(spark: SparkSession, jsonl_paths, tables_root: str) -> int:
     """JSONL -> intraday points, insert-ignore (K4); returns rows really inserted."""
     def work():
         lines = JS.scan_jsonl_lines(spark, jsonl_paths)
-        # First write wins inside the batch: order = (file, position in the scan).
-        pts = JS.parse_jsonl(lines).withColumn("_ord", F.monotonically_increasing_id())
-        return MG.insert_ignore_table(spark, pts, _t(tables_root, "fact_quotes"), ["ticker", "quoted_at"],
-                                      partition_col="trade_date", order=["source_jsonl", "_ord"])
+        # First write wins inside the batch: order = (file, line, point).
+        return MG.insert_ignore_table(spark, JS.parse_jsonl(lines), _t(tables_root, "fact_quotes"), ["ticker", "quoted_at"],
+                                      partition_col="trade_date", order=["source_jsonl", "place"])
 
     return _ledgered(spark, _t(tables_root, "_runs"), "intraday_quotes", work)
 
 
-def load_historical(spark: SparkSession, txt_paths: list[str], tables_root: str) -> int:
-    """Fixed-width files, last row per natural key (K6) and upsert by
-    natural key (K5).  Multi-year sets are committed per two-year window so
-    that earlier windows survive a later failure; the last file wins."""
-    files = historical_file_set(spark.createDataFrame([(p, p.rsplit("/", 1)[-1]) for p in txt_paths], "path string, name string"))
-    windows = [r.load_window for r in files.select("load_window").distinct().orderBy("load_window").collect()]
+def load_historical(spark: SparkSession, paths: list[str], tables_root: str) -> int:
+    """Fixed-width files (plain or zipped), last row per natural key
+    (K6) and upsert by natural key (K5).  Multi-year sets are committed per
+    two-year window so that earlier windows survive a later failure; files
+    whose name holds no year form the last window.  The last file wins."""
+    files = historical_file_set(spark.createDataFrame([(p, p.rsplit("/", 1)[-1]) for p in paths], "path string, name string"))
+    by_window: dict[int, list[str]] = {}
+    for r in files.select("load_window", "path").orderBy("sort_key").collect():  # the given paths
+        by_window.setdefault(r.load_window, []).append(r.path)
     keys = list(FW.NATURAL_KEY)
 
     def work():
         total = 0
-        for w in windows:   # bounded by the number of two-year windows, not by data
-            paths = [r.path for r in files.where(F.col("load_window") == w).select("path").collect()]
-            rows = FW.dedupe_last(FW.parse_lines(FW.scan_lines(spark, paths)))
-            rows = rows.withColumn("year", F.year("trade_date"))
+        for w in sorted(by_window):
+            lines = scan_any(spark, by_window[w], kind="hist", encoding="ISO-8859-1")
+            rows = FW.dedupe_last(FW.parse_lines(lines)).withColumn("year", F.year("trade_date"))
             total += MG.upsert_partitions(spark, rows.drop("file_name", "line_no"), _t(tables_root, "fact_cotahist_daily"), keys,
                                           partition_col="year",
                                           update=[c for c in rows.columns if c not in keys and c not in ("file_name", "line_no", "year")])
@@ -123,10 +133,30 @@ def load_historical(spark: SparkSession, txt_paths: list[str], tables_root: str)
     return _ledgered(spark, _t(tables_root, "_runs"), "historical", work)
 
 
-def run_daily(spark: SparkSession, *, register_paths, trades_paths, jsonl_paths, tables_root: str, target_date=None) -> dict:
-    """Register -> trades -> quotes (same trades files) -> intraday."""
-    out = {"register_and_trades": load_register_and_trades(spark, register_paths, trades_paths, tables_root,
-                                                           target_date=target_date)}
+def backfill(spark: SparkSession, directory: str, tables_root: str, date_from, date_to, *, register_paths) -> DataFrame:
+    """Load every day of the range that has a trades file; one row per
+    day with status ok, skipped (no file) or error (with the message)."""
+    days = backfill_status(spark, manifest(spark, directory), date_from, date_to).orderBy("day").collect()
+    out = []
+    for r in days:  # one load per calendar day
+        status, message = r.status, None
+        if status == "ok":
+            try:
+                load_register_and_trades(spark, register_paths, [r.path], tables_root, target_date=r.day)
+                load_daily_quotes(spark, [r.path], tables_root, target_date=r.day)
+            except Exception as e:  # the other days still load
+                status, message = "error", str(e)
+        out.append((r.day, status, r.path, message))
+    return spark.createDataFrame(out, "day date, status string, path string, message string")
+
+
+def run_daily(spark: SparkSession, *, register_paths, trades_paths, jsonl_paths, tables_root: str, target_date=None,
+              historical_paths=None) -> dict:
+    """Historical (if given) -> register and trades -> quotes (same trades files) -> intraday."""
+    out = {}
+    if historical_paths:
+        out["historical"] = load_historical(spark, historical_paths, tables_root)
+    out["register_and_trades"] = load_register_and_trades(spark, register_paths, trades_paths, tables_root, target_date=target_date)
     out["daily_quotes"] = load_daily_quotes(spark, trades_paths, tables_root, target_date=target_date)
     out["intraday"] = load_intraday(spark, jsonl_paths, tables_root)
     return out
@@ -135,13 +165,8 @@ def run_daily(spark: SparkSession, *, register_paths, trades_paths, jsonl_paths,
 def run_payload_batch(spark: SparkSession, landed: DataFrame, out_dir: str) -> DataFrame:
     """Landed payloads -> JSONL histories (K8) and report (K9); a bad
     payload becomes a failure row, never an exception.  Returns A8 counts."""
-    from candlewick.sources.payloads import batch_outcome, payload_series
-
-    series = payload_series(landed).select(
-        "ticker", "trade_date",
-        F.coalesce(F.try_to_timestamp(F.concat_ws(" ", F.col("trade_date").cast("string"), "quote_time")),
-                   F.col("trade_date").cast("timestamp")).cast("timestamp_ntz").alias("quoted_at"),
-        "close_price", "price_fluctuation_pct")
-    WR.write_jsonl(series, os.path.join(out_dir, "jsonl"))
+    from candlewick.sources.payloads import batch_outcome
+
+    WR.write_payload_records(landed, os.path.join(out_dir, "jsonl"))
     WR.write_report(landed, os.path.join(out_dir, "report"))
     return batch_outcome(spark.read.option("header", True).option("inferSchema", True).csv(os.path.join(out_dir, "report")))

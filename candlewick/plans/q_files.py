@@ -9,12 +9,15 @@ from candlewick.functions.dates import DATE_FORMATS, try_date
 from candlewick.functions.headers import INSTRUMENT_COLUMN_MAP, TRADE_COLUMN_MAP
 from candlewick.functions.numbers import load_number, locale_number
 from candlewick.operators import quality as Q
+from candlewick.plans import jobs as J
 from candlewick.plans import landing as LD
 from candlewick.plans import market_tables as M
 from candlewick.plans import transforms as TR
 from candlewick.plans.catalog import register
-from candlewick.plans.oracle_views import DAILY_VIEWS, V_ASSETS, with_views
+from candlewick.plans.oracle_views import DAILY_VIEWS, HIST_VIEWS, V_ASSETS, with_views
+from candlewick.session import scratch_path
 from candlewick.sources import delimited as D
+from candlewick.sources import fixed_width as FW
 
 TRADE_TARGETS = ["ticker", "trade_date", "open_price", "min_price", "max_price", "avg_price", "last_price",
                  "variation_pct", "financial_volume", "trade_count"]
@@ -25,7 +28,7 @@ _LINE_NO = "(CAST(datediff('day', DATE '1990-01-01', trade_date) AS BIGINT) * 10
 
 
 def _trade_lines(spark, sf_dir):
-    return M.materialize(spark, LD.raw_trade_lines(spark, sf_dir))
+    return LD.raw_trade_lines(spark, sf_dir)
 
 
 def mapped_trades(spark, sf_dir):
@@ -125,7 +128,7 @@ def locale_profile(spark, sf_dir):
 @register("register_transform", with_views(V_ASSETS, """
 SELECT ticker, asset_name, isin, segment, CAST(NULL AS VARCHAR) AS instrument_type, source_file_date FROM v_assets"""))
 def register_transform(spark, sf_dir):
-    headers, data = D.normalize_lines(M.materialize(spark, LD.raw_register_lines(spark, sf_dir)), "instruments", min_fields=4)
+    headers, data = D.normalize_lines(LD.raw_register_lines(spark, sf_dir), "instruments", min_fields=4)
     m = D.mapped_columns(data, D.header_positions(headers, INSTRUMENT_COLUMN_MAP), REGISTER_TARGETS)
     return TR.transform_instruments(m)
 
@@ -141,3 +144,51 @@ def backfill_status_q(spark, sf_dir):
     files = _trade_lines(spark, sf_dir).select(F.col("file_name").alias("name")).distinct() \
         .withColumn("path", F.col("name"))
     return backfill_status(spark, files, "1998-01-01", "1998-03-31")
+
+
+def _land(spark, lines, name):
+    """Write (file_name, line_no, line) as real text files, one folder per file."""
+    folder = scratch_path(spark, name)
+    lines.repartition("file_name").sortWithinPartitions("file_name", "line_no").select("file_name", "line").write.partitionBy("file_name").text(folder)
+    return folder
+
+
+@register("daily_files_load", with_views(DAILY_VIEWS, """
+SELECT ticker, trade_date, open_price, last_price, CASE WHEN trade_count = 1 THEN NULL ELSE min_price END AS min_price,
+       max_price, avg_price, variation_pct,
+       CASE WHEN financial_volume >= 1000 THEN NULL ELSE financial_volume END AS financial_volume, trade_count
+FROM v_daily"""))
+def daily_files_load(spark, sf_dir):
+    """S3 + S7 + P2 over landed files (same base names in many folders)."""
+    folder = _land(spark, LD.raw_trade_lines(spark, sf_dir), "trades-landed")
+    return TR.transform_trades(J.read_trades(spark, folder)).drop("source_file_name")
+
+
+@register("undated_files_load", with_views(DAILY_VIEWS, """
+, o AS (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY trade_date) AS rn FROM v_daily)
+SELECT ticker, DATE '2002-03-04' AS trade_date, open_price, last_price, trade_count FROM o WHERE rn = 1"""))
+def undated_files_load(spark, sf_dir):
+    """Trades files without a date column (comma separated, quoted
+    fields, a preamble) take the load's date; first row per ticker wins."""
+    b = M.daily_bars(spark, sf_dir)
+    number = F.col("ticker")
+    row = F.concat_ws(",", F.concat(F.lit('"'), number, F.lit('"')), F.concat(F.lit('"a, b"')), F.col("open_price").cast("string"), F.col("last_price").cast("string"), F.col("trade_count").cast("string"))
+    rows = b.select(F.concat(F.lit("f"), F.pmod(F.xxhash64("ticker"), F.lit(4)).cast("string")).alias("file_name"), F.datediff("trade_date", F.lit("1990-01-01")).cast("bigint").alias("line_no"), row.alias("line"))
+    heads = rows.select("file_name").distinct().select("file_name", F.explode(F.array(
+        F.struct(F.lit(-2).cast("bigint").alias("line_no"), F.lit("report").alias("line")),
+        F.struct(F.lit(-1).cast("bigint").alias("line_no"), F.lit('TckrSymb,"Descrição, longa",Preço de abertura,LastPric,TradQty').alias("line")))).alias("x")).select("file_name", "x.line_no", "x.line")
+    folder = _land(spark, rows.unionByName(heads), "undated-landed")
+    out = TR.transform_trades(J.read_trades(spark, folder, "2002-03-04"))
+    return out.select("ticker", "trade_date", "open_price", "last_price", "trade_count")
+
+
+@register("hist_files_load", with_views(HIST_VIEWS, """
+SELECT trade_date, ticker, codneg, especi, isin, open_price, max_price, min_price, avg_price, last_price, trade_count,
+       quantity_total, volume_financial, expiration_date, expiration_key
+FROM hist"""))
+def hist_files_load(spark, sf_dir):
+    """S8 + K6 over landed files: records in file and line order, last wins."""
+    folder = _land(spark, M.hist_lines(spark, sf_dir), "hist-landed")
+    rows = FW.dedupe_last(FW.parse_lines(FW.scan_lines(spark, folder)))
+    return rows.select("trade_date", "ticker", "codneg", "especi", "isin", "open_price", "max_price", "min_price", "avg_price", "last_price",
+                       "trade_count", "quantity_total", "volume_financial", "expiration_date", "expiration_key")

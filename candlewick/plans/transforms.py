@@ -3,7 +3,7 @@
 Input: a DataFrame of internal-name string columns plus ``file_name`` and
 ``line_no`` (file order).  Every step is a column expression or an aggregate;
 the only per-file decision (which date layout a column uses, C9) is made by
-one grouped aggregate joined back on ``file_name``.
+one grouped aggregate: one row per file, broadcast if proven small.
 """
 
 from __future__ import annotations
@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from candlewick.functions.dates import DATE_FORMATS, file_name_date, try_date
 from candlewick.functions.numbers import load_number
-from candlewick.functions.text import sanitize_asset_columns
+from candlewick.functions.text import sanitize_asset_columns, strip
+from candlewick.sources.lines import base_name, per_file
 
 # Numeric columns of the daily tables and the required set.
 TRADE_NUMERIC = ("open_price", "last_price", "min_price", "max_price", "avg_price", "variation_pct",
@@ -26,7 +27,7 @@ REQUIRED_TRADE_COLUMNS = ("ticker", "trade_date", "last_price")
 def trim_all(df: DataFrame, skip=("file_name", "line_no")) -> DataFrame:
     """C5 on every string column."""
     return df.select(*[
-        F.trim(F.col(f.name)).alias(f.name) if f.dataType.simpleString() == "string" and f.name not in skip else F.col(f.name)
+        strip(f.name).alias(f.name) if f.dataType.simpleString() == "string" and f.name not in skip else F.col(f.name)
         for f in df.schema.fields
     ])
 
@@ -46,7 +47,7 @@ def dates_by_file_format(df: DataFrame, column: str, key: str = "file_name", for
     for i, f in enumerate(formats):
         parsed = F.when(F.col("_fmt") == i, try_date(column, f)).otherwise(parsed)
     parsed = F.when(F.col("_fmt").isNull(), F.col(column).try_cast("date")).otherwise(parsed)
-    return df.join(chosen, key, "left").withColumn(column, parsed).drop("_fmt")
+    return df.join(per_file(chosen), key, "left").withColumn(column, parsed).drop("_fmt")
 
 
 def keep_first(df: DataFrame, keys: list[str], order=("file_name", "line_no")) -> DataFrame:
@@ -58,13 +59,19 @@ def keep_first(df: DataFrame, keys: list[str], order=("file_name", "line_no")) -
     ).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in others])
 
 
+def undated(target_date=None):
+    """The date text of a file that has no date column."""
+    if target_date is not None:
+        return F.lit(str(target_date))
+    return F.date_format(file_name_date(base_name("file_name")), "yyyy-MM-dd")
+
+
 def _daily(df: DataFrame, numeric: tuple[str, ...], target_date=None) -> DataFrame:
     if "ticker" not in df.columns:
         raise ValueError(f"ticker column absent; columns: {df.columns}")
     if "trade_date" not in df.columns:
         # Column, else target date, else the date in the file name.
-        derived = F.lit(str(target_date)) if target_date is not None else F.date_format(file_name_date(F.col("file_name")), "yyyy-MM-dd")
-        df = df.withColumn("trade_date", derived)
+        df = df.withColumn("trade_date", undated(target_date))
     df = trim_all(df)
     df = df.withColumn("ticker", F.upper(F.col("ticker").cast("string")))   # C6
     df = dates_by_file_format(df, "trade_date")                              # C9
@@ -73,7 +80,7 @@ def _daily(df: DataFrame, numeric: tuple[str, ...], target_date=None) -> DataFra
     df = df.withColumn("trade_count", F.col("trade_count").cast("bigint"))
     df = df.where(F.col("ticker").isNotNull() & (F.col("ticker") != "") & F.col("trade_date").isNotNull())  # F1
     df = keep_first(df.select("ticker", "trade_date", *numeric, "file_name", "line_no"), ["ticker", "trade_date"])
-    return df.select("ticker", "trade_date", *numeric, F.col("file_name").alias("source_file_name"))
+    return df.select("ticker", "trade_date", *numeric, base_name("file_name").alias("source_file_name"))
 
 
 def transform_trades(df: DataFrame, target_date=None) -> DataFrame:

@@ -38,6 +38,7 @@ def _append(spark: SparkSession, path: str, row: tuple) -> None:
 def start_run(spark: SparkSession, path: str, pipeline_name: str, *, kind: str = "etl", source_file: str | None = None,
               source_date: dt.date | None = None, now: dt.datetime | None = None) -> str:
     run_id = uuid.uuid4().hex
+    source_date = dt.date.fromisoformat(source_date) if isinstance(source_date, str) else source_date
     at = (now or dt.datetime.now(dt.timezone.utc)).replace(tzinfo=None)
     _append(spark, path, (run_id, kind, pipeline_name, "RUNNING", 0, at, source_file, source_date, None, None, 0, None))
     return run_id

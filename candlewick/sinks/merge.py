@@ -8,17 +8,16 @@ Plain parquet has no MERGE, so an upsert is expressed as DataFrames:
 * ``insert_ignore`` - first row per key inside the batch, then a left-anti
   join against the target: existing keys are never touched.
 
-The table writers apply them to parquet tables partitioned by date:
-only the partitions the batch touches are read, merged and replaced
-(``partitionOverwriteMode=dynamic``).  Re-running a load gives the same
-table, so a job that fails mid-commit is repaired by running it again; the
-merge inputs stay readable until the commit because Spark writes to a
-staging folder first.
+The writers apply them to parquet tables partitioned by date: the touched
+partition values are listed as literals, so only their folders are read, and
+only they are replaced (``partitionOverwriteMode=dynamic``).  Batch and merged
+rows are staged in the shared folder first, so a load that fails while it
+writes is repaired by running it again.
 """
 
 from __future__ import annotations
 
-import os
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,39 +65,77 @@ def insert_ignore(target: DataFrame, batch: DataFrame, keys: list[str], *, order
     return new_rows, target.unionByName(new_rows.select(*target.columns))
 
 
-def last_wins(batch: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """K6: last row per key in ``order`` (file order, line order)."""
-    others = [c for c in batch.columns if c not in keys]
-    return batch.groupBy(*keys).agg(
-        F.max_by(F.struct(*[F.col(c) for c in others]), F.struct(*[F.col(c) for c in order])).alias("_r")
-    ).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in others])
+# --------------------------------------------------------------------------- parquet tables
 
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
-# --------------------------------------------------------------------------- parquet tables
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def _rename(spark: SparkSession, old: str, new: str) -> None:
+    fs, p = _fs(spark, old)
+    if not fs.rename(p, _fs(spark, new)[1]):
+        raise OSError(f"cannot rename {old} to {new}")
+
+
+def _stage(df: DataFrame) -> DataFrame:
+    """Evaluate a batch once, into the shared checkpoint folder."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+#: Partition values that a batch may touch and still prune by a literal list.
+MAX_TOUCHED = 10_000
+#: Rows that one task writes into a date partition.
+ROWS_PER_FILE = 2_000_000
+
+
+def _touched(current: DataFrame, batch: DataFrame, partition_col: str) -> DataFrame:
+    """The target's partitions that the batch has rows for.
+
+    Partition values (days or years) are listed as literals, so the scan reads
+    those folders only; a batch with more of them than ``MAX_TOUCHED`` is
+    joined instead.
+    """
+    values = [r[0] for r in batch.select(partition_col).distinct().limit(MAX_TOUCHED + 1).collect()]
+    if len(values) > MAX_TOUCHED:
+        return current.join(batch.select(partition_col).distinct(), partition_col, "left_semi")
+    return current.where(F.col(partition_col).isin(values))
+
+
+def _spread(df: DataFrame, rows: int, partition_col: str, keys: list[str]) -> DataFrame:
+    """Deal rows by partition value and a bounded salt of the key: about one
+    file for every ``ROWS_PER_FILE`` rows, so neither a hot date in one task
+    nor many small files."""
+    salts = max(1, -(-rows // ROWS_PER_FILE))
+    return df.repartition(F.col(partition_col), F.pmod(F.xxhash64(*keys), F.lit(salts)))
 
 
 def upsert_partitions(spark: SparkSession, batch: DataFrame, path: str, keys: list[str], *, partition_col: str,
                       update: list[str], preserve: dict[str, Column] | None = None) -> int:
     """K2/K3/K5 on a partitioned parquet table: only partitions present in
-    the batch are read, merged and replaced.  Returns the batch key count."""
-    n = batch.select(*keys).distinct().count()   # K7: rows affected
+    the batch are read, merged and replaced.  The batch, one row per key, is
+    evaluated once.  Returns the number of batch rows (K7)."""
+    batch = _stage(batch)
+    n = batch.count()
     if n == 0:
         return 0
+    if partition_col not in keys and partition_col not in update:
+        update = [*update, partition_col]  # derived from the key: the same for old and new rows
     if _exists(spark, path):
         current = spark.read.parquet(path)
-        touched = batch.select(partition_col).distinct()
-        target = current.join(touched, partition_col, "left_semi")
-        merged = merge_upsert(target, batch, keys, update=update, preserve=preserve)
+        merged = merge_upsert(_touched(current, batch, partition_col), batch, keys, update=update, preserve=preserve)
         merged = merged.select(*current.columns)
     else:
         merged = merge_upsert(batch.limit(0), batch, keys, update=update, preserve=preserve)
-    # Spread by key as well: one hot date must not be written by a single task.
-    (merged.repartition(partition_col, *keys).write.mode("overwrite")
+    # Staged: the target is read to the end before any of it is replaced.
+    merged = _stage(merged)
+    (_spread(merged, merged.count(), partition_col, keys).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
     return n
 
@@ -106,43 +143,71 @@ def upsert_partitions(spark: SparkSession, batch: DataFrame, path: str, keys: li
 def insert_ignore_table(spark: SparkSession, batch: DataFrame, path: str, keys: list[str], *, partition_col: str,
                         order: list[str] | None = None) -> int:
     """K4 on a partitioned parquet table: append only unseen keys; returns
-    the number of rows really inserted.  The new rows are materialised once
-    in the shared checkpoint folder so the count and the append agree even if
-    executors are lost in between."""
+    the number of rows really inserted.  Batch and new rows are evaluated once
+    each, so the count and the append agree even if executors are lost in
+    between."""
+    batch = _stage(batch)
     if _exists(spark, path):
-        current = spark.read.parquet(path)
-        touched = batch.select(partition_col).distinct()
-        target = current.join(touched, partition_col, "left_semi")
+        target = _touched(spark.read.parquet(path), batch, partition_col)
     else:
         target = batch.drop(*(order or [])).limit(0)
-    new_rows, _ = insert_ignore(target, batch, keys, order=order)
-    ensure_checkpoint_dir(spark)
-    new_rows = new_rows.checkpoint(eager=True)
+    new_rows = _stage(insert_ignore(target, batch, keys, order=order)[0])
     n = new_rows.count()
     if n:
-        new_rows.repartition(partition_col, *keys).write.mode("append").partitionBy(partition_col).parquet(path)
+        _spread(new_rows, n, partition_col, keys).write.mode("append").partitionBy(partition_col).parquet(path)
     return n
 
 
+def read_published(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table that ``publish`` wrote last, or None.  A publish that was
+    interrupted between its two renames is undone first."""
+    previous = path.rstrip("/") + ".previous"
+    if not _exists(spark, path) and _exists(spark, previous):
+        _rename(spark, previous, path)
+    return spark.read.parquet(path) if _exists(spark, path) else None
+
+
+def publish(spark: SparkSession, df: DataFrame, path: str) -> None:
+    """Replace an unpartitioned table as a whole.
+
+    The new version is written beside the table and takes its place by
+    renames; the old one is deleted last.  At every moment the old or the new
+    version is complete, and ``read_published`` finds it.
+    """
+    path = path.rstrip("/")
+    new, previous = f"{path}.new-{uuid.uuid4().hex[:12]}", f"{path}.previous"
+    df.write.mode("overwrite").parquet(new)
+    if _exists(spark, path):
+        fs, p = _fs(spark, previous)
+        fs.delete(p, True)
+        _rename(spark, path, previous)
+    _rename(spark, new, path)
+    fs, p = _fs(spark, previous)
+    fs.delete(p, True)
+
+
 def upsert_unpartitioned(spark: SparkSession, batch: DataFrame, path: str, keys: list[str], *,
                          update: list[str], preserve: dict[str, Column] | None = None) -> int:
-    """K1 on an unpartitioned table (the instrument register): the merged
-    table is checkpointed to the shared folder (lineage cut, so the overwrite
-    no longer reads the path it replaces), then written over the table."""
-    n = batch.select(*keys).distinct().count()
+    """K1 on an unpartitioned table (the instrument register): merge with the
+    published version and publish the result.  Returns the number of batch
+    rows, one per key."""
+    batch = _stage(batch)
+    n = batch.count()
     if n == 0:
         return 0
-    target = spark.read.parquet(path) if _exists(spark, path) else None
+    target = read_published(spark, path)
     if target is None:
         empty = batch.select(*keys, *update)
         for c, d in (preserve or {}).items():
             empty = empty.withColumn(c, d)
         target = empty.limit(0)
-    ensure_checkpoint_dir(spark)
-    merged = merge_upsert(target, batch, keys, update=update, preserve=preserve).checkpoint(eager=True)
-    merged.write.mode("overwrite").parquet(path)
+    publish(spark, merge_upsert(target, batch, keys, update=update, preserve=preserve), path)
     return n
 
 
-def table_path(root: str, name: str) -> str:
-    return os.path.join(root, name)
+def attach_asset_id(facts: DataFrame, assets: DataFrame) -> DataFrame:
+    """Facts with the ``asset_id`` of their ticker's register row, null
+    where the register has none.  Facts are kept whole; the register has one
+    row per ticker, and Spark broadcasts it only if its measured size allows."""
+    ids = assets.select("ticker", F.xxhash64("ticker").alias("asset_id"))
+    return facts.drop("asset_id").join(ids, "ticker", "left")

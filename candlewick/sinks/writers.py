@@ -4,9 +4,10 @@ atomic at the folder level (files appear on job commit)."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from candlewick.sources.jsonl import write_jsonl_records
-from candlewick.sources.payloads import batch_report
+from candlewick.sources.jsonl import record_json, write_jsonl_records
+from candlewick.sources.payloads import batch_report, payload_records
 
 
 def write_jsonl(points: DataFrame, path: str) -> None:
@@ -15,6 +16,12 @@ def write_jsonl(points: DataFrame, path: str) -> None:
         .partitionBy("trade_date").text(path)
 
 
+def write_payload_records(landed: DataFrame, path: str) -> None:
+    """The JSONL record of every readable payload, one folder per trade date."""
+    payload_records(landed).select("trade_date", record_json(F.col("record")).alias("value")).write.mode("overwrite") \
+        .partitionBy("trade_date").text(path)
+
+
 def write_report(landed: DataFrame, path: str) -> None:
     """K9: the per-ticker report CSV (header, seven columns)."""
     batch_report(landed).write.mode("overwrite").option("header", True).csv(path)

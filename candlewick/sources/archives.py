@@ -1,20 +1,21 @@
 """Zipped sources and text decoding.
 
-A zip is not splittable, so each archive is one task: ``binaryFile`` gives the
-archive bytes, ``mapInPandas`` opens the chosen member and streams its lines
-out in Arrow batches (the member is never materialised as one string).
+A zip is not splittable, so each archive is one task: ``binaryFile`` lists the
+paths (no content is read), ``mapInPandas`` opens each by its path and streams
+the chosen member's lines out in Arrow batches; neither the archive nor the
+member is ever held whole.
 Decoding follows the fallback utf-8-sig -> utf-8 -> latin-1 (fixed-width
 files are latin-1 by definition).
 """
 
 from __future__ import annotations
 
-import io
 import re
 import zipfile
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow.fs as pafs
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Member-name rules.
@@ -25,13 +26,6 @@ BATCH_LINES = 50_000
 LINES_SCHEMA = "archive string, member string, file_year int, line_no long, line string"
 
 
-def decode_text(binary: Column) -> Column:
-    """S6 in Spark: UTF-8 when the bytes are valid UTF-8 (BOM stripped), else
-    ISO-8859-1."""
-    as_utf8 = F.regexp_replace(F.decode(binary, "UTF-8"), "^﻿", "")
-    return F.when(F.is_valid_utf8(binary.cast("string")), as_utf8).otherwise(F.decode(binary, "ISO-8859-1"))
-
-
 def pick_csv_member(names: list[str]) -> str | None:
     """The first ``*.csv`` member (case-insensitive)."""
     return next((n for n in names if n.lower().endswith(".csv")), None)
@@ -77,8 +71,10 @@ def zip_lines(spark: SparkSession, paths, *, kind: str = "csv", encoding: str |
 
     def unzip(batches):
         for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as zf:
+            for path in pdf["path"]:
+                # The member is read through a stream of the archive's path: never whole in memory.
+                fs, inner = pafs.FileSystem.from_uri(path)
+                with fs.open_input_file(inner) as raw_file, zipfile.ZipFile(raw_file) as zf:
                     member = pick(zf.namelist())
                     if member is None:
                         raise ValueError(f"{path}: no {kind} member in {zf.namelist()}")
@@ -95,4 +91,4 @@ def zip_lines(spark: SparkSession, paths, *, kind: str = "csv", encoding: str |
                         yield pd.DataFrame(rows, columns=["archive", "member", "file_year", "line_no", "line"])
 
     files = spark.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths))
-    return files.select("path", "content").mapInPandas(unzip, LINES_SCHEMA)
+    return files.select(F.regexp_replace("path", "^file:/+", "file:///").alias("path")).mapInPandas(unzip, LINES_SCHEMA)

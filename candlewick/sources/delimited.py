@@ -1,29 +1,24 @@
 """Delimited files: register and trades CSVs (S1-S3, S6, S7, S7a-S7d, C1, C2).
 
-Two entry points:
-
-* ``read_delimited`` - one file or folder with a known layout: the header
-  line is read with ``spark.read.text(...).limit(1)``, the separator chosen on
-  the driver (metadata only), then ``spark.read.csv`` with an all-string
-  schema and one ``select`` of mapped columns.
-* ``normalize_lines`` / ``mapped_columns`` - many files at once as
-  (file_name, line_no, line): the header of every file is found *in Spark*
-  (preamble skipped, delimiter sniffed, data-looking lines rejected) and the
-  fields are mapped to internal names by header position, so files with
-  different headers and separators go through one job.  Fields are split on
-  the separator; quoted separators are handled by ``read_delimited`` only.
+``normalize_lines`` finds the header of every file *in Spark* (preamble
+skipped, delimiter sniffed, data-looking lines rejected); ``load_files`` maps
+the fields of many files at once to internal names by header position, so
+files with different headers and separators go through one job.  Separators
+inside double quotes are honoured.  What is known of a file is one row of a
+small table that is broadcast if its size is proven; lines are not shuffled.
 """
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from candlewick.functions.headers import map_columns, normalize_name, validate_instrument_header
+from candlewick.functions.headers import normalize_name
 from candlewick.functions.text import header_key
+from candlewick.sources.lines import per_file, split_fields
 
 # Separators tried in order, header search depth.
 SEPARATORS = (";", ",", "\t", "|")
@@ -45,41 +40,8 @@ def choose_separator(header_line: str, min_columns: int) -> str | None:
     return None
 
 
-def read_header_line(spark: SparkSession, path: str) -> str:
-    first = spark.read.text(path).limit(1).collect()
-    if not first:
-        raise ValueError(f"{path!r} is empty")
-    return first[0][0].lstrip("﻿")
-
-
-def read_delimited(spark: SparkSession, path: str, mapping: dict[str, str], *, min_columns: int = 2,
-                   keep: list[str] | None = None, encoding: str = "UTF-8", check_instrument_header: bool = False) -> DataFrame:
-    """Scan a delimited file (all strings, ragged lines tolerated) and
-    project it onto internal names; raises when no column maps."""
-    header = read_header_line(spark, path)
-    sep = choose_separator(header, min_columns)
-    if sep is None:
-        raise ValueError(f"{path!r}: no separator gives >= {min_columns} columns")
-    names = [h.strip() for h in header.split(sep)]
-    if check_instrument_header:
-        validate_instrument_header(names, path)
-    chosen = map_columns(names, mapping)
-    if not chosen:
-        raise ValueError(f"{path!r}: no column maps to an internal name ({names!r})")
-    df = (spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
-          .option("mode", "PERMISSIVE").option("inferSchema", False).csv(path))
-    targets = keep if keep is not None else list(dict.fromkeys(mapping.values()))
-    # Spark de-duplicates repeated header names; map by position instead of name.
-    cols = [F.col(f"`{df.columns[names.index(chosen[t])]}`").alias(t) for t in targets if t in chosen]
-    return df.select(*cols, F.col("_metadata.file_name").alias("file_name"))
-
-
 # --------------------------------------------------------------------------- many files, in Spark
 
-def _split(line: Column, sep: Column) -> Column:
-    return F.split(line, F.concat(F.lit("\\Q"), sep, F.lit("\\E")))
-
-
 def _field_count(line: Column, sep: str) -> Column:
     return F.size(F.split(line, re.escape(sep)))
 
@@ -115,7 +77,7 @@ def normalize_lines(lines: DataFrame, table_key: str, *, min_fields: int = 3) ->
     """
     line = F.regexp_replace(F.col("line"), "^﻿", "")
     sep = sniff_separator(line)
-    fields = _split(line, sep)
+    fields = split_fields(line, sep)
     nonempty = F.size(F.filter(fields, lambda x: F.trim(x) != ""))
     words = F.transform(fields, lambda x: header_key(x))
     token_re = r"\b(" + "|".join(EXPECTED_TOKENS[table_key]) + r")\b"
@@ -132,13 +94,13 @@ def normalize_lines(lines: DataFrame, table_key: str, *, min_fields: int = 3) ->
         (F.trim(line) != "").alias("nonblank"),
     )
     order = F.col("line_no")
-    per_file = cand.groupBy("file_name").agg(
+    found = cand.groupBy("file_name").agg(
         F.min_by(F.struct("line_no", "sep", "fields"), F.when(F.col("strong"), order)).alias("s"),
         F.min_by(F.struct("line_no", "sep", "fields"), F.when(F.col("weak"), order)).alias("w"),
         F.min_by(F.struct("line_no", "sep", "fields"), F.when(F.col("nonblank"), order)).alias("n"),
     )
     chosen = F.coalesce("s", "w", "n")
-    headers = per_file.select(
+    headers = found.select(
         "file_name",
         chosen["line_no"].alias("header_line_no"),
         chosen["sep"].alias("sep"),
@@ -146,10 +108,11 @@ def normalize_lines(lines: DataFrame, table_key: str, *, min_fields: int = 3) ->
         F.col("s").isNotNull().alias("token_detected"),
         ((F.size(chosen["fields"]) >= 2) & F.exists(chosen["fields"], lambda x: F.trim(x) != "")).alias("valid"),
     )
+    small = per_file(headers.select("file_name", "header_line_no", "sep"))
     data = (
-        lines.join(headers.select("file_name", "header_line_no", "sep"), "file_name")
+        lines.join(small, "file_name")
         .where((F.col("line_no") > F.col("header_line_no")) & (F.trim("line") != ""))
-        .select("file_name", "line_no", _split(F.col("line"), F.col("sep")).alias("fields"))
+        .select("file_name", "line_no", split_fields(F.col("line"), F.col("sep")).alias("fields"))
     )
     return headers, data
 
@@ -175,10 +138,50 @@ def header_positions(headers: DataFrame, mapping: dict[str, str]) -> DataFrame:
 
 def mapped_columns(data: DataFrame, positions: DataFrame, targets: list[str]) -> DataFrame:
     """Project split data lines onto internal names (string columns)."""
-    j = data.join(positions, "file_name")
+    j = data.join(per_file(positions), "file_name")
     out = [F.col("file_name"), F.col("line_no")]
     for t in targets:
         pc = f"pos_{t}"
         if pc in positions.columns:
             out.append(F.when(F.col(pc).isNotNull(), F.try_element_at(F.col("fields"), F.col(pc))).alias(t))
     return j.select(*out)
+
+
+def load_files(lines: DataFrame, table_key: str, mapping: dict[str, str], targets: list[str], *, min_fields: int = 3,
+               min_columns: int = 2, required: tuple[str, ...] = ("ticker",), fallback: dict[str, Column] | None = None) -> DataFrame:
+    """S1 / S3 / S7 for any number of files: header found, fields mapped, one
+    pass over the lines for the headers and one for the data.
+
+    The layout of every file (one row each) is worked out first and kept in a
+    small table.  A file without a usable header (S7d), with fewer than
+    ``min_columns`` columns or without the ``required`` targets (S2) is an
+    error that names all such files.  Targets that no file has are left out;
+    where a file lacks a target of ``fallback``, its rows get that expression
+    (which may use ``file_name``).
+    """
+    headers, _ = normalize_lines(lines, table_key, min_fields=min_fields)
+    layout = headers.join(header_positions(headers, mapping), "file_name")
+    names = [c for c in layout.columns if c.startswith("pos_")]
+    layout = layout.select("file_name", "header_line_no", "sep", F.size("header").alias("n_columns"), "valid", *names)
+    layout = layout.checkpoint(eager=True)
+    lacking = F.lit(False)
+    for t in required:
+        lacking = lacking | F.col(f"pos_{t}").isNull()
+    bad = layout.where(~F.col("valid") | (F.col("n_columns") < min_columns) | lacking)
+    failed = [r.file_name for r in bad.select("file_name").orderBy("file_name").collect()]
+    if failed:
+        raise ValueError(f"{len(failed)} {table_key} file(s) without a usable header: {failed}")
+    present = layout.agg(*[F.count(c).alias(c) for c in names]).first()
+    fallback = fallback or {}
+    j = lines.join(per_file(layout), "file_name").where((F.col("line_no") > F.col("header_line_no")) & (F.trim("line") != ""))
+    fields = j.select("file_name", "line_no", split_fields(F.col("line"), F.col("sep")).alias("fields"), *names)
+    out = [F.col("file_name"), F.col("line_no")]
+    for t in targets:
+        pc = f"pos_{t}"
+        value = F.when(F.col(pc).isNotNull(), F.try_element_at(F.col("fields"), F.col(pc))) if pc in names and present[pc] else None
+        if t in fallback:
+            own = F.col(pc).isNotNull() if pc in names else F.lit(False)
+            out.append(F.when(own, value if value is not None else F.lit(None)).otherwise(fallback[t]).alias(t))
+        elif value is not None:
+            out.append(value.alias(t))
+    return fields.select(*out)

@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from candlewick.functions.dates import yyyymmdd
 from candlewick.functions.numbers import digits_int, digits_scaled
 from candlewick.functions.text import fixed_code
+from candlewick.sources.lines import base_name
+from candlewick.sources.lines import scan as lines_scan
+from candlewick.sources.manifest import HIST_CANONICAL
 
 # ---------------------------------------------------------------------------
 # Record layout (0-based [start, end) character slices).
@@ -60,22 +63,9 @@ NATURAL_KEY = (
 
 
 def scan_lines(spark: SparkSession, paths, *, path_glob: str | None = None) -> DataFrame:
-    """Read text files as (file_name, line_no, line).
-
-    ``line`` is the record re-decoded from its raw bytes as ISO-8859-1 (the
-    text source keeps bytes as they are; CR/LF are already stripped).
-    ``line_no`` orders lines inside a file: block start, then the position in
-    the block's task.
-    """
-    reader = spark.read.format("text")
-    if path_glob:
-        reader = reader.option("pathGlobFilter", path_glob)
-    df = reader.load(paths if isinstance(paths, str) else list(paths))
-    return df.select(
-        F.col("_metadata.file_name").alias("file_name"),
-        (F.col("_metadata.file_block_start") * F.lit(1 << 20) + F.monotonically_increasing_id()).alias("line_no"),
-        F.decode(F.col("value").cast("binary"), "ISO-8859-1").alias("line"),
-    )
+    """Read text files as (file_name, line_no, line), bytes as ISO-8859-1;
+    ``line_no`` orders the lines of a file (see ``sources.lines``)."""
+    return lines_scan(spark, paths, encoding="ISO-8859-1", path_glob=path_glob)
 
 
 def _slice(line: Column, start: int, end: int) -> Column:
@@ -132,7 +122,7 @@ def normalize(raw: DataFrame) -> DataFrame:
         digits_scaled("ptoexe", 13, 1000000, "decimal(24,8)").alias("strike_points"),
         F.substring(F.trim("codisin"), 1, 12).alias("isin"),
         F.rpad(dist, 3, " ").alias("distribution_num"),
-        F.substring(F.col("file_name"), 1, 255).alias("source_file_name"),
+        F.substring(base_name("file_name"), 1, 255).alias("source_file_name"),
     )
     return out.where(F.col("trade_date").isNotNull() & (F.col("codneg") != ""))
 
@@ -141,13 +131,19 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     return normalize(split_records(lines))
 
 
+def file_order(path) -> Column:
+    """Canonical names by year, then the others; paths within."""
+    year = F.regexp_extract(base_name(path), HIST_CANONICAL, 1)
+    return F.struct((year == "").alias("other"), year.alias("year"), F.col(path).alias("path"))
+
+
 def dedupe_last(rows: DataFrame, key=NATURAL_KEY) -> DataFrame:
-    """One row per natural key, the last by (file_name, line_no).
+    """One row per natural key, the last in file order and line order.
 
     An aggregate (``max_by`` of the row struct) instead of a window, so it is
     combined map-side and a hot key does not gather its rows in one task."""
     others = [c for c in rows.columns if c not in key]
-    order = F.struct("file_name", "line_no")
+    order = F.struct(file_order("file_name").alias("file"), "line_no")
     return rows.groupBy(*key).agg(F.max_by(F.struct(*others), order).alias("_r")).select(
         *key, *[F.col(f"_r.{c}").alias(c) for c in others])
 

@@ -12,7 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candlewick.functions.dates import quoted_at as build_quoted_at
+from candlewick.functions.dates import iso_timestamp
 from candlewick.functions.numbers import NUMERIC_LITERAL
+from candlewick.functions.text import blank_to_null
+from candlewick.sources.lines import scan
 
 POINT_SCHEMA = T.StructType([
     T.StructField("quote_time", T.StringType()),
@@ -38,11 +41,8 @@ def jsonl_decimal(c) -> Column:
 
 
 def scan_jsonl_lines(spark: SparkSession, paths, *, path_glob: str | None = None) -> DataFrame:
-    reader = spark.read.format("text")
-    if path_glob:
-        reader = reader.option("pathGlobFilter", path_glob)
-    df = reader.load(paths if isinstance(paths, str) else list(paths))
-    return df.select(F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("line"))
+    """(file_name, line_no, line); see ``sources.lines``."""
+    return scan(spark, paths, path_glob=path_glob)
 
 
 def decode_records(lines: DataFrame) -> DataFrame:
@@ -50,7 +50,8 @@ def decode_records(lines: DataFrame) -> DataFrame:
     ``undecodable``, ``no_ticker``, ``bad_date`` or ``ok``."""
     raw = F.trim(F.col("line"))
     rec = F.from_json(raw, RECORD_SCHEMA, {"mode": "PERMISSIVE"})
-    parsed = lines.select("file_name", raw.alias("raw"), rec.alias("r"))
+    place = [F.col("line_no")] if "line_no" in lines.columns else []
+    parsed = lines.select("file_name", *place, raw.alias("raw"), rec.alias("r"))
     # A line is decodable when it is a JSON object (from_json gives a struct
     # of nulls for non-objects, so check the text as well).
     decodable = F.col("r").isNotNull() & F.col("raw").startswith("{") & F.col("raw").endswith("}") & \
@@ -69,7 +70,7 @@ def decode_records(lines: DataFrame) -> DataFrame:
         .when(trade_date.isNull(), F.lit("bad_date"))
         .otherwise(F.lit("ok"))
     )
-    return parsed.select("file_name", ticker.alias("ticker"), trade_date.alias("trade_date"),
+    return parsed.select("file_name", *place, ticker.alias("ticker"), trade_date.alias("trade_date"),
                          F.col("r.price_history").alias("price_history"), status.alias("status"))
 
 
@@ -77,8 +78,10 @@ def parse_jsonl(lines: DataFrame) -> DataFrame:
     """S10 + C18 + C16: one row per price point; a record with an empty
     history yields one row at midnight with null prices."""
     ok = decode_records(lines).where(F.col("status") == "ok")
-    pts = ok.select("file_name", "ticker", "trade_date", F.explode_outer("price_history").alias("p"))
+    place = [F.struct("line_no", "pos").alias("place")] if "line_no" in lines.columns else []
+    pts = ok.select("file_name", *(["line_no"] if place else []), "ticker", "trade_date", F.posexplode_outer("price_history").alias("pos", "p"))
     return pts.select(
+        *place,
         "ticker",
         build_quoted_at(F.col("trade_date"), F.col("p.quote_time")).alias("quoted_at"),
         "trade_date",
@@ -99,10 +102,62 @@ def jsonl_counters(lines: DataFrame) -> DataFrame:
     )
 
 
+# Names under which a flat intraday record may carry a field, in order of preference.
+TICKER_NAMES = ("ticker_requested", "ticker_returned", "symbol", "ticker")
+TIME_NAMES = ("quoted_at", "timestamp", "time", "dtTm")
+PRICE_NAMES = ("close_price", "closPric", "price", "last_price")
+FLUCTUATION_NAMES = ("price_fluctuation_pct", "price_fluctuation_percentage", "prcFlcn", "variation_pct", "oscillation_pct")
+
+
+def first_of(df: DataFrame, names: tuple[str, ...]) -> Column:
+    """First non-null of the named columns that ``df`` has (null if none)."""
+    types = dict(df.dtypes)
+    have = [
+        F.date_format(f"`{n}`", "yyyy-MM-dd'T'HH:mm:ss") if types[n].startswith("timestamp") else F.col(f"`{n}`").cast("string")
+        for n in names if n in types]
+    return F.coalesce(*have) if have else F.lit(None).cast("string")
+
+
+def intraday_rows(df: DataFrame) -> DataFrame:
+    """P4 with its verdict per row: the point's columns and ``skipped``
+    (``no_ticker``, ``no_time`` or null).
+
+    ``trade_date`` is the row's own date column if it has one with a date,
+    else the date of ``quoted_at``.
+    """
+    ticker = F.upper(blank_to_null(first_of(df, TICKER_NAMES)))
+    raw = first_of(df, TIME_NAMES)
+    at = iso_timestamp(raw).cast("timestamp_ntz")
+    own = F.col("trade_date") if dict(df.dtypes).get("trade_date") == "date" else F.lit(None).cast("date")
+    source = F.col("source_jsonl").cast("string") if "source_jsonl" in df.columns else F.lit(None).cast("string")
+    return df.select(
+        ticker.alias("ticker"), at.alias("quoted_at"), F.coalesce(own, at.cast("date")).alias("trade_date"),
+        jsonl_decimal(first_of(df, PRICE_NAMES)).alias("close_price"),
+        jsonl_decimal(first_of(df, FLUCTUATION_NAMES)).alias("price_fluctuation_pct"), source.alias("source_jsonl"),
+        F.when(ticker.isNull(), F.lit("no_ticker")).when(at.isNull(), F.lit("no_time")).alias("skipped"))
+
+
+def transform_intraday(df: DataFrame) -> DataFrame:
+    """Flat intraday records under any of the known names to typed points;
+    rows without a ticker or a time are dropped (see ``intraday_counters``)."""
+    return intraday_rows(df).where(F.col("skipped").isNull()).drop("skipped")
+
+
+def intraday_counters(df: DataFrame) -> DataFrame:
+    """P4 counters: rows kept and rows dropped, by reason."""
+    return intraday_rows(df).groupBy(F.coalesce("skipped", F.lit("kept")).alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def record_json(record: Column) -> Column:
+    """One JSONL line, nulls written out."""
+    return F.to_json(record, {"ignoreNullFields": "false"})
+
+
 def write_jsonl_records(points: DataFrame) -> DataFrame:
-    """K8: one JSON record per (ticker, trade_date) with ``points_count`` and
-    the price history (prices as strings), returned as a one-column ``value``
-    frame ready for ``write.text``.  The history of one ticker-day is bounded
+    """One JSON record per (ticker, trade_date) of stored points, with
+    ``points_count`` and the price history (prices as strings), as a ``value``
+    column ready for ``write.text``; the payload's own header fields are null
+    (``payloads.payload_records`` writes payloads with theirs).  The history of one ticker-day is bounded
     by the number of distinct quote seconds in a day (86 400)."""
     pt = F.struct(
         F.col("quoted_at"),
@@ -116,8 +171,10 @@ def write_jsonl_records(points: DataFrame) -> DataFrame:
     rec = F.struct(
         F.col("ticker").alias("ticker_requested"),
         F.col("ticker").alias("ticker_returned"),
-        F.lit("OK").alias("business_status_code"),
+        F.lit(None).cast("string").alias("business_status_code"),  # stored points carry no payload header
+        F.lit(None).cast("string").alias("message_datetime"),
         F.date_format("trade_date", "yyyy-MM-dd").alias("trade_date"),
+        F.lit(None).cast("string").alias("collected_at"),
         F.size("pts").alias("points_count"),
         F.transform("pts", lambda x: x["p"]).alias("price_history"),
     )

@@ -18,6 +18,8 @@ TIMESTAMP_TAG = r"(\d{8}T\d{6})"
 DATE_TAG = r"(\d{8})"
 HIST_CANONICAL = r"(?i)COTAHIST[._]A(\d{4})"
 MAX_TICKER_LENGTH = 20
+#: Load window of historical files without a year in their name.
+UNDATED_WINDOW = 2**31 - 1
 TICKER_COLUMN = "Instrumento financeiro"
 
 
@@ -69,7 +71,9 @@ def historical_file_set(files: DataFrame, *, years: list[int] | None = None, yea
         f = f.where(F.col("file_year").isin(years))
     f = f.dropDuplicates(["path"])
     first_year = f.select(F.min("file_year")).scalar()
-    return f.withColumn("load_window", F.floor((F.col("file_year") - first_year) / 2).cast("int")) \
+    # A file whose name holds no year is loaded in a last window of its own.
+    window = F.floor((F.col("file_year") - first_year) / 2).cast("int")
+    return f.withColumn("load_window", F.coalesce(window, F.lit(UNDATED_WINDOW))) \
         .withColumn("sort_key", F.struct(~F.col("canonical"), F.col("file_year"), F.col("path")))
 
 

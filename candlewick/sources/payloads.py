@@ -111,6 +111,34 @@ def daily_fluctuation(landed: DataFrame, *, load_date=None) -> DataFrame:
     )
 
 
+def payload_records(landed: DataFrame, *, load_date=None) -> DataFrame:
+    """One JSONL record per payload that could be read, with all its
+    header fields and its points in order; an empty history is kept.
+
+    ``collected_at`` comes from the landed column of that name, if there is one.
+    """
+    ld = F.col("load_date") if load_date is None else F.lit(load_date).cast("date")
+    collected = F.col("collected_at").cast("string") if "collected_at" in landed.columns else F.lit(None).cast("string")
+    p = landed.select("requested_ticker", "http_status", _nested(F.col("body")).alias("b"), ld.alias("ld"), collected.alias("collected_at"))
+    good = p.where((F.col("http_status") == 200) & F.col("b.TradgFlr").isNotNull())
+    points = F.coalesce(F.col("b.TradgFlr.scty.lstQtn"), F.array().cast(T.ArrayType(QUOTE_POINT)))
+    day = payload_date(F.col("b.TradgFlr.date"), F.col("ld"))
+    record = F.struct(
+        F.col("requested_ticker").alias("ticker_requested"),
+        F.upper(F.trim(F.coalesce(F.col("b.TradgFlr.scty.symb"), F.col("requested_ticker")))).alias("ticker_returned"),
+        F.coalesce(F.col("b.BizSts.cd"), F.lit("")).alias("business_status_code"),
+        F.when(F.col("b.Msg.dtTm") != "", F.col("b.Msg.dtTm")).alias("message_datetime"),
+        F.date_format(day, "yyyy-MM-dd").alias("trade_date"),
+        "collected_at",
+        F.size(points).alias("points_count"),
+        F.transform(points, lambda q: F.struct(
+            F.when(q["dtTm"] != "", q["dtTm"]).alias("quote_time"),
+            payload_decimal(q["closPric"]).cast("string").alias("close_price"),
+            payload_decimal(q["prcFlcn"], 10, 4).cast("string").alias("price_fluctuation_percentage"))).alias("price_history"),
+    )
+    return good.select(day.alias("trade_date"), record.alias("record"))
+
+
 def batch_report(landed: DataFrame) -> DataFrame:
     """K9: the per-ticker report (seven columns), success and failure rows."""
     nested = _nested(F.col("body"))
