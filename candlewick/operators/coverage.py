@@ -12,16 +12,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def asset_coverage(assets: DataFrame, quotes: DataFrame, trades: DataFrame, points: DataFrame,
+def asset_coverage(assets: DataFrame, quotes: DataFrame | None, trades: DataFrame, points: DataFrame,
                    hist: DataFrame | None = None) -> DataFrame:
     """For every ticker seen anywhere: register flag and date bounds per table
-    (intraday bounds as dates)."""
+    (intraday bounds as dates).  ``quotes`` None: quotes and trades are the
+    same rows, read once."""
+    both = ["trade"] if quotes is not None else ["quote", "trade"]
     parts = [
         assets.select("ticker", F.lit("asset").alias("src"), F.lit(None).cast("date").alias("d")),
-        quotes.select("ticker", F.lit("quote").alias("src"), F.col("trade_date").alias("d")),
-        trades.select("ticker", F.lit("trade").alias("src"), F.col("trade_date").alias("d")),
+        trades.select("ticker", F.explode(F.array(*map(F.lit, both))).alias("src"), F.col("trade_date").alias("d")),
         points.select("ticker", F.lit("intraday").alias("src"), F.to_date("quoted_at").alias("d")),
     ]
+    if quotes is not None:
+        parts.append(quotes.select("ticker", F.lit("quote").alias("src"), F.col("trade_date").alias("d")))
     if hist is not None:
         parts.append(hist.select("ticker", F.lit("hist").alias("src"), F.col("trade_date").alias("d")))
     u = parts[0]
@@ -40,38 +43,45 @@ TRADE_FIELDS = ["trade_date", "open_price", "last_price", "financial_volume", "t
 POINT_FIELDS = ["quoted_at", "close_price", "price_fluctuation_pct"]
 
 
-def asset_overview(assets: DataFrame, quotes: DataFrame, trades: DataFrame, points: DataFrame,
+def asset_overview(assets: DataFrame, quotes: DataFrame | None, trades: DataFrame, points: DataFrame,
                    hist: DataFrame | None = None) -> DataFrame:
     """Register fields, latest quote / trade / intraday point, date ranges,
-    derived latest variation and volume, latest update and section flags."""
-    def shape(df, src, at, fields):
+    derived latest variation and volume, latest update and section flags.
+    ``quotes`` None: quotes and trades are the same rows, read once."""
+    def shape(df, src, at):
+        mine = ("quote", "trade") if src == "daily" else (src,)
         cols = [F.col("ticker"), F.lit(src).alias("src"), F.col(at).cast("timestamp_ntz").alias("at")]
         for s, fs in (("asset", ["asset_name", "isin", "segment"]), ("quote", QUOTE_FIELDS),
                       ("trade", TRADE_FIELDS), ("intraday", POINT_FIELDS)):
-            if s == src:
+            if s in mine:
                 cols.append(F.struct(*[F.col(c) for c in fs]).alias(f"p_{s}"))
             else:
                 cols.append(F.lit(None).cast(_struct_type(s)).alias(f"p_{s}"))
         return df.select(*cols)
 
     parts = [
-        shape(assets.withColumn("_at", F.lit(None).cast("timestamp_ntz")), "asset", "_at", None),
-        shape(quotes, "quote", "trade_date", None),
-        shape(trades, "trade", "trade_date", None),
-        shape(points, "intraday", "quoted_at", None),
+        shape(assets.withColumn("_at", F.lit(None).cast("timestamp_ntz")), "asset", "_at"),
+        shape(points, "intraday", "quoted_at"),
     ]
+    if quotes is None:
+        parts.append(shape(trades, "daily", "trade_date"))
+    else:
+        parts += [shape(quotes, "quote", "trade_date"), shape(trades, "trade", "trade_date")]
     if hist is not None:
-        parts.append(shape(hist, "hist", "trade_date", None))
+        parts.append(shape(hist, "hist", "trade_date"))
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
 
+    def of(s):
+        return F.col("src").isin(s, "daily") if s in ("quote", "trade") else F.col("src") == s
+
     def latest(s):
-        on = F.col("src") == s
+        on = of(s)
         return F.max_by(F.when(on, F.col(f"p_{s}")), F.when(on, F.col("at")))
 
     def bound(fn, s):
-        return fn(F.when(F.col("src") == s, F.col("at").cast("date")))
+        return fn(F.when(of(s), F.col("at").cast("date")))
 
     agg = u.groupBy("ticker").agg(
         F.max_by(F.when(F.col("src") == "asset", F.col("p_asset")), F.when(F.col("src") == "asset", F.lit(1))).alias("asset"),

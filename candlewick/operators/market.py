@@ -56,36 +56,46 @@ def traded_assets(trades: DataFrame, trade_date=None) -> DataFrame:
     return trades.groupBy("trade_date").agg(F.countDistinct("ticker").alias("traded_assets_count"))
 
 
-def market_overview(quotes: DataFrame, trades: DataFrame, trade_date=None, limit: int = RANK_LIMIT) -> DataFrame:
+def market_overview(quotes: DataFrame | None, trades: DataFrame, trade_date=None, limit: int = RANK_LIMIT) -> DataFrame:
     """T4: long frame (trade_date, section, rank, ticker, measures) plus one
-    ``traded_assets_count`` row per date.  The volume ranking is computed once
-    and served under both of its names."""
-    cols = ["trade_date", "section", "rank", "ticker", "variation_pct", "last_price", "trade_count", "financial_volume"]
-    null_d = F.lit(None).cast("double")
-    null_l = F.lit(None).cast("bigint")
-
-    def movers(df, name):
-        return df.select("trade_date", F.lit(name).alias("section"), "rank", "ticker", "variation_pct",
-                         "last_price", null_l.alias("trade_count"), null_d.alias("financial_volume"))
-
-    def ranks(df, names):
-        return df.select("trade_date", F.explode(F.array(*[F.lit(n) for n in names])).alias("section"), "rank",
-                         "ticker", null_d.alias("variation_pct"), null_d.alias("last_price"),
-                         "trade_count", F.col("financial_volume").cast("double").alias("financial_volume"))
-
+    ``traded_assets_count`` row per date.
+
+    Every row is offered once to each of its rankings under a common sort
+    value, and one ranking by (date, section) serves all of them: one read and
+    one exchange, with only the best rows of each map task shuffled.  The
+    volume ranking is served under both of its names.  ``quotes`` None: quotes
+    and trades are the same rows, read once.
+    """
+    def rows(df):
+        if trade_date is not None:
+            df = df.where(F.col("trade_date") == F.lit(trade_date).cast("date"))
+        have = {c: F.col(c).cast(t) if c in df.columns else F.lit(None).cast(t)
+                for c, t in (("variation_pct", "double"), ("last_price", "double"), ("trade_count", "bigint"), ("financial_volume", "double"))}
+        return df.select("trade_date", "ticker", *[c.alias(n) for n, c in have.items()])
+
+    up, volume, count = F.col("variation_pct"), F.col("financial_volume"), F.col("trade_count").cast("double")
+    movers = [("top_gainers", up), ("top_losers", -up)]
+    actives = [("by_volume", volume), ("highest_trade_count", count)]
+
+    def offered(df, sections):
+        pair = F.explode(F.array(*[F.struct(F.lit(n).alias("section"), v.alias("value")) for n, v in sections])).alias("o")
+        out = rows(df).select("*", pair)
+        return out.where(F.col("o.value").isNotNull() | ~F.col("o.section").isin("top_gainers", "top_losers"))
+
+    every = offered(trades, movers + actives) if quotes is None else offered(quotes, movers).unionByName(offered(trades, actives))
+    best = Window.partitionBy("trade_date", "o.section").orderBy(F.col("o.value").desc_nulls_last(), F.col("ticker").asc())
+    ranked = every.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= limit)
+    names = F.when(F.col("o.section") == "by_volume", F.array(F.lit("most_traded_by_volume"), F.lit("most_traded_by_financial_volume"))).otherwise(F.array("o.section"))
+    mover = F.col("o.section").isin("top_gainers", "top_losers")
+
+    def only(flag, c):
+        return F.when(flag, F.col(c)).alias(c)
+
+    top = ranked.select("trade_date", F.explode(names).alias("section"), "rank", "ticker", only(mover, "variation_pct"), only(mover, "last_price"),
+                        only(~mover, "trade_count"), only(~mover, "financial_volume"))
+    none = F.lit(None).cast("double")
     counts = traded_assets(trades, trade_date).select(
         "trade_date", F.lit("traded_assets_count").alias("section"), F.lit(None).cast("int").alias("rank"),
-        F.lit(None).cast("string").alias("ticker"), null_d.alias("variation_pct"), null_d.alias("last_price"),
-        F.col("traded_assets_count").alias("trade_count"), null_d.alias("financial_volume"))
-    parts = [
-        movers(top_gainers(quotes, limit, trade_date), "top_gainers"),
-        movers(top_losers(quotes, limit, trade_date), "top_losers"),
-        ranks(top_by(trades, "financial_volume", limit, trade_date),
-              ["most_traded_by_volume", "most_traded_by_financial_volume"]),
-        ranks(top_by(trades, "trade_count", limit, trade_date), ["highest_trade_count"]),
-        counts,
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select(*cols)
+        F.lit(None).cast("string").alias("ticker"), none.alias("variation_pct"), none.alias("last_price"),
+        F.col("traded_assets_count").alias("trade_count"), none.alias("financial_volume"))
+    return top.unionByName(counts)

@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from candlewick.functions.numbers import half_up
-from candlewick.session import ensure_checkpoint_dir
 from candlewick.sources.tables import read_test_table
 
 # Fixed values of the derivation.
@@ -68,8 +67,9 @@ def unit_trades(spark: SparkSession, sf_dir: str, where=None) -> DataFrame:
         half_up(F.col("l_extendedprice") / F.col("l_quantity"), 6).alias("px"),
         F.col("l_extendedprice").alias("notional"),
         F.col("l_quantity").alias("quantity"),
-        # Total order of trades inside a (ticker, day): the tuple is unique there.
-        F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice").alias("seq"),
+        # Order of trades inside a (ticker, day) as one number, so that min_by /
+        # max_by keep fixed-width state and stay in a hash aggregate.
+        F.expr("shiftleft(l_orderkey, 24) | shiftleft(cast(l_linenumber AS bigint), 20) | (l_partkey & 1048575)").alias("seq"),
     )
 
 
@@ -220,11 +220,3 @@ def activity_rows(spark: SparkSession, sf_dir: str, day: str = UNIVERSE_REFERENC
     b = daily_bars(spark, sf_dir).where((F.col("trade_date") <= d) & (F.col("trade_date") > F.date_sub(d, 30)))
     return b.select(F.lower("ticker").alias("ticker"), F.col("trade_count").cast("string").alias("trade_count"),
                     F.when(F.col("trade_count") == 1, F.lit("-")).otherwise(F.col("last_price").cast("string")).alias("last_price"))
-
-
-def materialize(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Write a rendered input once to the shared checkpoint folder (as landed
-    files would be) so that downstream parsing reads stored rows instead of
-    re-evaluating the rendering expressions inside every extracted field."""
-    ensure_checkpoint_dir(spark)
-    return df.checkpoint(eager=True)

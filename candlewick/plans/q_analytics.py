@@ -7,15 +7,15 @@ from candlewick.operators import indicators as IND
 from candlewick.plans import market_tables as M
 from candlewick.plans.catalog import register
 from candlewick.plans.oracle_views import ALL_MARKET_VIEWS, DAILY_VIEWS, HIST_VIEWS, half_up, with_views
-from candlewick.plans.q_hist import historical
+from candlewick.plans.q_hist import hist_dates
 
 SMA_P, EMA_P, RSI_P = 5, 10, 14
 WIN_IND, WIN_P, WIN_START, WIN_END, WIN_LIMIT = "EMA", 3, "1997-01-01", "1999-12-31", 20
 
 
-def _sources(spark, sf_dir):
-    return (M.dim_assets(spark, sf_dir), M.daily_quotes(spark, sf_dir), M.daily_bars(spark, sf_dir),
-            M.intraday_points(spark, sf_dir), historical(spark, sf_dir))
+def _sources(spark, sf_dir, trades):
+    # The daily quotes are the daily trades without a column: one read for both.
+    return M.dim_assets(spark, sf_dir), None, trades, M.intraday_points(spark, sf_dir), hist_dates(spark, sf_dir)
 
 
 @register("coverage", with_views(ALL_MARKET_VIEWS + ",\n" + HIST_VIEWS, """
@@ -32,7 +32,8 @@ SELECT ticker, bool_or(src = 'asset') AS has_asset_master,
        min(d) FILTER (WHERE src = 'hist') AS hist_min, max(d) FILTER (WHERE src = 'hist') AS hist_max
 FROM u GROUP BY ticker"""))
 def coverage(spark, sf_dir):
-    return CV.asset_coverage(*_sources(spark, sf_dir))
+    # Date bounds of the daily bars are those of the trades they sum up.
+    return CV.asset_coverage(*_sources(spark, sf_dir, M.unit_trades(spark, sf_dir)))
 
 
 @register("overview", with_views(ALL_MARKET_VIEWS + ",\n" + HIST_VIEWS, """
@@ -63,7 +64,7 @@ LEFT JOIN bq ON bq.ticker = tk.ticker
 LEFT JOIN bt ON bt.ticker = tk.ticker
 LEFT JOIN bh ON bh.ticker = tk.ticker"""))
 def overview(spark, sf_dir):
-    return CV.asset_overview(*_sources(spark, sf_dir))
+    return CV.asset_overview(*_sources(spark, sf_dir, M.daily_bars(spark, sf_dir)))
 
 
 def _series_cte(where: str = "") -> str:

@@ -18,7 +18,7 @@ PAGE_START, PAGE_END = "1997-01-01", "1998-12-31"
 
 
 def _lines(spark, sf_dir):
-    return M.materialize(spark, M.hist_lines(spark, sf_dir))
+    return M.hist_lines(spark, sf_dir)
 
 
 def historical(spark, sf_dir):
@@ -26,6 +26,12 @@ def historical(spark, sf_dir):
     return FW.dedupe_last(FW.parse_lines(_lines(spark, sf_dir)))
 
 
+def hist_dates(spark, sf_dir):
+    """Ticker and trade date of every historical row; both are part of the
+    natural key, so date bounds need no last-wins step."""
+    return FW.parse_lines(_lines(spark, sf_dir)).select("ticker", "trade_date")
+
+
 @register("fixed_width_parse", with_views(HIST_VIEWS, f"SELECT {HIST_COLS} FROM hist_rows"))
 def fixed_width_parse(spark, sf_dir):
     return FW.parse_lines(_lines(spark, sf_dir))
@@ -100,5 +106,5 @@ def hist_page(spark, sf_dir):
 @register("hist_date_bounds", with_views(HIST_VIEWS, """
 SELECT ticker, min(trade_date) AS hist_min, max(trade_date) AS hist_max FROM hist GROUP BY ticker"""))
 def hist_date_bounds(spark, sf_dir):
-    return historical(spark, sf_dir).groupBy("ticker").agg(
+    return hist_dates(spark, sf_dir).groupBy("ticker").agg(
         F.min("trade_date").alias("hist_min"), F.max("trade_date").alias("hist_max"))

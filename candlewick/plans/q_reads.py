@@ -156,12 +156,12 @@ UNION ALL SELECT trade_date, 'traded_assets_count', NULL, NULL, NULL, NULL, coun
 
 @register("market_overview", _overview_sql(""))
 def market_overview(spark, sf_dir):
-    return MK.market_overview(M.daily_quotes(spark, sf_dir), M.daily_bars(spark, sf_dir))
+    return MK.market_overview(None, M.daily_bars(spark, sf_dir))
 
 
 @register("market_overview_day", _overview_sql(f"WHERE trade_date = DATE '{OVERVIEW_DAY}'"))
 def market_overview_day(spark, sf_dir):
-    return MK.market_overview(M.daily_quotes(spark, sf_dir), M.daily_bars(spark, sf_dir), trade_date=OVERVIEW_DAY)
+    return MK.market_overview(None, M.daily_bars(spark, sf_dir), trade_date=OVERVIEW_DAY)
 
 
 @register("asset_search", with_views(V_ASSETS, f"""

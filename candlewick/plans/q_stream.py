@@ -1,18 +1,23 @@
 """Streaming queries (R1-R5): the events table is read as a file stream
 (``availableNow``), processed by the streaming operators into tables under
-the shared checkpoint folder, and the resulting tables are returned.  With
-nothing late they equal the batch operators, which is what the oracles state."""
+the shared checkpoint folder, and the resulting tables are returned.  The
+candle and latest streams read the events dealt over several files out of time
+order, one file a micro-batch: however the points arrive, the tables equal the
+batch operators, which is what the oracles state."""
 
 from __future__ import annotations
 
 import os
 
+from pyspark.sql import functions as F
+
 from candlewick.operators import universe as U
 from candlewick.plans import market_tables as M
 from candlewick.plans.catalog import register
 from candlewick.plans.oracle_views import DAILY_VIEWS, V_INTRADAY, with_views
 from candlewick.plans.q_candles import _intraday_body
 from candlewick.plans.q_universe import REF, _REG
+from candlewick.session import scratch_path
 from candlewick.streaming import intraday as S
 
 POINT_COLS = "ticker, quoted_at, trade_date, close_price, price_fluctuation_pct, source_jsonl"
@@ -24,6 +29,14 @@ def _points_stream(spark, sf_dir):
     return M.points_from_events(ev, with_order=True)
 
 
+def _shuffled_points(spark, sf_dir, files: int = 5):
+    """The events landed in ``files`` files regardless of time, read one file a micro-batch."""
+    ev = spark.read.parquet(os.path.join(sf_dir, "events.parquet"))
+    folder = scratch_path(spark, "events-landed")
+    ev.repartition(files, F.xxhash64("event_id")).write.parquet(folder)
+    return M.points_from_events(S.file_stream(spark, folder, ev.schema, max_files_per_trigger=1), with_order=True)
+
+
 @register("stream_ingest", with_views(V_INTRADAY, f"SELECT {POINT_COLS} FROM v_intraday"))
 def stream_ingest(spark, sf_dir):
     pts = _points_stream(spark, sf_dir)
@@ -33,8 +46,8 @@ def stream_ingest(spark, sf_dir):
 
 @register("stream_candles", with_views(V_INTRADAY, _intraday_body("15m", 900)))
 def stream_candles(spark, sf_dir):
-    pts = _points_stream(spark, sf_dir)
-    table = S.run_to_table(spark, lambda t, c: S.candle_stream(pts, "15m", t, checkpoint=c), "candles")
+    pts = _shuffled_points(spark, sf_dir)
+    table = S.run_to_table(spark, lambda t, c: S.candle_stream(pts, "15m", t, points_table=f"{t}-points", checkpoint=c, order=["event_id"]), "candles")
     return spark.read.parquet(table).drop("candle_date")
 
 
@@ -43,7 +56,7 @@ SELECT ticker, quoted_at, trade_date, close_price, price_fluctuation_pct FROM (
   SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY quoted_at DESC) AS rn FROM v_intraday) x
 WHERE rn = 1"""))
 def stream_latest(spark, sf_dir):
-    pts = _points_stream(spark, sf_dir)
+    pts = _shuffled_points(spark, sf_dir)
     table = S.run_to_table(spark, lambda t, c: S.latest_stream(pts, t, checkpoint=c), "latest")
     return spark.read.parquet(table)
 

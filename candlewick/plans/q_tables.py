@@ -165,3 +165,11 @@ def run_page(spark, sf_dir):
     runs = LG.current_runs(run_events(spark, sf_dir)).withColumn("id", F.col("run_id").cast("bigint"))
     f = PG.runs_filtered(runs, pipeline_name="daily_quotes", status="success", started_from="1997-01-01 00:00:00")
     return PG.page(f, [F.col("started_at").desc(), F.col("id").desc()], 30, 10).drop("id")
+
+
+@register("attach_asset_id", with_views(V_ASSETS + ",\n" + V_INTRADAY, """
+SELECT p.ticker, p.quoted_at, a.ticker IS NOT NULL AS has_asset FROM v_intraday p LEFT JOIN v_assets a ON a.ticker = p.ticker"""))
+def attach_asset_id(spark, sf_dir):
+    """Points with the id of their register row."""
+    out = MG.attach_asset_id(M.intraday_points(spark, sf_dir), M.dim_assets(spark, sf_dir))
+    return out.select("ticker", "quoted_at", F.col("asset_id").isNotNull().alias("has_asset"))

@@ -2,15 +2,14 @@
 
 * R1 ``ingest_points``   - file stream -> parsed points -> ``foreachBatch``
   insert-ignore into the intraday table (first write wins, idempotent for any
-  lateness and for replayed batches).  ``dedupe_within_watermark`` is the
-  bounded-state alternative.
-* R2 ``candle_stream``   - watermark + tumbling window aggregate in update
-  mode, merged into a candles table by (ticker, start_time).  Rows later than
-  the watermark are dropped, unlike the batch operator.
+  lateness and for replayed batches).
+* R2 ``candle_stream``   - each micro-batch is inserted as in R1, then the
+  buckets it touches are computed anew from the stored points and merged into
+  a candles table by (ticker, start_time); no point is too late.
 * R3 ``session_gate``    - stateless filter on the exchange clock.
 * R4 ``universe_gate``   - stream-static left-semi join with the strict list.
-* R5 ``latest_stream``   - ``max_by`` per ticker in update mode, merged so the
-  table keeps the newest point per ticker.
+* R5 ``latest_stream``   - newest point per ticker of each micro-batch, merged
+  so the table keeps the newest of all.
 
 Checkpoints and tables live under the shared ``spark.checkpoint.dir``.
 """
@@ -20,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from candlewick.functions.dates import bucket_start
 from candlewick.operators import candles as C
 from candlewick.operators.latest import latest_per_key
 from candlewick.operators.universe import within_session
@@ -37,13 +37,6 @@ def file_stream(spark: SparkSession, directory: str, schema, *, fmt: str = "parq
     return reader.load(directory)
 
 
-def dedupe_within_watermark(points: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """R1 bounded-state variant: duplicates of (ticker, quoted_at) arriving
-    within ``delay`` of each other are dropped."""
-    et = points.withColumn("event_time", F.col("quoted_at").cast("timestamp"))
-    return et.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["ticker", "quoted_at"]).drop("event_time")
-
-
 def session_gate(points: DataFrame, **kw) -> DataFrame:
     """R3."""
     return points.where(within_session("quoted_at", **kw))
@@ -71,42 +64,47 @@ def ingest_points(points: DataFrame, table: str, *, checkpoint: str, order: list
     return _run(points.writeStream.foreachBatch(write), checkpoint, trigger_once)
 
 
-def candle_stream(points: DataFrame, interval: str, table: str, *, checkpoint: str, watermark: str = "1 hour",
-                  trigger_once: bool = True):
-    """R2: update-mode candles merged by (ticker, start_time)."""
-    # Watermarks need a TIMESTAMP event time; quote times are UTC wall clock
-    # (session zone UTC), so the cast is exact and the bounds are cast back.
-    et = points.withColumn("event_time", F.col("quoted_at").cast("timestamp")).withWatermark("event_time", watermark)
-    candles = C.intraday_candles(et, interval, ts="event_time")
-    candles = (candles.withColumn("start_time", F.col("start_time").cast("timestamp_ntz"))
-               .withColumn("end_time", F.col("end_time").cast("timestamp_ntz"))
-               .withColumn("candle_date", F.to_date("start_time")))
+def candle_stream(points: DataFrame, interval: str, table: str, *, points_table: str, checkpoint: str,
+                  order: list[str] | None = None, trigger_once: bool = True):
+    """R2: candles merged by (ticker, start_time) as points arrive, late ones included.
+
+    Each micro-batch first goes into the points table (R1), then the buckets
+    it touches are computed anew from that table and merged.  No watermark
+    drops a row: a point that is days late corrects its candle.  The work of a
+    batch is the points of the days that it touches.
+    """
+    keys = ["ticker", "quoted_at"]
     measures = ["interval", "end_time", "open", "high", "low", "close", "volume", "point_count"]
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        MG.upsert_partitions(batch.sparkSession, batch, table, ["ticker", "start_time"], partition_col="candle_date",
-                             update=measures)
+        spark = batch.sparkSession
+        ensure_checkpoint_dir(spark)
+        batch = batch.checkpoint(eager=True)
+        MG.insert_ignore_table(spark, batch, points_table, keys, partition_col="trade_date", order=order)
+        stored = MG._touched(spark.read.parquet(points_table), batch, "trade_date")
+        touched = batch.select("ticker", bucket_start("quoted_at", C.INTRADAY_INTERVALS[interval]).alias("start_time")).distinct()
+        candles = C.intraday_candles(stored, interval).withColumn("candle_date", F.to_date("start_time"))
+        MG.upsert_partitions(spark, candles.join(touched, ["ticker", "start_time"], "left_semi"), table, ["ticker", "start_time"],
+                             partition_col="candle_date", update=measures)
 
-    return _run(candles.writeStream.outputMode("update").foreachBatch(write), checkpoint, trigger_once)
+    return _run(points.writeStream.foreachBatch(write), checkpoint, trigger_once)
 
 
 def latest_stream(points: DataFrame, table: str, *, checkpoint: str, trigger_once: bool = True):
-    """Newest point per ticker; each update is merged with the table so
-    the newest of (stored, incoming) wins."""
-    latest = latest_per_key(points.select("ticker", "quoted_at", "trade_date", "close_price", "price_fluctuation_pct"),
-                            "quoted_at")
+    """Newest point per ticker; each micro-batch is reduced to its newest
+    points and merged with the published table, so the newest of (stored,
+    incoming) wins.  The table has one row per ticker."""
+    cols = ["ticker", "quoted_at", "trade_date", "close_price", "price_fluctuation_pct"]
 
     def write(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        if MG._exists(spark, table):
-            current = spark.read.parquet(table)
-            merged = latest_per_key(current.unionByName(batch.select(*current.columns)), "quoted_at")
-        else:
-            merged = batch
-        ensure_checkpoint_dir(spark)
-        merged.checkpoint(eager=True).write.mode("overwrite").parquet(table)
+        latest = latest_per_key(batch.select(*cols), "quoted_at")
+        current = MG.read_published(spark, table)
+        if current is not None:
+            latest = latest_per_key(current.unionByName(latest.select(*current.columns)), "quoted_at")
+        MG.publish(spark, latest, table)
 
-    return _run(latest.writeStream.outputMode("update").foreachBatch(write), checkpoint, trigger_once)
+    return _run(points.writeStream.foreachBatch(write), checkpoint, trigger_once)
 
 
 def run_to_table(spark: SparkSession, start, name: str) -> str:
