@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import time
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -48,11 +50,14 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop the shuffle files of finished rounds now."""
-    import gc
-
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let Spark's cleaner drop the shuffle files of finished rounds now.
+
+    A shuffle is found free one collection after the plan that held it.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def partitions(spark: SparkSession) -> int:

@@ -8,24 +8,29 @@ unique, and ranks the rest at the next offset, until the threshold.
 
 Ranks of a position are functions of its own text, so a task forms the pairs
 and only positions that are still alive are sorted.  Every 50-byte string
-holds a smallest 24-byte rank; strings next to each other share it, so the
-first round sorts one row per run of strings instead of one per byte:
+holds a smallest 24-byte rank, its anchor; strings next to each other share
+it, so the first round sorts one row per run of strings instead of one per
+byte:
 
 1. Map: ranks of 1, 2, 4, ... 32, then 24 = 16 + 8 and 50 = 32 + 18 bytes.  A
-   run is up to 27 starts with the same smallest 24-byte rank ``k0``; ``k1``
-   names its whole content by the 50-byte ranks at its ends.
+   run is up to 27 starts with the same anchor rank ``k0``; ``k1`` names its
+   whole content by the 50-byte ranks at its ends.
 2. Sort by (k0, k1, doc).  Unique k0: all strings of the run are unique, done.
    Same (k0, k1): equal content, so all but the smallest document lose it.
    Different k1 under one k0: first occurrences stay alive.
-3. For those alone, sort the 50-byte ranks of every start: all but the
+3. Offset 13: a string holds its anchor with the 13 bytes before it or with the
+   13 after it.  Sort the 37-byte ranks of those alive; strings whose rank no
+   other document has are unique, done.
+4. Offset 18: sort the 50-byte ranks of every start that is left: all but the
    smallest document lose the string.
-4. Ranges are merged per document and cut out of the text.
+5. Ranges are merged per document and cut out of the text.
 
 Before each sort a task ranks its own rows (``Limits.flush`` at a time) and settles
 what is already decided there, so a passage held by any share of all documents
 is one row per flush.  A 24-byte rank with many contents in a flush (the edge
 of a popular passage) skips round 2: its rows go on to round 3, dealt by
-content.  Ranks that are compared have 96 bits or more.  Nothing is collected;
+content; and a 37-byte rank of several documents in a flush is alive already,
+so its rows are dealt by document.  Ranks that are compared have 96 bits or more.  Nothing is collected;
 intermediate tables are written to the shared folder.
 
 Lengths are bytes of the UTF-8 text.  Rows without an id neither lose nor
@@ -47,6 +52,8 @@ from candlewick.llm import common
 
 LENGTH = 50
 ANCHOR = 24
+MIDDLE = 37
+SIDE = MIDDLE - ANCHOR
 #: String starts in a run at most: those that can share one anchor.
 RUN = LENGTH - ANCHOR + 1
 
@@ -79,8 +86,8 @@ def _pair(a: np.ndarray, b: np.ndarray, offset: int) -> np.ndarray:
     return x
 
 
-def ranks(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(24-byte ranks, 50-byte ranks) of all starts of a byte array of at least 50 bytes."""
+def ranks(data: np.ndarray, middle: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(24-byte ranks, 50-byte or ``middle`` 37-byte ranks) of all starts of a byte array of at least 50 bytes."""
     r1 = _BYTE[data]
     r2 = _pair(r1, r1, 1)
     r4 = _pair(r2, r2, 2)
@@ -88,7 +95,7 @@ def ranks(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     r16 = _pair(r8, r8, 8)
     r24 = _pair(r16, r8, 16)
     r32 = _pair(r16, r16, 16)
-    return r24, _pair(r32, r32, LENGTH - 32)
+    return r24, _pair(r32, r8, MIDDLE - 8) if middle else _pair(r32, r32, LENGTH - 32)
 
 
 def _window_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -143,54 +150,83 @@ def _merge(doc: np.ndarray, tag: np.ndarray, start: np.ndarray, end: np.ndarray)
     return doc[at], tag[at], start[at], (top - lift)[last]
 
 
-_ROW = "kind byte, k0 long, k1 long, doc long, pos long, more long"
-_NAMES = ["kind", "k0", "k1", "doc", "pos", "more"]
-# kind 0: range pos..more of (doc, tag k1) to cut; 1: live row; 2: live row of a crowded anchor.
-# Live rows: pos = start, more = tag << 5 | starts; a marker of a crowded anchor has pos -1.
+_ROW = "kind byte, k0 long, k1 long, doc long, tag long, at long"
+_NAMES = ["kind", "k0", "k1", "doc", "tag", "at"]
+# kind 0: range k0..k1 of (doc, tag) to cut; 1: live row; 2: live row of a crowded anchor.
+# Live rows: at = first start << 5 | number of starts; a marker of a crowded anchor has at -1.
+# Rows leave a task in text order: neighbours share doc and tag, which the shuffle's codec folds.
 
 
-def _batch(kind, k0, k1, doc, pos, more) -> pa.RecordBatch:
+def _batch(kind, k0, k1, doc, tag, at) -> pa.RecordBatch:
     n = len(doc)
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.broadcast_to(np.asarray(kind, np.int8), n)), *(pa.array(np.ascontiguousarray(c).view(np.int64)) for c in (k0, k1, doc, pos, more))], names=_NAMES)
+        [pa.array(np.broadcast_to(np.asarray(kind, np.int8), n)), *(pa.array(np.ascontiguousarray(c).view(np.int64)) for c in (k0, k1, doc, tag, at))], names=_NAMES)
 
 
 def _cuts(doc, tag, start, end) -> pa.RecordBatch:
     doc, tag, start, end = _merge(doc, tag, start, end)
-    return _batch(0, doc, tag, doc, start, end)
+    return _batch(0, start, end, doc, tag, np.zeros(len(doc), np.int64))
 
 
 def _settle(k0, k1, doc, start, size, tag, crowd: int | None) -> Iterator[pa.RecordBatch]:
     """What a task can decide on its own rows; the rest goes to the sort."""
     if not len(doc):
         return
-    o = np.lexsort((doc, k1, k0))
-    k0, k1, doc, start, size, tag = k0[o], k1[o], doc[o], start[o], size[o], tag[o]
-    new0 = np.concatenate(([True], k0[1:] != k0[:-1]))
-    new1 = new0 | np.concatenate(([True], k1[1:] != k1[:-1]))
-    first = doc[np.flatnonzero(new1)][np.cumsum(new1) - 1]
-    gone = doc > first
+    o, new0, new1, d = _order(k0, k1, doc)
+    first = d[np.flatnonzero(new1)][np.cumsum(new1) - 1]
+    gone = np.empty(len(o), dtype=bool)
+    gone[o] = d > first
     yield _cuts(doc[gone], tag[gone], start[gone], start[gone] + size[gone] + LENGTH - 1)
     live = ~gone
     kind = np.ones(len(doc), dtype=np.int8)
     if crowd is not None:
         group = np.cumsum(new0) - 1
         many = np.bincount(group[new1])[group] > crowd
-        kind[many] = 2
-        mark = new0 & many
-        m = int(mark.sum())
-        yield _batch(1, k0[mark], np.zeros(m, np.int64), np.full(m, -1), np.full(m, -1), np.zeros(m, np.int64))
-    yield _batch(kind[live], k0[live], k1[live], doc[live], start[live], (tag << 5 | size)[live])
+        kind[o[many]] = 2
+        yield _markers(k0[o][new0 & many])
+    yield _batch(kind[live], k0[live], k1[live], doc[live], tag[live], (start << 5 | size)[live])
+
+
+def _order(k0, k1, doc):
+    """Sorting order by (k0, k1, doc), where k0 and (k0, k1) begin in it, and doc in it."""
+    o = np.argsort(k0)
+    a = k0[o]
+    same = np.concatenate(([False], a[1:] == a[:-1]))
+    again = np.flatnonzero(same | np.append(same[1:], False))  # few share k0: sort those in full
+    part = o[again]
+    o[again] = part[np.lexsort((doc[part], k1[part], k0[part]))]
+    b = k1[o]
+    new1 = ~same
+    new1[1:] |= b[1:] != b[:-1]
+    return o, ~same, new1, doc[o]
+
+
+def _markers(k0, k1=None) -> pa.RecordBatch:
+    none = np.full(len(k0), -1)
+    return _batch(1, k0, np.zeros(len(k0), np.int64) if k1 is None else k1, none, none, none)
+
+
+def _settle_sides(k0, k1, doc, start, size, tag) -> Iterator[pa.RecordBatch]:
+    """37-byte ranks: those of several documents are alive, whatever other tasks hold."""
+    if not len(doc):
+        return
+    o, new0, new1, d = _order(k0, k1, doc)
+    begin = np.flatnonzero(new1)
+    last = np.append(begin[1:], len(d)) - 1
+    shared = d[begin] != d[last]
+    kind = np.ones(len(doc), dtype=np.int8)
+    kind[o[np.repeat(shared, last - begin + 1)]] = 2
+    at = o[begin[shared]]
+    yield _markers(k0[at], k1[at])
+    yield _batch(kind, k0, k1, doc, tag, start << 5 | size)
 
 
 def _gather(cols: list[list[np.ndarray]]) -> list[np.ndarray]:
     return [np.concatenate(c) for c in cols]
 
 
-def _find_runs(batches, limits: Limits):
-    """Texts to settled run rows."""
-    held: list[list[np.ndarray]] = [[] for _ in range(6)]
-    size = 0
+def _runs(batches, limits: Limits):
+    """Rows (anchor rank, content, doc, first start, number of starts, tag) of texts."""
     for ids, tags, tx in common.rows(batches):
         for buf, owner, offset in _pieces(tx, limits.piece):
             ends = np.cumsum([len(b) for b in buf])
@@ -201,15 +237,7 @@ def _find_runs(batches, limits: Limits):
             which = np.searchsorted(ends, at, side="right")
             begin = np.concatenate(([0], ends[:-1]))
             row = np.array(owner)[which]
-            new = (k0, k1, np.array(ids, np.int64)[row], at - begin[which] + np.array(offset)[which], n, np.array(tags, np.int64)[row])
-            for c, v in zip(held, new):
-                c.append(v)
-            size += len(at)
-            if size >= limits.flush:
-                yield from _settle(*_gather(held), limits.crowd)
-                held, size = [[] for _ in range(6)], 0
-    if size:
-        yield from _settle(*_gather(held), limits.crowd)
+            yield k0.view(np.int64), k1.view(np.int64), np.array(ids, np.int64)[row], at - begin[which] + np.array(offset)[which], n, np.array(tags, np.int64)[row]
 
 
 def _pieces(tx: list[str], piece: int):
@@ -253,83 +281,131 @@ def _rank(keep_alive: bool, limits: Limits):
     """Sorted rows to ranges to cut and, in round 2, to the rows that stay alive."""
 
     def run(batches):
-        for kind, k0, k1, doc, pos, more in _sorted_groups(batches, limits.flush):
-            old = kind == 0
+        for rows in _sorted_groups(batches, limits.flush):
+            old = rows[0] == 0
             if old.any():
-                yield _batch(0, k0[old], k1[old], doc[old], pos[old], more[old])
-                new = ~old
-                kind, k0, k1, doc, pos, more = kind[new], k0[new], k1[new], doc[new], pos[new], more[new]
+                yield _batch(*(c[old] for c in rows))
+            kind, k0, k1, doc, tag, at = (c[~old] for c in rows)
             if not len(doc):
                 continue
             new0 = np.concatenate(([True], (kind[1:] != kind[:-1]) | (k0[1:] != k0[:-1])))
             group = np.cumsum(new0) - 1
-            mark = pos < 0
-            crowded = (kind == 2) | (np.bincount(group, weights=mark)[group] > 0)
-            real = ~mark
-            group, crowded, k0, k1, doc, pos, more = group[real], crowded[real], k0[real], k1[real], doc[real], pos[real], more[real]
+            real = at >= 0
+            crowded = (kind == 2) | (np.bincount(group, weights=~real)[group] > 0)
+            group, crowded, k0, k1, doc, tag, at = (c[real] for c in (group, crowded, k0, k1, doc, tag, at))
             if not len(doc):
                 continue
             new1 = np.concatenate(([True], (group[1:] != group[:-1]) | (k1[1:] != k1[:-1])))
             first = doc[np.flatnonzero(new1)][np.cumsum(new1) - 1]
             gone = doc > first
-            size = more & 31
-            yield _cuts(doc[gone], more[gone] >> 5, pos[gone], pos[gone] + size[gone] + LENGTH - 1)
+            start, size = at >> 5, at & 31
+            yield _cuts(doc[gone], tag[gone], start[gone], start[gone] + size[gone] + LENGTH - 1)
             if keep_alive:
                 many = np.bincount(group[new1], minlength=group[-1] + 1)[group] > 1
                 live = ~gone & (many | crowded)
-                yield _batch(1, k0[live], k1[live], doc[live], pos[live], more[live])
+                yield _batch(1, k0[live], k1[live], doc[live], tag[live], at[live])
 
     return run
 
 
-def _find_starts(batches, limits: Limits):
-    """Texts with their live runs to settled rows of single starts, k0 = 50-byte rank, k1 = 32 bits of the anchor's."""
-    held: list[list[np.ndarray]] = [[] for _ in range(6)]
-    size = 0
+def _rank_sides(limits: Limits):
+    """Sorted 37-byte ranks to the rows whose rank several documents have."""
+
+    def run(batches):
+        for kind, k0, k1, doc, tag, at in _sorted_groups(batches, limits.flush):
+            new = np.concatenate(([True], (kind[1:] != kind[:-1]) | (k0[1:] != k0[:-1]) | (k1[1:] != k1[:-1])))
+            begin = np.flatnonzero(new)
+            last = np.append(begin[1:], len(doc)) - 1
+            many = (doc[begin] != doc[last]) | np.logical_or.reduceat(at < 0, begin)
+            shared = np.repeat(many, last - begin + 1)
+            live = (at >= 0) & (shared | (kind == 2))
+            yield _batch(1, k0[live], k1[live], doc[live], tag[live], at[live])
+
+    return run
+
+
+def _slices(batches, limits: Limits):
+    """Texts with their live runs, some at a time: (data, offsets of the slices in it, number of starts, anchor, doc, first start, tag)."""
     for ids, tags, tx, live in common.rows(batches):
         buf, who, where, n, anchor, total = [], [], [], [], [], 0
 
-        def rank_held():
-            lengths = np.array([len(x) for x in buf])
-            _, r50 = ranks(np.frombuffer(b"".join(buf), dtype=np.uint8))
-            count = np.array(n)
-            begin = np.cumsum(lengths) - lengths
-            k = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-            row = np.repeat(np.array(who), count)
-            return (r50[np.repeat(begin, count) + k], np.repeat(np.array(anchor, np.int64) >> 32, count), np.array(ids, np.int64)[row],
-                    np.repeat(np.array(where), count) + k, np.ones(len(k), np.int64), np.array(tags, np.int64)[row])
-
-        for r, (t, rows_) in enumerate(zip(tx, live)):
+        def held():
+            size = np.array([len(x) for x in buf])
+            row = np.array(who)
+            return (np.frombuffer(b"".join(buf), dtype=np.uint8), np.cumsum(size) - size, np.array(n), np.array(anchor, np.int64),
+                    np.array(ids, np.int64)[row], np.array(where), np.array(tags, np.int64)[row])
+
+        for r, (t, some) in enumerate(zip(tx, live)):
             b = t.encode()
-            for x in rows_:
-                count = x["more"] & 31
-                buf.append(b[x["pos"] : x["pos"] + count + LENGTH - 1])
+            for x in some:
+                start, count = x["at"] >> 5, x["at"] & 31
+                buf.append(b[start : start + count + LENGTH - 1])
                 who.append(r)
-                where.append(x["pos"])
+                where.append(start)
                 n.append(count)
                 anchor.append(x["k0"])
                 total += len(buf[-1])
                 if total >= limits.piece:
-                    for c, v in zip(held, rank_held()):
-                        c.append(v)
-                    size += sum(n)
+                    yield held()
                     buf, who, where, n, anchor, total = [], [], [], [], [], 0
-                    if size >= limits.flush:
-                        yield from _settle(*_gather(held), None)
-                        held, size = [[] for _ in range(6)], 0
         if buf:
-            for c, v in zip(held, rank_held()):
+            yield held()
+
+
+def _within(count: np.ndarray) -> np.ndarray:
+    """0, 1, ... for each count."""
+    return np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+
+
+def _sides(batches, limits: Limits):
+    """Rows (37-byte rank, 32 bits of the anchor's, doc, first start, number of starts, tag)."""
+    for data, begin, n, anchor, doc, where, tag in _slices(batches, limits):
+        r24, r37 = ranks(data, middle=True)
+        # Next place of the anchor's rank at or after each position of its slice.
+        size = n + RUN - 1
+        place = np.repeat(begin, size) + _within(size)
+        hit = r24[place] == np.repeat(anchor.view(np.uint64), size)
+        nxt = np.minimum.accumulate(np.where(hit, place, len(data))[::-1])[::-1]
+        of = np.repeat(np.arange(len(n)), n)
+        i = begin[of] + _within(n)
+        p = nxt[np.repeat(np.cumsum(size) - size, n) + _within(n)]
+        at = np.where(p - i >= SIDE, p - SIDE, p)
+        new = np.concatenate(([True], (at[1:] != at[:-1]) | (of[1:] != of[:-1])))
+        first = np.flatnonzero(new)
+        count = np.diff(np.append(first, len(at)))
+        run = of[first]
+        yield r37[at[first]].view(np.int64), anchor[run] >> 32, doc[run], where[run] + i[first] - begin[run], count, tag[run]
+
+
+def _starts(batches, limits: Limits):
+    """Rows (50-byte rank, 32 bits of the live rank, doc, start, 1, tag)."""
+    for data, begin, n, anchor, doc, where, tag in _slices(batches, limits):
+        _, r50 = ranks(data)
+        of, k = np.repeat(np.arange(len(n)), n), _within(n)
+        yield r50[begin[of] + k].view(np.int64), (anchor >> 32)[of], doc[of], where[of] + k, np.ones(len(k), np.int64), tag[of]
+
+
+def _settled(find, settle, limits: Limits):
+    """mapInArrow body: rows of ``find``, settled ``flush`` at a time."""
+
+    def run(batches):
+        held: list[list[np.ndarray]] = [[] for _ in range(6)]
+        size = 0
+        for cols in find(batches, limits):
+            for c, v in zip(held, cols):
                 c.append(v)
-            size += sum(n)
-        if size >= limits.flush:
-            yield from _settle(*_gather(held), None)
-            held, size = [[] for _ in range(6)], 0
-    if size:
-        yield from _settle(*_gather(held), None)
+            size += len(cols[0])
+            if size >= limits.flush:
+                yield from settle(*_gather(held))
+                held, size = [[] for _ in range(6)], 0
+        if size:
+            yield from settle(*_gather(held))
+
+    return run
 
 
 def _dealt(df: DataFrame, by) -> DataFrame:
-    return df.repartition(common.partitions(df.sparkSession), by).sortWithinPartitions("kind", "k0", "k1", "doc")
+    return df.repartition(common.partitions(df.sparkSession), by).sortWithinPartitions("k0", "kind", "k1", "doc")
 
 
 def _tagged(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -338,21 +414,29 @@ def _tagged(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select("doc_id", F.shiftrightunsigned(F.xxhash64("text"), 64 - _TAG_BITS).alias("tag"), "text")
 
 
+def _with_live(docs: DataFrame, live: DataFrame) -> DataFrame:
+    """Texts (one row each, copies of one id once) with their live rows in order."""
+    per_doc = live.where("kind = 1").groupBy(F.col("doc").alias("doc_id"), "tag").agg(F.array_sort(F.collect_list(F.struct("at", "k0"))).alias("live"))
+    return docs.join(per_doc, ["doc_id", "tag"]).dropDuplicates(["doc_id", "tag"]).select("doc_id", "tag", "text", "live")
+
+
 def ranges(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", limits: Limits = Limits()) -> DataFrame:
     """(doc_id, tag, cuts): the byte ranges that each text loses; they may overlap."""
     spark = df.sparkSession
     docs = _tagged(df, id_col, text_col).where(F.col("doc_id").isNotNull())
-    found = docs.mapInArrow(lambda b: _find_runs(b, limits), _ROW)
+    found = docs.mapInArrow(_settled(_runs, lambda *c: _settle(*c, limits.crowd), limits), _ROW)
     by = F.when(F.col("kind") == 2, F.xxhash64("k0", "k1")).otherwise(F.col("k0"))
     alive = common.stored(_dealt(found, by).mapInArrow(_rank(True, limits), _ROW), "runs")
     common.release(spark)
-    per_doc = alive.where("kind = 1").groupBy(F.col("doc").alias("doc_id"), F.shiftright("more", 5).alias("tag")).agg(F.collect_list(F.struct("k0", "pos", "more")).alias("live"))
-    some = docs.join(per_doc, ["doc_id", "tag"]).dropDuplicates(["doc_id", "tag"]).select("doc_id", "tag", "text", "live")
-    strings = some.mapInArrow(lambda b: _find_starts(b, limits), _ROW)
+    sides = _with_live(docs, alive).mapInArrow(_settled(_sides, _settle_sides, limits), _ROW)
+    by = F.when(F.col("kind") == 2, F.xxhash64("doc", "at")).otherwise(F.xxhash64("k0", "k1"))
+    shared = common.stored(_dealt(sides, by).mapInArrow(_rank_sides(limits), _ROW), "sides")
+    common.release(spark)
+    strings = _with_live(docs, shared).mapInArrow(_settled(_starts, lambda *c: _settle(*c, None), limits), _ROW)
     cut = common.stored(_dealt(strings, F.xxhash64("kind", "k0", "k1")).mapInArrow(_rank(False, limits), _ROW), "starts")
     common.release(spark)
     both = alive.where("kind = 0").unionAll(cut.where("kind = 0"))
-    return both.groupBy(F.col("doc").alias("doc_id"), F.col("k1").alias("tag")).agg(F.collect_list(F.struct("pos", "more")).alias("cuts"))
+    return both.groupBy(F.col("doc").alias("doc_id"), "tag").agg(F.collect_list(F.struct(F.col("k0").alias("start"), F.col("k1").alias("end"))).alias("cuts"))
 
 
 def apply_cuts(data: bytes, cuts: list[dict] | None) -> tuple[bytes, int]:
@@ -360,7 +444,7 @@ def apply_cuts(data: bytes, cuts: list[dict] | None) -> tuple[bytes, int]:
     if not cuts:
         return data, 0
     z = np.zeros(len(cuts), np.int64)
-    _, _, start, end = _merge(z, z, np.array([c["pos"] for c in cuts]), np.array([c["more"] for c in cuts]))
+    _, _, start, end = _merge(z, z, np.array([c["start"] for c in cuts]), np.array([c["end"] for c in cuts]))
     keep_from = np.concatenate(([0], end)).tolist()
     keep_to = [*start.tolist(), len(data)]
     return b"".join(data[a:b] for a, b in zip(keep_from, keep_to)), len(start)
