@@ -24,6 +24,7 @@ from candlewick.sources import jsonl as JS
 from candlewick.session import ensure_checkpoint_dir
 from candlewick.sources.lines import scan_any
 from candlewick.sources.manifest import backfill_status, historical_file_set, manifest
+from candlewick.sources.tables import conform
 
 TRADE_TARGETS = ["ticker", "trade_date", "open_price", "min_price", "max_price", "avg_price", "last_price",
                  "variation_pct", "financial_volume", "trade_count"]
@@ -71,13 +72,14 @@ def load_register_and_trades(spark: SparkSession, register_paths, trades_paths,
     def work():
         ensure_checkpoint_dir(spark)
         reg = TR.transform_instruments(read_register(spark, register_paths))
-        reg = reg.withColumn("updated_at", F.current_timestamp().cast("timestamp_ntz") if load_ts is None
+        reg = conform(reg, "dim_assets").withColumn("updated_at", F.current_timestamp().cast("timestamp_ntz") if load_ts is None
                              else F.lit(load_ts).cast("timestamp_ntz")).checkpoint(eager=True)
         if reg.isEmpty():
             raise ValueError("the register produced zero rows")
         n = 0
         if trades_paths:
             trades = TR.transform_trades(read_trades(spark, trades_paths, target_date)).withColumnRenamed("last_price", "close_price")  # C25
+            trades = conform(trades, "fact_daily_trades")
             n += MG.upsert_partitions(spark, trades, _t(tables_root, "fact_daily_trades"), ["ticker", "trade_date"],
                                       partition_col="trade_date", update=[c for c in trades.columns if c not in ("ticker", "trade_date")])
         n += MG.upsert_unpartitioned(spark, reg, _t(tables_root, "dim_assets"), ["ticker"],
@@ -91,7 +93,7 @@ def load_register_and_trades(spark: SparkSession, register_paths, trades_paths,
 def load_daily_quotes(spark: SparkSession, quotes_paths, tables_root: str, *, target_date=None) -> int:
     """Daily quotes (K3); zero rows is only a warning (returns 0)."""
     def work():
-        q = TR.transform_daily_quotes(read_trades(spark, quotes_paths, target_date))
+        q = conform(TR.transform_daily_quotes(read_trades(spark, quotes_paths, target_date)), "fact_daily_quotes")
         return MG.upsert_partitions(spark, q, _t(tables_root, "fact_daily_quotes"), ["ticker", "trade_date"],
                                     partition_col="trade_date", update=[c for c in q.columns if c not in ("ticker", "trade_date")])
 
@@ -103,7 +105,7 @@ def load_intraday(spark: SparkSession, jsonl_paths, tables_root: str) -> int:
     def work():
         lines = JS.scan_jsonl_lines(spark, jsonl_paths)
         # First write wins inside the batch: order = (file, line, point).
-        return MG.insert_ignore_table(spark, JS.parse_jsonl(lines), _t(tables_root, "fact_quotes"), ["ticker", "quoted_at"],
+        return MG.insert_ignore_table(spark, conform(JS.parse_jsonl(lines), "fact_quotes"), _t(tables_root, "fact_quotes"), ["ticker", "quoted_at"],
                                       partition_col="trade_date", order=["source_jsonl", "place"])
 
     return _ledgered(spark, _t(tables_root, "_runs"), "intraday_quotes", work)
@@ -164,9 +166,20 @@ def run_daily(spark: SparkSession, *, register_paths, trades_paths, jsonl_paths,
 
 def run_payload_batch(spark: SparkSession, landed: DataFrame, out_dir: str) -> DataFrame:
     """Landed payloads -> JSONL histories (K8) and report (K9); a bad
-    payload becomes a failure row, never an exception.  Returns A8 counts."""
+    payload becomes a failure row, never an exception.  The run goes to the
+    ledger under ``out_dir`` as a landing run (K12).  Returns A8 counts."""
     from candlewick.sources.payloads import batch_outcome
 
-    WR.write_payload_records(landed, os.path.join(out_dir, "jsonl"))
-    WR.write_report(landed, os.path.join(out_dir, "report"))
-    return batch_outcome(spark.read.option("header", True).option("inferSchema", True).csv(os.path.join(out_dir, "report")))
+    ledger = _t(out_dir, "_runs")
+    run = LG.start_run(spark, ledger, "payload_batch", kind="landing")
+    try:
+        WR.write_payload_records(landed, os.path.join(out_dir, "jsonl"))
+        WR.write_report(landed, os.path.join(out_dir, "report"))
+        report = spark.read.schema("ticker_requested string, ticker_returned string, trade_date string, http_status int, request_succeeded boolean, points_count int, error_message string")
+        out = batch_outcome(report.option("header", True).csv(os.path.join(out_dir, "report")))
+        n = {r.request_succeeded: r.n for r in out.collect()}  # two rows at most
+    except Exception as e:
+        LG.finish_run(spark, ledger, run, "payload_batch", status="FAILED", message=str(e), kind="landing")
+        raise
+    LG.finish_run(spark, ledger, run, "payload_batch", status="SUCCESS", rows_inserted=n.get(True, 0), rows_failed=n.get(False, 0), kind="landing")
+    return out

@@ -192,3 +192,12 @@ def hist_files_load(spark, sf_dir):
     rows = FW.dedupe_last(FW.parse_lines(FW.scan_lines(spark, folder)))
     return rows.select("trade_date", "ticker", "codneg", "especi", "isin", "open_price", "max_price", "min_price", "avg_price", "last_price",
                        "trade_count", "quantity_total", "volume_financial", "expiration_date", "expiration_key")
+
+
+@register("daily_discards", with_views(DAILY_VIEWS, f"""
+SELECT {_FILE} AS file_name, CAST(count(*) + count(*) FILTER (WHERE trade_count >= 3) + 1 AS BIGINT) AS rows_read,
+       CAST(1 AS BIGINT) AS no_ticker, CAST(0 AS BIGINT) AS no_date, count(*) FILTER (WHERE trade_count >= 3) AS repeated
+FROM v_daily GROUP BY 1"""))
+def daily_discards(spark, sf_dir):
+    """P2 / P3 discard counters of every file."""
+    return TR.discarded(mapped_trades(spark, sf_dir))

@@ -114,3 +114,20 @@ def transform_instruments(df: DataFrame, file_date=None) -> DataFrame:
     clean = sanitize_asset_columns(first)
     return keep_first(clean, ["ticker"]).select(
         "ticker", "asset_name", "isin", "segment", "instrument_type", "source_file_date")
+
+
+def discarded(df: DataFrame, target_date=None) -> DataFrame:
+    """P2 / P3 counters per file: rows read, rows dropped for want of a ticker
+    or a trade date, and rows that repeat an earlier (ticker, date)."""
+    if "trade_date" not in df.columns:
+        df = df.withColumn("trade_date", undated(target_date))
+    d = dates_by_file_format(trim_all(df.select("file_name", "line_no", "ticker", "trade_date")), "trade_date")
+    ticker = F.upper("ticker")
+    no_ticker = ticker.isNull() | (ticker == "")
+    keyed = d.select("file_name", no_ticker.alias("nt"), (~no_ticker & F.col("trade_date").isNull()).alias("nd"), ticker.alias("ticker"), "trade_date")
+    per_key = keyed.groupBy("file_name", "nt", "nd", "ticker", "trade_date").agg(F.count(F.lit(1)).alias("n"))
+    good = ~F.col("nt") & ~F.col("nd")
+    return per_key.groupBy("file_name").agg(
+        F.sum("n").alias("rows_read"), F.coalesce(F.sum(F.when(F.col("nt"), F.col("n"))), F.lit(0)).alias("no_ticker"),
+        F.coalesce(F.sum(F.when(F.col("nd"), F.col("n"))), F.lit(0)).alias("no_date"),
+        F.coalesce(F.sum(F.when(good, F.col("n") - 1)), F.lit(0)).alias("repeated"))

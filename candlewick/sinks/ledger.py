@@ -71,3 +71,10 @@ def current_runs(events: DataFrame) -> DataFrame:
         F.col("l.retry_count").alias("retry_count"), F.col("l.message").alias("message"),
         (F.unix_micros(finished.cast("timestamp")) - F.unix_micros(F.col("started_at").cast("timestamp"))).alias("_us"),
     ).withColumn("duration_seconds", F.col("_us") / F.lit(1e6)).drop("_us")
+
+
+def landing_runs(events: DataFrame) -> DataFrame:
+    """The landing runs, with retries and the duration in whole milliseconds."""
+    runs = current_runs(events).where(F.col("kind") == "landing")
+    ms = F.round(F.col("duration_seconds") * 1000).cast("bigint")
+    return runs.select("run_id", "pipeline_name", "status", "started_at", "finished_at", F.coalesce("retry_count", F.lit(0)).alias("retry_count"), ms.alias("duration_ms"), "message")

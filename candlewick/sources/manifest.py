@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.functions.dates import file_name_date
+from candlewick.functions.dates import file_name_date, try_date
 
 # Naming patterns.
 TIMESTAMP_TAG = r"(\d{8}T\d{6})"
@@ -32,12 +32,21 @@ def manifest(spark: SparkSession, directory: str, glob: str | None = None, recur
 
 
 def resolve_snapshot(files: DataFrame, target_date) -> DataFrame:
-    """The file for the target date, else the day before; within a day
-    the greatest name.  One row (or none)."""
+    """The file for the target date, else the day before.
+
+    A file belongs to the date in its name; within a folder named by a date,
+    one without a date in its name belongs to the folder's, after those that
+    name it.  Within a day the greatest name wins.  No file is an error.
+    """
     d = F.lit(str(target_date)).cast("date")
-    f = files.withColumn("file_date", file_name_date(F.col("name")))
+    own = file_name_date(F.col("name"))
+    folder = try_date(F.element_at(F.split("path", "/"), -2), "yyyy-MM-dd") if "path" in files.columns else F.lit(None).cast("date")
+    f = files.withColumn("file_date", F.coalesce(own, folder)).withColumn("named", own.isNotNull())
     cand = f.where(F.col("file_date").isin(d, F.date_sub(d, 1)))
-    return cand.orderBy(F.col("file_date").desc(), F.col("name").desc()).limit(1)
+    best = cand.orderBy(F.col("file_date").desc(), F.col("named").desc(), F.col("name").desc()).limit(1).drop("named")
+    if best.isEmpty():
+        raise FileNotFoundError(f"no file for {target_date} or the day before")
+    return best
 
 
 def pair_siblings(registers: DataFrame, trades: DataFrame) -> DataFrame:

@@ -145,3 +145,35 @@ def test_manifest_rules(spark, root):
     pairs = {r.register_path.rsplit("/", 1)[-1]: r.trades_path.rsplit("/", 1)[-1] for r in MF.pair_siblings(files.where("name like 'reg%'"), files.where("name like 'neg%'")).collect()}
     assert pairs == {"reg_20240613.csv": "neg_20240613.csv", "reg_2024-06-12.csv": "neg_20240613.csv"}
     assert MF.resolve_by_patterns(files, "neg", "2024-06-01").first().name == "neg_20240601.csv"
+
+
+def test_dated_folder_and_missing_snapshot(spark, root):
+    _file(root, "2024-06-13/cadastro_normalizado.csv", "x\n")
+    files = MF.manifest(spark, root).select("path", "name")
+    assert MF.resolve_snapshot(files, "2024-06-14").first().name == "cadastro_normalizado.csv"
+    with pytest.raises(FileNotFoundError):
+        MF.resolve_snapshot(files, "2024-07-14")
+
+
+def test_payload_batch_is_a_landing_run(spark, root):
+    from candlewick.sinks import ledger as LG
+
+    body = '{"BizSts":{"cd":"CLOSED"},"TradgFlr":{"date":"2024-06-14","scty":{"symb":"abcd3","lstQtn":[]}}}'
+    landed = spark.createDataFrame([("WXYZ4F", body, 200, None), ("ABCD3", "oops", 200, None)], "requested_ticker string, body string, http_status int, load_date date")
+    out = {r.request_succeeded: r.n for r in J.run_payload_batch(spark, landed, root).collect()}
+    assert out == {True: 1, False: 1}
+    line = spark.read.text(os.path.join(root, "jsonl")).first().value
+    assert '"ticker_requested":"WXYZ4F"' in line and '"business_status_code":"CLOSED"' in line and '"points_count":0' in line
+    run = LG.landing_runs(spark.read.parquet(os.path.join(root, "_runs"))).first()
+    assert (run.status, run.retry_count) == ("SUCCESS", 0) and run.duration_ms >= 0
+
+
+def test_tables_have_declared_types(spark, root):
+    from candlewick.sources.tables import MARKET_TABLES, read_market_table
+
+    t = _file(root, "t.csv", "TckrSymb;RptDt;LastPric;TradQty;NtlFinVol\nAAAA3;14/06/2024;10,1234565;3;5,005\n")
+    J.load_daily_quotes(spark, [t], root)
+    df = read_market_table(spark, root, "fact_daily_quotes")
+    assert dict(df.dtypes) == MARKET_TABLES["fact_daily_quotes"]
+    row = df.first()
+    assert str(row.last_price) == "10.123457" and row.trade_count == 3
