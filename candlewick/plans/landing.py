@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.plans import market_tables as M
+from candlewick.session import scratch_path
 
 # Fixed values of the rendering.
 EXTRA_DAY = "2024-02-01"
@@ -179,3 +180,20 @@ def raw_register_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.lit(1).cast("bigint").alias("line_no"), F.lit(";no ticker;;;2001-12-31").alias("line")),
     )).alias("x")).select("file_name", "x.line_no", "x.line")
     return rows.unionByName(dups).unionByName(extra)
+
+
+_LANDED: dict[tuple[str, str, str], str] = {}
+
+
+def landed(spark: SparkSession, sf_dir: str, name: str, render) -> DataFrame:
+    """The rows of ``render(spark, sf_dir)`` as files in the shared folder.
+
+    Landed once for a session and data folder and read by every query, the way
+    files that a job receives are: parsing never repeats the rendering.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _LANDED:
+        path = scratch_path(spark, f"landed-{name}")
+        render(spark, sf_dir).write.parquet(path)
+        _LANDED[key] = path
+    return spark.read.parquet(_LANDED[key])

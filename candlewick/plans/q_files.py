@@ -28,7 +28,7 @@ _LINE_NO = "(CAST(datediff('day', DATE '1990-01-01', trade_date) AS BIGINT) * 10
 
 
 def _trade_lines(spark, sf_dir):
-    return LD.raw_trade_lines(spark, sf_dir)
+    return LD.landed(spark, sf_dir, "trades", LD.raw_trade_lines)
 
 
 def mapped_trades(spark, sf_dir):
@@ -128,7 +128,7 @@ def locale_profile(spark, sf_dir):
 @register("register_transform", with_views(V_ASSETS, """
 SELECT ticker, asset_name, isin, segment, CAST(NULL AS VARCHAR) AS instrument_type, source_file_date FROM v_assets"""))
 def register_transform(spark, sf_dir):
-    headers, data = D.normalize_lines(LD.raw_register_lines(spark, sf_dir), "instruments", min_fields=4)
+    headers, data = D.normalize_lines(LD.landed(spark, sf_dir, "register", LD.raw_register_lines), "instruments", min_fields=4)
     m = D.mapped_columns(data, D.header_positions(headers, INSTRUMENT_COLUMN_MAP), REGISTER_TARGETS)
     return TR.transform_instruments(m)
 
@@ -160,7 +160,7 @@ SELECT ticker, trade_date, open_price, last_price, CASE WHEN trade_count = 1 THE
 FROM v_daily"""))
 def daily_files_load(spark, sf_dir):
     """S3 + S7 + P2 over landed files (same base names in many folders)."""
-    folder = _land(spark, LD.raw_trade_lines(spark, sf_dir), "trades-landed")
+    folder = _land(spark, _trade_lines(spark, sf_dir), "trades-landed")
     return TR.transform_trades(J.read_trades(spark, folder)).drop("source_file_name")
 
 
@@ -188,7 +188,7 @@ SELECT trade_date, ticker, codneg, especi, isin, open_price, max_price, min_pric
 FROM hist"""))
 def hist_files_load(spark, sf_dir):
     """S8 + K6 over landed files: records in file and line order, last wins."""
-    folder = _land(spark, M.hist_lines(spark, sf_dir), "hist-landed")
+    folder = _land(spark, LD.landed(spark, sf_dir, "hist", M.hist_lines), "hist-landed")
     rows = FW.dedupe_last(FW.parse_lines(FW.scan_lines(spark, folder)))
     return rows.select("trade_date", "ticker", "codneg", "especi", "isin", "open_price", "max_price", "min_price", "avg_price", "last_price",
                        "trade_count", "quantity_total", "volume_financial", "expiration_date", "expiration_key")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from candlewick.operators import pages as PG
+from candlewick.plans import landing as LD
 from candlewick.plans import market_tables as M
 from candlewick.plans.catalog import register
 from candlewick.plans.oracle_views import HIST_VIEWS, with_views
@@ -18,7 +19,7 @@ PAGE_START, PAGE_END = "1997-01-01", "1998-12-31"
 
 
 def _lines(spark, sf_dir):
-    return M.hist_lines(spark, sf_dir)
+    return LD.landed(spark, sf_dir, "hist", M.hist_lines)
 
 
 def historical(spark, sf_dir):

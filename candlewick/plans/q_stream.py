@@ -29,7 +29,7 @@ def _points_stream(spark, sf_dir):
     return M.points_from_events(ev, with_order=True)
 
 
-def _shuffled_points(spark, sf_dir, files: int = 5):
+def _shuffled_points(spark, sf_dir, files: int = 3):
     """The events landed in ``files`` files regardless of time, read one file a micro-batch."""
     ev = spark.read.parquet(os.path.join(sf_dir, "events.parquet"))
     folder = scratch_path(spark, "events-landed")

@@ -18,6 +18,7 @@ from pyspark.sql.window import Window
 
 from candlewick.functions.headers import normalize_name
 from candlewick.functions.text import header_key
+from candlewick.session import ensure_checkpoint_dir
 from candlewick.sources.lines import per_file, split_fields
 
 # Separators tried in order, header search depth.
@@ -163,6 +164,7 @@ def load_files(lines: DataFrame, table_key: str, mapping: dict[str, str], target
     layout = headers.join(header_positions(headers, mapping), "file_name")
     names = [c for c in layout.columns if c.startswith("pos_")]
     layout = layout.select("file_name", "header_line_no", "sep", F.size("header").alias("n_columns"), "valid", *names)
+    ensure_checkpoint_dir(lines.sparkSession)
     layout = layout.checkpoint(eager=True)
     lacking = F.lit(False)
     for t in required:

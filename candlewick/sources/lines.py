@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from candlewick.session import ensure_checkpoint_dir
+
 #: Largest per-file table that is broadcast; a larger one is joined by shuffle.
 MAX_BROADCAST_FILES = 50_000
 _ROW_BITS = (1 << 33) - 1
@@ -59,8 +61,11 @@ def scan_any(spark: SparkSession, paths, *, kind: str = "csv", encoding: str | N
 
 
 def per_file(df: DataFrame) -> DataFrame:
-    """A table with one row per file, marked for broadcast if it is proven small."""
-    return F.broadcast(df) if df.limit(MAX_BROADCAST_FILES + 1).count() <= MAX_BROADCAST_FILES else df
+    """A table with one row per file: evaluated once into the shared checkpoint
+    folder, and marked for broadcast if its count proves it small."""
+    ensure_checkpoint_dir(df.sparkSession)
+    df = df.checkpoint(eager=True)
+    return F.broadcast(df) if df.count() <= MAX_BROADCAST_FILES else df
 
 
 def split_fields(line: Column, sep: Column) -> Column:
