@@ -2,8 +2,10 @@
 
 Each page is parsed once, in a task, to its text blocks.  What HTML itself
 marks as furniture (navigation, page header and footer, asides, forms,
-scripts, hidden parts, ...) or names so (class, id or role words such as
-``ad``, ``sidebar``, ``cookie`` or ``comments``) goes at once.  The main text
+scripts, hidden parts, ...) or names so (a role, or a whole class or id token
+such as ``ad``, ``site-footer``, ``cookie-notice`` or ``comments``) goes at once;
+names never drop an article or main, nor what holds one (readers' comments
+beside an article excepted).  The main text
 is that of the page's articles (``article`` or ``main``, or role main); a page
 without any gives its whole body.
 
@@ -22,6 +24,7 @@ container inside their main text are joined with the templates.
 
 from __future__ import annotations
 
+import re
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -46,41 +49,53 @@ SIBLINGS = {
     "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
     "thead": ({"thead", "tbody", "tfoot"}, {"table"}), "tbody": ({"thead", "tbody", "tfoot"}, {"table"}), "tfoot": ({"thead", "tbody", "tfoot"}, {"table"}),
 }
-WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner nav navbar navigation menu menubar breadcrumb breadcrumbs sidebar sidenav "
-    "footer cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription share sharing social related recommended recommendations "
-    "comment comments commentlist disqus respond reply replies login signup searchform searchbox pagination pager toolbar widget widgets skip".split())
+#: Class or id tokens that name furniture, alone or as ``[LEADS-]name[-PARTS]``.  Names that also stand
+#: for content or layout (menu, notice, share, social, widget, banner, overlay, ...) are left to the counts.
+NAMES = frozenset(
+    "ad ads adv advert adverts advertisement advertisements adsense adsbygoogle nav navbar navigation menubar breadcrumb breadcrumbs sidebar sidenav footer gdpr modal popup "
+    "comments commentlist disqus related recommendations pagination pager searchform searchbox "
+    "ad-banner ads-banner cookie-banner cookie-bar cookie-notice cookie-consent cookie-law cookie-popup cookie-overlay cookie-message consent-banner gdpr-notice gdpr-consent "
+    "nav-menu menu-bar skip-link skip-to-content skip-nav comment-list comment-form comment-respond disqus-thread login-form signup-form search-form search-box "
+    "newsletter-signup newsletter-form newsletter-subscribe subscribe-form subscription-form related-posts related-articles related-links related-content related-stories recommended-posts recommended-articles "
+    "sponsored-content sponsored-links sponsored-posts share-buttons share-links share-bar sharing-buttons social-buttons social-links social-icons social-media social-share social-sharing".split())
 #: Names of furniture outside an article only: an article has a header of its own.
-OUTER_WORDS = frozenset("header masthead topbar".split())
+OUTER_NAMES = frozenset("header masthead topbar top-bar".split())
+#: Regions whose articles are readers' comments.
+COMMENT_NAMES = frozenset("comments commentlist comment-list disqus disqus-thread".split())
+LEADS = frozenset("site main page post global primary secondary top bottom".split())
+PARTS = frozenset("wrapper wrap container box block area section inner outer slot unit list".split())
+_HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 
 
-def _names(value: str | None) -> set[str]:
-    """Words of a class or id: split at signs and at camelCase humps."""
-    out, word = set(), ""
-    for c in value or "":
-        if not c.isalpha() or (c.isupper() and word and word[-1].islower()):
-            out.add(word.lower())
-            word = ""
-        if c.isalpha():
-            word += c
-    out.add(word.lower())
+def _tokens(value: str | None) -> set[str]:
+    """Whole tokens of a class or id: lower case, camelCase humps and _ as hyphens, without LEADS and PARTS."""
+    out = set()
+    for token in (value or "").split():
+        words = _HUMP.sub("-", token).replace("_", "-").lower().split("-")
+        out.add("-".join(words))
+        while len(words) > 1 and (words[-1] in PARTS or words[-1].isdigit()):
+            words.pop()
+        out.add("-".join(words))
+        if len(words) > 1 and words[0] in LEADS:
+            out.add("-".join(words[1:]))
     return out
 
 
 class _Element:
-    __slots__ = ("tag", "items", "drop", "main", "digest", "inside")
+    __slots__ = ("tag", "items", "names", "article", "hard", "holds", "drop", "main", "digest")
 
-    def __init__(self, tag: str, drop: bool, main: bool, inside: bool) -> None:
-        self.tag, self.drop, self.main, self.inside = tag, drop, main, inside
+    def __init__(self, tag: str, names: set[str], article: bool, hard: bool) -> None:
+        self.tag, self.names, self.article, self.hard = tag, names, article, hard
         self.items: list = []  # strings and elements
+        self.holds = self.drop = self.main = False
         self.digest = None
 
 
 class _Tree(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.root = _Element("html", False, False, False)
+        self.root = _Element("html", set(), False, False)
         self.stack = [self.root]
 
     def handle_starttag(self, tag, attrs):
@@ -91,16 +106,11 @@ class _Tree(HTMLParser):
         if tag in SIBLINGS:
             self._close(*SIBLINGS[tag])
         a = dict(attrs)
-        top = self.stack[-1]
-        main = (tag in ("article", "main") or a.get("role") == "main") and not top.drop
-        inside = top.inside or main
-        names = _names(a.get("class")) | _names(a.get("id"))
         furniture = (
-            tag in SILENT or tag in FURNITURE or (tag == "header" and not inside) or "hidden" in a or a.get("aria-hidden") == "true"
-            or "display:none" in (a.get("style") or "").replace(" ", "").lower() or a.get("role") in ROLES
-            or (bool(names & WORDS) and tag not in ("html", "body", "main")) or (not inside and bool(names & OUTER_WORDS)))
-        e = _Element(tag, top.drop or furniture, main and not furniture, inside)
-        top.items.append(e)
+            tag in SILENT or tag in FURNITURE or "hidden" in a or a.get("aria-hidden") == "true"
+            or "display:none" in (a.get("style") or "").replace(" ", "").lower() or a.get("role") in ROLES)
+        e = _Element(tag, _tokens(a.get("class")) | _tokens(a.get("id")), tag in ("article", "main") or a.get("role") == "main", furniture)
+        self.stack[-1].items.append(e)
         if tag not in VOID:
             self.stack.append(e)
 
@@ -130,6 +140,7 @@ def parse(html: str) -> _Element:
     tree = _Tree()
     tree.feed(html)
     tree.close()
+    mark(tree.root)
     return tree.root
 
 
@@ -143,6 +154,33 @@ def _post_order(root: _Element) -> list[_Element]:
     return out
 
 
+def mark(root: _Element) -> None:
+    """Set ``drop`` and ``main``: marks of HTML itself first, names after them.
+
+    A name drops neither an article or main nor an element that holds one.
+    Regions of readers' comments go with their articles where the page has an
+    article or main outside of them.
+    """
+    others = False
+    todo = [(root, False, False, False)]
+    while todo:  # marks of HTML; whether an article stands outside the comments
+        e, under, inside, comments = todo.pop()
+        e.hard = under or e.hard or (e.tag == "header" and not inside)
+        comments = comments or (not e.article and bool(e.names & COMMENT_NAMES))
+        others = others or (e.article and not e.hard and not comments)
+        todo.extend((x, e.hard, inside or e.article, comments) for x in e.items if not isinstance(x, str))
+    for e in _post_order(root):
+        e.holds = not e.hard and (e.article or any(x.holds for x in e.items if not isinstance(x, str)))
+    todo = [(root, False, False)]
+    while todo:
+        e, under, inside = todo.pop()
+        named = bool(e.names & NAMES) or (not inside and bool(e.names & OUTER_NAMES))
+        comments = others and not e.article and bool(e.names & COMMENT_NAMES)
+        e.drop = under or e.hard or (named and (not e.holds or comments))
+        e.main = e.article and not e.drop
+        todo.extend((x, e.drop, inside or e.main) for x in e.items if not isinstance(x, str))
+
+
 def digests(root: _Element) -> None:
     """Hash every subtree by tags and text; None where it holds no text."""
     for e in _post_order(root):

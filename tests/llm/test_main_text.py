@@ -20,6 +20,23 @@ def test_blocks_and_marks():
     assert text("<div>" * 3000 + "deep" + "</div>" * 3000) == "deep"
 
 
+def test_names_drop_no_article_and_no_content():
+    post = "<h1>T</h1><p>body</p>"
+    for names in ('class="post category-social tag-advertising has-comments"', 'id="menu-17" class="sidebar ad"'):
+        assert text(f"<article {names}>{post}</article>") == "T\nbody"
+        assert text(f"<div {names}><div><main>{post}</main></div></div><p>out</p>") == "T\nbody"
+        assert text(f'<div id="page" {names}><article>{post}</article></div>') == "T\nbody"
+    for names in ("no-sidebar", "layout-with-sidebar", "ad-free", "has-comments", "menu", "notice", "category-advertising"):
+        assert text(f'<div id="page" class="{names}">{post}</div>') == "T\nbody"
+    inner = '<p class="notice">a</p><p><span class="share-price">5</span></p><ul class="menu"><li>soup</ul>'
+    assert text(f"<article>{post}{inner}</article>") == "T\nbody\na\n5\nsoup"
+    for names in ("ad", "site-footer", "adSlot", "ad_unit ad-unit-3", "sidebar-wrapper", "related-posts", "share-buttons", "primary-navigation"):
+        assert text(f'<article>{post}<div class="{names}">no</div></article>') == "T\nbody"
+    talk = '<section id="comments"><ol><li><article class="comment-body"><p>reply</p></article></ol></section>'
+    assert text(f"<article>{post}</article>{talk}") == "T\nbody" and text(talk) == "reply"
+    assert text(f'<div hidden><article>x</article></div><article>{post}</article>') == "T\nbody"
+
+
 def test_template_removal(spark):
     box = "<div><ul><li>Latest stories</li><li>Popular</li></ul></div>"
     pages = [(i, f"http://a.example/{i}", f"<body>{box}<div><p>Story number {i}</p><p>Shared line</p></div></body>", "x", 1) for i in range(8)]
