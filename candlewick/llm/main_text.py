@@ -10,12 +10,14 @@ is that of the page's articles (``article`` or ``main``, or role main); a page
 without any gives its whole body.
 
 Templates without such marks are found by counting: every container subtree is
-hashed (tags and text, no attributes), Spark counts per host on how many
-different pages a hash occurs, and subtrees on ``MIN_PAGES`` or more of them
-are deleted with everything below.  Copies of one page count once, so a page
-that a site holds many times is not its own template; paragraphs and headings
-are never counted, only containers, so a sentence that many articles share
-stays.
+hashed (tags and text, no attributes), Spark counts per host with how many
+different main texts (what the marks leave) a hash occurs, and subtrees with
+``MIN_PAGES`` or more of them, and with ``MIN_SHARE`` or more of all main texts
+of the host, are deleted with everything below.  Copies of one main text count
+once, whatever their adverts, menus or footers, so an article that a site holds
+many times is not its own template, and neither is a list that few pages of a
+large host share; paragraphs and headings are never counted, only containers,
+so a sentence that many articles share stays.
 
 Counting combines before the shuffle on (host, hash, page): a host with a third
 of all pages is spread over its subtrees.  Only pages that hold a counted
@@ -35,6 +37,8 @@ from pyspark.sql import functions as F
 from candlewick.llm import common
 
 MIN_PAGES = 5
+#: Least share of the host's different main texts that a template is found with.
+MIN_SHARE = 0.25
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SILENT = frozenset("script style noscript template iframe object svg math canvas audio video button select option textarea datalist head title dialog".split())
@@ -239,17 +243,18 @@ def blocks(root: _Element) -> list[tuple[str, list[int]]]:
 
 
 def page(html: str) -> tuple[int, list[tuple[str, list[int]]], list[int]]:
-    """(digest of the page, blocks, digests of all its counted containers)."""
+    """(digest of the main text, blocks, digests of all its counted containers)."""
     root = parse(html)
     digests(root)
     counted = {e.digest for e in _post_order(root) if e.tag in CONTAINER and e.digest is not None and not e.main}
-    return root.digest or 0, blocks(root), sorted(counted)
+    kept = blocks(root)
+    return xxhash.xxh64_intdigest("\n".join(t for t, _ in kept)) - (1 << 63), kept, sorted(counted)
 
 
 _PARSED = "uid long, page_id long, url string, host string, body long, counted array<long>, blocks array<struct<text: string, around: array<long>>>"
 
 
-def extract(df: DataFrame, min_pages: int = MIN_PAGES, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+def extract(df: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per page: page_id, url, text, n_chars (code points).
 
     Inside a block white space is one space; blocks are joined by a line feed
@@ -269,8 +274,11 @@ def extract(df: DataFrame, min_pages: int = MIN_PAGES, id_col: str = "page_id",
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["uid", "page_id", "url", "host", "body", "counted", "blocks"])
 
     parsed = common.cut(raw.mapInArrow(run, _PARSED))
-    seen = parsed.where(F.col("host").isNotNull()).select("host", F.explode("counted").alias("digest"), "body").distinct()
-    templates = common.cut(seen.groupBy("host", "digest").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages).select("host", "digest"))
+    sited = parsed.where(F.col("host").isNotNull())
+    seen = sited.select("host", F.explode("counted").alias("digest"), "body").distinct()
+    often = seen.groupBy("host", "digest").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages)
+    bodies = sited.select("host", "body").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("of"))
+    templates = common.cut(often.join(bodies, "host").where(F.col("n") >= min_share * F.col("of")).select("host", "digest"))
     around = F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["around"])))
     asked = parsed.where(F.col("host").isNotNull()).select("uid", "host", F.explode(around).alias("digest"))
     hits = asked.join(templates, ["host", "digest"]).groupBy("uid").agg(F.collect_set("digest").alias("gone"))

@@ -53,6 +53,17 @@ def test_template_removal(spark):
     assert main_text.extract(df.limit(0)).count() == 0
 
 
+def test_copies_and_rare_lists_are_no_templates(spark):
+    story = "<article><h1>T</h1><div class='content'><p>One story</p><ul><li>a</li><li>b</li></ul></div><div class='ad'>Advert {0}</div></article>"
+    pages = [(i, f"http://a.example/x?from={i}", f"<body><nav>Menu {i}</nav>{story.format(i)}<footer>Foot {i}</footer></body>") for i in range(9)]
+    rare = "<ul><li>rare</li></ul>"
+    pages += [(100 + i, f"http://b.example/{i}", f"<body><div>Site links</div><p>Page {i}</p>{rare if i < 6 else ''}</body>") for i in range(40)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in main_text.extract(df).collect()}
+    assert all(got[i] == "T\nOne story\na\nb" for i in range(9))
+    assert all(got[100 + i] == f"Page {i}" + ("\nrare" if i < 6 else "") for i in range(40))
+
+
 def test_pages_against_a_plain_reading(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     source = {r.page_id: r.html for r in df.collect()}
