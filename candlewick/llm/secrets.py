@@ -5,8 +5,9 @@ Base kinds are regular expressions.  The method adds spans of kind
 models, one of random strings and one of ordinary identifiers, tell apart by
 their log-likelihood ratio.  Both models are trained from labelled samples:
 
-* random: the secrets that the base kinds find in the sampled documents, and
-  as many drawn strings over the usual key alphabets (seeded by document);
+* random: the secrets that the base kinds find in the sampled documents (of an
+  assignment its value), and drawn strings over the usual key alphabets, base64
+  with padding and base64url among them (seeded by document);
 * identifiers: the sampled documents' own words, joined the way identifiers
   are written (snake_case, camelCase, dotted paths, with a number now and then).
 
@@ -41,6 +42,7 @@ KINDS = ("assign", "access", "hex", "random")
 #: Candidates of the models: long runs of key-like characters.
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+SIGNS = "+/_=-"
 SYMBOL = np.zeros(128, dtype=np.int64)
 for _i, _c in enumerate(ALPHABET):
     SYMBOL[ord(_c)] = _i + 1
@@ -75,10 +77,11 @@ def _cells(s: str) -> np.ndarray:
 
 
 def random_strings(rng: random.Random, n: int) -> Iterator[str]:
-    sets = ("0123456789abcdef", "0123456789ABCDEF", ALPHABET[:62], ALPHABET[:64], ALPHABET[:26] + ALPHABET[52:62], ALPHABET[26:62])
+    sets = ("0123456789abcdef", "0123456789ABCDEF", ALPHABET[:62], ALPHABET[:64], ALPHABET[:26] + ALPHABET[52:62], ALPHABET[26:62], ALPHABET[:62] + "_-")
     for _ in range(n):
         chars = rng.choice(sets)
-        yield "".join(rng.choice(chars) for _ in range(rng.randint(20, 48)))
+        pad = "=" * rng.randrange(3) if len(chars) == 64 else ""
+        yield "".join(rng.choice(chars) for _ in range(rng.randint(20, 48))) + pad
 
 
 def identifiers(rng: random.Random, text: str, n: int) -> Iterator[str]:
@@ -106,7 +109,7 @@ def labelled(doc_id: int | None, text: str, per_doc: int = 8) -> Iterator[tuple[
         value = text[start:end]
         if kind == 0:
             value = ASSIGN.match(value)[2].replace(".", "")
-        if len(value) >= 16 and kind:
+        if len(value) >= 16:
             yield 1, value
     for s in random_strings(rng, per_doc):
         yield 1, s
@@ -122,9 +125,18 @@ class MarkovRatio:
 
     @staticmethod
     def from_counts(counts: np.ndarray, smoothing: float = 0.5) -> "MarkovRatio":
-        c = counts.reshape(2, N_SYMBOLS, N_SYMBOLS) + smoothing
-        p = np.log(c / c.sum(axis=2, keepdims=True))
-        return MarkovRatio((p[1] - p[0]).ravel())
+        """Ratio zero out of contexts where smoothing outweighs what either class has seen.
+
+        A sign after a sign counts for identifiers or not at all: rule lines,
+        form blanks and table borders are in neither class's samples.
+        """
+        c = counts.reshape(2, N_SYMBOLS, N_SYMBOLS)
+        seen = (c.sum(axis=2) >= smoothing * N_SYMBOLS).all(axis=0)
+        p = np.log((c + smoothing) / (c + smoothing).sum(axis=2, keepdims=True))
+        ratio = np.where(seen[:, None], p[1] - p[0], 0.0)
+        signs = np.ix_(SYMBOL[[ord(x) for x in SIGNS]], SYMBOL[[ord(x) for x in SIGNS]])
+        ratio[signs] = np.minimum(ratio[signs], 0.0)
+        return MarkovRatio(ratio.ravel())
 
     def score(self, s: str) -> float:
         return float(self.ratio[_cells(s)].sum())

@@ -49,6 +49,25 @@ def test_models_tell_held_out_strings_apart(spark):
     assert sum(map(model.is_random, names)) <= 0.01 * len(names)
 
 
+def prose(n=200):
+    rng = random.Random(9)
+    return [" ".join(rng.choice(["market", "ordinary", "index", "value", "container", "window", "because", "reader", "system", "request"]) for _ in range(80)) for _ in range(n)]
+
+
+def test_lines_of_signs_are_no_secrets(spark):
+    model = secrets.train(documents(spark, prose()))
+    lines = [sign * n for sign in "-_=/+" for n in (20, 40, 80, 400)] + ["+" + "-" * 30 + "+" + "-" * 30 + "+", "=-" * 30, "-_" * 20, "name______________________date____________________"]
+    for line in lines:
+        text = f"heading\n{line}\nbody"
+        assert secrets.all_spans(text, secrets.base_spans(text), model) == [], line
+
+
+def test_assign_values_train_the_random_class():
+    value = "Zq8-r_T5x=Lw2Pm9Kd7Vb3"
+    assert (1, value) not in [(k, v) for k, v in secrets.labelled(1, "plain words", 0)]
+    assert any(k == 1 and value in v for k, v in secrets.labelled(1, f"token={value}", 0))
+
+
 def test_redact_keeps_rows_and_columns(spark):
     df = documents(spark, [None, "", "my token=abcdefgh99 ok", "clean text"])
     out = secrets.redact(df, secrets.train(df)).orderBy("doc_id").collect()
