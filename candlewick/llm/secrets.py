@@ -1,9 +1,9 @@
 """Secret scan: fixed patterns plus character Markov models.
 
 Base kinds are regular expressions.  The method adds spans of kind
-``random``: runs of key-like characters that two first-order character Markov
-models, one of random strings and one of ordinary identifiers, tell apart by
-their log-likelihood ratio.  Both models are trained from labelled samples:
+``random``: stretches of key-like characters that two first-order character
+Markov models, one of random strings and one of ordinary identifiers, tell apart
+by their log-likelihood ratio; words joined to a key do not dilute it.  Both models are trained from labelled samples:
 
 * random: the secrets that the base kinds find in the sampled documents (of an
   assignment its value), and drawn strings over the usual key alphabets, base64
@@ -49,9 +49,13 @@ for _i, _c in enumerate(ALPHABET):
 N_SYMBOLS = len(ALPHABET) + 1  # 0: start of string
 
 SAMPLE_DOCS = 4000
-#: A candidate is random beyond both: nats in all, and nats a character.
+#: A stretch of a candidate is random from both on: nats in all, and nats a character.
 MIN_LLR = 15.0
 MIN_LLR_PER_CHAR = 0.7
+MIN_STRETCH = 16
+#: A stretch grows by so many characters at a time, and in the end by a loss of so many nats.
+GROW = 64
+SLACK = 3.0
 
 Span = tuple[int, int, int]  # start, kind index, end
 
@@ -117,6 +121,48 @@ def labelled(doc_id: int | None, text: str, per_doc: int = 8) -> Iterator[tuple[
         yield 0, s
 
 
+def _maximal(x: list[float]) -> list[tuple[int, int]]:
+    """All maximal scoring stretches (Ruzzo and Tompa), in order, disjoint."""
+    found: list[tuple[float, float, int, int, int]] = []  # sum before, sum after, start, end, last stretch with a smaller sum before
+    total = 0.0
+    for i, v in enumerate(x):
+        before, start = total, i
+        total += v
+        if v <= 0:
+            continue
+        k = len(found) - 1
+        while True:
+            while k >= 0 and found[k][0] >= before:
+                k = found[k][4]
+            if k < 0 or found[k][1] >= total:
+                found.append((before, total, start, i + 1, k))
+                break
+            before, _, start, _, up = found[k]
+            del found[k:]
+            k = up
+    return [(f[2], f[3]) for f in found]
+
+
+def _grown(total: np.ndarray, word: np.ndarray, i: int, j: int, per_char: float) -> int:
+    """The end of the stretch [i, j) grown to the right; ``total`` are sums, ``word`` word ends.
+
+    To the end of its word, by what raises its sum, and over a few more
+    characters up to a word's end that are no clear identifier; each while
+    the mean stays at ``per_char``.
+    """
+
+    def fits(b: int) -> bool:
+        return total[b] - total[i] >= per_char * (b - i)
+
+    b = int(word[j])
+    j = b if fits(b) else j
+    while (b := j + int(np.argmax(total[j : j + GROW + 1]))) > j and fits(b):
+        j = b
+    near = np.arange(j + 1, min(j + GROW, len(word) - 1) + 1)
+    near = near[(word[near] == near) & (total[near] >= total[j] - SLACK)]
+    return next((int(b) for b in near[::-1] if fits(b)), j)
+
+
 @dataclass(frozen=True)
 class MarkovRatio:
     """Log-likelihood ratio per transition cell, random over identifier."""
@@ -138,12 +184,39 @@ class MarkovRatio:
         ratio[signs] = np.minimum(ratio[signs], 0.0)
         return MarkovRatio(ratio.ravel())
 
-    def score(self, s: str) -> float:
-        return float(self.ratio[_cells(s)].sum())
+    def stretches(self, s: str, min_llr: float = MIN_LLR, per_char: float = MIN_LLR_PER_CHAR) -> list[tuple[int, int]]:
+        """(start, end) of the random stretches of a run, in order and disjoint.
+
+        The whole run, if it is; else the maximal stretches whose ratios
+        exceed ``per_char`` on the whole, grown to what belongs to them.
+        """
+        r = self.ratio[_cells(s)]
+        n = len(s)
+        if r[r > 0].sum() < min_llr:
+            return []
+        total = np.concatenate(([0.0], np.cumsum(r)))
+        if total[n] >= min_llr and total[n] >= per_char * n:
+            return [(0, n)]
+        sign = np.array([c in SIGNS for c in s] + [True])
+        word = np.minimum.accumulate(np.where(sign, np.arange(n + 1), n)[::-1])[::-1]  # the word's end from each position on
+        # The same to the left, as the mirrored run.
+        back = total[n] - total[::-1]
+        mirrored = np.append(sign[:n][::-1], True)
+        word_back = np.minimum.accumulate(np.where(mirrored, np.arange(n + 1), n)[::-1])[::-1]
+        out: list[tuple[int, int]] = []
+        for i, j in _maximal((r - per_char).tolist()):
+            if out and j <= out[-1][1]:
+                continue
+            j = _grown(total, word, i, j, per_char)
+            i = n - _grown(back, word_back, n - j, n - i, per_char)
+            if j - i >= MIN_STRETCH and total[j] - total[i] >= min_llr:
+                while out and i <= out[-1][1]:
+                    i = min(i, out.pop()[0])
+                out.append((i, j))
+        return out
 
     def is_random(self, s: str, min_llr: float = MIN_LLR, per_char: float = MIN_LLR_PER_CHAR) -> bool:
-        x = self.score(s)
-        return x >= min_llr and x >= per_char * len(s)
+        return bool(self.stretches(s, min_llr, per_char))
 
 
 def train(df: DataFrame, sample_docs: int = SAMPLE_DOCS, id_col: str = "doc_id", text_col: str = "text") -> MarkovRatio:
@@ -173,12 +246,14 @@ def train(df: DataFrame, sample_docs: int = SAMPLE_DOCS, id_col: str = "doc_id",
 
 
 def all_spans(text: str, base: list[Span], model: MarkovRatio) -> list[Span]:
-    """Base spans plus random ones that overlap none of them, by start then kind."""
+    """Base spans plus random stretches of what they leave of each candidate, by start then kind."""
     added = []
     for m in CANDIDATE.finditer(text):
-        s, e = m.span()
-        if not any(a < e and s < b for a, _, b in base) and model.is_random(m[0]):
-            added.append((s, 3, e))
+        at, end = m.span()
+        for a, b in [x[::2] for x in base if x[0] < end and at < x[2]] + [(end, end)]:
+            if a - at >= MIN_STRETCH:
+                added += [(at + s, 3, at + e) for s, e in model.stretches(text[at:a])]
+            at = max(at, b)
     return sorted(base + added) if added else base
 
 

@@ -68,6 +68,41 @@ def test_assign_values_train_the_random_class():
     assert any(k == 1 and value in v for k, v in secrets.labelled(1, f"token={value}", 0))
 
 
+def test_keys_joined_to_words_and_base_spans(spark):
+    model = secrets.train(documents(spark, prose()))
+    rng = random.Random(4)
+    alnum, b64 = secrets.ALPHABET[:62], secrets.ALPHABET[:64]
+    for prefix, chars, n in (("client_value_container=", alnum, 20), ("market/window/system/request/", alnum, 20), ("/market/index/request/container/reader/", alnum, 32), ("READER_SYSTEM_REQUEST_INDEX=", b64, 40)):
+        hits = 0
+        for _ in range(200):
+            key = "".join(rng.choice(chars) for _ in range(n))
+            spans = secrets.all_spans(f"see {prefix}{key}/window now", [], model)
+            a = 4 + len(prefix)
+            covered = sum(max(0, min(e, a + n) - max(s, a)) for s, _, e in spans)
+            hits += covered >= 0.9 * n
+        assert hits >= 180, (prefix, hits)
+    key = "".join(rng.choice(alnum) for _ in range(40))
+    text = f"{key}/AKIA{'Q7RZ' * 5}/{key}"
+    base = secrets.base_spans(text)
+    got = secrets.all_spans(text, base, model)
+    assert [k for _, k, _ in got] == [3, 1, 3] and all(a[2] <= b[0] for a, b in zip(got, got[1:]))
+
+
+def test_maximal_stretches_match_brute_force():
+    rng = random.Random(8)
+
+    def brute(x, lo):
+        best = max(((sum(x[i:j]), i - j, -i, i, j) for i in range(len(x)) for j in range(i + 1, len(x) + 1)), default=(0,))
+        if best[0] <= 0:
+            return []
+        i, j = best[3:]
+        return brute(x[:i], lo) + [(lo + i, lo + j)] + brute(x[j:], lo + j)
+
+    for _ in range(300):
+        x = [rng.uniform(-3, 2) for _ in range(rng.randint(0, 25))]
+        assert secrets._maximal(x) == brute(x, 0)
+
+
 def test_redact_keeps_rows_and_columns(spark):
     df = documents(spark, [None, "", "my token=abcdefgh99 ok", "clean text"])
     out = secrets.redact(df, secrets.train(df)).orderBy("doc_id").collect()
