@@ -8,7 +8,8 @@ gap keep their completely full bins and exchange the documents of the others.
 A certified group may still end on a loose bin, and many groups on as many, so
 bins under ``LOOSE`` of the capacity are exchanged too.  The exchanged pieces
 are dealt anew and packed again, until none are left, one group holds them all,
-or ``ROUNDS`` is reached.
+or a round no longer lowers the number of sequences; then the packing before
+that round stands.
 
 Ids never move: a worker cuts and checksums a text where it reads it, and only
 piece rows (a few numbers each) are shuffled.  Groups are bounded by ``GROUP``
@@ -29,7 +30,6 @@ from candlewick.llm import common, token_ids
 
 CAPACITY = 4096
 GROUP = 20_000
-ROUNDS = 4
 LOOSE = 0.95
 
 
@@ -122,7 +122,7 @@ def _packer(turn: int, capacity: int):
         lengths = part["length"].to_numpy(np.int64)
         bins, offsets = best_fit_decreasing(lengths, capacity)
         used = np.bincount(bins, weights=lengths)
-        base = (turn << 56) + (int(part["__part"].iloc[0]) << 24)
+        base = (turn << 48) + (int(part["__part"].iloc[0]) << 24)
         certified = len(used) == lower_bound(lengths, capacity)
         settled = used >= (LOOSE * capacity if certified else capacity)
         return part.assign(sequence_id=base + bins, offset=offsets, certified=certified, __settled=settled[bins])
@@ -130,29 +130,36 @@ def _packer(turn: int, capacity: int):
     return best
 
 
-def pack(rows: DataFrame, capacity: int = CAPACITY, group: int = GROUP, rounds: int = ROUNDS) -> DataFrame:
+def pack(rows: DataFrame, capacity: int = CAPACITY, group: int = GROUP, rounds: int | None = None) -> DataFrame:
     """Add sequence_id and offset to piece rows; column ``certified`` says whether the bound was met.
 
     ``rows`` needs doc_id, piece and length (1 to ``capacity``); other columns
     pass through.  Repeated rows are packed each.  No rows, no sequences.
+    ``rounds`` stops earlier.
     """
     names = rows.columns
     todo = common.cut(rows.withColumn("__uid", F.monotonically_increasing_id()))
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in todo.schema), "__part int, sequence_id long, `offset` long, certified boolean, __settled boolean"])
     done = []
-    for turn in range(rounds):
+    last, before, turn = None, 0, 0
+    while True:
         n = todo.count()
         groups = max(1, -(-n // group))
         dealt = todo.withColumn("__part", F.pmod(F.xxhash64("doc_id", "piece", "__uid", F.lit(turn)), F.lit(groups)).cast("int"))
 
         packed = common.cut(dealt.groupBy("__part").applyInPandas(_packer(turn, capacity), schema))
-        if turn == rounds - 1 or groups == 1:
+        turn += 1
+        # One piece of each sequence has offset 0.
+        bins, left = packed.where("offset = 0").select(F.count(F.lit(1)), F.count_if(~F.col("__settled"))).first()
+        if last is not None and bins >= before:
+            done.append(last)
+            break
+        if turn == rounds or groups == 1 or not left:
             done.append(packed)
             break
         done.append(packed.where("__settled"))
-        todo = packed.where("not __settled").select(*names, "__uid")
-        if todo.isEmpty():
-            break
+        last, before = packed.where("not __settled"), left
+        todo = last.select(*names, "__uid")
     out = done[0]
     for d in done[1:]:
         out = out.unionAll(d)

@@ -106,5 +106,13 @@ def test_packing(spark, lib, group):
     assert sorted(len(r.ids) for r in full) == sorted(sum(n for _, n in s) for s in seqs.values())
 
 
+def test_packing_goes_on_while_rounds_help(spark):
+    rng = random.Random(12)
+    rows = spark.createDataFrame([(i, 0, rng.randint(12, 50)) for i in range(1500)], "doc_id long, piece int, length long").repartition(2)
+    count = lambda **k: packing.pack(rows, 100, group=12, **k).select("sequence_id").distinct().count()
+    by_round = [count(rounds=k) for k in (1, 4)]
+    assert by_round[0] > by_round[1] > count()
+
+
 def test_packing_nothing(spark):
     assert packing.pack(packing.pieces(empty(spark), PATH)).count() == 0
