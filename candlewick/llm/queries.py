@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import common, dac, main_text, packing, quality, secrets, segmentations, sharding, simhash, substrings, token_ids, vectors
+from candlewick.llm import alignment, common, dac, main_text, packing, quality, secrets, segmentations, sharding, simhash, substrings, token_ids, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -135,3 +135,9 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sampled segmentations of every document, decoded again."""
     return segmentations.segment(common.table(spark, sf_dir, "documents"), segmentations.piece_model_path())
+
+
+@register("op12_anchor_alignment")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token alignment of every document between two vocabularies."""
+    return alignment.align(common.table(spark, sf_dir, "documents"))
