@@ -10,10 +10,10 @@ once and memoised by its two id tuples.
 A document's columns that need corpus-wide counts are found without holding
 the pair table anywhere whole:
 
-1. A task aligns its documents block by block (``BLOCK_CHARS`` characters or
-   ``MEMO`` windows).  A document keeps its window numbers and how often it
-   has each; a block keeps its windows' pairs, and emits every pair once with
-   its count.
+1. A task aligns its documents block by block (``BLOCK_CHARS`` characters; a
+   memo of ``MEMO`` windows ends a block too and starts anew).  A document
+   keeps its window numbers and how often it has each; a block keeps its
+   windows' links, and emits every pair once with its count.
 2. Spark sums the block counts by id pair and takes the highest of each B id.
 3. The sums go back to the blocks that hold the pair, and each block's
    documents are added up from its windows.
@@ -25,8 +25,8 @@ from __future__ import annotations
 
 import hashlib
 import json
+from array import array
 from functools import lru_cache
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from candlewick.llm import common
 
 BLOCK_CHARS = 32_000_000
-MEMO = 400_000
+MEMO = 600_000
 FLUSH_BYTES = 4 << 20
 _DICTIONARY, _DOCUMENT, _PAIR = 0, 1, 2
 
@@ -121,59 +121,78 @@ class PieceTokens:
         return self.lib.encode(text, out_type=int)
 
 
+_B = 1 << 31
+
+
 class Aligner:
-    """Memoised alignment of one block's documents."""
+    """Memoised window alignments, and what one block of documents has of them.
+
+    A window's key are its A ids and then its B ids, these with the highest
+    bit set.  The memo outlives blocks; ``forget`` bounds it.
+    """
 
     def __init__(self, a: ByteTokens, b: PieceTokens) -> None:
         self.a, self.b = a, b
         self.len_a, self.len_b = (np.array([len(x) for x in t.bytes], np.int64) for t in (a, b))
         self.mark_a, self.mark_b = (np.array([x[:1] == b" " for x in t.bytes]) for t in (a, b))
-        self.clear()
+        self.forget()
 
-    def clear(self) -> None:
-        self.windows: dict[tuple[bytes, bytes], int] = {}
+    def forget(self) -> None:
+        self.windows: dict[bytes, int] = {}
         self.texts: list[str] = []
-        self.groups: list[int] = []
-        self.links: list[int] = []
+        self.groups, self.links, self.flat = array("q"), array("q"), array("q")  # per window; the last has all windows' links in a row
         self.pairs: dict[tuple[int, int], int] = {}
-        self.window_pairs: list[dict[int, int]] = []
-        self.seen: list[int] = []
+        self.seen = np.zeros(1 << 16, np.int64)
 
-    def _align(self, key: tuple[bytes, bytes]) -> int:
+    def _align(self, key: bytes) -> int:
         """Number of a window, aligned when first met."""
         got = self.windows.get(key)
         if got is not None:
             return got
-        a, b = (np.frombuffer(k, "<u4").tolist() for k in key)
-        ends_a = list(accumulate(len(self.a.bytes[x]) for x in a))
-        ends_b = list(accumulate(len(self.b.bytes[x]) for x in b))
-        text, pairs, i, j, from_i, from_j, links = [], {}, 0, 0, 0, 0, 0
-        while i < len(a) and j < len(b):
-            pair = self.pairs.setdefault((a[i], b[j]), len(self.pairs))
-            pairs[pair] = pairs.get(pair, 0) + 1
-            links += 1
-            end_a, end_b = ends_a[i], ends_b[j]
-            i, j = i + (end_a <= end_b), j + (end_b <= end_a)
-            if end_a == end_b:
-                text.append(",".join(map(str, a[from_i:i])) + "|" + ",".join(map(str, b[from_j:j])))
-                from_i, from_j = i, j
-        number = self.windows[key] = len(self.windows)
+        ids = np.frombuffer(key, "<u4").tolist()
+        cut = next(k for k, x in enumerate(ids) if x >= _B)
+        a, b, pairs = ids[:cut], [x - _B for x in ids[cut:]], self.pairs
+        if len(a) == 1 or len(b) == 1:  # one group, all linked
+            links = [(x, y) for x in a for y in b]
+            text = [",".join(map(str, a)) + "|" + ",".join(map(str, b))]
+        else:
+            text, links = self._walk(a, b)
+        number = self.windows[key] = len(self.texts)
         self.texts.append(";".join(text))
         self.groups.append(len(text))
-        self.links.append(links)
-        self.window_pairs.append(pairs)
-        self.seen.append(0)
+        self.links.append(len(links))
+        self.flat.extend([pairs.setdefault(x, len(pairs)) for x in links])
         return number
 
+    def _walk(self, a: list[int], b: list[int]) -> tuple[list[str], list[tuple[int, int]]]:
+        """Groups as text and links of two id sequences over the same bytes."""
+        bytes_a, bytes_b = self.a.bytes, self.b.bytes
+        text, links, i, j, from_i, from_j = [], [], 0, 0, 0, 0
+        end_a, end_b = len(bytes_a[a[0]]), len(bytes_b[b[0]])
+        while True:
+            links.append((a[i], b[j]))
+            gap = end_a - end_b
+            i, j = i + (gap <= 0), j + (gap >= 0)
+            if not gap:
+                text.append(",".join(map(str, a[from_i:i])) + "|" + ",".join(map(str, b[from_j:j])))
+                if i == len(a):
+                    return text, links
+                from_i, from_j = i, j
+            if gap <= 0:
+                end_a += len(bytes_a[a[i]])
+            if gap >= 0:
+                end_b += len(bytes_b[b[j]])
+
     def document(self, text: str | None) -> tuple | None:
         """(n_a, n_b, n_groups, n_links, groups_sha256, window numbers, times), or None without tokens."""
         if not text:
             return None
-        whole = (" " + text).encode()
-        ids_a, ids_b = self.a.encode(" " + text), self.b.encode(text)
+        spaced = " " + text
+        whole = spaced.encode()
+        ids_a, ids_b = self.a.encode(spaced), self.b.encode(text)
         if b"".join(map(self.b.bytes.__getitem__, ids_b)) != whole or b"".join(map(self.a.bytes.__getitem__, ids_a)) != whole:
             return None
-        a, b = np.array(ids_a, "<u4"), np.array(ids_b, "<u4")
+        a, b = np.array(ids_a, np.int64), np.array(ids_b, np.int64)
         start_a, start_b = (np.cumsum(size) - size for size in (self.len_a[a], self.len_b[b]))
         at_a, at_b = np.flatnonzero(self.mark_a[a]), np.flatnonzero(self.mark_b[b])
         where, look = start_a[at_a], start_b[at_b]
@@ -181,31 +200,36 @@ class Aligner:
         shared = mate < len(look)
         shared[shared] = look[mate[shared]] == where[shared]
         cut_a, cut_b = at_a[shared], at_b[mate[shared]]
-        if not len(cut_a) or cut_a[0] or cut_b[0]:
-            cut_a, cut_b = np.r_[0, cut_a[cut_a > 0]], np.r_[0, cut_b[cut_a > 0]]
-        cut_a, cut_b = (4 * np.r_[cut_a, len(a)]).tolist(), (4 * np.r_[cut_b, len(b)]).tolist()
-        raw_a, raw_b = a.tobytes(), b.tobytes()
-        keys = list(zip(map(raw_a.__getitem__, map(slice, cut_a, cut_a[1:])), map(raw_b.__getitem__, map(slice, cut_b, cut_b[1:]))))
+        inner = cut_a > 0
+        cut_a, cut_b = np.r_[0, cut_a[inner], len(a)], np.r_[0, cut_b[inner], len(b)]
+        row = np.empty(len(a) + len(b), "<u4")
+        row[np.arange(len(a)) + np.repeat(cut_b[:-1], np.diff(cut_a))] = a
+        row[np.arange(len(b)) + np.repeat(cut_a[1:], np.diff(cut_b))] = b + _B
+        ends = (4 * (cut_a + cut_b)).tolist()
+        keys = list(map(row.tobytes().__getitem__, map(slice, ends, ends[1:])))
         numbers = list(map(self.windows.get, keys))
         if None in numbers:
-            numbers = list(map(self._align, keys))
+            numbers = [self._align(k) if n is None else n for k, n in zip(keys, numbers)]
         digest = hashlib.sha256(";".join(map(self.texts.__getitem__, numbers)).encode()).hexdigest()
         own, times = np.unique(np.array(numbers, np.int64), return_counts=True)
-        groups = links = 0
-        for w, n in zip(own.tolist(), times.tolist()):
-            groups += self.groups[w] * n
-            links += self.links[w] * n
-            self.seen[w] += n
+        if len(self.seen) < len(self.texts):
+            self.seen = np.r_[self.seen, np.zeros(len(self.texts), np.int64)]
+        self.seen[own] += times
+        groups, links = (int((np.frombuffer(x, np.int64)[own] * times).sum()) for x in (self.groups, self.links))
         return len(a), len(b), groups, links, digest, own, times
 
-    def totals(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Windows' first entries, their pairs and times; each pair's count in the block."""
-        size = np.array([len(p) for p in self.window_pairs], np.int64)
-        pair = np.fromiter((k for p in self.window_pairs for k in p), np.int64, size.sum())
-        times = np.fromiter((n for p in self.window_pairs for n in p.values()), np.int64, size.sum())
-        counts = np.zeros(len(self.pairs), np.int64)
-        np.add.at(counts, pair, times * np.repeat(np.array(self.seen, np.int64), size))
-        return np.r_[0, np.cumsum(size)], pair, times, counts
+    def block(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The block's windows, their numbers of links, the links as pair numbers; the pairs' ids and counts.  Starts a new block."""
+        used = np.flatnonzero(self.seen)
+        links, flat = np.frombuffer(self.links, np.int64), np.frombuffer(self.flat, np.int64)
+        size, begin = links[used], (np.cumsum(links) - links)[used]
+        at = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        own, local = np.unique(flat[at], return_inverse=True)
+        counts = np.zeros(len(own), np.int64)
+        np.add.at(counts, local, np.repeat(self.seen[used], size))
+        ids = np.array(list(self.pairs), np.int64).reshape(-1, 2)[own]
+        self.seen[:] = 0
+        return used, size, local, ids, counts
 
 
 @lru_cache(maxsize=2)
@@ -246,14 +270,13 @@ def _align_task(byte_path: str, piece_path: str, block_chars: int, memo: int):
             return _batch(kind=[_DOCUMENT] * len(held), block=[block] * len(held), doc_id=ids, groups_sha256=[f[4] if f else "" for f in found], data=[f[5] if f else None for f in found], **cols)
 
         def close():
-            first, pair, times, counts = aligner.totals()
-            if not len(counts):
+            used, links, flat, ids, counts = aligner.block()
+            if not len(used):
                 return
-            yield _batch(kind=[_DICTIONARY], block=[block], n=[len(first)], data=[_packed(first, pair, times)])
-            keys = np.array(list(aligner.pairs), np.int64)
+            yield _batch(kind=[_DICTIONARY], block=[block], n=[len(used)], data=[_packed(np.diff(used, prepend=0), links, flat)])
             for s in range(0, len(counts), 50_000):
                 e = min(len(counts), s + 50_000)
-                yield _batch(kind=np.full(e - s, _PAIR), block=np.full(e - s, block), pair=np.arange(s, e), a=keys[s:e, 0], b=keys[s:e, 1], n=counts[s:e])
+                yield _batch(kind=np.full(e - s, _PAIR), block=np.full(e - s, block), pair=np.arange(s, e), a=ids[s:e, 0], b=ids[s:e, 1], n=counts[s:e])
 
         for ids, texts in common.rows(batches):
             for i, t in zip(ids, texts):
@@ -264,14 +287,15 @@ def _align_task(byte_path: str, piece_path: str, block_chars: int, memo: int):
                 held.append((i, got))
                 size += 200
                 chars += len(t or "")
-                full = chars >= block_chars or len(aligner.windows) >= memo
+                full = chars >= block_chars or len(aligner.texts) >= memo
                 if full or size >= FLUSH_BYTES:
                     yield documents()
                     held, size = [], 0
                 if full:
                     yield from close()
-                    aligner.clear()
                     block, chars = block + 1, 0
+                    if len(aligner.texts) >= memo:
+                        aligner.forget()
         if held:
             yield documents()
         yield from close()
@@ -281,17 +305,16 @@ def _align_task(byte_path: str, piece_path: str, block_chars: int, memo: int):
 
 def _add_up_task(batches):
     """Rows sorted by (block, kind): a block's dictionary with its pairs' counts, then its documents."""
-    sums = tops = None
-    held = None
+    held = used = sums = tops = None
     for block, kind, doc_id, n_a, n_b, n_groups, n_links, sha, data, n, counts, best in common.rows(batches):
         out_best, out_sum, keep = [], [], []
         for r in range(len(block)):
             if kind[r] == _DICTIONARY:
-                flat = _unpacked(data[r])
-                first, rest = flat[: n[r]], flat[n[r] :]
-                pair, times = rest[: len(rest) // 2], rest[len(rest) // 2 :]
-                running = [np.r_[0, np.cumsum(times * np.array(x, np.int64)[pair])] for x in (counts[r], best[r])]
-                sums, tops = (x[first[1:]] - x[first[:-1]] for x in running)
+                rest = _unpacked(data[r])
+                used, links, flat = np.cumsum(rest[: n[r]]), rest[n[r] : 2 * n[r]], rest[2 * n[r] :]
+                end = np.cumsum(links)
+                running = [np.r_[0, np.cumsum(np.array(x, np.int64)[flat])] for x in (counts[r], best[r])]
+                sums, tops = (x[end] - x[end - links] for x in running)
                 held = block[r]
                 continue
             keep.append(r)
@@ -301,10 +324,10 @@ def _add_up_task(batches):
                 continue
             if held != block[r]:
                 raise RuntimeError(f"block {block[r]} has documents and no dictionary")
-            flat = _unpacked(data[r])
-            own, often = np.cumsum(flat[: len(flat) // 2]), flat[len(flat) // 2 :]
-            out_best.append(int((tops[own] * often).sum()))
-            out_sum.append(int((sums[own] * often).sum()))
+            rest = _unpacked(data[r])
+            own, times = np.searchsorted(used, np.cumsum(rest[: len(rest) // 2])), rest[len(rest) // 2 :]
+            out_best.append(int((tops[own] * times).sum()))
+            out_sum.append(int((sums[own] * times).sum()))
         if keep:
             pick = [[c[r] for r in keep] for c in (doc_id, n_a, n_b, n_groups, n_links)]
             yield pa.RecordBatch.from_arrays(
