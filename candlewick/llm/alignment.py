@@ -27,6 +27,7 @@ import hashlib
 import json
 from array import array
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +38,9 @@ from pyspark.sql import functions as F
 from candlewick.llm import common
 
 BLOCK_CHARS = 32_000_000
-MEMO = 600_000
+MEMO = 1_000_000
 FLUSH_BYTES = 4 << 20
+TOGETHER = 100_000
 _DICTIONARY, _DOCUMENT, _PAIR = 0, 1, 2
 
 
@@ -124,110 +126,121 @@ class PieceTokens:
 _B = 1 << 31
 
 
+def _woven(first: np.ndarray, second: np.ndarray, cut_first: np.ndarray, cut_second: np.ndarray) -> np.ndarray:
+    """Both sequences in one, part by part: a part of the first, then its part of the second; cuts include 0 and the end."""
+    row = np.empty(len(first) + len(second), np.int64)
+    row[np.arange(len(first)) + np.repeat(cut_second[:-1], np.diff(cut_first))] = first
+    row[np.arange(len(second)) + np.repeat(cut_first[1:], np.diff(cut_second))] = second
+    return row
+
+
+def _ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    return np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
 class Aligner:
     """Memoised window alignments, and what one block of documents has of them.
 
     A window's key are its A ids and then its B ids, these with the highest
-    bit set.  The memo outlives blocks; ``forget`` bounds it.
+    bit set.  A document's new windows are aligned together.  The memo
+    outlives blocks; ``forget`` bounds it.
     """
 
     def __init__(self, a: ByteTokens, b: PieceTokens) -> None:
         self.a, self.b = a, b
         self.len_a, self.len_b = (np.array([len(x) for x in t.bytes], np.int64) for t in (a, b))
         self.mark_a, self.mark_b = (np.array([x[:1] == b" " for x in t.bytes]) for t in (a, b))
+        na, nb = range(len(a.bytes)), range(len(b.bytes))
+        self.spelled = [*(f"{x}," for x in na), *(f"{x}|" for x in na), *(f"{x}," for x in nb), *(f"{x};" for x in nb)]
         self.forget()
 
     def forget(self) -> None:
         self.windows: dict[bytes, int] = {}
-        self.texts: list[str] = []
-        self.groups, self.links, self.flat = array("q"), array("q"), array("q")  # per window; the last has all windows' links in a row
-        self.pairs: dict[tuple[int, int], int] = {}
+        self.texts: list[str] = []  # groups, each with a semicolon behind it
+        self.groups, self.links, self.pairs = array("q"), array("q"), array("q")  # per window; the last has all windows' linked ids in a row
         self.seen = np.zeros(1 << 16, np.int64)
 
-    def _align(self, key: bytes) -> int:
-        """Number of a window, aligned when first met."""
-        got = self.windows.get(key)
-        if got is not None:
-            return got
-        ids = np.frombuffer(key, "<u4").tolist()
-        cut = next(k for k, x in enumerate(ids) if x >= _B)
-        a, b, pairs = ids[:cut], [x - _B for x in ids[cut:]], self.pairs
-        if len(a) == 1 or len(b) == 1:  # one group, all linked
-            links = [(x, y) for x in a for y in b]
-            text = [",".join(map(str, a)) + "|" + ",".join(map(str, b))]
-        else:
-            text, links = self._walk(a, b)
-        number = self.windows[key] = len(self.texts)
-        self.texts.append(";".join(text))
-        self.groups.append(len(text))
-        self.links.append(len(links))
-        self.flat.extend([pairs.setdefault(x, len(pairs)) for x in links])
-        return number
-
-    def _walk(self, a: list[int], b: list[int]) -> tuple[list[str], list[tuple[int, int]]]:
-        """Groups as text and links of two id sequences over the same bytes."""
-        bytes_a, bytes_b = self.a.bytes, self.b.bytes
-        text, links, i, j, from_i, from_j = [], [], 0, 0, 0, 0
-        end_a, end_b = len(bytes_a[a[0]]), len(bytes_b[b[0]])
-        while True:
-            links.append((a[i], b[j]))
-            gap = end_a - end_b
-            i, j = i + (gap <= 0), j + (gap >= 0)
-            if not gap:
-                text.append(",".join(map(str, a[from_i:i])) + "|" + ",".join(map(str, b[from_j:j])))
-                if i == len(a):
-                    return text, links
-                from_i, from_j = i, j
-            if gap <= 0:
-                end_a += len(bytes_a[a[i]])
-            if gap >= 0:
-                end_b += len(bytes_b[b[j]])
-
-    def document(self, text: str | None) -> tuple | None:
-        """(n_a, n_b, n_groups, n_links, groups_sha256, window numbers, times), or None without tokens."""
-        if not text:
-            return None
-        spaced = " " + text
-        whole = spaced.encode()
-        ids_a, ids_b = self.a.encode(spaced), self.b.encode(text)
-        if b"".join(map(self.b.bytes.__getitem__, ids_b)) != whole or b"".join(map(self.a.bytes.__getitem__, ids_a)) != whole:
-            return None
-        a, b = np.array(ids_a, np.int64), np.array(ids_b, np.int64)
+    def _learn(self, a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> None:
+        """Align windows that lie one behind another in ``a`` and ``b``."""
+        end_a, end_b = np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b])
+        ends = np.union1d(end_a, end_b)  # each stretch between two ends is one overlap
+        i, j = np.searchsorted(end_a, ends), np.searchsorted(end_b, ends)
+        both = (end_a[i] == ends) & (end_b[j] == ends)
+        last_a, last_b = i[both], j[both]
+        window = end_a[np.cumsum(size_a) - 1]
+        count = [np.diff(np.searchsorted(x, window, side="right"), prepend=0).astype(np.int64) for x in (ends[both], ends)]
+        self.groups.frombytes(count[0].tobytes())
+        self.links.frombytes(count[1].tobytes())
+        self.pairs.frombytes((a[i] << 32 | b[j]).tobytes())
+        word_a, word_b = a.copy(), b + 2 * len(self.a.bytes)
+        word_a[last_a] += len(self.a.bytes)
+        word_b[last_b] += len(self.b.bytes)
+        words = list(map(self.spelled.__getitem__, _woven(word_a, word_b, np.r_[0, last_a + 1], np.r_[0, last_b + 1]).tolist()))
+        at = np.r_[0, np.cumsum(size_a + size_b)].tolist()
+        self.texts.extend(map("".join, map(words.__getitem__, map(slice, at, at[1:]))))
+
+    def _tokens(self, text: str | None) -> tuple[list[int], list[int]]:
+        """Ids of both vocabularies; none where the joined bytes are not a space and the text."""
+        if text:
+            spaced = " " + text
+            whole = spaced.encode()
+            a, b = self.a.encode(spaced), self.b.encode(text)
+            if b"".join(map(self.b.bytes.__getitem__, b)) == whole and b"".join(map(self.a.bytes.__getitem__, a)) == whole:
+                return a, b
+        return [], []
+
+    def documents(self, texts: list[str | None]) -> list[tuple | None]:
+        """For each text (n_a, n_b, n_groups, n_links, groups_sha256, window numbers, times), or None without tokens."""
+        found = [self._tokens(t) for t in texts]
+        out: list[tuple | None] = [None] * len(texts)
+        filled = [d for d, (a, _) in enumerate(found) if a]
+        if not filled:
+            return out
+        a, b = (np.fromiter(chain.from_iterable(found[d][k] for d in filled), np.int64) for k in (0, 1))
         start_a, start_b = (np.cumsum(size) - size for size in (self.len_a[a], self.len_b[b]))
         at_a, at_b = np.flatnonzero(self.mark_a[a]), np.flatnonzero(self.mark_b[b])
         where, look = start_a[at_a], start_b[at_b]
         mate = np.searchsorted(look, where)
         shared = mate < len(look)
         shared[shared] = look[mate[shared]] == where[shared]
-        cut_a, cut_b = at_a[shared], at_b[mate[shared]]
-        inner = cut_a > 0
-        cut_a, cut_b = np.r_[0, cut_a[inner], len(a)], np.r_[0, cut_b[inner], len(b)]
-        row = np.empty(len(a) + len(b), "<u4")
-        row[np.arange(len(a)) + np.repeat(cut_b[:-1], np.diff(cut_a))] = a
-        row[np.arange(len(b)) + np.repeat(cut_a[1:], np.diff(cut_b))] = b + _B
-        ends = (4 * (cut_a + cut_b)).tolist()
-        keys = list(map(row.tobytes().__getitem__, map(slice, ends, ends[1:])))
+        cut_a, cut_b = np.r_[at_a[shared], len(a)], np.r_[at_b[mate[shared]], len(b)]  # every document begins with a space: an anchor
+        raw, at = _woven(a, b + _B, cut_a, cut_b).astype("<u4").tobytes(), (4 * (cut_a + cut_b)).tolist()
+        keys = list(map(raw.__getitem__, map(slice, at, at[1:])))
         numbers = list(map(self.windows.get, keys))
         if None in numbers:
-            numbers = [self._align(k) if n is None else n for k, n in zip(keys, numbers)]
-        digest = hashlib.sha256(";".join(map(self.texts.__getitem__, numbers)).encode()).hexdigest()
-        own, times = np.unique(np.array(numbers, np.int64), return_counts=True)
+            known, new = len(self.windows), []
+            for w, n in enumerate(numbers):
+                if n is None:
+                    n = numbers[w] = self.windows.setdefault(keys[w], known)
+                    if n == known:
+                        known += 1
+                        new.append(w)
+            size_a, size_b = np.diff(cut_a)[new], np.diff(cut_b)[new]
+            self._learn(a[_ranges(cut_a[new], size_a)], b[_ranges(cut_b[new], size_b)], size_a, size_b)
         if len(self.seen) < len(self.texts):
             self.seen = np.r_[self.seen, np.zeros(len(self.texts), np.int64)]
-        self.seen[own] += times
-        groups, links = (int((np.frombuffer(x, np.int64)[own] * times).sum()) for x in (self.groups, self.links))
-        return len(a), len(b), groups, links, digest, own, times
+        spelled = list(map(self.texts.__getitem__, numbers))
+        n_a = np.array([len(found[d][0]) for d in filled])
+        first = np.searchsorted(cut_a, np.r_[0, np.cumsum(n_a)])
+        key, times = np.unique(np.repeat(np.arange(len(filled)), np.diff(first)) << 40 | np.array(numbers, np.int64), return_counts=True)
+        begin, own = np.searchsorted(key >> 40, np.arange(len(filled) + 1)), key & ((1 << 40) - 1)
+        np.add.at(self.seen, own, times)
+        groups, links = (np.add.reduceat(np.frombuffer(x, np.int64)[own] * times, begin[:-1]).tolist() for x in (self.groups, self.links))
+        for k, d in enumerate(filled):
+            digest = hashlib.sha256("".join(spelled[first[k] : first[k + 1]])[:-1].encode()).hexdigest()
+            mine = slice(begin[k], begin[k + 1])
+            out[d] = (len(found[d][0]), len(found[d][1]), groups[k], links[k], digest, own[mine], times[mine])
+        return out
 
     def block(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """The block's windows, their numbers of links, the links as pair numbers; the pairs' ids and counts.  Starts a new block."""
         used = np.flatnonzero(self.seen)
-        links, flat = np.frombuffer(self.links, np.int64), np.frombuffer(self.flat, np.int64)
+        links = np.frombuffer(self.links, np.int64)
         size, begin = links[used], (np.cumsum(links) - links)[used]
-        at = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        own, local = np.unique(flat[at], return_inverse=True)
+        own, local = np.unique(np.frombuffer(self.pairs, np.int64)[_ranges(begin, size)], return_inverse=True)
         counts = np.zeros(len(own), np.int64)
         np.add.at(counts, local, np.repeat(self.seen[used], size))
-        ids = np.array(list(self.pairs), np.int64).reshape(-1, 2)[own]
+        ids = np.stack((own >> 32, own & 0xFFFFFFFF), axis=1)
         self.seen[:] = 0
         return used, size, local, ids, counts
 
@@ -238,6 +251,21 @@ def tokens(byte_path: str, piece_path: str) -> tuple[ByteTokens, PieceTokens]:
     return ByteTokens(byte_path), PieceTokens(piece_path)
 
 
+@lru_cache(maxsize=1)
+def worker_aligner(byte_path: str, piece_path: str) -> Aligner:
+    return Aligner(*tokens(byte_path, piece_path))
+
+
+def _runs(texts: list[str | None]):
+    """Ranges of texts that are aligned together, ``TOGETHER`` characters or one text."""
+    lo = chars = 0
+    for hi, t in enumerate(texts, 1):
+        chars += len(t or "")
+        if chars >= TOGETHER or hi == len(texts):
+            yield lo, hi
+            lo, chars = hi, 0
+
+
 _ALIGNED = "kind int, block long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, data binary, pair int, a int, b int, n long"
 _NAMES = [c.split()[0] for c in _ALIGNED.split(", ")]
 _TYPES = dict(zip(_NAMES, [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.int64()]))
@@ -249,19 +277,17 @@ def _batch(**cols) -> pa.RecordBatch:
 
 
 def _packed(*parts: np.ndarray) -> bytes:
-    """Ascending or small numbers, compressed, behind their length."""
-    raw = b"".join(p.astype("<u4").tobytes() for p in parts)
-    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+    return b"".join(p.astype("<u4").tobytes() for p in parts)
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    size = int.from_bytes(data[:8], "little")
-    return np.frombuffer(pa.decompress(data[8:], size, "zstd", asbytes=True), "<u4").astype(np.int64)
+    return np.frombuffer(data, "<u4").astype(np.int64)
 
 
 def _align_task(byte_path: str, piece_path: str, block_chars: int, memo: int):
     def run(batches):
-        aligner = Aligner(*tokens(byte_path, piece_path))
+        aligner = worker_aligner(byte_path, piece_path)
+        aligner.seen[:] = 0  # of a task that failed
         block, chars, held, size = TaskContext.get().partitionId() << 32, 0, [], 0
 
         def documents():
@@ -279,14 +305,14 @@ def _align_task(byte_path: str, piece_path: str, block_chars: int, memo: int):
                 yield _batch(kind=np.full(e - s, _PAIR), block=np.full(e - s, block), pair=np.arange(s, e), a=ids[s:e, 0], b=ids[s:e, 1], n=counts[s:e])
 
         for ids, texts in common.rows(batches):
-            for i, t in zip(ids, texts):
-                got = aligner.document(t)
-                if got:
-                    got = (*got[:5], _packed(np.diff(got[5], prepend=0), got[6]))
-                    size += len(got[5])
-                held.append((i, got))
-                size += 200
-                chars += len(t or "")
+            for lo, hi in _runs(texts):
+                for i, got in zip(ids[lo:hi], aligner.documents(texts[lo:hi])):
+                    if got:
+                        got = (*got[:5], _packed(np.diff(got[5], prepend=0), got[6]))
+                        size += len(got[5])
+                    held.append((i, got))
+                    size += 200
+                chars += sum(len(t) for t in texts[lo:hi] if t)
                 full = chars >= block_chars or len(aligner.texts) >= memo
                 if full or size >= FLUSH_BYTES:
                     yield documents()
