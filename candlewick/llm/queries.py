@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import alignment, common, dac, main_text, packing, quality, secrets, segmentations, sharding, simhash, substrings, token_ids, vectors
+from candlewick.llm import alignment, common, conversations, dac, main_text, packing, quality, secrets, segmentations, sharding, simhash, substrings, token_ids, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -141,3 +141,9 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token alignment of every document between two vocabularies."""
     return alignment.align(common.table(spark, sf_dir, "documents"))
+
+
+@register("op13_prefix_trie")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all rebuilt conversations."""
+    return conversations.trie(common.table(spark, sf_dir, "conversations"))
