@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import alignment, common, conversations, dac, main_text, packing, quality, secrets, segmentations, sharding, simhash, substrings, token_ids, vectors
+from candlewick.llm import alignment, common, conversations, dac, main_text, neighbours, packing, quality, secrets, segmentations, sharding, simhash, substrings, token_ids, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -147,3 +147,9 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nodes of the prefix trie of all rebuilt conversations."""
     return conversations.trie(common.table(spark, sf_dir, "conversations"))
+
+
+@register("op11_collision_search")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found of every vector whose id is divisible by 20."""
+    return neighbours.search(common.table(spark, sf_dir, "embeddings"))
