@@ -25,9 +25,9 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from array import array
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -98,19 +98,29 @@ class ByteTokens:
             self._library.encode_special_tokens = True
         return self._library.encode(text, add_special_tokens=False).ids
 
-    def encode(self, text: str) -> list[int]:
-        if self._ranks is None:
-            return self._by_library(text)
-        try:
-            return self._ranks.encode_ordinary(text)
-        except BaseException as e:  # its regular expressions give up on some very long runs
-            if type(e).__name__ != "PanicException" and not isinstance(e, ValueError):
-                raise
-            return self._by_library(text)
+    def encode(self, text: str) -> list[int] | None:
+        """Ids of a text; None if their bytes differ from it (ranks of single bytes keep them)."""
+        if self._ranks is not None:
+            try:
+                return self._ranks.encode_ordinary(text)
+            except BaseException as e:  # its regular expressions give up on some very long runs
+                if type(e).__name__ != "PanicException" and not isinstance(e, ValueError):
+                    raise
+        ids = self._by_library(text)
+        return ids if b"".join(map(self.bytes.__getitem__, ids)) == text.encode() else None
+
+
+#: A run of spaces and what follows up to the next; spaces at the end stay with the last.
+_SPACED = re.compile(r" +[^ ]+(?: +\Z)?| +")
 
 
 class PieceTokens:
-    """A SentencePiece model: ids of a text and the bytes of each id."""
+    """A SentencePiece model: ids of a text and the bytes of each id.
+
+    Where no piece holds a space behind another sign, no merge crosses the
+    start of a run of spaces: the ids of a text are those of its spaced words,
+    which are remembered.
+    """
 
     def __init__(self, path: str) -> None:
         import sentencepiece
@@ -118,10 +128,32 @@ class PieceTokens:
         self.lib = sentencepiece.SentencePieceProcessor(model_file=path)
         pieces = self.lib.id_to_piece(list(range(self.lib.get_piece_size())))
         self.bytes = [bytes([int(p[3:5], 16)]) if self.lib.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        self.by_word = not any("▁" in p.lstrip("▁") for p in pieces)
+        self.words: dict[str, bytes | None] = {}
 
     def encode(self, text: str) -> list[int]:
         return self.lib.encode(text, out_type=int)
 
+    def _ids(self, spaced: list[str]) -> list[bytes | None]:
+        """Ids of texts given with their first space, which the model adds; None where their bytes differ."""
+        letters = self.bytes.__getitem__
+        return [array("I", ids).tobytes() if b"".join(map(letters, ids)) == t.encode() else None for t, ids in zip(spaced, self.lib.encode([t[1:] for t in spaced], out_type=int, num_threads=1))]
+
+    def encode_spaced(self, spaced: list[str]) -> list[np.ndarray | None]:
+        """Ids of texts given with their first space; None where their bytes differ.  New words go to the model together: a call starts threads."""
+        if not self.by_word:
+            split, known = [[t] for t in spaced], dict(zip(spaced, self._ids(spaced)))
+        else:
+            split, known = [_SPACED.findall(t) for t in spaced], self.words
+            new = {w for words in split for w in words if w not in known}
+            if len(known) + len(new) > MEMO:
+                known.clear()
+                new = {w for words in split for w in words}
+            new = list(new)
+            known.update(zip(new, self._ids(new) if new else ()))
+        parts = (list(map(known.__getitem__, words)) for words in split)
+        return [None if None in p else np.frombuffer(b"".join(p), "u4").astype(np.int64) for p in parts]
+
 
 _B = 1 << 31
 
@@ -179,24 +211,24 @@ class Aligner:
         at = np.r_[0, np.cumsum(size_a + size_b)].tolist()
         self.texts.extend(map("".join, map(words.__getitem__, map(slice, at, at[1:]))))
 
-    def _tokens(self, text: str | None) -> tuple[list[int], list[int]]:
-        """Ids of both vocabularies; none where the joined bytes are not a space and the text."""
-        if text:
-            spaced = " " + text
-            whole = spaced.encode()
-            a, b = self.a.encode(spaced), self.b.encode(text)
-            if b"".join(map(self.b.bytes.__getitem__, b)) == whole and b"".join(map(self.a.bytes.__getitem__, a)) == whole:
-                return a, b
-        return [], []
+    def _tokens(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray] | None]:
+        """Ids of both vocabularies, or None where the joined bytes are not a space and the text."""
+        filled = [d for d, t in enumerate(texts) if t]
+        spaced = [" " + texts[d] for d in filled]
+        out: list = [None] * len(texts)
+        for d, t, b in zip(filled, spaced, self.b.encode_spaced(spaced)):
+            if b is not None and (a := self.a.encode(t)) is not None:
+                out[d] = (np.array(a, np.int64), b)
+        return out
 
     def documents(self, texts: list[str | None]) -> list[tuple | None]:
         """For each text (n_a, n_b, n_groups, n_links, groups_sha256, window numbers, times), or None without tokens."""
-        found = [self._tokens(t) for t in texts]
+        found = self._tokens(texts)
         out: list[tuple | None] = [None] * len(texts)
-        filled = [d for d, (a, _) in enumerate(found) if a]
+        filled = [d for d, f in enumerate(found) if f]
         if not filled:
             return out
-        a, b = (np.fromiter(chain.from_iterable(found[d][k] for d in filled), np.int64) for k in (0, 1))
+        a, b = (np.concatenate([found[d][k] for d in filled]) for k in (0, 1))
         start_a, start_b = (np.cumsum(size) - size for size in (self.len_a[a], self.len_b[b]))
         at_a, at_b = np.flatnonzero(self.mark_a[a]), np.flatnonzero(self.mark_b[b])
         where, look = start_a[at_a], start_b[at_b]

@@ -13,7 +13,7 @@ include the narrower ones, only the new ends are counted).  A vector at
 distance R or less meets the query in a binomial number of arrays; those that
 reach the count which such a vector reaches with probability ``RECALL`` are
 verified by their inner product in double precision.  The search of a block
-ends once the wanted number are verified within R.
+ends once the wanted number are verified within R, or R has reached a bound.
 
 1. Equal vectors become one class; of its ids only the ``k + 1`` smallest can
    be among a query's k nearest, ties going to smaller ids.
@@ -50,7 +50,7 @@ NEAR = 0.0625
 WINDOW = 1.0
 #: Blocks are left out beyond so many standard deviations of the bound.
 REACH = 3.3
-BLOCK = 8192
+BLOCK = 16384
 CHUNK = 256
 SEED = 11
 
@@ -99,54 +99,60 @@ def inner(a: np.ndarray, q: np.ndarray) -> np.ndarray:
 
 
 class Index:
-    """Sorted projection arrays of one block."""
+    """Sorted projection arrays of one block, one behind another."""
 
     def __init__(self, vectors: np.ndarray, log_largest: float, recall: float = RECALL) -> None:
         self.vectors, self.sphere = vectors, on_sphere(vectors, log_largest)
-        projected = self.sphere @ directions(vectors.shape[1])
-        self.order = np.ascontiguousarray(np.argsort(projected, axis=0).T.astype(np.int32))
-        self.sorted = np.ascontiguousarray(np.sort(projected, axis=0).T)
+        self.rough = self.sphere.astype(np.float32)
+        projected = np.ascontiguousarray((self.sphere @ directions(vectors.shape[1])).T)
+        self.order = np.argsort(projected, axis=1).astype(np.int32)
+        self.sorted = np.take_along_axis(projected, self.order, axis=1)
+        self.span = 4.0 + 2 * np.abs(self.sorted).max()
+        self.shift = np.arange(PROJECTIONS) * self.span  # arrays do not overlap: one search serves all
+        self.flat = (self.sorted + self.shift[:, None]).ravel()
+        self.first = np.arange(PROJECTIONS) * len(vectors)
+        self.order = self.order.ravel()
         self.needed = needed(recall=recall)
 
-    def _windows(self, at: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray]:
-        lo = np.fromiter((np.searchsorted(s, x) for s, x in zip(self.sorted, at - radius * WINDOW)), np.int64, len(at))
-        hi = np.fromiter((np.searchsorted(s, x, side="right") for s, x in zip(self.sorted, at + radius * WINDOW)), np.int64, len(at))
-        return lo, hi
+    def _ends(self, at: np.ndarray, side: str) -> np.ndarray:
+        half = self.span / 2 - 1
+        return np.searchsorted(self.flat, np.clip(at, -half, half) + self.shift, side=side)
 
     def search(self, point: np.ndarray, at: np.ndarray, want: int, bound: float) -> tuple[np.ndarray, np.ndarray]:
-        """Verified rows and their distances to ``point``, projected at ``at``.
+        """Verified rows and their squared distances to ``point``, projected at ``at``, in single precision.
 
         None beyond ``bound`` need be found.  Without a bound windows expand
         until ``want`` are found or every row is verified.
         """
+        rough = point.astype(np.float32)
         count = np.zeros(len(self.sphere), np.int64)
-        done = np.zeros(len(self.sphere), bool)
-        rows, dist = [], []
-        within = np.zeros(0)
-        lo = hi = np.searchsorted(self.sorted[0], at[:1]).repeat(len(at))
-        first, radius = True, min(NEAR, bound)
+        left = np.ones(len(self.sphere), bool)
+        rows, dist, verified = [], [], 0
+        within = np.zeros(0, np.float32)
+        radius = NEAR if bound == math.inf else max(bound / GROWTH**2, min(NEAR, bound))
+        lo = hi = None
         while True:
-            new_lo, new_hi = self._windows(at, radius)
-            if first:
-                ends = [o[a:b] for o, a, b in zip(self.order, new_lo, new_hi)]
-                first = False
-            else:
-                ends = [o[a:b] for o, a, b in zip(self.order, new_lo, lo)] + [o[a:b] for o, a, b in zip(self.order, hi, new_hi)]
+            new_lo, new_hi = self._ends(at - radius * WINDOW, "left"), self._ends(at + radius * WINDOW, "right")
+            if lo is None:
+                cuts = zip(new_lo.tolist(), new_hi.tolist())
+            else:  # only what the wider windows add
+                cuts = zip([*new_lo.tolist(), *hi.tolist()], [*lo.tolist(), *new_hi.tolist()])
+            count += np.bincount(np.concatenate([self.order[a:b] for a, b in cuts]), minlength=len(count))
             lo, hi = new_lo, new_hi
-            count += np.bincount(np.concatenate(ends), minlength=len(count))
-            met = np.flatnonzero((count >= self.needed) & ~done)
+            met = np.flatnonzero((count >= self.needed) & left)
             if len(met):
-                done[met] = True
-                d = np.sqrt(np.maximum(0.0, 2 - 2 * (self.sphere[met] @ point)))
+                left[met] = False
+                d = np.maximum(0, 2 - 2 * (self.rough[met] @ rough))
                 rows.append(met)
                 dist.append(d)
+                verified += len(met)
                 within = np.concatenate((within, d))
                 if len(within) > want:
                     within = np.partition(within, want - 1)[:want]
-            if radius >= bound or len(done) == sum(map(len, rows)) or (len(within) >= want and within.max() <= radius):
+            if radius >= bound or verified == len(left) or (len(within) >= want and within.max() <= radius * radius):
                 break
             radius = min(radius * GROWTH, bound)
-        return (np.concatenate(rows), np.concatenate(dist)) if rows else (np.zeros(0, np.int64), np.zeros(0))
+        return (np.concatenate(rows), np.concatenate(dist)) if rows else (np.zeros(0, np.int64), np.zeros(0, np.float32))
 
 
 def _usable(vec):
@@ -171,30 +177,25 @@ def _placed_task(log_largest: dict[int, float]):
 _BLOCK = "block long, dim int, lo double, hi double, class binary, sizes binary, ids binary, query binary, vectors binary"
 
 
-def _blocks_task(size: int):
-    """Cut rows sorted by (dim, p) into block rows of ``size`` vectors, fewer if they have over 64 components."""
+def _blocks_task(batches):
+    """Rows sorted by (block, p) to block rows: block, dim, p, class, ids, query, v."""
 
-    def run(batches):
-        held: list[tuple] = []
-        serial = 0
-
-        def close():
-            part, dim, p, cls, ids, query, vecs = zip(*held)
-            pack = lambda x, t: pa.array([np.array(x, t).tobytes()], pa.binary())
-            return pa.RecordBatch.from_arrays(
-                [pa.array([(part[0] << 24) + serial]), pa.array([dim[0]], pa.int32()), pa.array([p[0]]), pa.array([p[-1]]), pack(cls, np.int64), pack([len(x) for x in ids], np.int64), pack([i for x in ids for i in x], np.int64), pack(query, bool), pack(vecs, np.float64)],
-                names=[c.split()[0] for c in _BLOCK.split(", ")])
+    def packed(held):
+        block, dim, p, cls, ids, query, vecs = zip(*held)
+        pack = lambda x, t: pa.array([np.array(x, t).tobytes()], pa.binary())
+        return pa.RecordBatch.from_arrays(
+            [pa.array([block[0]]), pa.array([dim[0]], pa.int32()), pa.array([p[0]]), pa.array([p[-1]]), pack(cls, np.int64), pack([len(x) for x in ids], np.int64), pack([i for x in ids for i in x], np.int64), pack(query, bool), pack(vecs, np.float64)],
+            names=[c.split()[0] for c in _BLOCK.split(", ")])
 
-        for cols in common.rows(batches):
-            for row in zip(*cols):
-                if held and (row[1] != held[0][1] or len(held) == size or (len(held) + 1) * row[1] > size * 64):
-                    yield close()
-                    serial, held = serial + 1, []
-                held.append(row)
-        if held:
-            yield close()
-
-    return run
+    held: list[tuple] = []
+    for cols in common.rows(batches):
+        for row in zip(*cols):
+            if held and row[0] != held[0][0]:
+                yield packed(held)
+                held = []
+            held.append(row)
+    if held:
+        yield packed(held)
 
 
 class _Block:
@@ -207,18 +208,20 @@ class _Block:
 
     def best(self, q: np.ndarray, point: np.ndarray, at: np.ndarray, want: int, bound: float) -> tuple[np.ndarray, np.ndarray, float]:
         """Ids and scores of the best ``want``, and the distance of the last of them (infinite if there are fewer)."""
-        rows, dist = self.index.search(point, at, want, bound)
-        if len(rows) > 2 * want:  # distances round; scores decide among all that may tie
-            last = np.partition(dist, want - 1)[want - 1]
-            near = dist <= last + 1e-6
-            rows, dist = rows[near], dist[near]
+        rows, rough = self.index.search(point, at, want, bound)
+        if len(rows) > want:  # single precision rounds; scores decide among all that may be among the best
+            near = rough <= np.partition(rough, want - 1)[want - 1] + 1e-5
+            rows = rows[near]
+        dist = np.sqrt(np.maximum(0.0, 2 - 2 * (self.index.sphere[rows] @ point)))
         with np.errstate(over="ignore", invalid="ignore"):
             score = inner(self.index.vectors[rows], q)
         size = self.sizes[rows]
         ids = self.ids[np.repeat(self.begin[rows] - (np.cumsum(size) - size), size) + np.arange(size.sum())]
         score, dist = np.repeat(score, size), np.repeat(dist, size)
         top = np.lexsort((ids, -score))[:want]
-        return ids[top], score[top], float(dist[top].max()) + 1e-9 if len(top) == want else math.inf
+        last = float(dist[top].max()) + 1e-7 if len(top) == want else math.inf
+        top = top[dist[top] <= bound]
+        return ids[top], score[top], last
 
 
 _FOUND = "class long, vec_id long, score double"
@@ -251,7 +254,7 @@ def _home_task(log_largest: dict[int, float], want: int, recall: float, chunk: i
                 order = np.argsort(at[:, 0] - reach)
                 for k, s in enumerate(range(0, len(order), chunk)):
                     o = order[s : s + chunk]
-                    row = [1, None, None, None, block, (block << 16) + k, dim, (at[o, 0] - reach[o]).min(), (at[o, 0] + reach[o]).max(), b.cls[asked][o].tobytes(), bound[o].tobytes(), q[o].tobytes()]
+                    row = [1, None, None, None, block, (block << 12) + k, dim, (at[o, 0] - reach[o]).min(), (at[o, 0] + reach[o]).max(), b.cls[asked][o].tobytes(), bound[o].tobytes(), q[o].tobytes()]
                     yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, types)], names=names)
 
     return run
@@ -311,8 +314,18 @@ def search(df: DataFrame, k: int = K, every: int = QUERY_EVERY, block: int = BLO
     log_largest = {r["dim"]: r["m"] for r in classes.groupBy("dim").agg(F.max(norm).alias("m")).collect()}  # one number for each length of vectors
     placed = classes.select("class", "dim", "query", "ids", "v").mapInArrow(_placed_task(log_largest), "class long, dim int, query boolean, ids array<long>, v array<double>, p double")
     order = ["dim", "p", "class"]
-    ranged = placed.repartitionByRange(n, *order).sortWithinPartitions(*order).select(F.spark_partition_id().cast("long").alias("part"), "dim", "p", "class", "ids", "query", "v")
-    blocks = common.stored(ranged.mapInArrow(_blocks_task(block), _BLOCK), "blocks")
+    ranged = placed.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("place", F.monotonically_increasing_id())
+    ranged = common.stored(ranged.withColumn("part", F.shiftright("place", 33)), "sphere")
+    # Ranks along the sorted projection cut blocks of one size, however many partitions there are.
+    parts = ranged.groupBy("dim", "part").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("from"))
+    before = parts.withColumn("before", F.sum("n").over(Window.partitionBy("dim").orderBy("part")) - F.col("n")).drop("n")
+    rank = F.col("place") - F.col("from") + F.col("before")
+    size = F.greatest(F.lit(1).cast("long"), F.floor(F.lit(64 * block) / F.col("dim")))
+    numbered = ranged.join(before, ["dim", "part"]).withColumn("block", F.floor(rank / size) * (1 << 20) + F.col("dim"))
+    numbered = numbered.repartition(n, "block").sortWithinPartitions("block", "p", "class").select("block", "dim", "p", "class", "ids", "query", "v")
+    blocks = common.stored(numbered.mapInArrow(_blocks_task, _BLOCK), "blocks")
+    # With fewer blocks than tasks each goes to several, which share its visitors.
+    copies = max(1, -(-2 * n // max(1, blocks.count())))
     common.arrow_batches(spark, 4)  # a row is a block
     home = common.stored(blocks.repartition(n, "block").mapInArrow(_home_task(log_largest, k + 1, recall, chunk), _HOME), "home")
     # Which chunks visit which blocks: small rows, blocks dealt by a salt, chunks to every salt.
@@ -323,9 +336,9 @@ def search(df: DataFrame, k: int = K, every: int = QUERY_EVERY, block: int = BLO
     asked = home.where("kind = 1").select("chunk", "dim", "classes", "bound", "vectors")
     none = F.lit(None).cast("binary")
     missing = F.lit(None).cast("double")
-    calls = visits.join(asked, "chunk").select("block", F.lit(1).alias("kind"), "dim", missing.alias("lo"), missing.alias("hi"), F.col("classes").alias("class"), none.alias("sizes"), none.alias("ids"), none.alias("query"), "bound", "vectors")
-    held = blocks.select("block", F.lit(0).alias("kind"), "dim", "lo", "hi", "class", "sizes", "ids", "query", none.alias("bound"), "vectors")
-    sorted_calls = held.unionAll(calls).repartition(n, "block").sortWithinPartitions("block", "kind")
+    calls = visits.join(asked, "chunk").select("block", F.pmod(F.xxhash64("chunk"), F.lit(copies)).alias("copy"), F.lit(1).alias("kind"), "dim", missing.alias("lo"), missing.alias("hi"), F.col("classes").alias("class"), none.alias("sizes"), none.alias("ids"), none.alias("query"), "bound", "vectors")
+    held = blocks.select("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(copies - 1).cast("long"))).alias("copy"), F.lit(0).alias("kind"), "dim", "lo", "hi", "class", "sizes", "ids", "query", none.alias("bound"), "vectors")
+    sorted_calls = held.unionAll(calls).repartition(n, "block", "copy").sortWithinPartitions("block", "copy", "kind").drop("copy")
     away = common.stored(sorted_calls.mapInArrow(_visit_task(log_largest, k + 1, recall), _FOUND), "visits")
     common.arrow_batches(spark)
     found = home.where("kind = 0").select("class", "vec_id", "score").unionAll(away)

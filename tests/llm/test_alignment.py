@@ -100,3 +100,15 @@ def test_both_byte_level_libraries_agree():
 def test_pair_counts(spark):
     table = alignment.pair_counts(documents(spark, ["one two", "one"]))
     assert table.agg({"n": "sum"}).first()[0] == 3 and table.where("best").count() == 2
+
+
+def test_ids_word_by_word_are_the_models():
+    lib = alignment.PieceTokens(alignment.piece_model_path())
+    assert lib.by_word
+    texts = [t for t in [*mixed(), "a  b", "a ", "   ", " ", "a   b  ", "\n \n", "word\u00a0word  \u3000 x"] if t]
+    for t, got in zip(texts, lib.encode_spaced([" " + t for t in texts])):
+        want = lib.encode(t)
+        if b"".join(lib.bytes[i] for i in want) == (" " + t).encode():
+            assert got.tolist() == want, t[:50]
+        else:
+            assert got is None, t[:50]
