@@ -25,7 +25,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import re
 from array import array
 from functools import lru_cache
 
@@ -40,7 +39,7 @@ from candlewick.llm import common
 BLOCK_CHARS = 32_000_000
 MEMO = 1_000_000
 FLUSH_BYTES = 4 << 20
-TOGETHER = 100_000
+TOGETHER = 1_000_000
 _DICTIONARY, _DOCUMENT, _PAIR = 0, 1, 2
 
 
@@ -110,17 +109,8 @@ class ByteTokens:
         return ids if b"".join(map(self.bytes.__getitem__, ids)) == text.encode() else None
 
 
-#: A run of spaces and what follows up to the next; spaces at the end stay with the last.
-_SPACED = re.compile(r" +[^ ]+(?: +\Z)?| +")
-
-
 class PieceTokens:
-    """A SentencePiece model: ids of a text and the bytes of each id.
-
-    Where no piece holds a space behind another sign, no merge crosses the
-    start of a run of spaces: the ids of a text are those of its spaced words,
-    which are remembered.
-    """
+    """A SentencePiece model: ids of texts and the bytes of each id."""
 
     def __init__(self, path: str) -> None:
         import sentencepiece
@@ -128,34 +118,16 @@ class PieceTokens:
         self.lib = sentencepiece.SentencePieceProcessor(model_file=path)
         pieces = self.lib.id_to_piece(list(range(self.lib.get_piece_size())))
         self.bytes = [bytes([int(p[3:5], 16)]) if self.lib.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
-        self.by_word = not any("▁" in p.lstrip("▁") for p in pieces)
-        self.words: dict[str, bytes | None] = {}
 
-    def encode(self, text: str) -> list[int]:
-        return self.lib.encode(text, out_type=int)
-
-    def _ids(self, spaced: list[str]) -> list[bytes | None]:
-        """Ids of texts given with their first space, which the model adds; None where their bytes differ."""
+    def encode(self, texts: list[str]) -> list[list[int] | None]:
+        """Ids of each text; None where their bytes are not a space and the text.  Texts go together: a call starts threads."""
         letters = self.bytes.__getitem__
-        return [array("I", ids).tobytes() if b"".join(map(letters, ids)) == t.encode() else None for t, ids in zip(spaced, self.lib.encode([t[1:] for t in spaced], out_type=int, num_threads=1))]
-
-    def encode_spaced(self, spaced: list[str]) -> list[np.ndarray | None]:
-        """Ids of texts given with their first space; None where their bytes differ.  New words go to the model together: a call starts threads."""
-        if not self.by_word:
-            split, known = [[t] for t in spaced], dict(zip(spaced, self._ids(spaced)))
-        else:
-            split, known = [_SPACED.findall(t) for t in spaced], self.words
-            new = {w for words in split for w in words if w not in known}
-            if len(known) + len(new) > MEMO:
-                known.clear()
-                new = {w for words in split for w in words}
-            new = list(new)
-            known.update(zip(new, self._ids(new) if new else ()))
-        parts = (list(map(known.__getitem__, words)) for words in split)
-        return [None if None in p else np.frombuffer(b"".join(p), "u4").astype(np.int64) for p in parts]
+        found = self.lib.encode(texts, out_type=int, num_threads=1)
+        return [ids if b"".join(map(letters, ids)) == b" " + t.encode() else None for t, ids in zip(texts, found)]
 
 
 _B = 1 << 31
+_ODD = np.random.default_rng(12).integers(0, 1 << 63, 64, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def _woven(first: np.ndarray, second: np.ndarray, cut_first: np.ndarray, cut_second: np.ndarray) -> np.ndarray:
@@ -170,6 +142,27 @@ def _ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
 
 
+def _distinct(row: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First part of ``row`` (cut at ``at``) of each content, and for every part the number of its content."""
+    size = np.diff(at)
+    place = np.arange(len(row)) - np.repeat(at[:-1], size)
+    mixed = (row.astype(np.uint64) + np.uint64(1)) * _ODD[place % len(_ODD)] * (place.astype(np.uint64) * np.uint64(2) + np.uint64(1))
+    mixed ^= mixed >> np.uint64(29)
+    digest = np.add.reduceat(mixed * np.uint64(0x9E3779B97F4A7C15), at[:-1])
+    _, once, again = np.unique(digest, return_index=True, return_inverse=True)
+    of = once[again]
+    if (size == size[of]).all() and (row == row[_ranges(at[of], size)]).all():
+        return once, again
+    parts: dict[bytes, int] = {}  # two contents share a digest
+    first, again = [], []
+    for k in range(len(size)):
+        n = parts.setdefault(row[at[k] : at[k + 1]].tobytes(), len(parts))
+        if n == len(first):
+            first.append(k)
+        again.append(n)
+    return np.array(first), np.array(again)
+
+
 class Aligner:
     """Memoised window alignments, and what one block of documents has of them.
 
@@ -214,11 +207,10 @@ class Aligner:
     def _tokens(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray] | None]:
         """Ids of both vocabularies, or None where the joined bytes are not a space and the text."""
         filled = [d for d, t in enumerate(texts) if t]
-        spaced = [" " + texts[d] for d in filled]
         out: list = [None] * len(texts)
-        for d, t, b in zip(filled, spaced, self.b.encode_spaced(spaced)):
-            if b is not None and (a := self.a.encode(t)) is not None:
-                out[d] = (np.array(a, np.int64), b)
+        for d, b in zip(filled, self.b.encode([texts[d] for d in filled])):
+            if b is not None and (a := self.a.encode(" " + texts[d])) is not None:
+                out[d] = (np.array(a, np.int64), np.array(b, np.int64))
         return out
 
     def documents(self, texts: list[str | None]) -> list[tuple | None]:
@@ -236,25 +228,25 @@ class Aligner:
         shared = mate < len(look)
         shared[shared] = look[mate[shared]] == where[shared]
         cut_a, cut_b = np.r_[at_a[shared], len(a)], np.r_[at_b[mate[shared]], len(b)]  # every document begins with a space: an anchor
-        raw, at = _woven(a, b + _B, cut_a, cut_b).astype("<u4").tobytes(), (4 * (cut_a + cut_b)).tolist()
-        keys = list(map(raw.__getitem__, map(slice, at, at[1:])))
+        row, at = _woven(a, b + _B, cut_a, cut_b), cut_a + cut_b
+        once, again = _distinct(row, at)
+        raw, begin, end = row.astype("<u4").tobytes(), (4 * at[once]).tolist(), (4 * at[once + 1]).tolist()
+        keys = list(map(raw.__getitem__, map(slice, begin, end)))
         numbers = list(map(self.windows.get, keys))
         if None in numbers:
-            known, new = len(self.windows), []
-            for w, n in enumerate(numbers):
-                if n is None:
-                    n = numbers[w] = self.windows.setdefault(keys[w], known)
-                    if n == known:
-                        known += 1
-                        new.append(w)
+            new = [w for w, n in enumerate(numbers) if n is None]
+            for known, w in enumerate(new, len(self.windows)):
+                numbers[w] = self.windows[keys[w]] = known
+            new = once[new]
             size_a, size_b = np.diff(cut_a)[new], np.diff(cut_b)[new]
             self._learn(a[_ranges(cut_a[new], size_a)], b[_ranges(cut_b[new], size_b)], size_a, size_b)
+        numbers = np.array(numbers, np.int64)[again]
         if len(self.seen) < len(self.texts):
             self.seen = np.r_[self.seen, np.zeros(len(self.texts), np.int64)]
-        spelled = list(map(self.texts.__getitem__, numbers))
+        spelled = list(map(self.texts.__getitem__, numbers.tolist()))
         n_a = np.array([len(found[d][0]) for d in filled])
         first = np.searchsorted(cut_a, np.r_[0, np.cumsum(n_a)])
-        key, times = np.unique(np.repeat(np.arange(len(filled)), np.diff(first)) << 40 | np.array(numbers, np.int64), return_counts=True)
+        key, times = np.unique(np.repeat(np.arange(len(filled)), np.diff(first)) << 40 | numbers, return_counts=True)
         begin, own = np.searchsorted(key >> 40, np.arange(len(filled) + 1)), key & ((1 << 40) - 1)
         np.add.at(self.seen, own, times)
         groups, links = (np.add.reduceat(np.frombuffer(x, np.int64)[own] * times, begin[:-1]).tolist() for x in (self.groups, self.links))

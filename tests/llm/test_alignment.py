@@ -2,6 +2,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from helpers import AWKWARD, documents, empty
 
@@ -21,7 +22,7 @@ def brute(texts):
             parts.append(None)
             continue
         whole = (" " + t).encode()
-        a, b = a_lib._by_library(" " + t), b_lib.encode(t)
+        a, b = a_lib._by_library(" " + t), b_lib.lib.encode(t)
         ba, bb = [a_lib.bytes[i] for i in a], [b_lib.bytes[i] for i in b]
         if b"".join(ba) != whole or b"".join(bb) != whole:
             parts.append(None)
@@ -102,13 +103,9 @@ def test_pair_counts(spark):
     assert table.agg({"n": "sum"}).first()[0] == 3 and table.where("best").count() == 2
 
 
-def test_ids_word_by_word_are_the_models():
-    lib = alignment.PieceTokens(alignment.piece_model_path())
-    assert lib.by_word
-    texts = [t for t in [*mixed(), "a  b", "a ", "   ", " ", "a   b  ", "\n \n", "word\u00a0word  \u3000 x"] if t]
-    for t, got in zip(texts, lib.encode_spaced([" " + t for t in texts])):
-        want = lib.encode(t)
-        if b"".join(lib.bytes[i] for i in want) == (" " + t).encode():
-            assert got.tolist() == want, t[:50]
-        else:
-            assert got is None, t[:50]
+def test_distinct_parts_with_and_without_shared_digests(monkeypatch):
+    row, at = np.array([5, 6, 5, 6, 7, 5, 6, 6, 5]), np.array([0, 2, 4, 5, 7, 9])
+    for digests in (alignment._ODD, np.zeros(64, np.uint64)):
+        monkeypatch.setattr(alignment, "_ODD", digests)
+        once, again = alignment._distinct(row, at)
+        assert sorted(once.tolist()) == [0, 2, 4] and once[again].tolist() == [0, 0, 2, 0, 4]
