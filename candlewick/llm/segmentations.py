@@ -29,7 +29,6 @@ from __future__ import annotations
 import math
 import zlib
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +41,7 @@ SAMPLES = 2
 ALPHA = 1.0
 SEED = 7
 #: Lattice edges that a worker keeps; then it starts anew.
-EDGES = 2_500_000
+EDGES = 4_000_000
 #: Units of up to so many characters are kept.
 KEEP_CHARS = 64
 #: Texts are walked together up to so many characters.
@@ -78,6 +77,22 @@ def _extend(h: np.ndarray, char: np.ndarray) -> np.ndarray:
     return _mix(h * np.uint64(0x100000001B3) + char.astype(np.uint64))
 
 
+class _Numbers(dict):
+    """Numbers of strings in the order of their first use; ``take`` gives the new ones."""
+
+    def __init__(self) -> None:
+        self.new: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        n = self[key] = len(self)
+        self.new.append(key)
+        return n
+
+    def take(self) -> list[str]:
+        new, self.new = self.new, []
+        return new
+
+
 class Pieces:
     """Vocabulary, edge weights and lattices of a model file.
 
@@ -111,7 +126,7 @@ class Pieces:
         for i, w in self.weight.values():
             self.log_weight[i] = math.log(w)
         self.longest = max(map(len, self.weight))
-        self.pairs = {p[k : k + 2] for p in self.weight for k in range(len(p) - 1)}
+        self.pairs = np.unique(np.array([ord(p[k]) << 32 | ord(p[k + 1]) for p in self.weight for k in range(len(p) - 1)], dtype=np.int64))
         prefixes = {p[:k]: -1 for p in self.weight for k in range(1, len(p))} | {p: i for p, (i, _) in self.weight.items()}
         hashes = np.zeros(len(prefixes), dtype=np.uint64)
         for n, x in enumerate(prefixes):
@@ -128,14 +143,15 @@ class Pieces:
         self._clear()
 
     def _clear(self) -> None:
-        self.suffixes: dict[str, int] = {}
-        self.chunks: dict[str, tuple[int, ...]] = {}
+        self.suffixes: dict[int, int] = {}  # hash of a suffix to its node
+        self.chunks = _Numbers()  # a chunk's units' first nodes lie in ``root``
+        self.root, self.root_first = np.zeros(1 << 16, dtype=np.int32), np.zeros((1 << 16) + 1, dtype=np.int64)
         self.n_nodes = self.n_edges = 0
         self.char, self.next, self.length, self.first = (np.zeros(1 << 16, dtype=np.int32) for _ in range(4))
         self.log_mass = np.zeros(1 << 16)
         self.upto, self.q = np.zeros(1 << 18), np.zeros(1 << 18)
         self.to, self.piece = (np.zeros(1 << 18, dtype=np.int32) for _ in range(2))
-        self._new: tuple[list[int], list[int], list[int]] = ([], [], [])  # char, next, length
+        self._new: tuple = ((), (), ())  # char, next, length
 
     def _grow(self, names: tuple[str, ...], size: int) -> None:
         for name in names:
@@ -145,37 +161,39 @@ class Pieces:
                 wide[: len(a)] = a
                 setattr(self, name, wide)
 
-    def _node(self, unit: str) -> int:
-        """The unit's first node; new nodes are noted for ``_build``."""
-        n = len(unit)
-        keep = n <= KEEP_CHARS
-        char, nxt, length = self._new
-        i, node = n, -1
-        if keep:
-            for i in range(n):
-                node = self.suffixes.get(unit[i:], -1)
-                if node >= 0:
-                    break
-            else:
-                i = n
-        for k in range(i - 1, -1, -1):
-            char.append(ord(unit[k]))
-            nxt.append(node)
-            length.append(n - k)
-            node = self.n_nodes + len(char) - 1
-            if keep:
-                self.suffixes[unit[k:]] = node
+    def _nodes(self, char: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Node of every place's suffix, given where the place's unit ends; new nodes are noted for ``_build``."""
+        place = np.arange(len(char))
+        name = np.zeros(len(char) + 1, dtype=np.uint64)
+        at = np.flatnonzero(place + 1 == end)
+        while len(at):  # from the last character of all units leftwards
+            name[at] = _extend(np.where(at + 1 == end[at], np.uint64(0), name[at + 1]), char[at])
+            at = at[at > 0] - 1
+            at = at[end[at] == end[at + 1]]
+        name = name[:-1]
+        once, first, again = np.unique(name, return_index=True, return_inverse=True)
+        known = np.array([self.suffixes.get(x, -1) for x in once.tolist()], dtype=np.int64)
+        new = np.flatnonzero(known < 0)
+        known[new] = self.n_nodes + np.arange(len(new))
+        node = known[again]
+        where = first[new]
+        inner = where + 1 < end[where]
+        self._new = (char[where], np.where(inner, node[np.minimum(where + 1, len(char) - 1)], -1), end[where] - where)
+        begin = np.flatnonzero(np.diff(end, prepend=-1))  # a unit's first place
+        size = np.repeat(end[begin] - begin, end[begin] - begin)
+        kept = new[size[where] <= KEEP_CHARS]
+        self.suffixes.update(zip(once[kept].tolist(), known[kept].tolist()))
         return node
 
     def _build(self) -> None:
         """Edges, probabilities and masses of the noted nodes."""
         char, nxt, length = self._new
-        if not char:
+        if not len(char):
             return
         a, b = self.n_nodes, self.n_nodes + len(char)
         self._grow(("char", "next", "length", "first", "log_mass"), b)
         self.char[a:b], self.next[a:b], self.length[a:b] = char, nxt, length
-        self._new = ([], [], [])
+        self._new = ((), (), ())
         self.n_nodes = b
         n = b - a
         piece = np.full((n, self.longest), -1, dtype=np.int32)
@@ -235,29 +253,44 @@ class Pieces:
         self.upto[a:b], self.q[a:b], self.to[a:b], self.piece[a:b] = upto, q, to, piece
         self.n_edges = b
 
-    def _units(self, chunk: str) -> tuple[int, ...]:
-        out, begin, pairs = [], 0, self.pairs
-        for k in range(1, len(chunk)):
-            if chunk[k - 1 : k + 1] not in pairs:
-                out.append(self._node(chunk[begin:k]))
-                begin = k
-        out.append(self._node(chunk[begin:]))
-        return tuple(out)
+    def _learn(self, new: list[str]) -> None:
+        """Lattices of new chunks: cut into units between characters that no piece holds together."""
+        if not new:
+            return
+        text = "".join([SPACE + w for w in new]).replace(" ", SPACE)
+        char = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64)
+        stop = np.cumsum([len(w) + 1 for w in new])
+        pair = char[:-1] << 32 | char[1:]
+        at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        last = np.append(self.pairs[at] != pair, True)
+        last[stop - 1] = True
+        ends = np.flatnonzero(last) + 1
+        begin = np.append(0, ends[:-1])
+        node = self._nodes(char, np.repeat(ends, ends - begin))
+        n = len(self.chunks) - len(new)
+        have = int(self.root_first[n])
+        self._grow(("root",), have + len(begin))
+        self._grow(("root_first",), n + len(new) + 1)
+        self.root[have : have + len(begin)] = node[begin]
+        self.root_first[n + 1 : n + len(new) + 1] = have + np.searchsorted(begin, stop)
+        self._build()
 
     def roots(self, texts: list[str]) -> list[np.ndarray]:
         """First nodes of each text's units."""
-        if self.n_edges > self.limit or len(self.chunks) > self.limit // 5:
+        if self.n_edges > self.limit or len(self.chunks) > self.limit // 4:
             self._clear()
-        known, split = self.chunks, []
+        known, numbers = self.chunks, []
         for t in texts:
             # A space starts a chunk; runs of spaces stay together, some pieces hold several.
             words = t.replace(SPACE, " ").split(" ")
-            chunks = [" " + w for w in words] if all(words) else _chunks(words)
-            split.append(chunks)
-            for c in set(chunks).difference(known):
-                known[c] = self._units(c.replace(" ", SPACE))
-        self._build()
-        return [np.fromiter(chain.from_iterable(map(known.__getitem__, c)), dtype=np.int32) for c in split]
+            numbers.append(np.array([known[w] for w in words] if all(words) else [known[c] for c in _chunks(words)], dtype=np.int64))
+        self._learn(known.take())
+        out = []
+        for number in numbers:
+            first = self.root_first[number]
+            size = self.root_first[number + 1] - first
+            out.append(self.root[np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())])
+        return out
 
     def decode(self, ids: np.ndarray) -> bytes:
         """UTF-8 text of piece ids, without the space that encoding puts first."""
@@ -268,15 +301,16 @@ class Pieces:
 
 
 def _chunks(words: list[str]) -> list[str]:
-    """Words cut at single spaces to chunks with their leading run of spaces."""
+    """Words cut at single spaces to chunks with their leading run of spaces, but for one."""
     out, run = [], 0
     for w in words:
-        run += 1
         if w:
             out.append(" " * run + w)
             run = 0
+        else:
+            run += 1
     if run:
-        out.append(" " * run)
+        out.append(" " * (run - 1))
     return out
 
 
@@ -352,7 +386,7 @@ def _subsets(w: Walker, path: tuple, key: np.ndarray, sample: int, score: float,
     good = other > 1e-15
     place, other = place[good], other[good]
     phi = before[place] + np.log(other)
-    e = -np.log(uniform(np.repeat(key, len(place)), sample, 1 << 40, place))
+    e = -np.log(uniform(key, sample, 1 << 40, place))
     return place, -np.logaddexp(-score, np.log(e) - phi)
 
 
