@@ -14,12 +14,11 @@ import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from candlewick.functions.headers import normalize_name
 from candlewick.functions.text import header_key
 from candlewick.session import ensure_checkpoint_dir
-from candlewick.sources.lines import per_file, split_fields
+from candlewick.sources.lines import first_lines, once, per_file, split_fields
 
 # Separators tried in order, header search depth.
 SEPARATORS = (";", ",", "\t", "|")
@@ -84,10 +83,7 @@ def normalize_lines(lines: DataFrame, table_key: str, *, min_fields: int = 3) ->
     token_re = r"\b(" + "|".join(EXPECTED_TOKENS[table_key]) + r")\b"
     has_token = F.exists(words, lambda w: w.rlike(token_re))
     has_letter = F.exists(fields, lambda x: x.rlike(r"\p{L}"))
-    # Only the first lines of a file can hold the header: row_number <= N is a
-    # partial WindowGroupLimit, so the costly checks below see N lines per file.
-    head = lines.withColumn("_pos", F.row_number().over(Window.partitionBy("file_name").orderBy("line_no"))) \
-        .where(F.col("_pos") <= HEADER_SEARCH_LINES)
+    head = first_lines(lines, HEADER_SEARCH_LINES)
     cand = head.select(
         "file_name", "line_no", line.alias("line"), sep.alias("sep"), fields.alias("fields"),
         (F.col("line").contains(sep) & (nonempty >= min_fields) & has_token & ~looks_like_data(fields)).alias("strong"),
@@ -150,8 +146,8 @@ def mapped_columns(data: DataFrame, positions: DataFrame, targets: list[str]) ->
 
 def load_files(lines: DataFrame, table_key: str, mapping: dict[str, str], targets: list[str], *, min_fields: int = 3,
                min_columns: int = 2, required: tuple[str, ...] = ("ticker",), fallback: dict[str, Column] | None = None) -> DataFrame:
-    """S1 / S3 / S7 for any number of files: header found, fields mapped, one
-    pass over the lines for the headers and one for the data.
+    """S1 / S3 / S7 for any number of files: header found, fields mapped.  The
+    files are scanned once; headers and data are told apart on the kept lines.
 
     The layout of every file (one row each) is worked out first and kept in a
     small table.  A file without a usable header (S7d), with fewer than
@@ -160,6 +156,7 @@ def load_files(lines: DataFrame, table_key: str, mapping: dict[str, str], target
     where a file lacks a target of ``fallback``, its rows get that expression
     (which may use ``file_name``).
     """
+    lines = once(lines)
     headers, _ = normalize_lines(lines, table_key, min_fields=min_fields)
     layout = headers.join(header_positions(headers, mapping), "file_name")
     names = [c for c in layout.columns if c.startswith("pos_")]
@@ -172,7 +169,7 @@ def load_files(lines: DataFrame, table_key: str, mapping: dict[str, str], target
     bad = layout.where(~F.col("valid") | (F.col("n_columns") < min_columns) | lacking)
     failed = [r.file_name for r in bad.select("file_name").orderBy("file_name").collect()]
     if failed:
-        raise ValueError(f"{len(failed)} {table_key} file(s) without a usable header: {failed}")
+        raise ValueError(f"{len(failed)} {table_key} file(s) without a usable header: {failed[:100]}{' ...' if len(failed) > 100 else ''}")
     present = layout.agg(*[F.count(c).alias(c) for c in names]).first()
     fallback = fallback or {}
     j = lines.join(per_file(layout), "file_name").where((F.col("line_no") > F.col("header_line_no")) & (F.trim("line") != ""))

@@ -4,14 +4,19 @@ A line's file is its full path: files of one name in different folders stay
 apart.  A line's place is ``line_no``, the pair (start of its block in the
 file, row of the reading task), which orders the lines of a file for any file
 size and any number of tasks, since one task reads a block from its start on.
+The pair holds for one scan: how Spark packs files into tasks depends on the
+cores of the moment, so another scan may number the same line otherwise.  What
+refers to lines by number reads them from ``once``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+from pyspark.sql.window import Window
 
-from candlewick.session import ensure_checkpoint_dir
+from candlewick.session import ensure_checkpoint_dir, scratch_path
 
 #: Largest per-file table that is broadcast; a larger one is joined by shuffle.
 MAX_BROADCAST_FILES = 50_000
@@ -60,6 +65,29 @@ def scan_any(spark: SparkSession, paths, *, kind: str = "csv", encoding: str | N
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
+def once(lines: DataFrame) -> DataFrame:
+    """The lines of one scan, kept in the shared folder: every reader sees the
+    same numbers, and archives and other encodings are decoded once."""
+    path = scratch_path(lines.sparkSession, "lines")
+    lines.write.option("compression", "zstd").parquet(path)
+    return lines.sparkSession.read.schema(lines.schema).parquet(path)
+
+
+def first_lines(lines: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` lines of every file.
+
+    Scanned lines are numbered without gaps inside a block, so a block's first
+    lines follow from its smallest number, a combining aggregate; only those
+    are ranked.  Lines with other numbers are ranked as they are.
+    """
+    by_file = Window.partitionBy("file_name").orderBy("line_no")
+    if isinstance(lines.schema["line_no"].dataType, StructType):
+        start = per_file(lines.groupBy("file_name", F.col("line_no.block").alias("_block")).agg(F.min("line_no.row").alias("_first")))
+        near = lines.withColumn("_block", F.col("line_no.block")).join(start, ["file_name", "_block"])
+        lines = near.where(F.col("line_no.row") < F.col("_first") + n).drop("_block", "_first")
+    return lines.withColumn("_pos", F.row_number().over(by_file)).where(F.col("_pos") <= n).drop("_pos")
+
+
 def per_file(df: DataFrame) -> DataFrame:
     """A table with one row per file: evaluated once into the shared checkpoint
     folder, and marked for broadcast if its count proves it small."""

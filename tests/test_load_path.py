@@ -177,3 +177,32 @@ def test_tables_have_declared_types(spark, root):
     assert dict(df.dtypes) == MARKET_TABLES["fact_daily_quotes"]
     row = df.first()
     assert str(row.last_price) == "10.123457" and row.trade_count == 3
+
+
+@pytest.mark.parametrize(("first", "then"), [(1, 6), (6, 1), (2, 3), (12, 2)])
+def test_no_line_is_lost_when_files_are_packed_anew(spark, root, first, then):
+    """Headers and data are told apart whatever the cores are when each is read."""
+    paths = []
+    for f in range(6):
+        rows = [f"T{f:02d}{k:04d};2020-01-{1 + k % 28:02d};1,5;10" for k in range(200)]
+        paths.append(_file(root, f"packed/t{f}.csv", "\n".join(["preamble", "", "TckrSymb;RptDt;LastPric;TradQty", *rows])))
+    key = "spark.sql.files.minPartitionNum"
+    try:
+        spark.conf.set(key, first)
+        out = J.read_trades(spark, paths)
+        spark.conf.set(key, then)
+        assert out.count() == 1200 and out.where("ticker = 'TckrSymb'").count() == 0
+        assert out.select("ticker").distinct().count() == 1200
+    finally:
+        spark.conf.unset(key)
+
+
+def test_first_lines_of_files_in_several_blocks(spark, root):
+    path = _file(root, "blocks/long.txt", "\n".join(str(k) for k in range(3000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "17")  # a few lines a block
+        kept = L.once(L.scan(spark, path))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert sorted(int(r.line) for r in L.first_lines(kept, 10).collect()) == list(range(10))
