@@ -29,11 +29,12 @@ def _points_stream(spark, sf_dir):
     return M.points_from_events(ev, with_order=True)
 
 
-def _shuffled_points(spark, sf_dir, files: int = 3):
-    """The events landed in ``files`` files regardless of time, read one file a micro-batch."""
+def _shuffled_points(spark, sf_dir, files: int = 3, replays: int = 1):
+    """The events landed ``replays`` times in ``files`` files regardless of time, read one file a micro-batch."""
     ev = spark.read.parquet(os.path.join(sf_dir, "events.parquet"))
     folder = scratch_path(spark, "events-landed")
-    ev.repartition(files, F.xxhash64("event_id")).write.parquet(folder)
+    for _ in range(replays):
+        ev.repartition(files, F.xxhash64("event_id")).write.mode("append").parquet(folder)
     return M.points_from_events(S.file_stream(spark, folder, ev.schema, max_files_per_trigger=1), with_order=True)
 
 
@@ -48,7 +49,28 @@ def stream_ingest(spark, sf_dir):
 def stream_candles(spark, sf_dir):
     pts = _shuffled_points(spark, sf_dir)
     table = S.run_to_table(spark, lambda t, c: S.candle_stream(pts, "15m", t, points_table=f"{t}-points", checkpoint=c, order=["event_id"]), "candles")
-    return spark.read.parquet(table).drop("candle_date")
+    return S.candles(spark, table, "15m")
+
+
+@register("stream_candles_open", with_views(V_INTRADAY, _intraday_body("15m", 900)))
+def stream_candles_open(spark, sf_dir):
+    """R1's table read as a stream, one file of points after another in time; open buckets are state."""
+    pts = _points_stream(spark, sf_dir)
+    stored = S.run_to_table(spark, lambda t, c: S.ingest_points(pts, t, checkpoint=c, order=["event_id"]), "ingest")
+    schema = spark.read.parquet(stored).schema
+    ordered = scratch_path(spark, "points-ordered")
+    spark.read.parquet(stored).repartitionByRange(3, "quoted_at").write.parquet(ordered)
+    stream = S.file_stream(spark, ordered, schema, max_files_per_trigger=1)
+    table = S.run_to_table(spark, lambda t, c: S.open_candles(stream, "15m", t, delay="36500 days", checkpoint=c), "open-candles")
+    return S.candles(spark, table, "15m")
+
+
+@register("stream_first_points", with_views(V_INTRADAY, f"SELECT {POINT_COLS} FROM v_intraday"))
+def stream_first_points(spark, sf_dir):
+    """Every file of points arrives twice and out of time order; replays end in the state store."""
+    pts = S.first_points(_shuffled_points(spark, sf_dir, replays=2), "36500 days")
+    table = S.run_to_table(spark, lambda t, c: S.ingest_points(pts, t, checkpoint=c, order=["event_id"]), "first")
+    return spark.read.parquet(table).select(*POINT_COLS.split(", "))
 
 
 @register("stream_latest", with_views(V_INTRADAY, """
@@ -58,7 +80,7 @@ WHERE rn = 1"""))
 def stream_latest(spark, sf_dir):
     pts = _shuffled_points(spark, sf_dir)
     table = S.run_to_table(spark, lambda t, c: S.latest_stream(pts, t, checkpoint=c), "latest")
-    return spark.read.parquet(table)
+    return S.latest_points(spark, table)
 
 
 @register("stream_universe_gate", with_views(DAILY_VIEWS + ",\n" + V_INTRADAY, _REG + f"""

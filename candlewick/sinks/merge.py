@@ -158,6 +158,57 @@ def insert_ignore_table(spark: SparkSession, batch: DataFrame, path: str, keys:
     return n
 
 
+def first_attempt(spark: SparkSession, path: str, batch_id: int) -> bool:
+    """Whether a micro-batch comes to this table for the first time; notes that it came."""
+    fs, p = _fs(spark, f"{path.rstrip('/')}.batches/{batch_id}")
+    return fs.createNewFile(p)
+
+
+def insert_ignore_rows(spark: SparkSession, batch: DataFrame, path: str, keys: list[str], *, partition_col: str, batch_id: int,
+                       order: list[str] | None = None) -> DataFrame:
+    """K4 for micro-batches: the rows that this batch inserted, also when it is repeated.
+
+    Rows carry ``batch_id``.  A repeated batch takes its own rows out of what
+    it compares with and returns them; only rows not yet stored are appended.
+    """
+    again = not first_attempt(spark, path, batch_id)
+    batch = _stage(batch)
+    empty = batch.drop(*(order or [])).limit(0)
+    target = _touched(spark.read.parquet(path), batch, partition_col) if _exists(spark, path) else empty.withColumn("batch_id", F.lit(batch_id).cast("long"))
+    mine = target.where(F.col("batch_id") == batch_id).drop("batch_id") if again else empty
+    new_rows = _stage(insert_ignore(target.drop("batch_id"), batch, keys, order=order)[0])
+    n = new_rows.count()
+    if n:
+        _spread(new_rows.withColumn("batch_id", F.lit(batch_id).cast("long")), n, partition_col, keys).write.mode("append").partitionBy(partition_col).parquet(path)
+    return mine.select(*new_rows.columns).unionByName(new_rows) if again else new_rows
+
+
+def combine_partitions(spark: SparkSession, parts: DataFrame, path: str, *, partition_col: str, batch_id: int, combine) -> None:
+    """Merge partial aggregates into a partitioned table.
+
+    ``combine`` reduces stored and new partial rows to one row a key and keeps
+    the partition column.  Every partition carries the batch that wrote it
+    last; a repeated batch leaves alone what it has written before.
+    """
+    again = not first_attempt(spark, path, batch_id)
+    if _exists(spark, path):
+        stored = _touched(spark.read.parquet(path), parts, partition_col)
+        if again:
+            done = stored.where(F.col("batch_id") >= batch_id).select(partition_col).distinct()
+            parts, stored = (x.join(done, partition_col, "left_anti") for x in (parts, stored))
+        parts = stored.select(*parts.columns).unionByName(parts)
+    whole = _stage(combine(parts).withColumn("batch_id", F.lit(batch_id).cast("long")))
+    n = whole.count()
+    if n:
+        (_spread(whole, n, partition_col, ["ticker"]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(partition_col).parquet(path))
+
+
+def write_version(df: DataFrame, path: str, version: int) -> None:
+    """Rows of one micro-batch as a folder of their own; a repeated batch replaces its folder."""
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/version={version}")
+
+
 def read_published(spark: SparkSession, path: str) -> DataFrame | None:
     """The table that ``publish`` wrote last, or None.  A publish that was
     interrupted between its two renames is undone first."""
