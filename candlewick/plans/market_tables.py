@@ -106,6 +106,19 @@ def daily_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_bars(spark, sf_dir).drop("open_price")
 
 
+def settled_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A daily quotes table with rows of its own: one per customer and order
+    day, other tickers and days than the trades have, nulls among its measures."""
+    o = read_test_table(spark, sf_dir, "orders")
+    price, many = F.col("o_totalprice"), F.count(F.lit(1)) > 1
+    low, high = F.min(price), F.max(price)
+    return o.groupBy(ticker_of("o_custkey").alias("ticker"), F.to_date("o_orderdate").alias("trade_date")).agg(
+        high.alias("last_price"), low.alias("min_price"), high.alias("max_price"), F.lit(None).cast("double").alias("avg_price"),
+        F.when(many, half_up((high - low) / low * 100, 4)).alias("variation_pct"),
+        F.when(many, F.round(high * 100).cast("bigint").cast("double")).alias("financial_volume"),
+        F.count(F.lit(1)).alias("trade_count"), F.lit("orders").alias("source_file_name"))
+
+
 def intraday_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Intraday points (ticker, quoted_at unique): one per event."""
     return points_from_events(read_test_table(spark, sf_dir, "events"))

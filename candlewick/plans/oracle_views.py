@@ -61,6 +61,22 @@ v_quotes AS (
   SELECT ticker, trade_date, last_price, min_price, max_price, avg_price, variation_pct,
          financial_volume, trade_count, source_file_name FROM v_daily)"""
 
+V_QUOTES_OF_BARS = V_DAILY[V_DAILY.index("v_quotes AS ("):]
+V_SETTLED = f"""v_settled AS (
+  SELECT {ticker('o_custkey')} AS ticker, CAST(o_orderdate AS DATE) AS trade_date, max(o_totalprice) AS last_price,
+         min(o_totalprice) AS min_price, max(o_totalprice) AS max_price, CAST(NULL AS DOUBLE) AS avg_price,
+         CASE WHEN count(*) > 1 THEN {half_up('(max(o_totalprice) - min(o_totalprice)) / min(o_totalprice) * 100', 4)} END AS variation_pct,
+         CASE WHEN count(*) > 1 THEN CAST(CAST(round(max(o_totalprice) * 100) AS BIGINT) AS DOUBLE) END AS financial_volume,
+         count(*) AS trade_count, 'orders' AS source_file_name
+  FROM orders GROUP BY 1, 2),
+v_quotes AS (SELECT * FROM v_settled)"""
+
+
+def with_settled_quotes(sql: str) -> str:
+    """An oracle's text over a table of quotes of its own instead of the bars'."""
+    return sql.replace(V_QUOTES_OF_BARS, V_SETTLED)
+
+
 V_INTRADAY = f"""v_intraday AS (
   SELECT {ticker('user_id')} AS ticker,
          ts AS quoted_at,

@@ -5,8 +5,8 @@ from __future__ import annotations
 from candlewick.operators import coverage as CV
 from candlewick.operators import indicators as IND
 from candlewick.plans import market_tables as M
-from candlewick.plans.catalog import register
-from candlewick.plans.oracle_views import ALL_MARKET_VIEWS, DAILY_VIEWS, HIST_VIEWS, half_up, with_views
+from candlewick.plans.catalog import ORACLES, register
+from candlewick.plans.oracle_views import ALL_MARKET_VIEWS, DAILY_VIEWS, HIST_VIEWS, half_up, with_settled_quotes, with_views
 from candlewick.plans.q_hist import hist_dates
 
 SMA_P, EMA_P, RSI_P = 5, 10, 14
@@ -67,6 +67,22 @@ def overview(spark, sf_dir):
     return CV.asset_overview(*_sources(spark, sf_dir, M.daily_bars(spark, sf_dir)))
 
 
+def _two_tables(spark, sf_dir, trades):
+    return M.dim_assets(spark, sf_dir), M.settled_quotes(spark, sf_dir), trades, M.intraday_points(spark, sf_dir), hist_dates(spark, sf_dir)
+
+
+@register("coverage_two_tables", with_settled_quotes(ORACLES["coverage"]))
+def coverage_two_tables(spark, sf_dir):
+    """J5 with quotes and trades of different rows."""
+    return CV.asset_coverage(*_two_tables(spark, sf_dir, M.unit_trades(spark, sf_dir)))
+
+
+@register("overview_two_tables", with_settled_quotes(ORACLES["overview"]))
+def overview_two_tables(spark, sf_dir):
+    """J6 with quotes and trades of different rows."""
+    return CV.asset_overview(*_two_tables(spark, sf_dir, M.daily_bars(spark, sf_dir)))
+
+
 def _series_cte(where: str = "") -> str:
     return f""", s AS (
   SELECT ticker, trade_date, last_price AS x, CAST(round(last_price * 1000000) AS BIGINT) AS xm,

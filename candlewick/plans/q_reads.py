@@ -10,7 +10,7 @@ from candlewick.operators import market as MK
 from candlewick.operators import pages as PG
 from candlewick.plans import market_tables as M
 from candlewick.plans.catalog import register
-from candlewick.plans.oracle_views import ALL_MARKET_VIEWS, DAILY_VIEWS, V_ASSETS, V_INTRADAY, with_views
+from candlewick.plans.oracle_views import ALL_MARKET_VIEWS, DAILY_VIEWS, V_ASSETS, V_INTRADAY, with_settled_quotes, with_views
 
 # Fixed query parameters.
 HISTORY_N = 5
@@ -159,6 +159,12 @@ def market_overview(spark, sf_dir):
     return MK.market_overview(None, M.daily_bars(spark, sf_dir))
 
 
+@register("market_overview_two_tables", with_settled_quotes(_overview_sql("")))
+def market_overview_two_tables(spark, sf_dir):
+    """T4 with quotes and trades of different rows."""
+    return MK.market_overview(M.settled_quotes(spark, sf_dir), M.daily_bars(spark, sf_dir))
+
+
 @register("market_overview_day", _overview_sql(f"WHERE trade_date = DATE '{OVERVIEW_DAY}'"))
 def market_overview_day(spark, sf_dir):
     return MK.market_overview(None, M.daily_bars(spark, sf_dir), trade_date=OVERVIEW_DAY)
