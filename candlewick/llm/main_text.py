@@ -87,10 +87,11 @@ def _tokens(value: str | None) -> set[str]:
 
 
 class _Element:
-    __slots__ = ("tag", "items", "names", "article", "hard", "holds", "drop", "main", "digest")
+    __slots__ = ("tag", "items", "names", "article", "hard", "gone", "holds", "drop", "main", "spared", "frame", "digest")
 
-    def __init__(self, tag: str, names: set[str], article: bool, hard: bool) -> None:
-        self.tag, self.names, self.article, self.hard = tag, names, article, hard
+    def __init__(self, tag: str, names: set[str], article: bool, hard: bool, gone: bool = False) -> None:
+        self.tag, self.names, self.article, self.hard, self.gone = tag, names, article, hard, gone
+        self.spared = self.frame = False
         self.items: list = []  # strings and elements
         self.holds = self.drop = self.main = False
         self.digest = None
@@ -110,10 +111,9 @@ class _Tree(HTMLParser):
         if tag in SIBLINGS:
             self._close(*SIBLINGS[tag])
         a = dict(attrs)
-        furniture = (
-            tag in SILENT or tag in FURNITURE or "hidden" in a or a.get("aria-hidden") == "true"
-            or "display:none" in (a.get("style") or "").replace(" ", "").lower() or a.get("role") in ROLES)
-        e = _Element(tag, _tokens(a.get("class")) | _tokens(a.get("id")), tag in ("article", "main") or a.get("role") == "main", furniture)
+        gone = tag in SILENT or "hidden" in a or a.get("aria-hidden") == "true" or "display:none" in (a.get("style") or "").replace(" ", "").lower()
+        furniture = gone or tag in FURNITURE or a.get("role") in ROLES
+        e = _Element(tag, _tokens(a.get("class")) | _tokens(a.get("id")), tag in ("article", "main") or a.get("role") == "main", furniture, gone)
         self.stack[-1].items.append(e)
         if tag not in VOID:
             self.stack.append(e)
@@ -158,22 +158,48 @@ def _post_order(root: _Element) -> list[_Element]:
     return out
 
 
+#: What a form holds that frames a page.
+FRAMED = frozenset("nav header footer main article h1".split())
+
+
+def _harden(root: _Element) -> tuple[bool, bool]:
+    """Hand down the marks of HTML; whether an article stands free of them, and outside readers' comments."""
+    free = others = False
+    todo = [(root, False, False, False, False)]
+    while todo:
+        e, under, gone, inside, comments = todo.pop()
+        gone = gone or e.gone
+        e.hard = gone or (not e.spared and (under or e.hard or (e.tag == "header" and not inside)))
+        comments = comments or (not e.article and bool(e.names & COMMENT_NAMES))
+        free = free or (e.article and not e.hard)
+        others = others or (e.article and not e.hard and not comments)
+        todo.extend((x, e.hard, gone, inside or e.article, comments) for x in e.items if not isinstance(x, str))
+    return free, others
+
+
 def mark(root: _Element) -> None:
     """Set ``drop`` and ``main``: marks of HTML itself first, names after them.
 
     A name drops neither an article or main nor an element that holds one.
     Regions of readers' comments go with their articles where the page has an
-    article or main outside of them.
+    article or main outside of them.  A form around the page is no furniture.
+    Where every article or main of a page lies in furniture (a form around
+    all, a menu that is never closed), what holds one is spared.
     """
-    others = False
-    todo = [(root, False, False, False)]
-    while todo:  # marks of HTML; whether an article stands outside the comments
-        e, under, inside, comments = todo.pop()
-        e.hard = under or e.hard or (e.tag == "header" and not inside)
-        comments = comments or (not e.article and bool(e.names & COMMENT_NAMES))
-        others = others or (e.article and not e.hard and not comments)
-        todo.extend((x, e.hard, inside or e.article, comments) for x in e.items if not isinstance(x, str))
-    for e in _post_order(root):
+    order = _post_order(root)
+    for e in order:
+        inner = any(x.frame for x in e.items if not isinstance(x, str))
+        e.frame = inner or e.tag in FRAMED
+        if e.tag == "form" and inner and not e.gone:
+            e.hard = False
+    own = [e.hard for e in order]
+    free, others = _harden(root)
+    if not free and any(e.article for e in order):
+        for e, hard in zip(order, own):
+            e.hard = hard
+            e.spared = not e.gone and (e.article or any(x.spared for x in e.items if not isinstance(x, str)))
+        free, others = _harden(root)
+    for e in order:
         e.holds = not e.hard and (e.article or any(x.holds for x in e.items if not isinstance(x, str)))
     todo = [(root, False, False)]
     while todo:

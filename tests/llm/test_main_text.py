@@ -73,3 +73,15 @@ def test_pages_against_a_plain_reading(spark):
         article = re.search(r"<article>(.*)</article>", source[r.page_id], re.S)[1]
         parts = (" ".join(entities.unescape(re.sub(r"<[^>]+>", " ", re.sub("</?b>", "", b))).split()) for b in re.split("</?(?:p|h1)>", article))
         assert r.text == "\n".join(p for p in parts if p) and r.n_chars == len(r.text)
+
+
+def test_furniture_around_the_only_article():
+    post = "<article><h1>T</h1><p>body</p><form>f</form></article>"
+    assert text(f'<form id="aspnetForm"><header>h</header>{post}<footer>f</footer></form>') == "T\nbody"
+    assert text(f"<nav><ul><li>home<li>about</ul>{post}") == "T\nbody"
+    assert text(f"<nav><a>home</a>{post}<aside><article>teaser</article></aside>") == "T\nbody\nteaser"
+    assert text(f"{post}<aside><article>teaser</article></aside>") == "T\nbody"
+    assert text('<form id="aspnetForm"><nav>n</nav><h1>T</h1><div><p>body</p></div><form>x</form></form><footer>f</footer>') == "T\nbody"
+    assert text("<p>body</p><form><p>your mail</p></form>") == "body"
+    assert text(f"<div hidden>{post}</div><p>out</p>") == "out"
+    assert text(f"<template>{post}</template><p>out</p>") == "out"
