@@ -72,7 +72,6 @@ class Limits:
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _BYTE = np.random.default_rng(50).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_TAG_BITS = 28
 
 
 def _pair(a: np.ndarray, b: np.ndarray, offset: int) -> np.ndarray:
@@ -409,9 +408,9 @@ def _dealt(df: DataFrame, by) -> DataFrame:
 
 
 def _tagged(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, tag (part of the text's hash: tells rows of one id apart), text."""
+    """doc_id, tag (the text's hash: tells rows of one id apart), text."""
     docs = common.texts(df, id_col, text_col)
-    return docs.select("doc_id", F.shiftrightunsigned(F.xxhash64("text"), 64 - _TAG_BITS).alias("tag"), "text")
+    return docs.select("doc_id", F.xxhash64("text").alias("tag"), "text")
 
 
 def _with_live(docs: DataFrame, live: DataFrame) -> DataFrame:
@@ -484,7 +483,7 @@ def remove(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     """
     names = df.columns
     at = names.index(text_col)
-    tag = F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))), 64 - _TAG_BITS)
+    tag = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
     r = ranges(df, id_col, text_col).select(F.col("doc_id").alias("__id"), F.col("tag").alias("__tag"), F.col("cuts").alias("__cuts"))
     joined = df.join(r, (F.col(id_col).cast("long") == F.col("__id")) & (tag == F.col("__tag")), "left").select(*(df[c] for c in names), "__cuts")
 
