@@ -175,16 +175,17 @@ def near_duplicates(df: DataFrame, threshold: float = THRESHOLD, block: int = BL
     agree.  A vector that is null, empty, zero or holds a null or non-finite
     component, or whose id or label is null, links with nothing and is its own
     component (null id: null component, kept).  Repeated rows link with each
-    other; rows that share an id but not the vector pool their links.  Extra
+    other; rows that share an id but not the vector or
+    the label are vectors of their own.  Extra
     columns are left behind.
     """
     spark = df.sparkSession
     rows, distinct = classes(df, id_col, vec_col, label_col)
-    distinct = common.cut(distinct)
-    ordered = distinct.select("label", "rep", "n", "v").mapInArrow(_first_projection, "label string, rep long, n long, v array<double>, dim int, p double")
-    order = ["label", "dim", "p", "rep"]
+    distinct = common.cut(distinct.withColumn("class", F.monotonically_increasing_id()))
+    ordered = distinct.select("label", "class", "n", "v").mapInArrow(_first_projection, "label string, class long, n long, v array<double>, dim int, p double")
+    order = ["label", "dim", "p", "class"]
     ranged = ordered.repartitionByRange(common.partitions(spark), *order).sortWithinPartitions(*order)
-    blocks = ranged.select(F.spark_partition_id().cast("long").alias("part"), "label", "dim", "p", "rep", "n", "v").mapInArrow(_blocks(block), _BLOCK)
+    blocks = ranged.select(F.spark_partition_id().cast("long").alias("part"), "label", "dim", "p", "class", "n", "v").mapInArrow(_blocks(block), _BLOCK)
     blocks = common.cut(blocks)
     reach = SORT_WINDOW * math.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-9
     ends = blocks.select("block", "label", "dim", "lo", "hi")
@@ -196,8 +197,11 @@ def near_duplicates(df: DataFrame, threshold: float = THRESHOLD, block: int = BL
     deal = loaded.select((F.col("block") == F.col("mate")).alias("same"), "dim", "ra", "ca", "va", "rb", "cb", "vb")
     found = common.cut(deal.mapInArrow(_count(threshold), "node long, mate long, links long"))
     sums = found.groupBy("node").agg(F.sum("links").alias("links"))
-    roots = components(found.select(F.col("node").alias("a"), F.col("mate").alias("b")))
-    mine = distinct.select("label", "h1", "h2", "rep", "n").join(sums.withColumnRenamed("node", "rep"), "rep", "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
+    roots = components(found.select(F.col("node").alias("a"), F.col("mate").alias("b"))).withColumnRenamed("node", "class")
+    # A component is called by the smallest id of its classes.
+    least = roots.join(distinct.select("class", "rep"), "class").groupBy("root").agg(F.min("rep").alias("least"))
+    roots = roots.join(least, "root").select("class", F.col("least").alias("root"))
+    mine = distinct.select("label", "h1", "h2", "class", "rep", "n").join(sums.withColumnRenamed("node", "class"), "class", "left").join(roots, "class", "left")
     named = common.cut(mine.select("label", "h1", "h2", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("root", "rep").alias("component_id")))
     fine = rows.where("fine").join(named, ["label", "h1", "h2"]).select("vec_id", "n_links", "component_id")
     alone = rows.where(~F.col("fine")).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))

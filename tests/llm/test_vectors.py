@@ -61,3 +61,13 @@ def test_null_ids_and_empty(spark):
     got = sorted((r.vec_id or -1, r.n_links, r.component_id or -1, r.kept) for r in vectors.near_duplicates(df).collect())
     assert got == [(-1, 0, -1, True), (4, 1, 4, True), (4, 1, 4, True)]
     assert vectors.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_rows_of_one_id_keep_their_labels_apart(spark):
+    a, b = [1.0, 0.0], [0.99, 0.1]
+    rows = [(1, a, 1), (1, a, 2), (2, b, 1), (3, b, 2), (1, [0.0, 1.0], 3)]
+    got = vectors.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(1, 0, 1), (1, 1, 1), (1, 1, 1), (2, 1, 1), (3, 1, 1)]
+    two = [(5, a, 1), (5, a, 2), (2, b, 1), (3, b, 2)]
+    got = vectors.near_duplicates(spark.createDataFrame(two, "vec_id long, embedding array<double>, label int")).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(2, 1, 2), (3, 1, 3), (5, 1, 2), (5, 1, 3)]
