@@ -51,7 +51,7 @@ WINDOW = 1.0
 #: Blocks are left out beyond so many standard deviations of the bound.
 REACH = 3.3
 BLOCK = 16384
-CHUNK = 256
+CHUNK = 128
 SEED = 11
 
 
@@ -324,10 +324,10 @@ def search(df: DataFrame, k: int = K, every: int = QUERY_EVERY, block: int = BLO
     numbered = ranged.join(before, ["dim", "part"]).withColumn("block", F.floor(rank / size) * (1 << 20) + F.col("dim"))
     numbered = numbered.repartition(n, "block").sortWithinPartitions("block", "p", "class").select("block", "dim", "p", "class", "ids", "query", "v")
     blocks = common.stored(numbered.mapInArrow(_blocks_task, _BLOCK), "blocks")
-    # With fewer blocks than tasks each goes to several, which share its visitors.
-    copies = max(1, -(-2 * n // max(1, blocks.count())))
     common.arrow_batches(spark, 4)  # a row is a block
     home = common.stored(blocks.repartition(n, "block").mapInArrow(_home_task(log_largest, k + 1, recall, chunk), _HOME), "home")
+    # With fewer blocks than tasks each goes to several, which share its visitors; a copy serves two chunks at least.
+    copies = max(1, min(2 * n // max(1, blocks.count()), home.where("kind = 1").count() // 2))
     # Which chunks visit which blocks: small rows, blocks dealt by a salt, chunks to every salt.
     salts = max(1, n)
     ends = blocks.select("block", "dim", F.col("lo").alias("from"), F.col("hi").alias("to"), F.pmod(F.xxhash64("block"), F.lit(salts)).alias("salt"))
