@@ -36,10 +36,10 @@ from pyspark.sql import functions as F
 
 from candlewick.llm import common
 
-BLOCK_CHARS = 32_000_000
-MEMO = 1_000_000
+BLOCK_CHARS = 8_000_000
+MEMO = 700_000
 FLUSH_BYTES = 4 << 20
-TOGETHER = 1_000_000
+TOGETHER = 500_000
 _DICTIONARY, _DOCUMENT, _PAIR = 0, 1, 2
 
 
