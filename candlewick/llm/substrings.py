@@ -8,18 +8,18 @@ unique, and ranks the rest at the next offset, until the threshold.
 
 Ranks of a position are functions of its own text, so a task forms the pairs
 and only positions that are still alive are sorted.  Every 50-byte string
-holds a smallest 24-byte rank, its anchor; strings next to each other share
+holds a smallest 20-byte rank, its anchor; strings next to each other share
 it, so the first round sorts one row per run of strings instead of one per
 byte:
 
-1. Map: ranks of 1, 2, 4, ... 32, then 24 = 16 + 8 and 50 = 32 + 18 bytes.  A
-   run is up to 27 starts with the same anchor rank ``k0``; ``k1`` names its
+1. Map: ranks of 1, 2, 4, ... 32, then 20 = 16 + 4 and 50 = 32 + 18 bytes.  A
+   run is up to 31 starts with the same anchor rank ``k0``; ``k1`` names its
    whole content by the 50-byte ranks at its ends.
-2. Sort by (k0, k1, doc).  Unique k0: all strings of the run are unique, done.
+2. Sort by k0, a task orders the few that share one by (k1, doc).  Unique k0: all strings of the run are unique, done.
    Same (k0, k1): equal content, so all but the smallest document lose it.
    Different k1 under one k0: first occurrences stay alive.
-3. Offset 13: a string holds its anchor with the 13 bytes before it or with the
-   13 after it.  Sort the 37-byte ranks of those alive; strings whose rank no
+3. Offset 15: a string holds its anchor with the 15 bytes before it or with the
+   15 after it.  Sort the 35-byte ranks of those alive; strings whose rank no
    other document has are unique, done.
 4. Offset 18: sort the 50-byte ranks of every start that is left: all but the
    smallest document lose the string.
@@ -27,9 +27,9 @@ byte:
 
 Before each sort a task ranks its own rows (``Limits.flush`` at a time) and settles
 what is already decided there, so a passage held by any share of all documents
-is one row per flush.  A 24-byte rank with many contents in a flush (the edge
+is one row per flush.  A 20-byte rank with many contents in a flush (the edge
 of a popular passage) skips round 2: its rows go on to round 3, dealt by
-content; and a 37-byte rank of several documents in a flush is alive already,
+content; and a 35-byte rank of several documents in a flush is alive already,
 so its rows are dealt by document.  Ranks that are compared have 96 bits or more.  Nothing is collected;
 intermediate tables are written to the shared folder.
 
@@ -51,8 +51,8 @@ from pyspark.sql import functions as F
 from candlewick.llm import common
 
 LENGTH = 50
-ANCHOR = 24
-MIDDLE = 37
+ANCHOR = 20
+MIDDLE = 35
 SIDE = MIDDLE - ANCHOR
 #: String starts in a run at most: those that can share one anchor.
 RUN = LENGTH - ANCHOR + 1
@@ -86,15 +86,15 @@ def _pair(a: np.ndarray, b: np.ndarray, offset: int) -> np.ndarray:
 
 
 def ranks(data: np.ndarray, middle: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """(24-byte ranks, 50-byte or ``middle`` 37-byte ranks) of all starts of a byte array of at least 50 bytes."""
+    """(20-byte ranks, 50-byte or ``middle`` 35-byte ranks) of all starts of a byte array of at least 50 bytes."""
     r1 = _BYTE[data]
     r2 = _pair(r1, r1, 1)
     r4 = _pair(r2, r2, 2)
     r8 = _pair(r4, r4, 4)
     r16 = _pair(r8, r8, 8)
-    r24 = _pair(r16, r8, 16)
+    r20 = _pair(r16, r4, ANCHOR - 4)
     r32 = _pair(r16, r16, 16)
-    return r24, _pair(r32, r8, MIDDLE - 8) if middle else _pair(r32, r32, LENGTH - 32)
+    return r20, _pair(r32, r4, MIDDLE - 4) if middle else _pair(r32, r32, LENGTH - 32)
 
 
 def _window_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -108,8 +108,8 @@ def _window_min(x: np.ndarray, width: int) -> np.ndarray:
 
 def runs(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(first start, number of starts, k0, k1) of the runs of concatenated texts that end at ``ends``."""
-    r24, r50 = ranks(data)
-    low = _window_min(r24, RUN)
+    r20, r50 = ranks(data)
+    low = _window_min(r20, RUN)
     n = len(low)
     begin = np.concatenate(([0], ends[:-1]))
     valid = np.zeros(n + 1, dtype=np.int32)
@@ -206,7 +206,7 @@ def _markers(k0, k1=None) -> pa.RecordBatch:
 
 
 def _settle_sides(k0, k1, doc, start, size, tag) -> Iterator[pa.RecordBatch]:
-    """37-byte ranks: those of several documents are alive, whatever other tasks hold."""
+    """35-byte ranks: those of several documents are alive, whatever other tasks hold."""
     if not len(doc):
         return
     o, new0, new1, d = _order(k0, k1, doc)
@@ -257,23 +257,38 @@ def _pieces(tx: list[str], piece: int):
         yield buf, owner, offset
 
 
+def _in_groups(cols: list[np.ndarray]) -> list[np.ndarray]:
+    """Rows sorted by k0 in the order of (k0, kind, k1, doc): only those that share k0 move."""
+    kind, k0, k1, doc = cols[:4]
+    same = k0[1:] == k0[:-1]
+    again = np.flatnonzero(np.concatenate(([False], same)) | np.concatenate((same, [False])))
+    o = np.arange(len(k0))
+    o[again] = again[np.lexsort((doc[again], k1[again], kind[again], k0[again]))]
+    return [c[o] for c in cols]
+
+
 def _sorted_groups(batches, flush: int) -> Iterator[list[np.ndarray]]:
-    """Columns of sorted rows, never parting the rows of one (kind, k0)."""
+    """Columns of sorted rows, never parting the live rows of one k0; ranges as they come."""
     held: list[list[np.ndarray]] = [[] for _ in _NAMES]
     size = 0
     for b in batches:
-        for c, i in zip(held, range(len(_NAMES))):
-            c.append(b.column(i).to_numpy(zero_copy_only=False))
-        size += b.num_rows
+        cols = [b.column(i).to_numpy(zero_copy_only=False) for i in range(len(_NAMES))]
+        old = cols[0] == 0
+        if old.any():
+            yield [c[old] for c in cols]
+            cols = [c[~old] for c in cols]
+        for c, x in zip(held, cols):
+            c.append(x)
+        size += len(cols[0])
         if size and size >= flush // 4:
             every = _gather(held)
-            edge = np.flatnonzero((every[0] != every[0][-1]) | (every[1] != every[1][-1]))
+            edge = np.flatnonzero(every[1] != every[1][-1])
             cut = int(edge[-1]) + 1 if len(edge) else 0
             if cut:
-                yield [c[:cut] for c in every]
+                yield _in_groups([c[:cut] for c in every])
             held, size = [[c[cut:]] for c in every], size - cut
     if size:
-        yield _gather(held)
+        yield _in_groups(_gather(held))
 
 
 def _rank(keep_alive: bool, limits: Limits):
@@ -308,7 +323,7 @@ def _rank(keep_alive: bool, limits: Limits):
 
 
 def _rank_sides(limits: Limits):
-    """Sorted 37-byte ranks to the rows whose rank several documents have."""
+    """Sorted 35-byte ranks to the rows whose rank several documents have."""
 
     def run(batches):
         for kind, k0, k1, doc, tag, at in _sorted_groups(batches, limits.flush):
@@ -357,13 +372,13 @@ def _within(count: np.ndarray) -> np.ndarray:
 
 
 def _sides(batches, limits: Limits):
-    """Rows (37-byte rank, 32 bits of the anchor's, doc, first start, number of starts, tag)."""
+    """Rows (35-byte rank, 32 bits of the anchor's, doc, first start, number of starts, tag)."""
     for data, begin, n, anchor, doc, where, tag in _slices(batches, limits):
-        r24, r37 = ranks(data, middle=True)
+        r20, r35 = ranks(data, middle=True)
         # Next place of the anchor's rank at or after each position of its slice.
         size = n + RUN - 1
         place = np.repeat(begin, size) + _within(size)
-        hit = r24[place] == np.repeat(anchor.view(np.uint64), size)
+        hit = r20[place] == np.repeat(anchor.view(np.uint64), size)
         nxt = np.minimum.accumulate(np.where(hit, place, len(data))[::-1])[::-1]
         of = np.repeat(np.arange(len(n)), n)
         i = begin[of] + _within(n)
@@ -373,7 +388,7 @@ def _sides(batches, limits: Limits):
         first = np.flatnonzero(new)
         count = np.diff(np.append(first, len(at)))
         run = of[first]
-        yield r37[at[first]].view(np.int64), anchor[run] >> 32, doc[run], where[run] + i[first] - begin[run], count, tag[run]
+        yield r35[at[first]].view(np.int64), anchor[run] >> 32, doc[run], where[run] + i[first] - begin[run], count, tag[run]
 
 
 def _starts(batches, limits: Limits):
@@ -404,7 +419,7 @@ def _settled(find, settle, limits: Limits):
 
 
 def _dealt(df: DataFrame, by) -> DataFrame:
-    return df.repartition(common.partitions(df.sparkSession), by).sortWithinPartitions("k0", "kind", "k1", "doc")
+    return df.repartition(common.partitions(df.sparkSession), by).sortWithinPartitions("k0")  # one number: a radix sort
 
 
 def _tagged(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -424,7 +439,8 @@ def ranges(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", limits
     spark = df.sparkSession
     docs = _tagged(df, id_col, text_col).where(F.col("doc_id").isNotNull())
     found = docs.mapInArrow(_settled(_runs, lambda *c: _settle(*c, limits.crowd), limits), _ROW)
-    by = F.when(F.col("kind") == 2, F.xxhash64("k0", "k1")).otherwise(F.col("k0"))
+    settled = F.when(F.col("kind") == 0, F.xxhash64("doc", "tag"))  # ranges only pass through
+    by = settled.when(F.col("kind") == 2, F.xxhash64("k0", "k1")).otherwise(F.col("k0"))
     alive = common.stored(_dealt(found, by).mapInArrow(_rank(True, limits), _ROW), "runs")
     common.release(spark)
     sides = _with_live(docs, alive).mapInArrow(_settled(_sides, _settle_sides, limits), _ROW)
@@ -432,7 +448,7 @@ def ranges(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", limits
     shared = common.stored(_dealt(sides, by).mapInArrow(_rank_sides(limits), _ROW), "sides")
     common.release(spark)
     strings = _with_live(docs, shared).mapInArrow(_settled(_starts, lambda *c: _settle(*c, None), limits), _ROW)
-    cut = common.stored(_dealt(strings, F.xxhash64("kind", "k0", "k1")).mapInArrow(_rank(False, limits), _ROW), "starts")
+    cut = common.stored(_dealt(strings, settled.otherwise(F.xxhash64("k0", "k1"))).mapInArrow(_rank(False, limits), _ROW), "starts")
     common.release(spark)
     both = alive.where("kind = 0").unionAll(cut.where("kind = 0"))
     return both.groupBy(F.col("doc").alias("doc_id"), "tag").agg(F.collect_list(F.struct(F.col("k0").alias("start"), F.col("k1").alias("end"))).alias("cuts"))
