@@ -42,32 +42,48 @@ def choose_separator(header_line: str, min_columns: int) -> str | None:
 
 # --------------------------------------------------------------------------- many files, in Spark
 
-def _field_count(line: Column, sep: str) -> Column:
-    return F.size(F.split(line, re.escape(sep)))
+def _outside_quotes(line: Column) -> Column:
+    return F.regexp_replace(line, '"[^"]*"', "")
 
 
-def sniff_separator(line: Column) -> Column:
-    """``;`` when present, else the separator giving most fields, default ``;``."""
-    counts = [(_field_count(line, s), s) for s in SEPARATORS[1:]]
-    best = F.lit(";")
-    best_n = F.lit(1)
-    for n, s in counts:
-        best = F.when(n > best_n, F.lit(s)).otherwise(best)
-        best_n = F.greatest(best_n, n)
-    return F.when(line.contains(";"), F.lit(";")).otherwise(best)
+def sniff_separators(head: DataFrame) -> DataFrame:
+    """(file_name, sniffed) from the first lines of every file.
+
+    For each separator the number of its occurrences outside quotes is counted
+    per line; the separator whose most frequent number (above zero) recurs in
+    most lines wins, then the one that occurs more often, then the earlier of
+    ``SEPARATORS``.  A file without any gets ``;``.
+    """
+    bare = _outside_quotes(F.col("line"))
+    counts = [(F.length(bare) - F.length(F.translate(bare, s, ""))).alias(f"n{k}") for k, s in enumerate(SEPARATORS)]
+    rows = head.where(F.trim("line") != "").select("file_name", *counts)
+    lists = rows.groupBy("file_name").agg(*[F.collect_list(f"n{k}").alias(f"n{k}") for k in range(len(SEPARATORS))])  # a few lines a file
+
+    def usual(k: int) -> Column:
+        seen = F.col(f"n{k}")
+        often = F.transform(F.array_distinct(F.filter(seen, lambda x: x > 0)), lambda v: F.struct(F.size(F.filter(seen, lambda y: y == v)).alias("lines"), v.alias("times")))
+        most = F.array_max(often)
+        return F.struct(F.coalesce(most["lines"], F.lit(0)).alias("lines"), F.coalesce(most["times"], F.lit(0)).alias("times"), F.lit(-k).alias("rank"))
+
+    best = F.array_max(F.array(*[usual(k) for k in range(len(SEPARATORS))]))
+    return lists.select("file_name", F.element_at(F.array(*map(F.lit, SEPARATORS)), 1 - best["rank"]).alias("sniffed"))
 
 
 def looks_like_data(fields: Column) -> Column:
-    """At least half of the non-empty fields are numbers, ISIN-like or
-    upper-case codes."""
-    ne = F.filter(fields, lambda x: F.trim(x) != "")
-    datalike = F.filter(ne, lambda x: F.trim(x).rlike(r"^[-+]?[0-9.,%]+$|^[A-Z]{2}[A-Z0-9]{9}[0-9]$|^[A-Z0-9]{4,12}$"))
-    return (F.size(ne) > 0) & (F.size(datalike) * 2 >= F.size(ne))
+    """At least half of all fields are numbers, ISIN-like or upper-case
+    codes."""
+    datalike = F.filter(fields, lambda x: F.trim(x).rlike(r"^[0-9.,]+$|^[A-Z]{2}[A-Z0-9]{10}$|^[A-Z0-9]{4,}$"))
+    return (F.size(fields) > 0) & (F.size(datalike) * 2 >= F.size(fields))
 
 
-def normalize_lines(lines: DataFrame, table_key: str, *, min_fields: int = 3) -> tuple[DataFrame, DataFrame]:
+def normalize_lines(lines: DataFrame, table_key: str | None, *, min_fields: int = 3) -> tuple[DataFrame, DataFrame]:
     """S7 / S7a / S7d for many files: returns (headers, data).
 
+    The separator is ``;`` where the line has one outside quotes, else the
+    file's (S7c).  A ``table_key`` without expected tokens takes the generic
+    rule (S7a): the first line with a separator, >= 2 fields and a letter, else
+    the third line, or the first of a shorter file.
+
     ``headers``: one row per file (file_name, header_line_no, sep, header array,
     token_detected, valid).  The header is the first line with the delimiter,
     >= ``min_fields`` non-empty fields and an expected whole-word token that
@@ -75,15 +91,18 @@ def normalize_lines(lines: DataFrame, table_key: str, *, min_fields: int = 3) ->
     letter; else the first non-empty line.
     ``data``: (file_name, line_no, fields) of the lines below the header.
     """
-    line = F.regexp_replace(F.col("line"), "^﻿", "")
-    sep = sniff_separator(line)
+    head = first_lines(lines, HEADER_SEARCH_LINES)
+    head = head.withColumn("line", F.regexp_replace("line", "^\ufeff", ""))
+    head = head.join(per_file(sniff_separators(head)), "file_name", "left")
+    line = F.col("line")
+    sep = F.when(_outside_quotes(line).contains(";"), F.lit(";")).otherwise(F.coalesce("sniffed", F.lit(";")))
     fields = split_fields(line, sep)
     nonempty = F.size(F.filter(fields, lambda x: F.trim(x) != ""))
     words = F.transform(fields, lambda x: header_key(x))
-    token_re = r"\b(" + "|".join(EXPECTED_TOKENS[table_key]) + r")\b"
-    has_token = F.exists(words, lambda w: w.rlike(token_re))
+    known = table_key in EXPECTED_TOKENS
+    token_re = r"\b(" + "|".join(EXPECTED_TOKENS[table_key]) + r")\b" if known else None
+    has_token = F.exists(words, lambda w: w.rlike(token_re)) if known else F.lit(False)
     has_letter = F.exists(fields, lambda x: x.rlike(r"\p{L}"))
-    head = first_lines(lines, HEADER_SEARCH_LINES)
     cand = head.select(
         "file_name", "line_no", line.alias("line"), sep.alias("sep"), fields.alias("fields"),
         (F.col("line").contains(sep) & (nonempty >= min_fields) & has_token & ~looks_like_data(fields)).alias("strong"),
@@ -95,8 +114,10 @@ def normalize_lines(lines: DataFrame, table_key: str, *, min_fields: int = 3) ->
         F.min_by(F.struct("line_no", "sep", "fields"), F.when(F.col("strong"), order)).alias("s"),
         F.min_by(F.struct("line_no", "sep", "fields"), F.when(F.col("weak"), order)).alias("w"),
         F.min_by(F.struct("line_no", "sep", "fields"), F.when(F.col("nonblank"), order)).alias("n"),
+        F.sort_array(F.collect_list(F.struct("line_no", "sep", "fields"))).alias("all"),  # the first lines only
     )
-    chosen = F.coalesce("s", "w", "n")
+    third = F.when(F.size("all") >= 3, F.element_at("all", 3)).otherwise(F.element_at("all", 1))
+    chosen = F.coalesce("s", "w", "n") if known else F.coalesce("w", third)
     headers = found.select(
         "file_name",
         chosen["line_no"].alias("header_line_no"),

@@ -206,3 +206,36 @@ def test_first_lines_of_files_in_several_blocks(spark, root):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert sorted(int(r.line) for r in L.first_lines(kept, 10).collect()) == list(range(10))
+
+
+def _header(spark, root, text, key="trades"):
+    from candlewick.sources import delimited as D
+
+    path = _file(root, f"h{len(os.listdir(root))}/x.csv", text)
+    headers, data = D.normalize_lines(L.once(L.scan(spark, path)), key)
+    return headers.first(), [r.fields for r in data.orderBy("line_no").collect()]
+
+
+def test_dialects(spark, root):
+    for sep in ";,\t|":
+        rows = "\n".join(sep.join((f"T{k}", "2020-01-01", f'"1{"," if sep != "," else "."}5"', f'"a;b,c|{k}"')) for k in range(8))
+        h, data = _header(spark, root, f"report of the day, all markets\n\n{sep.join(('TckrSymb', 'RptDt', 'LastPric', 'Note'))}\n{rows}\n")
+        assert h.sep == sep and h.header == ["TckrSymb", "RptDt", "LastPric", "Note"] and h.token_detected
+        assert len(data) == 8 and all(len(f) == 4 for f in data) and data[3][3] == "a;b,c|3"
+    # Decimal commas are as regular as the tabs, but fewer lines have them.
+    h, _ = _header(spark, root, "TckrSymb\tRptDt\tLastPric\nA\t2020-01-01\t1,5\nB\t2020-01-01\t2,5\n")
+    assert h.sep == "\t"
+
+
+def test_generic_header_and_data_likeness(spark, root):
+    from candlewick.sources import delimited as D
+
+    h, data = _header(spark, root, "1;2\n3;4\nname;5\n6;7\n", None)
+    assert h.header == ["name", "5"] and data == [["6", "7"]] and not h.token_detected
+    h, _ = _header(spark, root, "1;2\n3;4\n5;6\n7;8\n", None)
+    assert h.header == ["5", "6"]
+    h, _ = _header(spark, root, "1;2\n3;4\n", None)
+    assert h.header == ["1", "2"]
+    cases = [(["A1B2", "1.5", "x", ""], True), (["A1B2", "", "", "x"], False), (["-1", "5%", "a"], False), (["BRAAAAACNOR0", "b"], True), (["TICKER", "lower", "word"], False)]
+    df = spark.createDataFrame([(c,) for c, _ in cases], "f array<string>").select(D.looks_like_data(F.col("f")).alias("d"))
+    assert [r.d for r in df.collect()] == [w for _, w in cases]
