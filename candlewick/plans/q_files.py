@@ -182,6 +182,29 @@ def undated_files_load(spark, sf_dir):
     return out.select("ticker", "trade_date", "open_price", "last_price", "trade_count")
 
 
+@register("dialect_files_load", with_views(DAILY_VIEWS, """
+SELECT ticker, trade_date, open_price, last_price, trade_count FROM v_daily"""))
+def dialect_files_load(spark, sf_dir):
+    """Files of four dialects in one load, a preamble above each and all
+    separators inside a quoted field."""
+    b = M.daily_bars(spark, sf_dir)
+    kind = F.pmod(F.xxhash64("ticker"), F.lit(len(D.SEPARATORS))).cast("int")
+    sep = F.element_at(F.array(*map(F.lit, D.SEPARATORS)), F.col("kind") + 1)
+
+    def line(*fields):
+        return F.array_join(F.array(*fields), "\u0001")
+
+    note = F.lit('"a;b,c|d"')
+    rows = b.select(kind.alias("kind"), F.datediff("trade_date", F.lit("1990-01-01")).cast("bigint").alias("line_no"), line(
+        F.col("ticker"), F.col("trade_date").cast("string"), note, F.col("open_price").cast("string"), F.col("last_price").cast("string"), F.col("trade_count").cast("string")).alias("line"))
+    heads = rows.select("kind").distinct().select("kind", F.explode(F.array(
+        F.struct(F.lit(-2).cast("bigint").alias("line_no"), F.lit("report of the day").alias("line")),
+        F.struct(F.lit(-1).cast("bigint").alias("line_no"), line(*map(F.lit, ("TckrSymb", "RptDt", '"Note, of all; markets"', "Preço de abertura", "LastPric", "TradQty"))).alias("line")))).alias("x")).select("kind", "x.line_no", "x.line")
+    lines = rows.unionByName(heads).select(F.concat(F.lit("f"), F.col("kind").cast("string")).alias("file_name"), "line_no", F.replace("line", F.lit("\u0001"), sep).alias("line"))
+    out = TR.transform_trades(J.read_trades(spark, _land(spark, lines, "dialects-landed")))
+    return out.select("ticker", "trade_date", "open_price", "last_price", "trade_count")
+
+
 @register("hist_files_load", with_views(HIST_VIEWS, """
 SELECT trade_date, ticker, codneg, especi, isin, open_price, max_price, min_price, avg_price, last_price, trade_count,
        quantity_total, volume_financial, expiration_date, expiration_key
