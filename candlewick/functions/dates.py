@@ -61,14 +61,6 @@ def detect_date_format(df: DataFrame, column: str, formats=DATE_FORMATS) -> str
     return None
 
 
-def column_date(df: DataFrame, column: str, formats=DATE_FORMATS) -> Column:
-    """C9 applied: parse with the detected format, else a lenient ISO cast."""
-    fmt = detect_date_format(df, column, formats)
-    if fmt is not None:
-        return try_date(column, fmt)
-    return F.col(column).cast("string").try_cast("date")
-
-
 def payload_date(c, fallback=None) -> Column:
     """C11: ISO date, dd/MM/yyyy, ISO date-time (optionally with ``Z``); else ``fallback``."""
     s = F.trim(_c(c).cast("string"))
@@ -119,8 +111,3 @@ def yyyymmdd(c) -> Column:
     """Eight digits that form a real date, else null."""
     t = F.trim(_c(c))
     return F.when(t.rlike(r"^[0-9]{8}$"), F.try_to_date(t, "yyyyMMdd"))
-
-
-def bucket_start(ts, step_seconds: int) -> Column:
-    """floor(epoch / step) * step as a UTC wall-clock timestamp (NTZ)."""
-    return F.window(_c(ts), f"{step_seconds} seconds").start

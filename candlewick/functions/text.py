@@ -1,4 +1,4 @@
-"""String column expressions (C4-C6, C17, C24, C26) and the ticker rule.
+"""String column expressions (C4, C17, C24, C26) and the ticker rule.
 
 Everything here is a ``Column`` built from built-in functions; nothing calls
 Python per row.
@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Latin accented letters and their plain forms, used to strip
 # accents inside expressions (``translate`` works on code points).
@@ -32,19 +31,6 @@ def strip(c) -> Column:
     return F.regexp_replace(_c(c).cast("string"), r"(?U)^\s+|\s+$", "")
 
 
-def trim_strings(df: DataFrame) -> DataFrame:
-    """Trim every string column, keep the others as they are."""
-    return df.select(*[
-        strip(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`")
-        for f in df.schema.fields
-    ])
-
-
-def upper_string(c) -> Column:
-    """Cast to string and upper-case."""
-    return F.upper(_c(c).cast("string"))
-
-
 def blank_to_null(c) -> Column:
     s = strip(c)
     return F.when(s != "", s)

@@ -17,11 +17,6 @@ INTRADAY_INTERVALS = {"5m": 300, "15m": 900, "1h": 3600}
 DAILY_INTERVAL = "1d"
 
 
-def check_interval(interval: str) -> None:
-    if interval not in INTRADAY_INTERVALS and interval != DAILY_INTERVAL:
-        raise ValueError(f"interval must be one of {sorted([*INTRADAY_INTERVALS, DAILY_INTERVAL])}")
-
-
 def intraday_candles(points: DataFrame, interval: str, *, ts: str = "quoted_at",
                      price: str = "close_price", key: str = "ticker") -> DataFrame:
     """A1: candles of every ticker; null prices skipped; oldest first per ticker."""

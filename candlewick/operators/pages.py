@@ -99,9 +99,3 @@ def runs_filtered(runs: DataFrame, *, pipeline_name=None, status=None, source_da
 def run_duration_seconds(started: str = "started_at", finished: str = "finished_at") -> Column:
     """Finished - started in seconds, null while running."""
     return (F.unix_micros(F.col(finished).cast("timestamp")) - F.unix_micros(F.col(started).cast("timestamp"))) / F.lit(1e6)
-
-
-def runs_page(runs: DataFrame, limit: int = 50, offset: int = 0) -> DataFrame:
-    """started_at desc, id desc, with the duration column."""
-    return page(runs.withColumn("duration_seconds", run_duration_seconds()),
-                [F.col("started_at").desc(), F.col("id").desc()], limit, offset)

@@ -10,8 +10,6 @@ small table that is broadcast if its size is proven; lines are not shuffled.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,16 +28,6 @@ EXPECTED_TOKENS = {
 }
 
 
-# --------------------------------------------------------------------------- driver-side metadata
-
-def choose_separator(header_line: str, min_columns: int) -> str | None:
-    """The first separator giving at least ``min_columns`` columns."""
-    for sep in SEPARATORS:
-        if len(header_line.split(sep)) >= min_columns:
-            return sep
-    return None
-
-
 # --------------------------------------------------------------------------- many files, in Spark
 
 def _outside_quotes(line: Column) -> Column:
