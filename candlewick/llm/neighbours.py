@@ -225,7 +225,6 @@ class _Block:
 
 
 _FOUND = "class long, vec_id long, score double"
-_QUERIES = "home long, chunk long, dim int, lo double, hi double, class binary, bound binary, vectors binary"
 
 
 def _home_task(log_largest: dict[int, float], want: int, recall: float, chunk: int):
