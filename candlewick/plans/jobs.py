@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.functions.headers import INSTRUMENT_COLUMN_MAP, TRADE_COLUMN_MAP
@@ -22,7 +23,7 @@ from candlewick.sources import delimited as D
 from candlewick.sources import fixed_width as FW
 from candlewick.sources import jsonl as JS
 from candlewick.session import ensure_checkpoint_dir
-from candlewick.sources.lines import scan_any
+from candlewick.sources.lines import once, per_file, same_path, scan_any
 from candlewick.sources.manifest import backfill_status, historical_file_set, manifest
 from candlewick.sources.tables import conform
 
@@ -36,16 +37,41 @@ def _t(root: str, name: str) -> str:
 
 
 def _ledgered(spark, ledger, pipeline, fn, *, source_file=None, source_date=None):
+    """Run ``fn(run_id)``, which returns the rows written and the rows dropped."""
     run = LG.start_run(spark, ledger, pipeline, source_file=source_file, source_date=source_date)
     try:
-        n = fn()
+        n, dropped = fn(run)
     except Exception as e:
         LG.finish_run(spark, ledger, run, pipeline, status="FAILED", rows_failed=1, message=str(e))
         raise
-    LG.finish_run(spark, ledger, run, pipeline, status="SUCCESS", rows_inserted=n)
+    LG.finish_run(spark, ledger, run, pipeline, status="SUCCESS", rows_inserted=n, rows_failed=dropped)
     return n
 
 
+def observed(watch: Observation, rows: DataFrame, counters: list) -> dict[str, int]:
+    """What ``watch`` counted in the pass that staged a batch.  Where nothing
+    was left of the batch, Spark may have cut the watched part out of the plan;
+    only then are the rows counted by a job of their own.  A stage that ran
+    again after a lost executor may have counted a task's rows twice."""
+    try:
+        return watch.get
+    except Py4JError:
+        return rows.agg(*counters).first().asDict()
+
+
+def _watched_daily(rows: DataFrame, numeric: tuple[str, ...], target_date) -> tuple:
+    """Daily rows of mapped files, and a function that gives the number of
+    rows dropped for want of a ticker or a date once they are staged (P2, P3)."""
+    parsed, watch = TR.parse_daily(rows, numeric, target_date), Observation()
+    kept = TR.sourced(TR.keep_daily(parsed.observe(watch, *TR.daily_counters()), numeric))
+
+    def dropped() -> int:
+        seen = observed(watch, parsed, TR.daily_counters())
+        return seen["no_ticker"] + seen["no_date"]
+
+    return kept, dropped
+
+
 def read_register(spark: SparkSession, paths) -> DataFrame:
     """Register files (plain or zipped) as mapped string columns."""
     return D.load_files(scan_any(spark, paths), "instruments", INSTRUMENT_COLUMN_MAP, REGISTER_TARGETS, min_fields=4, min_columns=4)
@@ -69,87 +95,164 @@ def load_register_and_trades(spark: SparkSession, register_paths, trades_paths,
     """
     ledger = _t(tables_root, "_runs")
 
-    def work():
-        ensure_checkpoint_dir(spark)
-        reg = TR.transform_instruments(read_register(spark, register_paths))
-        reg = conform(reg, "dim_assets").withColumn("updated_at", F.current_timestamp().cast("timestamp_ntz") if load_ts is None
-                             else F.lit(load_ts).cast("timestamp_ntz")).checkpoint(eager=True)
-        if reg.isEmpty():
-            raise ValueError("the register produced zero rows")
-        n = 0
+    def work(run):
+        reg = _staged_register(spark, register_paths, load_ts)
+        n = dropped = 0
         if trades_paths:
-            trades = TR.transform_trades(read_trades(spark, trades_paths, target_date)).withColumnRenamed("last_price", "close_price")  # C25
-            trades = conform(trades, "fact_daily_trades")
-            n += MG.upsert_partitions(spark, trades, _t(tables_root, "fact_daily_trades"), ["ticker", "trade_date"],
-                                      partition_col="trade_date", update=[c for c in trades.columns if c not in ("ticker", "trade_date")])
-        n += MG.upsert_unpartitioned(spark, reg, _t(tables_root, "dim_assets"), ["ticker"],
-                                     update=["asset_name", "isin", "segment", "instrument_type", "source_file_date", "updated_at"],
-                                     preserve={"is_active": F.lit(True), "created_at": F.col("updated_at")})
-        return n
+            trades, counted = _watched_daily(read_trades(spark, trades_paths, target_date), TR.TRADE_NUMERIC, None)
+            n += _upsert_daily(spark, trades.withColumnRenamed("last_price", "close_price"), "fact_daily_trades", tables_root)  # C25
+            dropped = counted()
+        return n + _publish_register(spark, reg, tables_root), dropped
 
     return _ledgered(spark, ledger, "instruments_and_trades", work, source_date=target_date)
 
 
+def _staged_register(spark, paths, load_ts=None) -> DataFrame:
+    ensure_checkpoint_dir(spark)
+    now = F.current_timestamp() if load_ts is None else F.lit(load_ts)
+    reg = conform(TR.transform_instruments(read_register(spark, paths)), "dim_assets").withColumn("updated_at", now.cast("timestamp_ntz")).checkpoint(eager=True)
+    if reg.isEmpty():
+        raise ValueError("the register produced zero rows")
+    return reg
+
+
+def _publish_register(spark, reg: DataFrame, tables_root: str) -> int:
+    return MG.upsert_unpartitioned(spark, reg, _t(tables_root, "dim_assets"), ["ticker"],
+                                   update=["asset_name", "isin", "segment", "instrument_type", "source_file_date", "updated_at"],
+                                   preserve={"is_active": F.lit(True), "created_at": F.col("updated_at")})
+
+
+def _upsert_daily(spark, rows: DataFrame, table: str, tables_root: str) -> int:
+    rows = conform(rows, table)
+    return MG.upsert_partitions(spark, rows, _t(tables_root, table), ["ticker", "trade_date"], partition_col="trade_date",
+                                update=[c for c in rows.columns if c not in ("ticker", "trade_date")])
+
+
 def load_daily_quotes(spark: SparkSession, quotes_paths, tables_root: str, *, target_date=None) -> int:
     """Daily quotes (K3); zero rows is only a warning (returns 0)."""
-    def work():
-        q = conform(TR.transform_daily_quotes(read_trades(spark, quotes_paths, target_date)), "fact_daily_quotes")
-        return MG.upsert_partitions(spark, q, _t(tables_root, "fact_daily_quotes"), ["ticker", "trade_date"],
-                                    partition_col="trade_date", update=[c for c in q.columns if c not in ("ticker", "trade_date")])
+    def work(run):
+        quotes, counted = _watched_daily(read_trades(spark, quotes_paths, target_date).drop("open_price"), TR.QUOTE_NUMERIC, None)
+        return _upsert_daily(spark, quotes, "fact_daily_quotes", tables_root), counted()
 
     return _ledgered(spark, _t(tables_root, "_runs"), "daily_quotes", work, source_date=target_date)
 
 
 def load_intraday(spark: SparkSession, jsonl_paths, tables_root: str) -> int:
     """JSONL -> intraday points, insert-ignore (K4); returns rows really inserted."""
-    def work():
-        lines = JS.scan_jsonl_lines(spark, jsonl_paths)
+    def work(run):
+        records, watch = JS.decode_records(JS.scan_jsonl_lines(spark, jsonl_paths)), Observation()
+        points = JS.points_of(records.observe(watch, *JS.record_counters()))
         # First write wins inside the batch: order = (file, line, point).
-        return MG.insert_ignore_table(spark, conform(JS.parse_jsonl(lines), "fact_quotes"), _t(tables_root, "fact_quotes"), ["ticker", "quoted_at"],
-                                      partition_col="trade_date", order=["source_jsonl", "place"])
+        n = MG.insert_ignore_table(spark, conform(points, "fact_quotes"), _t(tables_root, "fact_quotes"), ["ticker", "quoted_at"],
+                                   partition_col="trade_date", order=["source_jsonl", "place"])
+        return n, observed(watch, records, JS.record_counters())["skipped"]
 
     return _ledgered(spark, _t(tables_root, "_runs"), "intraday_quotes", work)
 
 
 def load_historical(spark: SparkSession, paths: list[str], tables_root: str) -> int:
     """Fixed-width files (plain or zipped), last row per natural key
-    (K6) and upsert by natural key (K5).  Multi-year sets are committed per
-    two-year window so that earlier windows survive a later failure; files
-    whose name holds no year form the last window.  The last file wins."""
+    (K6) and upsert by natural key (K5).  The last file wins.
+
+    Multi-year sets are committed per two-year window, each one job over its
+    files; files whose name holds no year form the last window.  An archive
+    that cannot be read keeps none of the others out: what is good of all
+    windows is committed and every file's verdict kept (``_file_verdicts``)
+    before the run fails by naming the bad ones."""
     files = historical_file_set(spark.createDataFrame([(p, p.rsplit("/", 1)[-1]) for p in paths], "path string, name string"))
     by_window: dict[int, list[str]] = {}
     for r in files.select("load_window", "path").orderBy("sort_key").collect():  # the given paths
         by_window.setdefault(r.load_window, []).append(r.path)
     keys = list(FW.NATURAL_KEY)
 
-    def work():
-        total = 0
+    def work(run):
+        total = skipped = failed = 0
+        named = []
         for w in sorted(by_window):
-            lines = scan_any(spark, by_window[w], kind="hist", encoding="ISO-8859-1")
-            rows = FW.dedupe_last(FW.parse_lines(lines)).withColumn("year", F.year("trade_date"))
+            lines = once(scan_any(spark, by_window[w], kind="hist", encoding="ISO-8859-1", tolerant=True))
+            verdicts = lines.groupBy("file_name").agg(
+                F.min("problem").alias("message"), F.count_if((F.length("line") == FW.RECORD_LEN) & (F.substring("line", 1, 2) == FW.TIP_QUOTE)).alias("rows"))
+            verdicts = per_file(verdicts)
+            bad = verdicts.where(F.col("message").isNotNull())
+            if n_bad := bad.count():
+                failed += n_bad
+                named += [f"{r.file_name} ({r.message})" for r in bad.orderBy("file_name").limit(D.NAMED_FILES - len(named)).collect()]
+                lines = lines.join(bad, "file_name", "left_anti")
+            lines, watch = lines.drop("problem"), Observation()
+            rows = FW.dedupe_last(FW.parse_lines(lines.observe(watch, *FW.line_counters()))).withColumn("year", F.year("trade_date"))
             total += MG.upsert_partitions(spark, rows.drop("file_name", "line_no"), _t(tables_root, "fact_cotahist_daily"), keys,
                                           partition_col="year",
                                           update=[c for c in rows.columns if c not in keys and c not in ("file_name", "line_no", "year")])
-        return total
+            seen = observed(watch, lines, FW.line_counters())
+            skipped += seen["skipped_wrong_length"] + seen["skipped_unknown_tip"]
+            good = F.col("message").isNull()
+            LG.record_files(verdicts.select("file_name", F.when(good, "ok").otherwise("error").alias("status"), "message",
+                                            F.when(good, F.col("rows")).otherwise(0).alias("rows_loaded")), _t(tables_root, "_file_verdicts"), run, "historical")
+        if failed:
+            raise ValueError(f"{failed} file(s) in quarantine, the others are committed: {named}")
+        return total, skipped
 
     return _ledgered(spark, _t(tables_root, "_runs"), "historical", work)
 
 
 def backfill(spark: SparkSession, directory: str, tables_root: str, date_from, date_to, *, register_paths) -> DataFrame:
     """Load every day of the range that has a trades file; one row per
-    day with status ok, skipped (no file) or error (with the message)."""
-    days = backfill_status(spark, manifest(spark, directory), date_from, date_to).orderBy("day").collect()
+    day with status ok, skipped (no file) or error (with the message).
+
+    All days are one load: one scan of their files, one merge into each table
+    and one run in the ledger, however long the range.  An empty file is none.  Files of a later day
+    win over earlier ones.  A file that cannot be loaded is an error of its
+    day alone; a register that cannot be is one of every day."""
+    ensure_checkpoint_dir(spark)
+    days = backfill_status(spark, manifest(spark, directory), date_from, date_to).withColumn("path", same_path("path")).checkpoint(eager=True)
+    paths = [r.path for r in days.where(F.col("status") == "ok").select("path").collect()]  # one a calendar day
+    nothing = F.lit(None).cast("string")
+    if not paths:
+        return days.withColumn("message", nothing)
+    try:
+        verdicts = load_days(spark, paths, tables_root, register_paths=register_paths)
+    except Exception as e:
+        failed = F.col("status") == "ok"
+        return days.select("day", F.when(failed, "error").otherwise(F.col("status")).alias("status"), "path", F.when(failed, F.lit(str(e))).alias("message"))
+    v = verdicts.select(F.col("file_name").alias("path"), F.col("status").alias("verdict"), F.col("message").alias("why"))
+    return days.join(v, "path", "left").select("day", F.coalesce("verdict", "status").alias("status"), "path", F.col("why").alias("message"))
+
+
+def load_days(spark: SparkSession, trades_paths: list[str], tables_root: str, *, register_paths) -> DataFrame:
+    """Register and the trades files of many days in one load.
+    Returns (file_name, status, message, rows_loaded) of every file: ``error``
+    for one that cannot be loaded, which keeps none of the others out.
+    ``rows_loaded`` leaves out rows that a later file replaced."""
     out = []
-    for r in days:  # one load per calendar day
-        status, message = r.status, None
-        if status == "ok":
-            try:
-                load_register_and_trades(spark, register_paths, [r.path], tables_root, target_date=r.day)
-                load_daily_quotes(spark, [r.path], tables_root, target_date=r.day)
-            except Exception as e:  # the other days still load
-                status, message = "error", str(e)
-        out.append((r.day, status, r.path, message))
-    return spark.createDataFrame(out, "day date, status string, path string, message string")
+
+    def work(run):
+        reg = _staged_register(spark, register_paths)
+        rows, verdicts = D.load_good_files(scan_any(spark, trades_paths, tolerant=True), "trades", TRADE_COLUMN_MAP, TRADE_TARGETS,
+                                           fallback={"trade_date": TR.undated()})
+        listed = spark.createDataFrame([(MG.qualified(spark, p),) for p in trades_paths], "path string").select(same_path("path").alias("file_name"))
+        judged = listed.join(verdicts.select(same_path("file_name").alias("file_name"), F.lit(True).alias("read"), "problem"), "file_name", "left").select(
+            "file_name", F.when(F.col("read").isNull(), "empty file").otherwise(F.col("problem")).alias("message"))
+        judged = per_file(judged)
+        n = dropped = 0
+        loaded = spark.createDataFrame([], "file_name string, rows_loaded bigint")
+        if not judged.where(F.col("message").isNull()).isEmpty():
+            parsed, watch = TR.parse_daily(rows, TR.TRADE_NUMERIC), Observation()
+            daily = TR.keep_daily(parsed.observe(watch, *TR.daily_counters()), TR.TRADE_NUMERIC, newest_file=True).checkpoint(eager=True)
+            seen = observed(watch, parsed, TR.daily_counters())
+            dropped = seen["no_ticker"] + seen["no_date"]
+            loaded = daily.groupBy(same_path("file_name").alias("file_name")).agg(F.count(F.lit(1)).alias("rows_loaded"))
+            named = TR.sourced(daily)
+            n += _upsert_daily(spark, named.withColumnRenamed("last_price", "close_price"), "fact_daily_trades", tables_root)  # C25
+            n += _upsert_daily(spark, named.drop("open_price"), "fact_daily_quotes", tables_root)
+        n += _publish_register(spark, reg, tables_root)
+        result = judged.join(per_file(loaded), "file_name", "left").select(
+            "file_name", F.when(F.col("message").isNull(), "ok").otherwise("error").alias("status"), "message", F.coalesce("rows_loaded", F.lit(0)).alias("rows_loaded")).checkpoint(eager=True)
+        LG.record_files(result, _t(tables_root, "_file_verdicts"), run, "days")
+        out.append(result)
+        return n, dropped
+
+    _ledgered(spark, _t(tables_root, "_runs"), "days", work)
+    return out[0]
 
 
 def run_daily(spark: SparkSession, *, register_paths, trades_paths, jsonl_paths, tables_root: str, target_date=None,

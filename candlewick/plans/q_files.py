@@ -18,6 +18,7 @@ from candlewick.plans.oracle_views import DAILY_VIEWS, HIST_VIEWS, V_ASSETS, wit
 from candlewick.session import scratch_path
 from candlewick.sources import delimited as D
 from candlewick.sources import fixed_width as FW
+from candlewick.sources.manifest import manifest
 
 TRADE_TARGETS = ["ticker", "trade_date", "open_price", "min_price", "max_price", "avg_price", "last_price",
                  "variation_pct", "financial_volume", "trade_count"]
@@ -205,6 +206,26 @@ def dialect_files_load(spark, sf_dir):
     return out.select("ticker", "trade_date", "open_price", "last_price", "trade_count")
 
 
+BROKEN_PAGE = ("<html>", "<body>not found</body>")
+
+
+@register("days_load", with_views(DAILY_VIEWS, f"""
+SELECT {_FILE} AS file_name, 'ok' AS status, CAST(NULL AS VARCHAR) AS message, count(*) AS rows_loaded FROM v_daily GROUP BY 1
+UNION ALL
+SELECT DISTINCT 'broken_' || strftime(trade_date, '%Y') || '.csv', 'error', 'no usable header', CAST(0 AS BIGINT) FROM v_daily"""))
+def days_load(spark, sf_dir):
+    """The files of all days, some of them no tables at all,
+    in one load into new tables; the verdict of every file."""
+    lines = _trade_lines(spark, sf_dir)
+    year = F.regexp_extract("file_name", r"_([0-9]{4})[0-9]{4}\.csv$", 1)
+    broken = lines.select(F.concat(F.lit("broken_"), year, F.lit(".csv")).alias("file_name")).distinct().select("file_name", F.posexplode(F.array(*map(F.lit, BROKEN_PAGE))).alias("line_no", "line"))
+    folder = _land(spark, lines.unionByName(broken.withColumn("line_no", F.col("line_no").cast("bigint"))), "days-landed")
+    register = _land(spark, LD.landed(spark, sf_dir, "register", LD.raw_register_lines), "register-landed")
+    paths = [r.path for r in manifest(spark, folder, "*.txt").select("path").collect()]  # one a file
+    verdicts = J.load_days(spark, paths, scratch_path(spark, "days-tables"), register_paths=register)
+    return verdicts.withColumn("file_name", F.regexp_extract("file_name", "file_name=([^/]+)/", 1))
+
+
 @register("hist_files_load", with_views(HIST_VIEWS, """
 SELECT trade_date, ticker, codneg, especi, isin, open_price, max_price, min_price, avg_price, last_price, trade_count,
        quantity_total, volume_financial, expiration_date, expiration_key

@@ -66,7 +66,8 @@ def undated(target_date=None):
     return F.date_format(file_name_date(base_name("file_name")), "yyyy-MM-dd")
 
 
-def _daily(df: DataFrame, numeric: tuple[str, ...], target_date=None) -> DataFrame:
+def parse_daily(df: DataFrame, numeric: tuple[str, ...], target_date=None) -> DataFrame:
+    """Every row of the files, typed (C5-C9, C13, C14); nothing is dropped yet."""
     if "ticker" not in df.columns:
         raise ValueError(f"ticker column absent; columns: {df.columns}")
     if "trade_date" not in df.columns:
@@ -78,9 +79,40 @@ def _daily(df: DataFrame, numeric: tuple[str, ...], target_date=None) -> DataFra
     for c in numeric:                                                         # C7 + C14
         df = df.withColumn(c, load_number(c) if c in df.columns else F.lit(None).cast("double"))
     df = df.withColumn("trade_count", F.col("trade_count").cast("bigint"))
-    df = df.where(F.col("ticker").isNotNull() & (F.col("ticker") != "") & F.col("trade_date").isNotNull())  # F1
-    df = keep_first(df.select("ticker", "trade_date", *numeric, "file_name", "line_no"), ["ticker", "trade_date"])
-    return df.select("ticker", "trade_date", *numeric, base_name("file_name").alias("source_file_name"))
+    return df.select("ticker", "trade_date", *numeric, "file_name", "line_no")
+
+
+def _no_ticker():
+    return F.col("ticker").isNull() | (F.col("ticker") == "")
+
+
+def daily_counters() -> list:
+    """P2 / P3 counters of ``parse_daily`` rows, for ``DataFrame.observe`` or ``agg``."""
+    no_ticker = F.coalesce(_no_ticker(), F.lit(True))
+    return [F.count(F.lit(1)).alias("rows_read"), F.count_if(no_ticker).alias("no_ticker"),
+            F.count_if(~no_ticker & F.col("trade_date").isNull()).alias("no_date")]
+
+
+def keep_daily(parsed: DataFrame, numeric: tuple[str, ...], *, newest_file: bool = False) -> DataFrame:
+    """Rows with a ticker and a date, the first per (ticker, date)
+    in file order; with ``newest_file`` the first one of the file whose name
+    has the latest date, as loads of one file after the other leave it.
+    ``file_name`` is the full path."""
+    df = parsed.where(~_no_ticker() & F.col("trade_date").isNotNull())
+    order = ["file_name", "line_no"]
+    if newest_file:
+        df = df.withColumn("_age", -F.unix_date(F.coalesce(file_name_date(base_name("file_name")), F.lit("0001-01-01").cast("date"))))
+        order = ["_age", *order]
+    return keep_first(df, ["ticker", "trade_date"], order).select("ticker", "trade_date", *numeric, "file_name")
+
+
+def _daily(df: DataFrame, numeric: tuple[str, ...], target_date=None) -> DataFrame:
+    return sourced(keep_daily(parse_daily(df, numeric, target_date), numeric))
+
+
+def sourced(rows: DataFrame) -> DataFrame:
+    """Rows with the name of their file instead of its path."""
+    return rows.select(*[c for c in rows.columns if c != "file_name"], base_name("file_name").alias("source_file_name"))
 
 
 def transform_trades(df: DataFrame, target_date=None) -> DataFrame:

@@ -52,6 +52,14 @@ def finish_run(spark: SparkSession, path: str, run_id: str, pipeline_name: str,
                           retry_count, message if status.upper() != "SUCCESS" else None))
 
 
+def record_files(verdicts: DataFrame, path: str, run_id: str, pipeline_name: str) -> None:
+    """The verdict of every file of a load: (file_name, status, message,
+    rows_loaded), appended under the run that gave it.  What has status
+    ``error`` is in quarantine: nothing of it was loaded."""
+    verdicts.select(F.lit(run_id).alias("run_id"), F.lit(pipeline_name).alias("pipeline_name"), "file_name", "status", "message",
+                    F.col("rows_loaded").cast("bigint").alias("rows_loaded")).write.mode("append").parquet(path)
+
+
 def current_runs(events: DataFrame) -> DataFrame:
     """One row per run: latest status, start/finish time, counts, duration."""
     last = F.max_by(F.struct("status", "rows_inserted", "rows_failed", "retry_count", "message", "event_at"), "event_seq")

@@ -72,6 +72,12 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its file system, as readers name it."""
+    fs, p = _fs(spark, path)
+    return fs.makeQualified(p).toString()
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return fs.exists(p)

@@ -153,35 +153,69 @@ def mapped_columns(data: DataFrame, positions: DataFrame, targets: list[str]) ->
     return j.select(*out)
 
 
+def judge_files(lines: DataFrame, table_key: str, mapping: dict[str, str], *, min_fields: int = 3, min_columns: int = 2,
+                required: tuple[str, ...] = ("ticker",)) -> DataFrame:
+    """The layout and the verdict of every file, one row each, kept in the
+    shared folder: header line, separator, number of columns, position of each
+    target (``pos_*``), ``missing`` targets (U1) and ``problem``.
+
+    ``problem`` is null, or why the file cannot be loaded: its reader's own
+    (``lines.problem``, as of a broken archive), no usable header (S7d), fewer
+    than ``min_columns`` columns or a lack of ``required`` targets (S2).
+    """
+    headers, _ = normalize_lines(lines.drop("problem"), table_key, min_fields=min_fields)
+    layout = headers.join(header_positions(headers, mapping), "file_name")
+    names = [c for c in layout.columns if c.startswith("pos_")]
+    if "problem" in lines.columns:
+        layout = layout.join(lines.groupBy("file_name").agg(F.min("problem").alias("unread")), "file_name", "left")
+    else:
+        layout = layout.withColumn("unread", F.lit(None).cast("string"))
+    n_columns = F.coalesce(F.size("header"), F.lit(0))
+    missing = F.filter(F.array(*[F.when(F.col(c).isNull(), F.lit(c[4:])) for c in names]), lambda x: x.isNotNull())
+    lacking = F.array_intersect(missing, F.array(*map(F.lit, required)))
+    problem = F.when(F.col("unread").isNotNull(), F.col("unread")) \
+        .when(~F.coalesce("valid", F.lit(False)), F.lit("no usable header")) \
+        .when(n_columns < min_columns, F.concat(n_columns.cast("string"), F.lit(f" columns, {min_columns} are needed"))) \
+        .when(F.size(lacking) > 0, F.concat(F.lit("no column for "), F.array_join(lacking, ", ")))
+    ensure_checkpoint_dir(lines.sparkSession)
+    return layout.select("file_name", "header_line_no", "sep", n_columns.alias("n_columns"), missing.alias("missing"), problem.alias("problem"), *names).checkpoint(eager=True)
+
+
+#: Files that an error message names.
+NAMED_FILES = 100
+
+
 def load_files(lines: DataFrame, table_key: str, mapping: dict[str, str], targets: list[str], *, min_fields: int = 3,
                min_columns: int = 2, required: tuple[str, ...] = ("ticker",), fallback: dict[str, Column] | None = None) -> DataFrame:
-    """S1 / S3 / S7 for any number of files: header found, fields mapped.  The
-    files are scanned once; headers and data are told apart on the kept lines.
-
-    The layout of every file (one row each) is worked out first and kept in a
-    small table.  A file without a usable header (S7d), with fewer than
-    ``min_columns`` columns or without the ``required`` targets (S2) is an
-    error that names all such files.  Targets that no file has are left out;
+    """S1 / S3 / S7 for any number of files: the rows of ``load_good_files``,
+    where a file that cannot be loaded is an error, which names the first of
+    them and counts all."""
+    rows, verdicts = load_good_files(lines, table_key, mapping, targets, min_fields=min_fields, min_columns=min_columns, required=required, fallback=fallback)
+    bad = verdicts.where(F.col("problem").isNotNull())
+    if failed := bad.count():
+        named = [f"{r.file_name} ({r.problem})" for r in bad.orderBy("file_name").limit(NAMED_FILES).collect()]
+        raise ValueError(f"{failed} {table_key} file(s) without a usable header: {named}{' ...' if failed > NAMED_FILES else ''}")
+    return rows
+
+
+def load_good_files(lines: DataFrame, table_key: str, mapping: dict[str, str], targets: list[str], *, min_fields: int = 3, min_columns: int = 2,
+                    required: tuple[str, ...] = ("ticker",), fallback: dict[str, Column] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows, verdicts) of any number of files in one load.
+
+    The files are scanned once; headers and data are told apart on the kept
+    lines.  ``verdicts`` is the table of ``judge_files``; ``rows`` holds the
+    mapped fields of the files without a problem, so one bad file among many
+    keeps none of the others out.  Targets that no file has are left out;
     where a file lacks a target of ``fallback``, its rows get that expression
     (which may use ``file_name``).
     """
     lines = once(lines)
-    headers, _ = normalize_lines(lines, table_key, min_fields=min_fields)
-    layout = headers.join(header_positions(headers, mapping), "file_name")
-    names = [c for c in layout.columns if c.startswith("pos_")]
-    layout = layout.select("file_name", "header_line_no", "sep", F.size("header").alias("n_columns"), "valid", *names)
-    ensure_checkpoint_dir(lines.sparkSession)
-    layout = layout.checkpoint(eager=True)
-    lacking = F.lit(False)
-    for t in required:
-        lacking = lacking | F.col(f"pos_{t}").isNull()
-    bad = layout.where(~F.col("valid") | (F.col("n_columns") < min_columns) | lacking)
-    failed = [r.file_name for r in bad.select("file_name").orderBy("file_name").collect()]
-    if failed:
-        raise ValueError(f"{len(failed)} {table_key} file(s) without a usable header: {failed[:100]}{' ...' if len(failed) > 100 else ''}")
+    verdicts = judge_files(lines, table_key, mapping, min_fields=min_fields, min_columns=min_columns, required=required)
+    names = [c for c in verdicts.columns if c.startswith("pos_")]
+    layout = verdicts.where(F.col("problem").isNull()).drop("problem", "missing", "n_columns")
     present = layout.agg(*[F.count(c).alias(c) for c in names]).first()
     fallback = fallback or {}
-    j = lines.join(per_file(layout), "file_name").where((F.col("line_no") > F.col("header_line_no")) & (F.trim("line") != ""))
+    j = lines.drop("problem").join(per_file(layout), "file_name").where((F.col("line_no") > F.col("header_line_no")) & (F.trim("line") != ""))
     fields = j.select("file_name", "line_no", split_fields(F.col("line"), F.col("sep")).alias("fields"), *names)
     out = [F.col("file_name"), F.col("line_no")]
     for t in targets:
@@ -192,4 +226,4 @@ def load_files(lines: DataFrame, table_key: str, mapping: dict[str, str], target
             out.append(F.when(own, value if value is not None else F.lit(None)).otherwise(fallback[t]).alias(t))
         elif value is not None:
             out.append(value.alias(t))
-    return fields.select(*out)
+    return fields.select(*out), verdicts

@@ -148,6 +148,20 @@ def dedupe_last(rows: DataFrame, key=NATURAL_KEY) -> DataFrame:
         *key, *[F.col(f"_r.{c}").alias(c) for c in others])
 
 
+def line_counters() -> list:
+    """A6 counters of scanned lines, for ``DataFrame.observe`` or ``agg``."""
+    is_len = F.length("line") == RECORD_LEN
+    tip = F.substring("line", 1, 2)
+    return [
+        F.count(F.lit(1)).alias("lines_read"),
+        F.count_if(is_len & (tip == TIP_HEADER)).alias("header_rows"),
+        F.count_if(is_len & (tip == TIP_TRAILER)).alias("trailer_rows"),
+        F.count_if(is_len & (tip == TIP_QUOTE)).alias("quote_rows"),
+        F.count_if(~is_len).alias("skipped_wrong_length"),
+        F.count_if(is_len & ~tip.isin(TIP_HEADER, TIP_QUOTE, TIP_TRAILER)).alias("skipped_unknown_tip"),
+    ]
+
+
 def file_metadata(lines: DataFrame) -> DataFrame:
     """Per file, the first header and the last trailer (year, file date,
     declared record count) next to the counted ``01`` records, so the
@@ -184,17 +198,7 @@ def parse_stats(lines: DataFrame) -> DataFrame:
     """One row of counters per file.  Duplicate keys are
     ``valid - count(distinct key)`` computed by Spark, so tracking them never
     holds keys in driver memory."""
-    line = F.col("line")
-    is_len = F.length(line) == RECORD_LEN
-    tip = F.substring(line, 1, 2)
-    base = lines.groupBy("file_name").agg(
-        F.count(F.lit(1)).alias("lines_read"),
-        F.count_if(is_len & (tip == TIP_HEADER)).alias("header_rows"),
-        F.count_if(is_len & (tip == TIP_TRAILER)).alias("trailer_rows"),
-        F.count_if(is_len & (tip == TIP_QUOTE)).alias("quote_rows"),
-        F.count_if(~is_len).alias("skipped_wrong_length"),
-        F.count_if(is_len & ~tip.isin(TIP_HEADER, TIP_QUOTE, TIP_TRAILER)).alias("skipped_unknown_tip"),
-    )
+    base = lines.groupBy("file_name").agg(*line_counters())
     valid = parse_lines(lines)
     per_key = valid.groupBy("file_name", *NATURAL_KEY).agg(F.count(F.lit(1)).alias("n"))
     dup = per_key.groupBy("file_name").agg(

@@ -77,8 +77,20 @@ def decode_records(lines: DataFrame) -> DataFrame:
 def parse_jsonl(lines: DataFrame) -> DataFrame:
     """S10 + C18 + C16: one row per price point; a record with an empty
     history yields one row at midnight with null prices."""
-    ok = decode_records(lines).where(F.col("status") == "ok")
-    place = [F.struct("line_no", "pos").alias("place")] if "line_no" in lines.columns else []
+    return points_of(decode_records(lines))
+
+
+def record_counters() -> list:
+    """A7 counters of decoded records, for ``DataFrame.observe`` or ``agg``."""
+    pts = F.when(F.col("status") == "ok", F.greatest(F.coalesce(F.size("price_history"), F.lit(0)), F.lit(1)))
+    return [F.coalesce(F.sum(pts), F.lit(0)).cast("bigint").alias("points"),
+            F.count_if(F.col("status").isin("undecodable", "no_ticker", "bad_date")).alias("skipped")]
+
+
+def points_of(records: DataFrame) -> DataFrame:
+    """The price points of decoded records."""
+    ok = records.where(F.col("status") == "ok")
+    place = [F.struct("line_no", "pos").alias("place")] if "line_no" in records.columns else []
     pts = ok.select("file_name", *(["line_no"] if place else []), "ticker", "trade_date", F.posexplode_outer("price_history").alias("pos", "p"))
     return pts.select(
         *place,
@@ -94,12 +106,9 @@ def parse_jsonl(lines: DataFrame) -> DataFrame:
 def jsonl_counters(lines: DataFrame) -> DataFrame:
     """Per file, points parsed, distinct tickers and skipped lines."""
     rec = decode_records(lines)
-    pts = F.when(F.col("status") == "ok", F.greatest(F.coalesce(F.size("price_history"), F.lit(0)), F.lit(1)))
+    points, skipped = record_counters()
     return rec.groupBy(F.col("file_name").alias("source_jsonl")).agg(
-        F.sum(pts).cast("bigint").alias("points"),
-        F.countDistinct(F.when(F.col("status") == "ok", F.col("ticker"))).alias("tickers"),
-        F.count_if(F.col("status").isin("undecodable", "no_ticker", "bad_date")).alias("skipped"),
-    )
+        points, F.countDistinct(F.when(F.col("status") == "ok", F.col("ticker"))).alias("tickers"), skipped)
 
 
 # Names under which a flat intraday record may carry a field, in order of preference.

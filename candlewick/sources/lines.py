@@ -47,8 +47,14 @@ def scan(spark: SparkSession, paths, *, encoding: str | None = None, path_glob:
     return df.select(F.col("_metadata.file_path").alias("file_name"), place.alias("line_no"), decode_line(F.col("value"), encoding).alias("line"))
 
 
-def scan_any(spark: SparkSession, paths, *, kind: str = "csv", encoding: str | None = None) -> DataFrame:
-    """``scan`` for plain files and zip archives together."""
+def same_path(path) -> Column:
+    """A file's path as ``scan`` names it, whichever reader listed it."""
+    return F.regexp_replace(path, "^file:/+", "file:///")
+
+
+def scan_any(spark: SparkSession, paths, *, kind: str = "csv", encoding: str | None = None, tolerant: bool = False) -> DataFrame:
+    """``scan`` for plain files and zip archives together (S4, S5); with
+    ``tolerant`` a column ``problem`` marks broken archives."""
     from candlewick.sources.archives import zip_lines
 
     paths = [paths] if isinstance(paths, str) else list(paths)
@@ -56,10 +62,12 @@ def scan_any(spark: SparkSession, paths, *, kind: str = "csv", encoding: str | N
     plain = [p for p in paths if p not in zips]
     parts = []
     if plain:
-        parts.append(scan(spark, plain, encoding=encoding))
+        df = scan(spark, plain, encoding=encoding)
+        parts.append(df.withColumn("problem", F.lit(None).cast("string")) if tolerant else df)
     if zips:
-        z = zip_lines(spark, zips, kind=kind, encoding=encoding)
-        parts.append(z.select(F.col("archive").alias("file_name"), F.struct(F.lit(0).cast("long").alias("block"), F.col("line_no").alias("row")).alias("line_no"), "line"))
+        z = zip_lines(spark, zips, kind=kind, encoding=encoding, tolerant=tolerant)
+        parts.append(z.select(F.col("archive").alias("file_name"), F.struct(F.lit(0).cast("long").alias("block"), F.col("line_no").alias("row")).alias("line_no"), "line",
+                              *(["problem"] if tolerant else [])))
     if not parts:
         raise ValueError("no input paths")
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])

@@ -239,3 +239,81 @@ def test_generic_header_and_data_likeness(spark, root):
     cases = [(["A1B2", "1.5", "x", ""], True), (["A1B2", "", "", "x"], False), (["-1", "5%", "a"], False), (["BRAAAAACNOR0", "b"], True), (["TICKER", "lower", "word"], False)]
     df = spark.createDataFrame([(c,) for c, _ in cases], "f array<string>").select(D.looks_like_data(F.col("f")).alias("d"))
     assert [r.d for r in df.collect()] == [w for _, w in cases]
+
+
+def test_days_are_one_load_with_a_verdict_for_each_file(spark, root):
+    from candlewick.sinks import ledger as LG
+
+    reg = _file(root, "reg.csv", REGISTER)
+    head = "TckrSymb;RptDt;LastPric;TradQty\n"
+    _file(root, "in/trades_2024-06-10.csv", head + "AAAA3;2024-06-10;1,5;3\n;2024-06-10;1;1\nBBBB4;x;1;1\n")
+    _file(root, "in/trades_2024-06-11.csv", "TckrSymb;LastPric;TradQty\nAAAA3;2,5;3\n")      # takes the day of its name
+    _file(root, "in/trades_2024-06-12.csv", head + "AAAA3;10/06/2024;9,5;4\nAAAA3;12/06/2024;3,5;4\n")  # corrects the 10th
+    _file(root, "in/trades_2024-06-13.csv", "<html>\n<body>gone</body>\n")
+    _file(root, "in/trades_2024-06-14.csv", "")
+    _file(root, "in/trades_2024-06-15.zip", "no archive at all " * 10)
+    with zipfile.ZipFile(os.path.join(root, "in", "trades_2024-06-16.zip"), "w") as z:
+        z.writestr("t.csv", head + "BBBB4;16/06/2024;7;1\n")
+    _file(root, "in/trades_2024-06-17.csv", "RptDt;LastPric;TradQty;Preço médio\n17/06/2024;7;1;1\n")
+    tables = os.path.join(root, "tables")
+    got = {str(r.day): (r.status, r.message) for r in J.backfill(spark, os.path.join(root, "in"), tables, "2024-06-09", "2024-06-17", register_paths=reg).collect()}
+    assert {d: s for d, (s, _) in got.items()} == {
+        "2024-06-09": "skipped", "2024-06-10": "ok", "2024-06-11": "ok", "2024-06-12": "ok", "2024-06-13": "error", "2024-06-14": "skipped",
+        "2024-06-15": "error", "2024-06-16": "ok", "2024-06-17": "error"}
+    assert "BadZipFile" in got["2024-06-15"][1] and got["2024-06-17"][1] == "no column for ticker"
+    rows = {(r.ticker, str(r.trade_date)): float(r.close_price) for r in spark.read.parquet(os.path.join(tables, "fact_daily_trades")).collect()}
+    assert rows == {("AAAA3", "2024-06-10"): 9.5, ("AAAA3", "2024-06-11"): 2.5, ("AAAA3", "2024-06-12"): 3.5, ("BBBB4", "2024-06-16"): 7.0}
+    assert spark.read.parquet(os.path.join(tables, "fact_daily_quotes")).count() == 4
+    runs = LG.current_runs(spark.read.parquet(os.path.join(tables, "_runs"))).collect()
+    assert [(r.status, r.rows_inserted, r.rows_failed) for r in runs] == [("SUCCESS", 4 + 4 + 2, 2)]
+    kept = {r.file_name.rsplit("/", 1)[-1]: (r.status, r.rows_loaded) for r in spark.read.parquet(os.path.join(tables, "_file_verdicts")).collect()}
+    assert len(kept) == 7 and kept["trades_2024-06-12.csv"] == ("ok", 2) and kept["trades_2024-06-10.csv"] == ("ok", 0) and kept["trades_2024-06-13.csv"] == ("error", 0)
+
+
+def test_one_broken_archive_keeps_no_other_year_out(spark, root):
+    from candlewick.plans import market_tables as M
+    from candlewick.sinks import ledger as LG
+
+    lines = M.hist_lines(spark, "/root/testdata/sf0.001").where("file_name in ('COTAHIST_A1996.TXT', 'COTAHIST_A1998.TXT')").orderBy("file_name", "line_no").collect()
+    good = [_file(root, name, "".join(r.line + "\n" for r in lines if r.file_name == name), "latin-1") for name in ("COTAHIST_A1996.TXT", "COTAHIST_A1998.TXT")]
+    bad = _file(root, "COTAHIST_A1997.ZIP", "PK no archive")
+    tables = os.path.join(root, "tables")
+    with pytest.raises(ValueError, match="1 file.*COTAHIST_A1997.ZIP"):
+        J.load_historical(spark, [*good, bad], tables)
+    years = {r.year for r in spark.read.parquet(os.path.join(tables, "fact_cotahist_daily")).select("year").distinct().collect()}
+    assert years == {1996, 1998}
+    verdicts = {r.file_name.rsplit("/", 1)[-1]: r.status for r in spark.read.parquet(os.path.join(tables, "_file_verdicts")).collect()}
+    assert verdicts == {"COTAHIST_A1996.TXT": "ok", "COTAHIST_A1998.TXT": "ok", "COTAHIST_A1997.ZIP": "error"}
+    assert LG.current_runs(spark.read.parquet(os.path.join(tables, "_runs"))).first().status == "FAILED"
+    n = J.load_historical(spark, good, tables)
+    done = LG.current_runs(spark.read.parquet(os.path.join(tables, "_runs"))).where("status = 'SUCCESS'").first()
+    short = sum(len(r.line) != 245 or r.line[:2] not in ("00", "01", "99") for r in lines)
+    assert (done.rows_inserted, done.rows_failed) == (n, short) and short > 0
+
+
+def test_counters_ride_on_the_pass_that_loads(spark, root):
+    from pyspark.sql import Observation
+
+    from candlewick.sinks import ledger as LG
+    from candlewick.sources import jsonl as JS
+
+    good = '{"ticker_requested":"AAAA3","trade_date":"2024-06-14","price_history":[{"quote_time":"10:00:00","close_price":"1,5"},{"quote_time":"10:01:00","close_price":"2"}]}'
+    path = _file(root, "d.jsonl", good + "\n{oops\n\n" + '{"trade_date":"2024-06-14"}' + "\n")
+    records, watch = JS.decode_records(JS.scan_jsonl_lines(spark, path)), Observation()
+    points = JS.points_of(records.observe(watch, *JS.record_counters()))
+    plan = points._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "CollectMetrics" in plan
+    assert points.checkpoint(eager=True).count() == 2 and watch.get == {"points": 2, "skipped": 2}
+    tables = os.path.join(root, "tables")
+    assert J.load_intraday(spark, path, tables) == 2 and J.load_intraday(spark, path, tables) == 0
+    runs = LG.current_runs(spark.read.parquet(os.path.join(tables, "_runs"))).collect()
+    assert sorted((r.rows_inserted, r.rows_failed) for r in runs) == [(0, 2), (2, 2)]
+
+
+def test_counters_of_a_load_that_keeps_nothing(spark, root):
+    from candlewick.sinks import ledger as LG
+
+    t = _file(root, "t_2024-06-14.csv", "TckrSymb;LastPric;TradQty\n;1;1\n ;2;2\n")
+    assert J.load_daily_quotes(spark, t, root) == 0
+    run = LG.current_runs(spark.read.parquet(os.path.join(root, "_runs"))).first()
+    assert (run.status, run.rows_inserted, run.rows_failed) == ("SUCCESS", 0, 2)
