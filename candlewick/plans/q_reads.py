@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from candlewick.operators import latest as L
 from candlewick.operators import market as MK
+from candlewick.operators import page_index as PX
 from candlewick.operators import pages as PG
 from candlewick.plans import market_tables as M
 from candlewick.plans.catalog import register
 from candlewick.plans.oracle_views import ALL_MARKET_VIEWS, DAILY_VIEWS, V_ASSETS, V_INTRADAY, with_settled_quotes, with_views
+from candlewick.session import scratch_path
 
 # Fixed query parameters.
 HISTORY_N = 5
@@ -191,3 +193,17 @@ ORDER BY trade_date DESC, ticker ASC LIMIT {TRADES_PAGE_LIMIT} OFFSET {TRADES_PA
 def trades_page(spark, sf_dir):
     t = L.trades_filtered(M.daily_bars(spark, sf_dir), start=RANGE_START, end=RANGE_END)
     return PG.trades_page(t, TRADES_PAGE_LIMIT, TRADES_PAGE_OFFSET)
+
+
+DEEP_LIMIT, DEEP_OFFSET, DEEP_RANGE = 60, 4_970, 1_000
+
+
+@register("deep_page", with_views(DAILY_VIEWS, f"""
+SELECT {TRADE_COLS}, (SELECT count(*) FROM v_daily) AS total FROM v_daily
+ORDER BY trade_date DESC, ticker ASC LIMIT {DEEP_LIMIT} OFFSET {DEEP_OFFSET}"""))
+def deep_page(spark, sf_dir):
+    """T6 far down the list: the page reads the ranges it touches of an index
+    written once."""
+    path = scratch_path(spark, "trades-index")
+    PX.write_index(M.daily_bars(spark, sf_dir), [F.col("trade_date").desc(), F.col("ticker").asc()], path, rows_per_range=DEEP_RANGE)
+    return PX.indexed_page(spark, path, DEEP_LIMIT, DEEP_OFFSET)
