@@ -56,7 +56,7 @@ def asset_overview(assets: DataFrame, quotes: DataFrame | None, trades: DataFram
             if s in mine:
                 cols.append(F.struct(*[F.col(c) for c in fs]).alias(f"p_{s}"))
             else:
-                cols.append(F.lit(None).cast(_struct_type(s)).alias(f"p_{s}"))
+                cols.append(F.lit(None).cast(struct_type(s)).alias(f"p_{s}"))
         return df.select(*cols)
 
     parts = [
@@ -90,6 +90,12 @@ def asset_overview(assets: DataFrame, quotes: DataFrame | None, trades: DataFram
         bound(F.min, "trade").alias("trades_min"), bound(F.max, "trade").alias("trades_max"),
         bound(F.min, "hist").alias("hist_min"), bound(F.max, "hist").alias("hist_max"),
     )
+    return overview_columns(agg)
+
+
+def overview_columns(agg: DataFrame) -> DataFrame:
+    """The overview's columns from the latest rows (``asset``, ``q``, ``t``,
+    ``f``) and the date bounds of every ticker."""
     return agg.select(
         "ticker",
         F.col("asset.asset_name").alias("asset_name"), F.col("asset.isin").alias("isin"),
@@ -110,7 +116,7 @@ def asset_overview(assets: DataFrame, quotes: DataFrame | None, trades: DataFram
     )
 
 
-def _struct_type(section: str) -> str:
+def struct_type(section: str) -> str:
     return {
         "asset": "struct<asset_name:string,isin:string,segment:string>",
         "quote": "struct<trade_date:date,last_price:double,min_price:double,max_price:double,variation_pct:double,financial_volume:double>",

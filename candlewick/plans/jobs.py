@@ -9,12 +9,14 @@ a failed job is repaired by running it again.
 from __future__ import annotations
 
 import os
+import time
 
 from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.functions.headers import INSTRUMENT_COLUMN_MAP, TRADE_COLUMN_MAP
+from candlewick.operators import summary as SM
 from candlewick.plans import transforms as TR
 from candlewick.sinks import ledger as LG
 from candlewick.sinks import merge as MG
@@ -116,16 +118,33 @@ def _staged_register(spark, paths, load_ts=None) -> DataFrame:
     return reg
 
 
+def _summarise(spark, tables_root: str, sources: dict[str, DataFrame]) -> None:
+    """Merge a load's staged rows into the summary behind coverage and overview.
+    A load that failed before this is repaired by running it again."""
+    SM.merge_load(spark, _t(tables_root, "asset_summary"), time.time_ns() // 1000, sources)
+
+
+def read_summary(spark: SparkSession, tables_root: str) -> DataFrame:
+    """The summary that the loads keep: see ``summary.coverage_of`` and ``overview_of``."""
+    return spark.read.parquet(_t(tables_root, "asset_summary"))
+
+
 def _publish_register(spark, reg: DataFrame, tables_root: str) -> int:
+    _summarise(spark, tables_root, {"asset": reg})
     return MG.upsert_unpartitioned(spark, reg, _t(tables_root, "dim_assets"), ["ticker"],
                                    update=["asset_name", "isin", "segment", "instrument_type", "source_file_date", "updated_at"],
                                    preserve={"is_active": F.lit(True), "created_at": F.col("updated_at")})
 
 
 def _upsert_daily(spark, rows: DataFrame, table: str, tables_root: str) -> int:
-    rows = conform(rows, table)
-    return MG.upsert_partitions(spark, rows, _t(tables_root, table), ["ticker", "trade_date"], partition_col="trade_date",
-                                update=[c for c in rows.columns if c not in ("ticker", "trade_date")])
+    ensure_checkpoint_dir(spark)
+    rows = conform(rows, table).checkpoint(eager=True)
+    n = MG.upsert_partitions(spark, rows, _t(tables_root, table), ["ticker", "trade_date"], partition_col="trade_date",
+                             update=[c for c in rows.columns if c not in ("ticker", "trade_date")], staged=True)
+    if n:
+        source = "trade" if table == "fact_daily_trades" else "quote"
+        _summarise(spark, tables_root, {source: rows.withColumnRenamed("close_price", "last_price")})
+    return n
 
 
 def load_daily_quotes(spark: SparkSession, quotes_paths, tables_root: str, *, target_date=None) -> int:
@@ -140,11 +159,14 @@ def load_daily_quotes(spark: SparkSession, quotes_paths, tables_root: str, *, ta
 def load_intraday(spark: SparkSession, jsonl_paths, tables_root: str) -> int:
     """JSONL -> intraday points, insert-ignore (K4); returns rows really inserted."""
     def work(run):
+        ensure_checkpoint_dir(spark)
         records, watch = JS.decode_records(JS.scan_jsonl_lines(spark, jsonl_paths)), Observation()
-        points = JS.points_of(records.observe(watch, *JS.record_counters()))
         # First write wins inside the batch: order = (file, line, point).
-        n = MG.insert_ignore_table(spark, conform(points, "fact_quotes"), _t(tables_root, "fact_quotes"), ["ticker", "quoted_at"],
-                                   partition_col="trade_date", order=["source_jsonl", "place"])
+        keys, order = ["ticker", "quoted_at"], ["source_jsonl", "place"]
+        points = conform(JS.points_of(records.observe(watch, *JS.record_counters())), "fact_quotes").checkpoint(eager=True)
+        n = MG.insert_ignore_table(spark, points, _t(tables_root, "fact_quotes"), keys, partition_col="trade_date", order=order, staged=True)
+        if not points.isEmpty():
+            _summarise(spark, tables_root, {"intraday": TR.keep_first(points, keys, order)})
         return n, observed(watch, records, JS.record_counters())["skipped"]
 
     return _ledgered(spark, _t(tables_root, "_runs"), "intraday_quotes", work)
@@ -166,6 +188,7 @@ def load_historical(spark: SparkSession, paths: list[str], tables_root: str) ->
     keys = list(FW.NATURAL_KEY)
 
     def work(run):
+        ensure_checkpoint_dir(spark)
         total = skipped = failed = 0
         named = []
         for w in sorted(by_window):
@@ -180,9 +203,11 @@ def load_historical(spark: SparkSession, paths: list[str], tables_root: str) ->
                 lines = lines.join(bad, "file_name", "left_anti")
             lines, watch = lines.drop("problem"), Observation()
             rows = FW.dedupe_last(FW.parse_lines(lines.observe(watch, *FW.line_counters()))).withColumn("year", F.year("trade_date"))
-            total += MG.upsert_partitions(spark, rows.drop("file_name", "line_no"), _t(tables_root, "fact_cotahist_daily"), keys,
-                                          partition_col="year",
-                                          update=[c for c in rows.columns if c not in keys and c not in ("file_name", "line_no", "year")])
+            rows = rows.drop("file_name", "line_no").checkpoint(eager=True)
+            if n := MG.upsert_partitions(spark, rows, _t(tables_root, "fact_cotahist_daily"), keys, partition_col="year",
+                                         update=[c for c in rows.columns if c not in keys and c != "year"], staged=True):
+                _summarise(spark, tables_root, {"hist": rows})
+                total += n
             seen = observed(watch, lines, FW.line_counters())
             skipped += seen["skipped_wrong_length"] + seen["skipped_unknown_tip"]
             good = F.col("message").isNull()

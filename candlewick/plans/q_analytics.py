@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from candlewick.operators import coverage as CV
 from candlewick.operators import indicators as IND
+from candlewick.operators import summary as SM
+from candlewick.plans import landing as LD
 from candlewick.plans import market_tables as M
 from candlewick.plans.catalog import ORACLES, register
 from candlewick.plans.oracle_views import ALL_MARKET_VIEWS, DAILY_VIEWS, HIST_VIEWS, half_up, with_settled_quotes, with_views
 from candlewick.plans.q_hist import hist_dates
+from candlewick.session import scratch_path
 
 SMA_P, EMA_P, RSI_P = 5, 10, 14
 WIN_IND, WIN_P, WIN_START, WIN_END, WIN_LIMIT = "EMA", 3, "1997-01-01", "1999-12-31", 20
@@ -83,6 +88,35 @@ def overview_two_tables(spark, sf_dir):
     return CV.asset_overview(*_two_tables(spark, sf_dir, M.daily_bars(spark, sf_dir)))
 
 
+LOADS = 3
+
+
+def _kept_summary(spark, sf_dir):
+    """The summary after ``LOADS`` loads that bring the tables' rows in any order of their days."""
+    part = F.pmod(F.xxhash64("ticker", F.col("day")), F.lit(LOADS))
+    tables = {"quote": M.settled_quotes(spark, sf_dir), "trade": LD.landed(spark, sf_dir, "bars", M.daily_bars),
+              "intraday": M.intraday_points(spark, sf_dir), "hist": hist_dates(spark, sf_dir)}
+    path = scratch_path(spark, "summary")
+    for load in range(LOADS):
+        sources = {n: df.withColumn("day", F.col("trade_date")).where(part == load) for n, df in tables.items()}
+        if load == 1:
+            sources["asset"] = M.dim_assets(spark, sf_dir)
+        SM.merge_load(spark, path, load, sources, shards=8)
+    return spark.read.parquet(path)
+
+
+@register("coverage_kept", ORACLES["coverage_two_tables"])
+def coverage_kept(spark, sf_dir):
+    """J5 from the summary that loads keep up to date."""
+    return SM.coverage_of(_kept_summary(spark, sf_dir))
+
+
+@register("overview_kept", ORACLES["overview_two_tables"])
+def overview_kept(spark, sf_dir):
+    """J6 from the summary that loads keep up to date."""
+    return SM.overview_of(_kept_summary(spark, sf_dir))
+
+
 def _series_cte(where: str = "") -> str:
     return f""", s AS (
   SELECT ticker, trade_date, last_price AS x, CAST(round(last_price * 1000000) AS BIGINT) AS xm,

@@ -123,11 +123,12 @@ def _spread(df: DataFrame, rows: int, partition_col: str, keys: list[str]) -> Da
 
 
 def upsert_partitions(spark: SparkSession, batch: DataFrame, path: str, keys: list[str], *, partition_col: str,
-                      update: list[str], preserve: dict[str, Column] | None = None) -> int:
+                      update: list[str], preserve: dict[str, Column] | None = None, staged: bool = False) -> int:
     """K2/K3/K5 on a partitioned parquet table: only partitions present in
     the batch are read, merged and replaced.  The batch, one row per key, is
-    evaluated once.  Returns the number of batch rows (K7)."""
-    batch = _stage(batch)
+    evaluated once, by the caller if ``staged``.  Returns the number of batch
+    rows (K7)."""
+    batch = batch if staged else _stage(batch)
     n = batch.count()
     if n == 0:
         return 0
@@ -147,12 +148,12 @@ def upsert_partitions(spark: SparkSession, batch: DataFrame, path: str, keys: li
 
 
 def insert_ignore_table(spark: SparkSession, batch: DataFrame, path: str, keys: list[str], *, partition_col: str,
-                        order: list[str] | None = None) -> int:
+                        order: list[str] | None = None, staged: bool = False) -> int:
     """K4 on a partitioned parquet table: append only unseen keys; returns
-    the number of rows really inserted.  Batch and new rows are evaluated once
-    each, so the count and the append agree even if executors are lost in
-    between."""
-    batch = _stage(batch)
+    the number of rows really inserted.  Batch (unless ``staged``) and new rows
+    are evaluated once each, so the count and the append agree even if
+    executors are lost in between."""
+    batch = batch if staged else _stage(batch)
     if _exists(spark, path):
         target = _touched(spark.read.parquet(path), batch, partition_col)
     else:

@@ -6,6 +6,8 @@ import zipfile
 
 from pyspark.sql import functions as F
 
+from candlewick.operators import coverage as CV
+from candlewick.operators import summary as SM
 from candlewick.plans import jobs as J
 from candlewick.plans import landing as LD
 from candlewick.plans import market_tables as M
@@ -48,6 +50,13 @@ def test_register_trades_quotes_intraday_jobs_are_idempotent(spark):
     assert snap["dim_assets"] == M.dim_assets(spark, SF).count()
     runs = LG.current_runs(spark.read.parquet(os.path.join(tables, "_runs")))
     assert runs.where(F.col("status") == "SUCCESS").count() == 6   # three ledgered jobs per daily run, run twice
+    daily = [spark.read.parquet(os.path.join(tables, t)) for t in ("dim_assets", "fact_daily_quotes", "fact_daily_trades", "fact_quotes")]
+    daily[2] = daily[2].withColumnRenamed("close_price", "last_price")
+    full = {r.ticker: r for r in CV.asset_overview(*daily).collect()}
+    kept = {r.ticker: r for r in SM.overview_of(J.read_summary(spark, tables)).collect()}
+    same = [c for c in full["S0000000001"].asDict() if not c.endswith("price") and c not in ("variation_pct_latest", "financial_volume_latest")]
+    assert full.keys() == kept.keys() and all(full[t][c] == kept[t][c] for t in full for c in same)
+    assert all(full[t].quote_last_price is None or float(full[t].quote_last_price) == kept[t].quote_last_price for t in full)
     files = MF.manifest(spark, os.path.join(root, "in", "trades"))
     status = {str(r.day): r.status for r in MF.backfill_status(spark, files, "1995-01-01", "1995-01-03").collect()}
     assert status["1995-01-01"] == "ok" and status["1995-01-02"] == "skipped"
