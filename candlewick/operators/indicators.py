@@ -6,17 +6,15 @@ rounding to four decimals is exact, as with the decimal arithmetic of the
 original definitions.
 
 * SMA is a sliding ``ROWS`` window over each ticker's daily series.
-* EMA and RSI are recurrences.  They run per ticker with ``applyInPandas``
-  (sequential inside a ticker, parallel over tickers).  A group is one
-  ticker's *daily* series: at most one row per calendar day, so its size is
-  bounded by the date span (about 10 000 rows for 40 years), not by the data
-  volume.
+* EMA and RSI are recurrences of affine maps, composed by running sums inside
+  chunks and a short fold over the chunks before: column expressions only.  A
+  ticker's *daily* series has at most one row per calendar day, so a window's
+  size is bounded by the date span (about 10 000 rows for 40 years), not by the
+  data volume.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -27,8 +25,8 @@ from candlewick.functions.numbers import half_up
 INDICATORS = ("SMA", "EMA", "RSI")
 PERIOD_MIN, PERIOD_MAX = 2, 200
 MICRO = 1_000_000
-
-_OUT_SCHEMA = "ticker string, trade_date date, value double"
+#: Rows that a running sum spans: keep^-CHUNK stays a double for every period.
+CHUNK = 256
 
 
 def check_period(period: int) -> None:
@@ -61,52 +59,56 @@ def sma(closes: DataFrame, period: int) -> DataFrame:
     return closes.select("ticker", "trade_date", F.when(n >= period, rounded).alias("value"))
 
 
-def _smoothed(micros: np.ndarray, period: int, alpha: float) -> np.ndarray:
-    """Exponential mean of micro-units that starts from the plain mean of the
-    first ``period`` values; one entry per value from that point on."""
-    seeded = np.append(micros[:period].sum() / period, micros[period:])
-    return pd.Series(seeded).ewm(alpha=alpha, adjust=False).mean().to_numpy()
-
-
-def _ema_column(micros: np.ndarray, period: int) -> np.ndarray:
-    return _smoothed(micros, period, 2.0 / (period + 1)) / MICRO
-
-
-def _rsi_column(micros: np.ndarray, period: int) -> np.ndarray:
-    """Share of the smoothed rises in all smoothed moves, in percent; 50 where nothing moved."""
-    move = np.diff(micros)
-    up, down = (_smoothed(side, period, 1.0 / period) for side in (move.clip(min=0), (-move).clip(min=0)))
-    both = up + down
-    return np.divide(100.0 * up, both, out=np.full(len(both), 50.0), where=both > 0)
-
-
-def _per_ticker(closes: DataFrame, column, lead: int) -> DataFrame:
-    """Apply ``column`` to each ticker's series; the first ``lead`` rows have no value."""
-
-    def series(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("trade_date", kind="stable", ignore_index=True)
-        value = np.full(len(pdf), np.nan)
-        if len(pdf) > lead:
-            value[lead:] = column(np.rint(pdf["close"].to_numpy(float) * MICRO).astype(np.int64))
-        return pdf[["ticker", "trade_date"]].assign(value=value)
-
-    raw = closes.select("ticker", "trade_date", "close").groupBy("ticker").applyInPandas(series, _OUT_SCHEMA)
-    v = F.col("value")
-    return raw.select("ticker", "trade_date", F.when(~F.isnan(v), half_up(v, 4)).alias("value"))
+def _smoothed(series: DataFrame, names: list[str], seed_at: int, period: int, alpha: float) -> DataFrame:
+    """Exponential means of the columns ``names``: the plain mean of ``period``
+    values at row ``seed_at`` of a ticker, then ``(1 - alpha) * before + alpha * x``;
+    null before that row.
+
+    A step is the affine map e -> keep * e + b, and maps compose.  Inside a
+    chunk of ``CHUNK`` rows the composition is a running sum of b / keep^j
+    times keep^j; the full chunks before a row are folded into the value it
+    carries on.  All of it are windows over the one exchange by ticker.
+    """
+    keep = 1.0 - alpha
+    in_order = Window.partitionBy("ticker").orderBy("trade_date")
+    k = F.row_number().over(in_order) - seed_at
+    seeds = [(F.sum(x).over(in_order) / F.lit(period)).alias(f"_seed_{x}") for x in names]
+    rows = series.select("*", k.alias("_k"), *seeds)
+    rows = rows.withColumn("_chunk", F.floor(F.col("_k") / CHUNK)).withColumn("_j", F.pmod("_k", F.lit(CHUNK)))
+    here = Window.partitionBy("ticker", "_chunk").orderBy("trade_date")
+    before = Window.partitionBy("ticker").orderBy("_chunk", "trade_date").rowsBetween(Window.unboundedPreceding, -1)
+    j = F.col("_j")
+    for x in names:
+        b = F.when(F.col("_k") == 0, F.col(f"_seed_{x}")).when(F.col("_k") > 0, F.lit(alpha) * F.col(x))
+        rows = rows.withColumn(f"_here_{x}", F.pow(F.lit(keep), j) * F.sum(b * F.pow(F.lit(keep), -j)).over(here))
+    out = []
+    for x in names:
+        ends = F.collect_list(F.when((j == CHUNK - 1) & (F.col("_k") >= 0), F.col(f"_here_{x}"))).over(before)   # one value a chunk
+        carried = F.aggregate(ends, F.lit(0.0), lambda acc, end: acc * F.lit(keep ** CHUNK) + end)
+        out.append(F.when(F.col("_k") >= 0, F.pow(F.lit(keep), j + 1) * carried + F.col(f"_here_{x}")).alias(f"smooth_{x}"))
+    return rows.select("ticker", "trade_date", *out)
 
 
 def ema(closes: DataFrame, period: int) -> DataFrame:
     """alpha = 2/(p+1), seeded with the mean of the first ``p`` closes at
     index p-1; state not rounded, outputs rounded to 4 decimals."""
     check_period(period)
-    return _per_ticker(closes, lambda m: _ema_column(m, period), period - 1)
+    series = closes.select("ticker", "trade_date", micro("close").alias("x"))
+    smooth = _smoothed(series, ["x"], period, period, 2.0 / (period + 1))
+    return smooth.select("ticker", "trade_date", half_up(F.col("smooth_x") / MICRO, 4).alias("value"))
 
 
 def rsi(closes: DataFrame, period: int) -> DataFrame:
     """Wilder RSI; first averages are plain means of the first ``p``
-    gains / losses, then (prev * (p-1) + x) / p."""
+    gains / losses, then (prev * (p-1) + x) / p.  The share of the smoothed
+    rises in all smoothed moves, in percent; 50 where nothing moved."""
     check_period(period)
-    return _per_ticker(closes, lambda m: _rsi_column(m, period), period)
+    move = micro("close") - F.lag(micro("close")).over(Window.partitionBy("ticker").orderBy("trade_date"))
+    series = closes.select("ticker", "trade_date", move.alias("move")).select(
+        "ticker", "trade_date", F.greatest("move", F.lit(0)).alias("up"), F.greatest(-F.col("move"), F.lit(0)).alias("down"))
+    smooth = _smoothed(series, ["up", "down"], period + 1, period, 1.0 / period)
+    up, both = F.col("smooth_up"), F.col("smooth_up") + F.col("smooth_down")
+    return smooth.select("ticker", "trade_date", F.when(both > 0, half_up(100.0 * up / both, 4)).when(both == 0, 50.0).alias("value"))
 
 
 def indicator_series(quotes: DataFrame, indicator: str, period: int, *, start=None, end=None,
