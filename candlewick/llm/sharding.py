@@ -5,9 +5,9 @@ MD5 of both; the record goes to the shard with the smallest ``-ln(u) /
 weight``.  A record's shard depends on its key and the shard list only, so a
 further shard takes records into itself and moves no other.
 
-The whole operator is column expressions: no record is compared with another,
-so no key can be hot.  Slots inside a shard are numbered by a two-level prefix
-sum over ``CHUNKS`` hash ranges of each shard, never by one task per shard.
+The whole operator is column expressions.  Slots inside a shard are numbered
+by a prefix sum over hash ranges of the keys and parts of them, never by one
+task per shard or per key.
 """
 
 from __future__ import annotations
@@ -17,8 +17,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from candlewick.session import ensure_checkpoint_dir
+
 #: Hash ranges per shard (three hex digits of the key's MD5).
 CHUNK_DIGITS = 3
+#: Different rows that one task numbers; a larger hash range is numbered in parts.
+PART_ROWS = 1_000_000
+#: Copies of a row that one task writes out at a time.
+BLOCK_ROWS = 100_000
 
 
 def _key(key: Column) -> Column:
@@ -47,16 +53,33 @@ def shard_of(key: Column, weights: Sequence[float]) -> Column:
 def with_slots(df: DataFrame, key: str, shard: str, order: Sequence[str] = ()) -> DataFrame:
     """Add ``slot``: 0, 1, 2, ... inside each shard, by MD5 of the key, the key, then ``order``.
 
-    Rows equal in all of these are interchangeable and numbered in any order.
+    Repeated rows are counted before they are numbered and take consecutive
+    slots.  A hash range with more than ``PART_ROWS`` different rows, as under a
+    key that many rows share, is numbered in parts by a hash of the whole row,
+    one after the other.  All columns of ``df`` must be of types that group.
     """
-    hashed = df.withColumn("__h", F.md5(_key(F.col(key)))).withColumn("__c", F.substring("__h", 1, CHUNK_DIGITS))
-    counts = hashed.groupBy(F.col(shard).alias("__s"), F.col("__c").alias("__cc")).agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy("__s").orderBy("__cc").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("__s", "__cc", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
-    inside = Window.partitionBy(shard, "__c").orderBy("__h", key, *order)
-    ranked = hashed.withColumn("__r", F.row_number().over(inside) - 1)
-    joined = ranked.join(starts, (F.col(shard) == F.col("__s")) & (F.col("__c") == F.col("__cc")))
-    return joined.withColumn("slot", (F.col("__start") + F.col("__r")).cast("long")).drop("__h", "__c", "__s", "__cc", "__start", "__r")
+    spark, cols = df.sparkSession, df.columns
+    ensure_checkpoint_dir(spark)
+    rows = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
+    rows = rows.withColumn("__h", F.md5(_key(F.col(key)))).withColumn("__c", F.substring("__h", 1, CHUNK_DIGITS)).checkpoint(eager=True)
+    ranges = rows.groupBy(F.col(shard).alias("__s"), F.col("__c").alias("__cc")).agg(F.count(F.lit(1)).alias("__rows"))
+    split = ranges.where(F.col("__rows") > PART_ROWS).select("__s", "__cc", F.ceil(F.col("__rows") / PART_ROWS).alias("__parts"))
+    dealt = rows.join(split, (F.col(shard) == F.col("__s")) & (F.col("__c") == F.col("__cc")), "left").drop("__s", "__cc")
+    dealt = dealt.withColumn("__p", F.pmod(F.xxhash64(*cols), F.coalesce("__parts", F.lit(1)))).drop("__parts")
+    counts = dealt.groupBy(F.col(shard).alias("__s"), F.col("__c").alias("__cc"), F.col("__p").alias("__pp")).agg(F.sum("__n").alias("__m"))
+    before = Window.partitionBy("__s").orderBy("__cc", "__pp").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("__s", "__cc", "__pp", F.coalesce(F.sum("__m").over(before), F.lit(0)).alias("__start"))
+    inside = Window.partitionBy(shard, "__c", "__p").orderBy("__h", key, *order, *[c for c in cols if c not in order]).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = dealt.withColumn("__r", F.coalesce(F.sum("__n").over(inside), F.lit(0)))
+    joined = ranked.join(starts, (F.col(shard) == F.col("__s")) & (F.col("__c") == F.col("__cc")) & (F.col("__p") == F.col("__pp")))
+    first = joined.select(*cols, (F.col("__start") + F.col("__r")).alias("__first"), "__n")
+    if not rows.where(F.col("__n") > BLOCK_ROWS).isEmpty():
+        # A row that recurs often is written out by many tasks.
+        block = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("__n") - 1) / BLOCK_ROWS)))
+        first = first.select("*", block.alias("__b")).select(
+            *cols, (F.col("__first") + F.col("__b") * BLOCK_ROWS).alias("__first"), F.least(F.col("__n") - F.col("__b") * BLOCK_ROWS, F.lit(BLOCK_ROWS)).alias("__n"))
+        first = first.repartition(F.col("__first"), F.col(shard))
+    return first.select(*cols, F.explode(F.sequence(F.col("__first"), F.col("__first") + F.col("__n") - 1)).cast("long").alias("slot"))
 
 
 def assign(df: DataFrame, weights: Sequence[float], grown: Sequence[float] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -42,3 +42,21 @@ def test_awkward_rows(spark):
     assert sharding.assign(empty(spark), [1.0] * 3).count() == 0
     with pytest.raises(ValueError):
         sharding.shard_of(1, [])
+
+
+@pytest.mark.parametrize("part, block", [(7, 5), (1, 1), (10**6, 10**5)])
+def test_hot_keys_and_copies_are_numbered_in_parts(spark, monkeypatch, part, block):
+    """One key with a third of all rows, all different, and one row that is another third."""
+    monkeypatch.setattr(sharding, "PART_ROWS", part)
+    monkeypatch.setattr(sharding, "BLOCK_ROWS", block)
+    n = 120
+    ids = [5] * n + [None] * n + list(range(100, 100 + n))
+    texts = [f"text {i}" for i in range(n)] + ["same"] * n + ["other"] * n
+    rows = sharding.assign(documents(spark, texts, ids), [1.0] * 4, [1.0] * 5).collect()
+    want = Counter((i, len(t) + 16, zlib.crc32(t.encode())) for i, t in zip(ids, texts))
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in rows) == want
+    slots = defaultdict(list)
+    for r in rows:
+        slots[r.shard].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert len({r.shard for r in rows if r.doc_id == 5}) == 1
