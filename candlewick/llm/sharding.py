@@ -79,7 +79,7 @@ def with_slots(df: DataFrame, key: str, shard: str, order: Sequence[str] = ()) -
         first = first.select("*", block.alias("__b")).select(
             *cols, (F.col("__first") + F.col("__b") * BLOCK_ROWS).alias("__first"), F.least(F.col("__n") - F.col("__b") * BLOCK_ROWS, F.lit(BLOCK_ROWS)).alias("__n"))
         first = first.repartition(F.col("__first"), F.col(shard))
-    return first.select(*cols, F.explode(F.sequence(F.col("__first"), F.col("__first") + F.col("__n") - 1)).cast("long").alias("slot"))
+    return first.select(*cols, F.explode(F.sequence(F.col("__first"), F.col("__first") + F.col("__n") - 1)).alias("slot"))
 
 
 def assign(df: DataFrame, weights: Sequence[float], grown: Sequence[float] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
