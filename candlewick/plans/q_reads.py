@@ -195,7 +195,7 @@ def trades_page(spark, sf_dir):
     return PG.trades_page(t, TRADES_PAGE_LIMIT, TRADES_PAGE_OFFSET)
 
 
-DEEP_LIMIT, DEEP_OFFSET, DEEP_RANGE = 60, 4_970, 1_000
+DEEP_LIMIT, DEEP_OFFSET, DEEP_RANGE = 60, 4_970, 5_000
 
 
 @register("deep_page", with_views(DAILY_VIEWS, f"""
