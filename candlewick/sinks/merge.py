@@ -114,12 +114,25 @@ def _touched(current: DataFrame, batch: DataFrame, partition_col: str) -> DataFr
     return current.where(F.col(partition_col).isin(values))
 
 
-def _spread(df: DataFrame, rows: int, partition_col: str, keys: list[str]) -> DataFrame:
-    """Deal rows by partition value and a bounded salt of the key: about one
-    file for every ``ROWS_PER_FILE`` rows, so neither a hot date in one task
-    nor many small files."""
-    salts = max(1, -(-rows // ROWS_PER_FILE))
-    return df.repartition(F.col(partition_col), F.pmod(F.xxhash64(*keys), F.lit(salts)))
+def _spread(df: DataFrame, partition_col: str, keys: list[str]) -> DataFrame:
+    """Deal staged rows by partition value, and a value of more than
+    ``ROWS_PER_FILE`` rows by a salt of the key as well: about one file for
+    every ``ROWS_PER_FILE`` rows of a value, so neither a hot date in one task
+    nor many small files.  The driver holds the hot values only."""
+    hot = df.groupBy(partition_col).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > ROWS_PER_FILE).collect()
+    salts = F.lit(1)
+    for files, values in _by_files(hot).items():
+        salts = F.when(F.col(partition_col).isin(values), F.lit(files)).otherwise(salts)
+    return df.repartition(F.col(partition_col), F.pmod(F.xxhash64(*keys), salts))
+
+
+def _by_files(hot: list) -> dict[int, list]:
+    """Hot partition values by their number of files, a power of two."""
+    out: dict[int, list] = {}
+    for value, n in hot:
+        if value is not None:  # null has a folder of its own and is rare
+            out.setdefault(1 << (-(-n // ROWS_PER_FILE) - 1).bit_length(), []).append(value)
+    return out
 
 
 def upsert_partitions(spark: SparkSession, batch: DataFrame, path: str, keys: list[str], *, partition_col: str,
@@ -142,7 +155,7 @@ def upsert_partitions(spark: SparkSession, batch: DataFrame, path: str, keys: li
         merged = merge_upsert(batch.limit(0), batch, keys, update=update, preserve=preserve)
     # Staged: the target is read to the end before any of it is replaced.
     merged = _stage(merged)
-    (_spread(merged, merged.count(), partition_col, keys).write.mode("overwrite")
+    (_spread(merged, partition_col, keys).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
     return n
 
@@ -161,7 +174,7 @@ def insert_ignore_table(spark: SparkSession, batch: DataFrame, path: str, keys:
     new_rows = _stage(insert_ignore(target, batch, keys, order=order)[0])
     n = new_rows.count()
     if n:
-        _spread(new_rows, n, partition_col, keys).write.mode("append").partitionBy(partition_col).parquet(path)
+        _spread(new_rows, partition_col, keys).write.mode("append").partitionBy(partition_col).parquet(path)
     return n
 
 
@@ -186,7 +199,7 @@ def insert_ignore_rows(spark: SparkSession, batch: DataFrame, path: str, keys: l
     new_rows = _stage(insert_ignore(target.drop("batch_id"), batch, keys, order=order)[0])
     n = new_rows.count()
     if n:
-        _spread(new_rows.withColumn("batch_id", F.lit(batch_id).cast("long")), n, partition_col, keys).write.mode("append").partitionBy(partition_col).parquet(path)
+        _spread(new_rows.withColumn("batch_id", F.lit(batch_id).cast("long")), partition_col, keys).write.mode("append").partitionBy(partition_col).parquet(path)
     return mine.select(*new_rows.columns).unionByName(new_rows) if again else new_rows
 
 
@@ -205,9 +218,8 @@ def combine_partitions(spark: SparkSession, parts: DataFrame, path: str, *, part
             parts, stored = (x.join(done, partition_col, "left_anti") for x in (parts, stored))
         parts = stored.select(*parts.columns).unionByName(parts)
     whole = _stage(combine(parts).withColumn("batch_id", F.lit(batch_id).cast("long")))
-    n = whole.count()
-    if n:
-        (_spread(whole, n, partition_col, ["ticker"]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    if not whole.isEmpty():
+        (_spread(whole, partition_col, ["ticker"]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(partition_col).parquet(path))
 
 
