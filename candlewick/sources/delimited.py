@@ -79,7 +79,8 @@ def normalize_lines(lines: DataFrame, table_key: str | None, *, min_fields: int
     letter; else the first non-empty line.
     ``data``: (file_name, line_no, fields) of the lines below the header.
     """
-    head = first_lines(lines, HEADER_SEARCH_LINES)
+    ensure_checkpoint_dir(lines.sparkSession)
+    head = first_lines(lines, HEADER_SEARCH_LINES).checkpoint(eager=True)  # a few lines a file, searched several times
     head = head.withColumn("line", F.regexp_replace("line", "^\ufeff", ""))
     head = head.join(per_file(sniff_separators(head)), "file_name", "left")
     line = F.col("line")

@@ -21,6 +21,9 @@ from candlewick.session import ensure_checkpoint_dir, scratch_path
 #: Largest per-file table that is broadcast; a larger one is joined by shuffle.
 MAX_BROADCAST_FILES = 50_000
 _ROW_BITS = (1 << 33) - 1
+# Separators with a pattern of their own; residues that lines are dealt into to bound the first ones.
+USUAL_SEPARATORS = {"|": "\\|", "\t": "\t", ",": ",", ";": ";"}
+FIRST_LINES_SALTS = 64
 
 
 def base_name(path) -> Column:
@@ -84,15 +87,23 @@ def once(lines: DataFrame) -> DataFrame:
 def first_lines(lines: DataFrame, n: int) -> DataFrame:
     """The first ``n`` lines of every file.
 
-    Scanned lines are numbered without gaps inside a block, so a block's first
-    lines follow from its smallest number, a combining aggregate; only those
-    are ranked.  Lines with other numbers are ranked as they are.
+    No file is sorted.  Scanned lines are numbered without gaps inside a block,
+    so a block's first lines follow from its smallest number.  Other numbers
+    are dealt into residues of a hash: the ``n``-th smallest of the residues'
+    smallest numbers has ``n`` lines up to it, so later lines are none of the
+    first.  Both are combining aggregates; only the lines left are ranked.
     """
     by_file = Window.partitionBy("file_name").orderBy("line_no")
     if isinstance(lines.schema["line_no"].dataType, StructType):
         start = per_file(lines.groupBy("file_name", F.col("line_no.block").alias("_block")).agg(F.min("line_no.row").alias("_first")))
         near = lines.withColumn("_block", F.col("line_no.block")).join(start, ["file_name", "_block"])
         lines = near.where(F.col("line_no.row") < F.col("_first") + n).drop("_block", "_first")
+    else:
+        salt = F.pmod(F.xxhash64("line_no"), F.lit(max(FIRST_LINES_SALTS, 4 * n)))
+        least = lines.groupBy("file_name", salt.alias("_salt")).agg(F.min("line_no").alias("_least"))
+        bound = per_file(least.groupBy(F.col("file_name").alias("_file")).agg(F.try_element_at(F.sort_array(F.collect_list("_least")), F.lit(n)).alias("_bound")))
+        near = lines.join(bound, F.col("file_name").eqNullSafe(F.col("_file")))
+        lines = near.where(F.col("_bound").isNull() | F.col("line_no").isNull() | (F.col("line_no") <= F.col("_bound"))).drop("_file", "_bound")
     return lines.withColumn("_pos", F.row_number().over(by_file)).where(F.col("_pos") <= n).drop("_pos")
 
 
@@ -106,8 +117,11 @@ def per_file(df: DataFrame) -> DataFrame:
 
 def split_fields(line: Column, sep: Column) -> Column:
     """Fields of a line; separators inside double quotes do not count, and
-    quoted fields lose their quotes (doubled ones become one)."""
+    quoted fields lose their quotes (doubled ones become one).  Usual
+    separators are split by a constant pattern, which is not compiled per line."""
     plain = F.split(line, F.concat(F.lit("\\Q"), sep, F.lit("\\E")))
+    for usual, pattern in USUAL_SEPARATORS.items():
+        plain = F.when(sep == usual, F.split(line, pattern)).otherwise(plain)
     outside = F.concat(F.lit("\\Q"), sep, F.lit("\\E(?=(?:[^\"]*\"[^\"]*\")*[^\"]*$)"))
 
     def unquote(x):
