@@ -43,8 +43,7 @@ def load_number(c) -> Column:
     ``"1.234,56"`` -> null and ``"1.500"`` -> 1.5, as on the reference load path.
     """
     s = F.trim(_c(c).cast("string"))
-    first_comma = F.regexp_replace(s, r"^([^,]*),", "$1.")
-    return strict_double(first_comma)
+    return strict_double(F.when(s.contains(","), F.overlay(s, F.lit("."), F.locate(",", s), F.lit(1))).otherwise(s))
 
 
 def locale_number(c) -> Column:
