@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from candlewick.functions.headers import missing_columns
 from candlewick.functions.numbers import locale_number
+from candlewick.session import ensure_checkpoint_dir
 
 SAMPLE_INVALID = 3
 
@@ -70,16 +71,19 @@ def locale_profile(df: DataFrame, columns: list[str], scope: str = "file_name")
     long = long.withColumn("parsed", locale_number("raw"))
     present = F.col("raw").isNotNull() & ~F.trim("raw").isin("", "-")
     invalid = present & F.col("parsed").isNull()
-    counts = long.groupBy(scope, "column").agg(
-        F.count_if(present).alias("raw_count"),
-        F.count(F.col("parsed")).alias("parsed_count"),
-        F.count_if(invalid).alias("invalid_count"),
-    )
+    # One pass: what is invalid is counted by its value, the rest by the column.
+    ensure_checkpoint_dir(df.sparkSession)
+    per_value = long.groupBy(scope, "column", F.when(invalid, F.col("raw")).alias("bad")).agg(
+        F.count_if(present).alias("raw_count"), F.count(F.col("parsed")).alias("parsed_count")).checkpoint(eager=True)
+    bad = F.col("bad").isNotNull()
+    counts = per_value.groupBy(scope, "column").agg(
+        F.sum("raw_count").alias("raw_count"), F.sum("parsed_count").alias("parsed_count"),
+        F.coalesce(F.sum(F.when(bad, F.col("raw_count"))), F.lit(0)).alias("invalid_count"))
     from pyspark.sql.window import Window
-    w = Window.partitionBy(scope, "column").orderBy("raw")
-    samples = (long.where(invalid).select(scope, "column", "raw").distinct()
+    w = Window.partitionBy(scope, "column").orderBy("bad")
+    samples = (per_value.where(bad).select(scope, "column", "bad")
                .withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= SAMPLE_INVALID)
-               .groupBy(scope, "column").agg(F.array_sort(F.collect_list("raw")).alias("invalid_samples")))
+               .groupBy(scope, "column").agg(F.array_sort(F.collect_list("bad")).alias("invalid_samples")))
     return counts.join(samples, [scope, "column"], "left").select(
         scope, "column", "raw_count", "parsed_count", "invalid_count",
         F.coalesce("invalid_samples", F.array().cast("array<string>")).alias("invalid_samples"))
