@@ -147,6 +147,15 @@ def backfill_status_q(spark, sf_dir):
     return backfill_status(spark, files, "1998-01-01", "1998-03-31")
 
 
+#: Lines of a rendered file: more rows make more files, not longer ones.
+LINES_PER_FILE = 1_000_000
+
+
+def _file_numbers(bars, kinds):
+    """Number of the file of a ticker's lines, whose residue by ``kinds`` is that of the ticker's hash."""
+    return F.pmod(F.xxhash64("ticker"), F.lit(kinds * max(1, -(-bars.count() // (kinds * LINES_PER_FILE)))))
+
+
 def _land(spark, lines, name):
     """Write (file_name, line_no, line) as real text files, one folder per file."""
     folder = scratch_path(spark, name)
@@ -171,10 +180,10 @@ SELECT ticker, DATE '2002-03-04' AS trade_date, open_price, last_price, trade_co
 def undated_files_load(spark, sf_dir):
     """Trades files without a date column (comma separated, quoted
     fields, a preamble) take the load's date; first row per ticker wins."""
-    b = M.daily_bars(spark, sf_dir)
+    b = LD.landed(spark, sf_dir, "bars", M.daily_bars)
     number = F.col("ticker")
     row = F.concat_ws(",", F.concat(F.lit('"'), number, F.lit('"')), F.concat(F.lit('"a, b"')), F.col("open_price").cast("string"), F.col("last_price").cast("string"), F.col("trade_count").cast("string"))
-    rows = b.select(F.concat(F.lit("f"), F.pmod(F.xxhash64("ticker"), F.lit(4)).cast("string")).alias("file_name"), F.datediff("trade_date", F.lit("1990-01-01")).cast("bigint").alias("line_no"), row.alias("line"))
+    rows = b.select(F.concat(F.lit("f"), _file_numbers(b, 4).cast("string")).alias("file_name"), F.datediff("trade_date", F.lit("1990-01-01")).cast("bigint").alias("line_no"), row.alias("line"))
     heads = rows.select("file_name").distinct().select("file_name", F.explode(F.array(
         F.struct(F.lit(-2).cast("bigint").alias("line_no"), F.lit("report").alias("line")),
         F.struct(F.lit(-1).cast("bigint").alias("line_no"), F.lit('TckrSymb,"Descrição, longa",Preço de abertura,LastPric,TradQty').alias("line")))).alias("x")).select("file_name", "x.line_no", "x.line")
@@ -188,9 +197,9 @@ SELECT ticker, trade_date, open_price, last_price, trade_count FROM v_daily"""))
 def dialect_files_load(spark, sf_dir):
     """Files of four dialects in one load, a preamble above each and all
     separators inside a quoted field."""
-    b = M.daily_bars(spark, sf_dir)
-    kind = F.pmod(F.xxhash64("ticker"), F.lit(len(D.SEPARATORS))).cast("int")
-    sep = F.element_at(F.array(*map(F.lit, D.SEPARATORS)), F.col("kind") + 1)
+    b = LD.landed(spark, sf_dir, "bars", M.daily_bars)
+    kind = _file_numbers(b, len(D.SEPARATORS)).cast("int")
+    sep = F.element_at(F.array(*map(F.lit, D.SEPARATORS)), F.pmod("kind", F.lit(len(D.SEPARATORS))) + 1)
 
     def line(*fields):
         return F.array_join(F.array(*fields), "\u0001")
