@@ -94,8 +94,9 @@ LOADS = 3
 def _kept_summary(spark, sf_dir):
     """The summary after ``LOADS`` loads that bring the tables' rows in any order of their days."""
     part = F.pmod(F.xxhash64("ticker", F.col("day")), F.lit(LOADS))
-    tables = {"quote": M.settled_quotes(spark, sf_dir), "trade": LD.landed(spark, sf_dir, "bars", M.daily_bars),
-              "intraday": M.intraday_points(spark, sf_dir), "hist": hist_dates(spark, sf_dir)}
+    # Landed once: every load reads them.
+    tables = {"quote": LD.landed(spark, sf_dir, "settled", M.settled_quotes), "trade": LD.landed(spark, sf_dir, "bars", M.daily_bars),
+              "intraday": LD.landed(spark, sf_dir, "points", M.intraday_points), "hist": LD.landed(spark, sf_dir, "hist-dates", hist_dates)}
     path = scratch_path(spark, "summary")
     for load in range(LOADS):
         sources = {n: df.withColumn("day", F.col("trade_date")).where(part == load) for n, df in tables.items()}
