@@ -24,6 +24,7 @@ _ROW_BITS = (1 << 33) - 1
 # Separators with a pattern of their own; residues that lines are dealt into to bound the first ones.
 USUAL_SEPARATORS = {"|": "\\|", "\t": "\t", ",": ",", ";": ";"}
 FIRST_LINES_SALTS = 64
+MARK = "\u0001"
 
 
 def base_name(path) -> Column:
@@ -128,4 +129,10 @@ def split_fields(line: Column, sep: Column) -> Column:
         t = F.trim(x)
         return F.when(t.rlike('^".*"$'), F.regexp_replace(F.substring(t, F.lit(2), F.length(t) - 2), '""', '"')).otherwise(x)
 
-    return F.when(line.contains('"'), F.transform(F.split(line, outside), unquote)).otherwise(plain)
+    # A separator is outside where an even number of quotes follows it.  Where all
+    # quotes are paired it stands in every other piece and is marked there, since
+    # the pattern looks ahead from every separator.
+    paired = (F.size(F.split(line, '"')) % 2 == 1) & ~line.contains(MARK)
+    marked = F.array_join(F.transform(F.split(line, '"'), lambda x, i: F.when(i % 2 == 0, F.replace(x, sep, F.lit(MARK))).otherwise(x)), '"')
+    quoted = F.when(paired, F.split(marked, MARK)).otherwise(F.split(line, outside))
+    return F.when(line.contains('"'), F.transform(quoted, unquote)).otherwise(plain)
