@@ -29,6 +29,21 @@ ASSET_FILE_DATE = "2001-12-31"
 SOURCE_DAILY = "lineitem"
 SOURCE_INTRADAY = "events"
 
+#: Stored rows for each task that sorts derived rows.  Tables with less for every
+#: core of the session keep Spark's own number of partitions.
+ROWS_PER_TASK = 250_000
+
+
+def tasks_for(stored: DataFrame) -> int | None:
+    """Tasks for what is derived from a stored table, by a count of its footers;
+    None: few rows, Spark's own number will do."""
+    tasks = -(-stored.count() // ROWS_PER_TASK)
+    return tasks if tasks > stored.sparkSession.sparkContext.defaultParallelism else None
+
+
+def spread(df: DataFrame, tasks: int | None, *keys: str) -> DataFrame:
+    return df.repartition(tasks, *keys) if tasks else df
+
 
 def ticker_of(key) -> Column:
     k = F.col(key) if isinstance(key, str) else key
@@ -73,14 +88,19 @@ def unit_trades(spark: SparkSession, sf_dir: str, where=None) -> DataFrame:
     )
 
 
-def daily_bars(spark: SparkSession, sf_dir: str, where=None) -> DataFrame:
+def daily_bars(spark: SparkSession, sf_dir: str, where=None, by_rows: bool = False) -> DataFrame:
     """Daily trades table (open, last, min, max, avg, variation, volume, count).
 
     One partial/final hash aggregate on (ticker, trade_date); the variation
     needs the previous day's last price, a window per ticker whose size is
     bounded by the number of calendar days, not by the data volume.
+
+    ``by_rows``: both exchanges have tasks in proportion to the rows, so that no
+    task holds or sorts more of them as the table grows.  The trades are then
+    dealt by ticker and day before they are combined: a hot ticker is spread over its days.
     """
-    t = unit_trades(spark, sf_dir, where)
+    tasks = tasks_for(read_test_table(spark, sf_dir, "lineitem")) if by_rows else None
+    t = spread(unit_trades(spark, sf_dir, where), tasks, "ticker", "trade_date")
     bars = t.groupBy("ticker", "trade_date").agg(
         F.min_by("px", "seq").alias("open_price"),
         F.max_by("px", "seq").alias("last_price"),
@@ -91,6 +111,7 @@ def daily_bars(spark: SparkSession, sf_dir: str, where=None) -> DataFrame:
         half_up(F.sum("notional"), 2).alias("financial_volume"),
         F.count(F.lit(1)).alias("trade_count"),
     )
+    bars = spread(bars, tasks, "ticker")
     avg_price = F.expr("(2 * _sum_micro + trade_count) div (2 * trade_count)") / F.lit(1_000_000.0)
     prev = F.lag("last_price").over(Window.partitionBy("ticker").orderBy("trade_date"))
     return bars.select(
@@ -112,7 +133,8 @@ def settled_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_test_table(spark, sf_dir, "orders")
     price, many = F.col("o_totalprice"), F.count(F.lit(1)) > 1
     low, high = F.min(price), F.max(price)
-    return o.groupBy(ticker_of("o_custkey").alias("ticker"), F.to_date("o_orderdate").alias("trade_date")).agg(
+    days = o.select(ticker_of("o_custkey").alias("ticker"), F.to_date("o_orderdate").alias("trade_date"), "o_totalprice")
+    return spread(days, tasks_for(o), "ticker", "trade_date").groupBy("ticker", "trade_date").agg(
         high.alias("last_price"), low.alias("min_price"), high.alias("max_price"), F.lit(None).cast("double").alias("avg_price"),
         F.when(many, half_up((high - low) / low * 100, 4)).alias("variation_pct"),
         F.when(many, F.round(high * 100).cast("bigint").cast("double")).alias("financial_volume"),

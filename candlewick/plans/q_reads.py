@@ -158,13 +158,13 @@ UNION ALL SELECT trade_date, 'traded_assets_count', NULL, NULL, NULL, NULL, coun
 
 @register("market_overview", _overview_sql(""))
 def market_overview(spark, sf_dir):
-    return MK.market_overview(None, M.daily_bars(spark, sf_dir))
+    return MK.market_overview(None, M.daily_bars(spark, sf_dir, by_rows=True))
 
 
 @register("market_overview_two_tables", with_settled_quotes(_overview_sql("")))
 def market_overview_two_tables(spark, sf_dir):
     """T4 with quotes and trades of different rows."""
-    return MK.market_overview(M.settled_quotes(spark, sf_dir), M.daily_bars(spark, sf_dir))
+    return MK.market_overview(M.settled_quotes(spark, sf_dir), M.daily_bars(spark, sf_dir, by_rows=True))
 
 
 @register("market_overview_day", _overview_sql(f"WHERE trade_date = DATE '{OVERVIEW_DAY}'"))
