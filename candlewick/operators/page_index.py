@@ -3,11 +3,14 @@
 ``ORDER BY .. LIMIT n OFFSET o`` keeps o + n rows in every task, so page ten
 million costs as much as a sort of the table.  ``write_index`` sorts once, at
 load time: rows go into ranges of the order, one file each, and carry their
-place ``_row`` in the range.  A directory of two levels counts them: groups of
+place ``_row`` in the range.  Files grow before they become many: beyond
+``SHORT_RANGES`` of them ranges get longer, up to ``ROWS_PER_RANGE`` rows, and
+Parquet's pages inside a file have the ``rows_per_range`` asked for.  A directory of two levels counts them: groups of
 ``FAN_OUT`` ranges (each with its start in the table), and the ranges of a
 group (each with its start in the group).  ``indexed_page`` looks the offset
 up in the groups, then in one group's ranges, and reads the one or two ranges
-that the page touches, with ``_row`` pushed down to their row groups.
+that the page touches, with ``_row`` pushed down to their row groups and, by
+the column index, to the Parquet pages that hold those rows.
 
 The order must tell all rows apart, as that of ``pages.page`` must.  Rows that
 are equal in it have some order that is fixed when the index is written.
@@ -22,11 +25,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 from pyspark.sql.window import Window
 
-from candlewick.session import ensure_checkpoint_dir
+from candlewick.session import ensure_checkpoint_dir, scratch_path
 
-#: Rows of a range, about one file; ranges of a group of the directory.
+#: Rows of a range, about one file; ranges of a group of the directory; ranges
+#: that may be shorter than ROWS_PER_RANGE.
 ROWS_PER_RANGE = 500_000
 FAN_OUT = 1_024
+SHORT_RANGES = 64
 _ROW_BITS = (1 << 33) - 1
 
 
@@ -35,13 +40,17 @@ def write_index(df: DataFrame, order: list[Column], path: str, *, rows_per_range
     not exist; a failed attempt leaves no directory, so it is never read."""
     ensure_checkpoint_dir(df.sparkSession)
     spark = df.sparkSession
-    df = df.checkpoint(eager=True)
-    ranges = max(1, -(-df.count() // rows_per_range))
+    # The rows are kept once: counting reads footers, sampling and sorting columns.
+    kept = scratch_path(spark, "index-rows")
+    df.write.parquet(kept)
+    df = spark.read.schema(df.schema).parquet(kept)
+    n = df.count()
+    ranges = max(1, min(-(-n // rows_per_range), max(SHORT_RANGES, -(-n // ROWS_PER_RANGE))))
     place = F.spark_partition_id()
     dealt = df.repartitionByRange(ranges, *order).withColumn("_group", F.floor(place / F.lit(fan_out)).cast("int")).withColumn("_range", place)
     # In one stage after the sort, the low bits of the id are the row's place in its range.
     rows = dealt.sortWithinPartitions("_group", "_range", *order).withColumn("_row", F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS)))
-    rows.write.partitionBy("_group", "_range").parquet(os.path.join(path, "rows"))
+    rows.write.option("parquet.page.row.count.limit", rows_per_range).partitionBy("_group", "_range").parquet(os.path.join(path, "rows"))
     df.limit(0).write.parquet(os.path.join(path, "schema"))
     stored = spark.read.schema("_row long, _group int, _range int").parquet(os.path.join(path, "rows"))
     counts = stored.groupBy("_group", "_range").agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
