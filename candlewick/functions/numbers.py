@@ -73,10 +73,7 @@ def payload_decimal(c, precision: int = 18, scale: int = 6) -> Column:
     ``""``, ``-`` and ``N/A`` are null, unparsable text is null."""
     s = F.regexp_replace(F.trim(_c(c).cast("string")), r"\s+", "")
     cleaned = F.replace(s, F.lit(","), F.lit("."))
-    return (
-        F.when(s.isNull() | s.isin("", "-", "N/A"), F.lit(None).cast(f"decimal({precision},{scale})"))
-        .when(cleaned.rlike(NUMERIC_LITERAL), cleaned.try_cast(f"decimal({precision},{scale})"))
-    )
+    return F.when(cleaned.rlike(NUMERIC_LITERAL), cleaned.try_cast(f"decimal({precision},{scale})"))   # no literal: those three, null, garbage
 
 
 def digits_scaled(c, digits_precision: int, divisor: int, out_type: str) -> Column:

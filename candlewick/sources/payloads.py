@@ -41,6 +41,15 @@ def _nested(body: Column) -> Column:
     return F.from_json(body, NESTED_SCHEMA, {"mode": "PERMISSIVE"})
 
 
+def _may_have(body: Column, *keys: str) -> Column:
+    """False only where no key of the body can be one of ``keys``: neither is
+    written out, and no escape could spell it.  Spares a parse for each of them."""
+    found = body.contains("\\")
+    for k in keys:
+        found = found | body.contains(k)
+    return found
+
+
 def payload_series(landed: DataFrame, *, load_date=None) -> DataFrame:
     """Every quote point of every nested payload, with its position.
     Ticker = ``symb`` else the requested ticker (upper); the trade date comes
@@ -86,28 +95,39 @@ def daily_fluctuation(landed: DataFrame, *, load_date=None) -> DataFrame:
     ``results[0]``) map codNeg/ticker, tradeDate, last/min/max/avg price and
     oscillation.  Bodies of neither shape get ``error``."""
     body = F.col("body")
-    is_nested = F.get_json_object(body, "$.TradgFlr").isNotNull() | F.get_json_object(body, "$.BizSts").isNotNull()
-    wrapped = F.from_json(body, FLAT_WRAPPED, {"mode": "PERMISSIVE"})
-    flat = F.coalesce(F.try_element_at(wrapped["results"], F.lit(1)), F.from_json(body, FLAT_SCHEMA, {"mode": "PERMISSIVE"}))
-    nested = _nested(body)
-    last = F.try_element_at(nested["TradgFlr"]["scty"]["lstQtn"], F.lit(-1))
+    is_nested = _may_have(body, "TradgFlr", "BizSts") & (F.get_json_object(body, "$.TradgFlr").isNotNull() | F.get_json_object(body, "$.BizSts").isNotNull())
     ld = F.col("load_date") if load_date is None else F.lit(load_date).cast("date")
+    shapes = landed.select("requested_ticker", "body", ld.alias("ld"), is_nested.alias("is_nested"))
+    # A body is parsed as the shape it has, once for all columns.
+    floor, flat = F.col("floor"), F.col("flat")
+    wrapped = F.when(_may_have(body, "results"), F.try_element_at(F.from_json(body, FLAT_WRAPPED, {"mode": "PERMISSIVE"})["results"], F.lit(1)))
+    parsed = shapes.select(
+        "requested_ticker", "ld", "is_nested",
+        F.when(F.col("is_nested"), _nested(body)["TradgFlr"]).alias("floor"),
+        F.when(~F.col("is_nested"), F.coalesce(wrapped, F.from_json(body, FLAT_SCHEMA, {"mode": "PERMISSIVE"}))).alias("flat"))
     flat_ticker = F.coalesce(F.when(F.trim(flat["codNeg"]) != "", flat["codNeg"]), flat["ticker"])
-    is_flat = ~is_nested & flat_ticker.isNotNull()
-    fmt = F.when(is_nested, F.lit("nested")).when(is_flat, F.lit("flat"))
-    t = F.when(is_nested, F.coalesce(nested["TradgFlr"]["scty"]["symb"], F.col("requested_ticker"))).otherwise(flat_ticker)
-    return landed.select(
-        F.upper(F.trim(F.coalesce(t, F.col("requested_ticker")))).alias("ticker"),
-        fmt.alias("payload_format"),
-        F.when(is_nested, payload_date(nested["TradgFlr"]["date"], ld))
-        .when(is_flat, payload_date(flat["tradeDate"], ld)).alias("trade_date"),
-        F.when(is_nested, payload_decimal(last["closPric"])).when(is_flat, payload_decimal(flat["lastPrice"])).alias("last_price"),
-        F.when(is_flat, payload_decimal(flat["minPrice"])).alias("min_price"),
-        F.when(is_flat, payload_decimal(flat["maxPrice"])).alias("max_price"),
-        F.when(is_flat, payload_decimal(flat["avgPrice"])).alias("avg_price"),
-        F.when(is_nested, payload_decimal(last["prcFlcn"], 10, 4))
-        .when(is_flat, payload_decimal(flat["oscillationVal"], 10, 4)).alias("variation_pct"),
-        F.when(fmt.isNull(), F.lit("unrecognised payload")).alias("error"),
+    is_nested, is_flat = F.col("is_nested"), F.col("is_flat")
+
+    def either(of_nested, of_flat):
+        return F.when(is_nested, of_nested).otherwise(of_flat)
+
+    # ``flat`` is null unless the body is a flat one with a ticker, so its fields are too.
+    known = parsed.select("requested_ticker", "ld", "is_nested", "floor", F.try_element_at(floor["scty"]["lstQtn"], F.lit(-1)).alias("last"),
+                          F.when(flat_ticker.isNotNull(), flat).alias("flat"), flat_ticker.alias("flat_ticker"), flat_ticker.isNotNull().alias("is_flat"))
+    texts = known.select(
+        "is_nested", "is_flat", "ld",
+        F.coalesce(either(floor["scty"]["symb"], F.col("flat_ticker")), F.col("requested_ticker")).alias("ticker"),
+        either(floor["date"], flat["tradeDate"]).alias("day"),
+        either(F.col("last.closPric"), flat["lastPrice"]).alias("last_price"),
+        *[flat[f].alias(c) for f, c in (("minPrice", "min_price"), ("maxPrice", "max_price"), ("avgPrice", "avg_price"))],
+        either(F.col("last.prcFlcn"), flat["oscillationVal"]).alias("variation"))
+    return texts.select(
+        F.upper(F.trim("ticker")).alias("ticker"),
+        F.when(is_nested, F.lit("nested")).when(is_flat, F.lit("flat")).alias("payload_format"),
+        F.when(is_nested | is_flat, payload_date(F.col("day"), F.col("ld"))).alias("trade_date"),
+        *[payload_decimal(F.col(c)).alias(c) for c in ("last_price", "min_price", "max_price", "avg_price")],
+        payload_decimal(F.col("variation"), 10, 4).alias("variation_pct"),
+        F.when(~is_nested & ~is_flat, F.lit("unrecognised payload")).alias("error"),
     )
 
 
