@@ -31,10 +31,25 @@ def half_up(c, digits: int) -> Column:
     return F.signum(x) * F.floor(F.abs(x) * scale + F.lit(0.5)) / F.lit(scale)
 
 
+def _trimmed(c) -> Column:
+    return F.trim(_c(c).cast("string"))
+
+
+def _literal(s: Column) -> Column:
+    return F.when(s.rlike(NUMERIC_LITERAL), s.try_cast("double"))
+
+
+def _dotted(s: Column) -> Column:
+    return F.replace(s, F.lit(","), F.lit("."))  # with a second comma it is no literal either way
+
+
+#: What ``load_number`` does to a trimmed text, as steps that refer to their input alone.
+LOAD_NUMBER_STEPS = (_dotted, _literal)
+
+
 def strict_double(c) -> Column:
     """``try_cast(c as double)`` restricted to plain decimal literals."""
-    s = F.trim(_c(c).cast("string"))
-    return F.when(s.rlike(NUMERIC_LITERAL), s.try_cast("double"))
+    return _literal(_trimmed(c))
 
 
 def load_number(c) -> Column:
@@ -42,8 +57,10 @@ def load_number(c) -> Column:
 
     ``"1.234,56"`` -> null and ``"1.500"`` -> 1.5, as on the reference load path.
     """
-    s = F.trim(_c(c).cast("string"))
-    return strict_double(F.when(s.contains(","), F.overlay(s, F.lit("."), F.locate(",", s), F.lit(1))).otherwise(s))
+    s = _trimmed(c)
+    for step in LOAD_NUMBER_STEPS:
+        s = step(s)
+    return s
 
 
 def locale_number(c) -> Column:

@@ -30,7 +30,8 @@ def strip(c) -> Column:
     """Without white space of any kind (tabs, no-break spaces, ...) at either end.
     A text between two visible ASCII characters stays as it is."""
     s = _c(c).cast("string")
-    tight = F.ascii(s).between(33, 126) & F.ascii(F.substring(s, -1, 1)).between(33, 126)
+    last = F.substring(s, -1, 1)
+    tight = (s >= "!") & (s < "\x7f") & (last >= "!") & (last < "\x7f")
     return F.when(tight, s).otherwise(F.regexp_replace(s, r"(?U)^\s+|\s+$", ""))
 
 

@@ -25,7 +25,7 @@ from candlewick.sources import delimited as D
 from candlewick.sources import fixed_width as FW
 from candlewick.sources import jsonl as JS
 from candlewick.session import ensure_checkpoint_dir
-from candlewick.sources.lines import once, per_file, same_path, scan_any
+from candlewick.sources.lines import base_name, once, per_file, same_path, scan_any
 from candlewick.sources.manifest import backfill_status, historical_file_set, manifest
 from candlewick.sources.tables import conform
 
@@ -136,9 +136,11 @@ def _publish_register(spark, reg: DataFrame, tables_root: str) -> int:
                                    preserve={"is_active": F.lit(True), "created_at": F.col("updated_at")})
 
 
-def _upsert_daily(spark, rows: DataFrame, table: str, tables_root: str) -> int:
+def _upsert_daily(spark, rows: DataFrame, table: str, tables_root: str, *, staged: bool = False) -> int:
+    """``staged``: the rows are kept in the shared folder, with the types of the table."""
     ensure_checkpoint_dir(spark)
-    rows = conform(rows, table).checkpoint(eager=True)
+    if not staged:
+        rows = conform(rows, table).checkpoint(eager=True)
     n = MG.upsert_partitions(spark, rows, _t(tables_root, table), ["ticker", "trade_date"], partition_col="trade_date",
                              update=[c for c in rows.columns if c not in ("ticker", "trade_date")], staged=True)
     if n:
@@ -261,14 +263,17 @@ def load_days(spark: SparkSession, trades_paths: list[str], tables_root: str, *,
         n = dropped = 0
         loaded = spark.createDataFrame([], "file_name string, rows_loaded bigint")
         if not judged.where(F.col("message").isNull()).isEmpty():
-            parsed, watch = TR.parse_daily(rows, TR.TRADE_NUMERIC), Observation()
-            daily = TR.keep_daily(parsed.observe(watch, *TR.daily_counters()), TR.TRADE_NUMERIC, newest_file=True).checkpoint(eager=True)
+            parsed, watch = TR.parse_daily(rows, TR.TRADE_NUMERIC, aged=True), Observation()
+            daily = TR.keep_daily(parsed.observe(watch, *TR.daily_counters()), TR.TRADE_NUMERIC, newest_file=True)
+            # Both tables declare the same type for a column that both have: typed and kept once.
+            daily = daily.withColumn("source_file_name", base_name("file_name"))
+            daily = once(conform(conform(daily, "fact_daily_quotes"), "fact_daily_trades"), "daily")
             seen = observed(watch, parsed, TR.daily_counters())
             dropped = seen["no_ticker"] + seen["no_date"]
             loaded = daily.groupBy(same_path("file_name").alias("file_name")).agg(F.count(F.lit(1)).alias("rows_loaded"))
-            named = TR.sourced(daily)
-            n += _upsert_daily(spark, named.withColumnRenamed("last_price", "close_price"), "fact_daily_trades", tables_root)  # C25
-            n += _upsert_daily(spark, named.drop("open_price"), "fact_daily_quotes", tables_root)
+            named = daily.drop("file_name")
+            n += _upsert_daily(spark, named.withColumnRenamed("last_price", "close_price"), "fact_daily_trades", tables_root, staged=True)  # C25
+            n += _upsert_daily(spark, named.drop("open_price"), "fact_daily_quotes", tables_root, staged=True)
         n += _publish_register(spark, reg, tables_root)
         result = judged.join(per_file(loaded), "file_name", "left").select(
             "file_name", F.when(F.col("message").isNull(), "ok").otherwise("error").alias("status"), "message", F.coalesce("rows_loaded", F.lit(0)).alias("rows_loaded")).checkpoint(eager=True)

@@ -145,10 +145,10 @@ def raw_trade_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     fname = trades_file_name(F.col("trade_date"))
     ln = trade_line_no(F.col("trade_date"), F.col("ticker"))
-    rows = b.select(fname.alias("file_name"), ln.alias("line_no"), line(_br("last_price")).alias("line"))
-    dups = b.where(F.col("trade_count") >= 3).select(
-        fname.alias("file_name"), (ln + 1).alias("line_no"),
-        line(F.replace((F.col("last_price") + 1).cast("string"), F.lit("."), F.lit(","))).alias("line"))
+    # Both lines of a bar in one pass over the bars.
+    first = F.struct(ln.alias("line_no"), line(_br("last_price")).alias("line"))
+    again = F.struct((ln + 1).alias("line_no"), line(F.replace((F.col("last_price") + 1).cast("string"), F.lit("."), F.lit(","))).alias("line"))
+    rows = b.select(fname.alias("file_name"), F.explode(F.when(F.col("trade_count") >= 3, F.array(first, again)).otherwise(F.array(first))).alias("x")).select("file_name", "x.line_no", "x.line")
     files = b.select(fname.alias("file_name")).distinct()
     extra = files.select("file_name", F.explode(F.array(
         F.struct(F.lit(-3).cast("bigint").alias("line_no"), F.lit(TRADES_PREAMBLE).alias("line")),
@@ -156,7 +156,7 @@ def raw_trade_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.lit(-1).cast("bigint").alias("line_no"), F.lit(TRADES_HEADER).alias("line")),
         F.struct(F.lit(0).cast("bigint").alias("line_no"), F.lit(JUNK_TRADE_LINE).alias("line")),
     )).alias("x")).select("file_name", "x.line_no", "x.line")
-    return rows.unionByName(dups).unionByName(extra)
+    return rows.unionByName(extra)
 
 
 def raw_register_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

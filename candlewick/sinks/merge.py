@@ -150,11 +150,10 @@ def upsert_partitions(spark: SparkSession, batch: DataFrame, path: str, keys: li
     if _exists(spark, path):
         current = spark.read.parquet(path)
         merged = merge_upsert(_touched(current, batch, partition_col), batch, keys, update=update, preserve=preserve)
-        merged = merged.select(*current.columns)
+        # Staged: the target is read to the end before any of it is replaced.
+        merged = _stage(merged.select(*current.columns))
     else:
         merged = merge_upsert(batch.limit(0), batch, keys, update=update, preserve=preserve)
-    # Staged: the target is read to the end before any of it is replaced.
-    merged = _stage(merged)
     (_spread(merged, partition_col, keys).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
     return n

@@ -168,7 +168,8 @@ def judge_files(lines: DataFrame, table_key: str, mapping: dict[str, str], *, mi
     layout = headers.join(header_positions(headers, mapping), "file_name")
     names = [c for c in layout.columns if c.startswith("pos_")]
     if "problem" in lines.columns:
-        layout = layout.join(lines.groupBy("file_name").agg(F.min("problem").alias("unread")), "file_name", "left")
+        unread = lines.where(F.col("problem").isNotNull())
+        layout = layout.join(unread.groupBy("file_name").agg(F.min("problem").alias("unread")), "file_name", "left")
     else:
         layout = layout.withColumn("unread", F.lit(None).cast("string"))
     n_columns = F.coalesce(F.size("header"), F.lit(0))

@@ -29,7 +29,7 @@ MARK = "\u0001"
 
 def base_name(path) -> Column:
     c = F.col(path) if isinstance(path, str) else path
-    return F.regexp_extract(c, r"([^/]*)$", 1)
+    return F.substring_index(c, "/", -1)  # a pattern would try every place of the path
 
 
 def decode_line(value: Column, encoding: str | None = None) -> Column:
@@ -77,12 +77,13 @@ def scan_any(spark: SparkSession, paths, *, kind: str = "csv", encoding: str | N
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
-def once(lines: DataFrame) -> DataFrame:
+def once(rows: DataFrame, name: str = "lines") -> DataFrame:
     """The lines of one scan, kept in the shared folder: every reader sees the
-    same numbers, and archives and other encodings are decoded once."""
-    path = scratch_path(lines.sparkSession, "lines")
-    lines.write.option("compression", "zstd").parquet(path)
-    return lines.sparkSession.read.schema(lines.schema).parquet(path)
+    same numbers, and archives and other encodings are decoded once.  So are
+    other rows of which several readers need some of the columns."""
+    path = scratch_path(rows.sparkSession, name)
+    rows.write.option("compression", "zstd").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def first_lines(lines: DataFrame, n: int) -> DataFrame:
